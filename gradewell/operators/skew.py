@@ -9,7 +9,7 @@ itself: it wants a plain shuffle on both sides, and the member side is usually a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 16_384      # the histogram has at most this many rows, at any data size
 FAIR_SHARES = 4       # a bucket is hot above this many times the mean
@@ -24,20 +24,23 @@ def _bucket(key: Column) -> Column:
 def hot_buckets(rows: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Buckets of `key` that need salting, with their number of salts: at most BUCKETS rows.
 
-    `rows` need hold no more than the key. Counts are combined on the map side.
+    `rows` need hold no more than the key. Counts are combined on the map side; the window that adds
+    them up, in one task, sees the histogram only.
     """
-    counts = rows.groupBy(_bucket(F.col(key)).alias("_bucket")).agg(F.count("*").alias("_rows"))
-    fair = counts.agg(F.sum("_rows") / F.lit(BUCKETS)).scalar()
-    threshold = F.greatest(fair * FAIR_SHARES, F.lit(float(min_hot_rows)))
-    per_salt = F.greatest(fair, F.lit(float(max(1, min_hot_rows // FAIR_SHARES))))
+    histogram = (
+        rows.groupBy(_bucket(F.col(key)).alias("_bucket")).agg(F.count("*").alias("_rows"))
+        .withColumn("_fair", F.sum("_rows").over(Window.partitionBy()) / F.lit(BUCKETS))
+    )
+    threshold = F.greatest(F.col("_fair") * FAIR_SHARES, F.lit(float(min_hot_rows)))
+    per_salt = F.greatest(F.col("_fair"), F.lit(min_hot_rows / FAIR_SHARES))
     salts = F.least(F.ceil(F.col("_rows") / per_salt), F.lit(MAX_SALTS)).cast("int")
-    return counts.where(F.col("_rows") > threshold).select("_bucket", salts.alias("_salts"))
+    return histogram.where(F.col("_rows") > threshold).select("_bucket", salts.alias("_salts"))
 
 
-def _salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def _with_salt(df: DataFrame, key: str, hot: DataFrame, salt: Column) -> DataFrame:
     # Broadcast is safe: `hot` has at most BUCKETS rows of two ints.
-    marked = df.withColumn("_bucket", _bucket(F.col(key))).join(F.broadcast(hot), "_bucket", "left")
-    return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_bucket")
+    marked = df.join(F.broadcast(hot), _bucket(F.col(key)) == F.col("_bucket"), "left")
+    return marked.select(*df.columns, salt.alias("_salt"))
 
 
 def join_members(rows: DataFrame, members: DataFrame, hot: DataFrame, how: str = "inner",
@@ -47,8 +50,8 @@ def join_members(rows: DataFrame, members: DataFrame, hot: DataFrame, how: str =
     `how` is inner, left or left_anti. The salt is a hash of the row's own columns, not a random number, so a
     recomputed task sends each row where it went before; rows should therefore be distinct.
     """
-    spread = F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int")
-    salted_rows = _salts(rows, key, hot).withColumn("_salt", spread).drop("_salts")
-    every_salt = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
-    salted_members = _salts(members, key, hot).withColumn("_salt", every_salt).drop("_salts")
-    return salted_rows.join(salted_members, [key, "_salt"], how).drop("_salt")
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    row_salt = F.pmod(F.xxhash64(*rows.columns), salts).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), salts - 1))
+    salted_members = _with_salt(members, key, hot, every_salt)
+    return _with_salt(rows, key, hot, row_salt).join(salted_members, [key, "_salt"], how).drop("_salt")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gradewell import schemas
 from gradewell.functions.keys import with_member_id
@@ -53,7 +53,8 @@ def csv_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/installments"
     amount = F.when(F.col("term").isNotNull(), F.col("installment").cast("string")).otherwise(F.lit("n/a"))
     files.write_table(Tables(spark, sf_dir).applications.select("id", amount.alias("installment")), path, "csv")
-    return files.read_csv(spark, path, "loan_id string, monthly_installment decimal(12,2)")
+    declared = T.StructType([schemas.LOANS["loan_id"], schemas.LOANS["monthly_installment"]])
+    return files.read_csv(spark, path, declared)
 
 
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

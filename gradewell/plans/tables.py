@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gradewell.functions.keys import with_member_id
@@ -23,34 +25,34 @@ class Tables:
     def cleaned(self, entity: str) -> DataFrame:
         return clean.CLEANERS[entity](self.landed(entity))
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         return self.cleaned("customers")
 
-    @property
+    @cached_property
     def loans(self) -> DataFrame:
         return self.cleaned("loans")
 
-    @property
+    @cached_property
     def repayments(self) -> DataFrame:
         return self.cleaned("loans_repayments")
 
-    @property
+    @cached_property
     def defaulters(self) -> DataFrame:
         return self.cleaned("loans_defaulters")
 
-    @property
+    @cached_property
     def delinquencies(self) -> DataFrame:
         return clean.delinquencies(self.defaulters)
 
-    @property
+    @cached_property
     def details(self) -> DataFrame:
         return clean.detail_records(self.defaulters)
 
-    @property
+    @cached_property
     def bad(self) -> DataFrame:
         return quality.bad_members(self.customers, self.defaulters)
 
-    @property
+    @cached_property
     def hot(self) -> DataFrame:
         return skew.hot_buckets(self.keyed, "member_id")

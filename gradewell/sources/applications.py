@@ -1,11 +1,15 @@
-"""Stand-in for the wide application file: one application per order, one person per customer.
+"""The wide table of applications: read from files, or derived from orders and customers.
 
-The text is one query that runs unchanged in Spark SQL and DuckDB; `{orders}` and `{customer}` name its inputs.
+The derived one stands in where no application file exists: one application per order, one person per
+customer. Its text is one query that runs unchanged in Spark SQL and DuckDB; `{orders}` and `{customer}`
+name its inputs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from gradewell.schemas import WIDE
 
 APPLICATIONS_SQL = """
 with b as (select o_orderkey k, c_custkey u, c_mktsegment seg, c_nationkey n, cast(c_acctbal as decimal(12,2)) bal
@@ -57,3 +61,16 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders=spark.read.parquet(f"{sf_dir}/orders.parquet"),
         customer=spark.read.parquet(f"{sf_dir}/customer.parquet"),
     )
+
+
+def read_applications(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """Applications from wide files with any number of further columns, brought to the declared types by name.
+
+    CSV is read as text, so no pass infers types and the person key does not depend on what was inferred.
+    A number that does not parse becomes NULL and its row is kept.
+    """
+    if fmt == "csv":
+        raw = spark.read.csv(path, header=True, mode="PERMISSIVE")
+    else:
+        raw = spark.read.format(fmt).load(path)
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WIDE])

@@ -8,17 +8,24 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 INFERENCE_RATIO = 0.4
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             corrupt_column: str | None = None) -> DataFrame:
     """CSV with a header. A declared schema names and types the columns by position; without one it is inferred.
 
-    A cell that does not parse becomes NULL and its row is kept. Inference is a pass over the files of its own.
+    A cell that does not parse becomes NULL and its row is kept; `corrupt_column` keeps the text of such rows.
+    Inference is a pass over the files of its own.
     """
+    reader = spark.read.options(header=True, mode="PERMISSIVE")
     if schema is None:
-        return spark.read.csv(path, header=True, mode="PERMISSIVE", inferSchema=True, samplingRatio=INFERENCE_RATIO)
-    return spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", enforceSchema=True)
+        return reader.options(inferSchema=True, samplingRatio=INFERENCE_RATIO).csv(path)
+    if corrupt_column is not None:
+        schema = T.StructType([*schema, T.StructField(corrupt_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.option("enforceSchema", True).schema(schema).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               schema: T.StructType | None = None) -> DataFrame:
     return read_csv(spark, path, schema) if fmt == "csv" else spark.read.format(fmt).load(path)
 
 
