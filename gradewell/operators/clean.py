@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gradewell.functions.text import digits_as_int, months_to_years, whole
 from gradewell.schemas import MONEY
@@ -96,7 +96,7 @@ def clean_repayments(landed: DataFrame) -> DataFrame:
     })
 
 
-def count_or_zero(column: str):
+def count_or_zero(column: str) -> Column:
     return F.coalesce(whole(F.col(column)), F.lit(0))
 
 
@@ -104,24 +104,28 @@ def clean_defaulters(landed: DataFrame) -> DataFrame:
     return dedupe(landed).withColumn("delinq_2yrs", count_or_zero("delinq_2yrs"))
 
 
-IS_DELINQUENT = "delinq_2yrs > 0 or mths_since_last_delinq > 0"
-HAS_RECORDS = "pub_rec > 0 or pub_rec_bankruptcies > 0 or inq_last_6mths > 0"
+# Counts of which one above zero makes a delinquency, or a record or enquiry.
+DELINQUENCY_COUNTS = ["delinq_2yrs", "mths_since_last_delinq"]
+RECORD_COUNTS = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
+
+
+def any_positive(columns: list[str]) -> Column:
+    return reduce(or_, [F.col(c) > 0 for c in columns])
 
 
 def delinquencies(defaulters: DataFrame) -> DataFrame:
-    return defaulters.where(IS_DELINQUENT).select(
+    return defaulters.where(any_positive(DELINQUENCY_COUNTS)).select(
         "member_id", "delinq_2yrs", "delinq_amnt",
         whole(F.col("mths_since_last_delinq")).alias("mths_since_last_delinq"),
     )
 
 
 def records_and_enquiries(defaulters: DataFrame) -> DataFrame:
-    return defaulters.where(HAS_RECORDS)
+    return defaulters.where(any_positive(RECORD_COUNTS))
 
 
 def detail_records(defaulters: DataFrame) -> DataFrame:
-    counts = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
-    return defaulters.select("member_id", *[count_or_zero(c).alias(c) for c in counts])
+    return defaulters.select("member_id", *[count_or_zero(c).alias(c) for c in RECORD_COUNTS])
 
 
 CLEANERS = {

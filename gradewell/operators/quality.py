@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.operators.clean import IS_DELINQUENT
+from gradewell.operators.clean import DELINQUENCY_COUNTS, any_positive
 from gradewell.operators.skew import join_members
 
 
@@ -25,7 +25,7 @@ def bad_members(customers: DataFrame, defaulters: DataFrame) -> DataFrame:
     single shuffle, with one combined row per member and map task.
     """
     customer_rows = customers.select("member_id", F.lit(1).alias("c"), F.lit(0).alias("q"), F.lit(0).alias("d"))
-    delinquent = F.when(F.expr(IS_DELINQUENT), 1).otherwise(0)
+    delinquent = F.when(any_positive(DELINQUENCY_COUNTS), 1).otherwise(0)
     default_rows = defaulters.select("member_id", F.lit(0).alias("c"), delinquent.alias("q"), F.lit(1).alias("d"))
     return (
         customer_rows.unionByName(default_rows)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gradewell.functions.bands import band_points, grade_points, letter_grade, pattern_points
-from gradewell.operators.clean import IS_DELINQUENT, count_or_zero
+from gradewell.operators.clean import DELINQUENCY_COUNTS, RECORD_COUNTS, any_positive, count_or_zero
 from gradewell.operators.quality import bad_members, duplicate_members, exclude
 from gradewell.operators.skew import join_members
 from gradewell.params import GRADE_LEVELS, LITERAL, REPAIRED, TOTAL_PAYMENT_BANDS, RuleSet, ScoreParams
@@ -101,16 +101,16 @@ def member_history(defaulters: DataFrame, params: ScoreParams = DEFAULTS, rules:
     Members without a delinquency drop out, as they have no delinquency row to join, unless
     `include_clean_members` scores them as having none.
     """
-    delinquent = F.expr(IS_DELINQUENT)
-    counts = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
+    delinquent = any_positive(DELINQUENCY_COUNTS)
+    counts = ["delinq_2yrs", *RECORD_COUNTS]
     single = (
         defaulters.select(
             "member_id",
             F.when(delinquent, F.col("delinq_2yrs")).alias("delinq_2yrs"),
-            *[count_or_zero(c).alias(c) for c in counts],
+            *[count_or_zero(c).alias(c) for c in RECORD_COUNTS],
         )
         .groupBy("member_id")
-        .agg(F.count("*").alias("_rows"), *[F.max(c).alias(c) for c in ["delinq_2yrs", *counts]])
+        .agg(F.count("*").alias("_rows"), *[F.max(c).alias(c) for c in counts])
         .where(F.col("_rows") == 1)
     )
     if include_clean_members:
@@ -119,7 +119,7 @@ def member_history(defaulters: DataFrame, params: ScoreParams = DEFAULTS, rules:
         single = single.where(F.col("delinq_2yrs").isNotNull())
     return single.select(
         "member_id",
-        *[count_points(c, params, rules).alias(p) for c, p in zip(["delinq_2yrs", *counts], HISTORY_POINTS)],
+        *[count_points(c, params, rules).alias(p) for c, p in zip(counts, HISTORY_POINTS)],
     )
 
 

@@ -123,8 +123,7 @@ def register_tables(spark: SparkSession, layout: Layout, database: str) -> list[
     for layer, entity in layout.tables():
         if layer != "bronze":
             name = f"{database}.{layer}_{entity}"
-            spark.sql(f"drop table if exists {name}")
-            spark.catalog.createTable(name, path=layout.path(layer, entity), source="parquet")
+            files.register_table(spark, name, layout.path(layer, entity))
             names.append(name)
     return names
 

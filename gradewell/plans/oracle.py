@@ -5,8 +5,9 @@ from __future__ import annotations
 from gradewell.sources.applications import APPLICATIONS_SQL
 
 # Chained common table expressions; each query selects from the ones it needs.
-STEPS = """
-with applications as (""" + APPLICATIONS_SQL.format(orders="orders", customer="customer") + """),
+STEPS = "with applications as (" + APPLICATIONS_SQL.format(orders="orders", customer="customer") + "),"
+
+STEPS += """
 keyed as (
   select *, sha256(concat_ws('||', emp_title, emp_length, home_ownership, annual_inc, zip_code, addr_state,
                              grade, sub_grade, verification_status)) member_id
@@ -92,138 +93,122 @@ good_detail as (select * from detail where member_id not in (select member_id fr
 base as (select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id),
 """
 
-_LAST_PAYMENT = {
-    "repaired": """
-      case when last_payment_amount < monthly_installment * 0.5 then {very_bad}
-           when last_payment_amount < monthly_installment then {bad}
-           when last_payment_amount = monthly_installment then {good}
-           when last_payment_amount < monthly_installment * 1.5 then {very_good}
-           when last_payment_amount >= monthly_installment * 1.5 then {excellent} end""",
-    "literal": """
-      case when last_payment_amount < monthly_installment * 0.5 then {very_bad}
-           when last_payment_amount > monthly_installment * 0.5 and last_payment_amount < monthly_installment then {bad}
-           when last_payment_amount = monthly_installment * 0.5 then {good}
-           when last_payment_amount > monthly_installment and last_payment_amount < monthly_installment * 1.5
-             then {very_good}
-           when last_payment_amount > monthly_installment * 1.5 then {excellent} end""",
-}
-_COUNT = """
-      case when {column} = 0 then {excellent} when {column} between 1 and 2 then {bad}
-           when {column} between 3 and 5 then {very_bad}
-           when {column} > 5 or {null_column} is null then {unacceptable} end"""
-_STATUS = {
-    "repaired": """
-      case when lower(l.loan_status) like '%fully paid%' then {excellent}
-           when lower(l.loan_status) like '%current%' then {good}
-           when lower(l.loan_status) like '%in grace period%' then {bad}
-           when lower(l.loan_status) like '%late (16-30 days)%' or lower(l.loan_status) like '%late (31 - 120 days)%'
-             or lower(l.loan_status) like '%late (31-120 days)%' then {very_bad}
-           else {unacceptable} end""",
-    "literal": """
-      case when lower(l.loan_status) like '%fully paid%' then {excellent}
-           when lower(l.loan_status) like '%current%' then {good}
-           when lower(l.loan_status) like '%in grace period%' then {bad}
-           when lower(l.loan_status) like '%late (16-30 days)%' or lower(l.loan_status) like '%late (31 - 120 days)%'
-             then {very_bad}
-           when lower(l.loan_status) like '%charged off%' then {unacceptable} end""",
-}
-_HOME = {
-    "repaired": """
-      case when lower(a.home_ownership) like '%own' then {excellent}
-           when lower(a.home_ownership) like '%rent%' then {good}
-           when lower(a.home_ownership) like '%mortgage%' then {bad} else {unacceptable} end""",
-    "literal": """
-      case when lower(a.home_ownership) like '%own' then {excellent}
-           when lower(a.home_ownership) like '%rent%' then {good}
-           when lower(a.home_ownership) like '%mortgage%' then {bad}
-           when lower(a.home_ownership) like '%any%' or l.loan_status is null then {unacceptable} end""",
-}
-_FUNDED = {
-    "repaired": """
-      case when l.funded_amount <= a.total_high_credit_limit * 0.1 then {excellent}
-           when l.funded_amount < a.total_high_credit_limit * 0.3 then {good}
-           when l.funded_amount < a.total_high_credit_limit * 0.5 then {bad}
-           when l.funded_amount < a.total_high_credit_limit * 0.9 then {very_bad} else {unacceptable} end""",
-    "literal": """
-      case when l.funded_amount <= a.total_high_credit_limit * 0.1 then {excellent}
-           when l.funded_amount > a.total_high_credit_limit * 0.1
-             and l.funded_amount < a.total_high_credit_limit * 0.3 then {good}
-           when l.funded_amount <= a.total_high_credit_limit * 0.3
-             and l.funded_amount < a.total_high_credit_limit * 0.5 then {bad}
-           when l.funded_amount <= a.total_high_credit_limit * 0.5
-             and l.funded_amount < a.total_high_credit_limit * 0.9 then {very_bad}
-           when l.funded_amount = a.total_high_credit_limit then {unacceptable} end""",
-}
-_GRADE = """
-      case when a.grade = 'A' and a.sub_grade in ('A1', 'A2', 'A3', 'A4', 'A5') then {excellent}
-           when a.grade = 'B' and a.sub_grade in ('B1', 'B2', 'B3', 'B4', 'B5') then {good}
-           when a.grade = 'C' and a.sub_grade in ('C1', 'C2', 'C3', 'C4', 'C5') then {bad}
-           when a.grade = 'D' and a.sub_grade in ('D1', 'D2', 'D3', 'D4', 'D5') then {very_bad}
-           when a.grade = 'E' and a.sub_grade in ('E1', 'E2', 'E3', 'E4', 'E5') then {unacceptable} __OTHERWISE__ end"""
-_LETTER = {
-    "repaired": """
-      case when loan_total_score >= {very_good_grade} then 'A+' when loan_total_score >= {good_grade} then 'B'
-           when loan_total_score >= {bad_grade} then 'C' when loan_total_score >= {very_bad_grade} then 'D'
-           when loan_total_score >= {unacceptable_grade} then 'E'
-           when loan_total_score < {unacceptable_grade} then 'F' end""",
-    "literal": """
-      case when loan_total_score >= {very_good_grade} then 'A+'
-           when loan_total_score between {good_grade} and {very_good_grade} - 1 then 'B'
-           when loan_total_score between {bad_grade} and {good_grade} - 1 then 'C'
-           when loan_total_score between {very_bad_grade} and {bad_grade} - 1 then 'D'
-           when loan_total_score between {unacceptable_grade} and {very_bad_grade} - 1 then 'E'
-           when loan_total_score < {unacceptable_grade} then 'F' end""",
-}
-
-# Points, cut points.
+# Points and cut points.
 NUMBERS = {
     "unacceptable": 0, "very_bad": 100, "bad": 250, "good": 500, "very_good": 650, "excellent": 800,
     "unacceptable_grade": 750, "very_bad_grade": 1000, "bad_grade": 1500, "good_grade": 2000, "very_good_grade": 2500,
 }
 
+# The rules as intervals "low high" of the value, first match wins. Brackets include a bound.
+INTERVALS = {
+    "last_payment": {
+        "repaired": ["(- 0.5) very_bad", "[0.5 1) bad", "[1 1] good", "(1 1.5) very_good", "[1.5 -) excellent"],
+        "literal": ["(- 0.5) very_bad", "(0.5 1) bad", "[0.5 0.5] good", "(1 1.5) very_good", "(1.5 -) excellent"],
+    },
+    "funded": {
+        "repaired": ["(- 0.1] excellent", "(0.1 0.3) good", "[0.3 0.5) bad", "[0.5 0.9) very_bad"],
+        "literal": ["(- 0.1] excellent", "(0.1 0.3) good", "(- 0.3] bad", "(- 0.5] very_bad", "[1 1] unacceptable"],
+    },
+    "count": ["[0 0] excellent", "[1 2] bad", "[3 5] very_bad", "(5 -) unacceptable"],
+    "total_payment": ["[0.5 -) very_good", "(0 -) good"],
+}
+# LIKE patterns on the lower-cased text, first match wins.
+PATTERNS = {
+    "status": {
+        "repaired": {"%fully paid%": "excellent", "%current%": "good", "%in grace period%": "bad",
+                     "%late (16-30 days)%": "very_bad", "%late (31 - 120 days)%": "very_bad",
+                     "%late (31-120 days)%": "very_bad"},
+        "literal": {"%fully paid%": "excellent", "%current%": "good", "%in grace period%": "bad",
+                    "%late (16-30 days)%": "very_bad", "%late (31 - 120 days)%": "very_bad",
+                    "%charged off%": "unacceptable"},
+    },
+    "home": {"%own": "excellent", "%rent%": "good", "%mortgage%": "bad", "%any%": "unacceptable"},
+}
+
+
+def _intervals(rows: list[str], value: str, numbers: dict[str, int], scale: str = "1", last: str = "") -> str:
+    """CASE over intervals; bounds are multiples of `scale`, `last` closes the CASE."""
+    branches = []
+    for row in rows:
+        interval, level = row.rsplit(" ", 1)
+        low, high = interval[1:-1].split()
+        tests = []
+        if low != "-":
+            tests.append(f"{value} {'>=' if interval[0] == '[' else '>'} {scale} * {low}")
+        if high != "-":
+            tests.append(f"{value} {'<=' if interval[-1] == ']' else '<'} {scale} * {high}")
+        branches.append(f"when {' and '.join(tests)} then {numbers[level]}")
+    return f"case {' '.join(branches)} {last} end"
+
+
+def _patterns(rows: dict[str, str], text: str, numbers: dict[str, int], last: str = "") -> str:
+    branches = [f"when lower({text}) like '{pattern}' then {numbers[level]}" for pattern, level in rows.items()]
+    return f"case {' '.join(branches)} {last} end"
+
+
+def _letters(profile: str, numbers: dict[str, int]) -> str:
+    """Letter by cut points; the literal bands end one point below the next cut."""
+    cuts = ["very_good_grade", "good_grade", "bad_grade", "very_bad_grade", "unacceptable_grade"]
+    branches = [f"when loan_total_score >= {numbers[cuts[0]]} then 'A+'"]
+    for letter, low, high in zip("BCDE", cuts[1:], cuts):
+        upper = f"< {numbers[high]}" if profile == "repaired" else f"<= {numbers[high]} - 1"
+        branches.append(f"when loan_total_score >= {numbers[low]} and loan_total_score {upper} then '{letter}'")
+    branches.append(f"when loan_total_score < {numbers[cuts[-1]]} then 'F'")
+    return f"case {' '.join(branches)} end"
+
+
+def _lender_grade(numbers: dict[str, int], last: str) -> str:
+    levels = zip("ABCDE", ["excellent", "good", "bad", "very_bad", "unacceptable"])
+    points = " ".join(f"when '{letter}' then {numbers[level]}" for letter, level in levels)
+    return (f"case when regexp_full_match(a.sub_grade, a.grade || '[1-5]') then case a.grade {points} {last} end "
+            f"{last} end")
+
 
 def _scoring(profile: str = "repaired", numbers: dict[str, int] = NUMBERS, clean_members: bool = False) -> str:
     """The three scoring stages, totals and grades as further steps."""
-    def count(column: str, alias: str) -> str:
+    worst = numbers["unacceptable"]
+    otherwise = f"else {worst}" if profile == "repaired" else ""
+
+    def count(column: str) -> str:
         null_column = column if profile == "repaired" else "delinq"
-        return _COUNT.format(column=column, null_column=null_column, **numbers) + f" {alias}"
+        return _intervals(INTERVALS["count"], column, numbers, last=f"when {null_column} is null then {worst}")
 
-    otherwise = "else {unacceptable}" if profile == "repaired" else ""
-    grade = _GRADE.replace("__OTHERWISE__", otherwise)
+    last_payment = _intervals(INTERVALS["last_payment"][profile], "last_payment_amount", numbers, "monthly_installment")
+    total_payment = _intervals(INTERVALS["total_payment"], "total_payment_received", numbers, "funded_amount",
+                               f"else {worst}")
+    funded = _intervals(INTERVALS["funded"][profile], "l.funded_amount", numbers, "a.total_high_credit_limit", otherwise)
+    home_last = otherwise or f"when l.loan_status is null then {worst}"
     delinq_join = "left join" if clean_members else "join"
     delinq = "coalesce(d.delinq_2yrs, 0)" if clean_members else "d.delinq_2yrs"
-    loan_join = "ldef.loan_id = l.loan_id" if profile == "repaired" else "ldef.member_id = l.member_id"
+    loan_join = "loan_id" if profile == "repaired" else "member_id"
     return f"""
 payments as (
-  select member_id, loan_id, cast({_LAST_PAYMENT[profile].format(**numbers)} as int) last_payment_pts,
-         cast(case when total_payment_received >= funded_amount * 0.5 then {numbers['very_good']}
-                   when total_payment_received > 0 then {numbers['good']}
-                   else {numbers['unacceptable']} end as int) total_payment_received_pts
+  select member_id, loan_id, {last_payment} last_payment_pts, {total_payment} total_payment_received_pts
   from base where member_id not in (select member_id from bad)),
 history as (
-  select member_id, loan_id, last_payment_pts, total_payment_received_pts,
-         {count('delinq', 'delinq_pts')}, {count('pub_rec', 'public_record_pts')},
-         {count('pub_rec_bankruptcies', 'public_bankruptcies_pts')}, {count('inq_last_6mths', 'enq_pts')}
+  select member_id, loan_id, last_payment_pts, total_payment_received_pts, {count('delinq')} delinq_pts,
+         {count('pub_rec')} public_record_pts, {count('pub_rec_bankruptcies')} public_bankruptcies_pts,
+         {count('inq_last_6mths')} enq_pts
   from (select p.*, {delinq} delinq, t.pub_rec, t.pub_rec_bankruptcies, t.inq_last_6mths
-        from good_detail t {delinq_join} good_delinq d on d.member_id = t.member_id
-        join payments p on p.member_id = t.member_id)),
+        from payments p join good_detail t using (member_id) {delinq_join} good_delinq d using (member_id))),
 points as (
-  select ldef.*, {_STATUS[profile].format(**numbers)} loan_status_pts, {_HOME[profile].format(**numbers)} home_pts,
-         {_FUNDED[profile].format(**numbers)} funded_amt_pts, {grade.format(**numbers)} grade_pts
-  from history ldef join loans l on {loan_join} join good_customers a on a.member_id = ldef.member_id),
+  select h.*, {_patterns(PATTERNS['status'][profile], 'l.loan_status', numbers, otherwise)} loan_status_pts,
+         {_patterns(PATTERNS['home'], 'a.home_ownership', numbers, home_last)} home_pts,
+         {funded} funded_amt_pts, {_lender_grade(numbers, otherwise)} grade_pts
+  from history h join loans l on h.{loan_join} = l.{loan_join} join good_customers a on a.member_id = h.member_id),
+sums as (
+  select *, cast((last_payment_pts + total_payment_received_pts) * 0.20 as decimal(13,2)) payment_history_pts,
+         cast((delinq_pts + public_record_pts + public_bankruptcies_pts + enq_pts) * 0.45 as decimal(13,2))
+           loan_default_history_pts,
+         cast((loan_status_pts + home_pts + funded_amt_pts + grade_pts) * 0.35 as decimal(13,2)) financial_health_pts
+  from points),
 totals as (
   select *, cast(payment_history_pts + loan_default_history_pts + financial_health_pts as decimal(15,2))
             loan_total_score
-  from (select *,
-          cast((last_payment_pts + total_payment_received_pts) * 0.20 as decimal(13,2)) payment_history_pts,
-          cast((delinq_pts + public_record_pts + public_bankruptcies_pts + enq_pts) * 0.45 as decimal(13,2))
-            loan_default_history_pts,
-          cast((loan_status_pts + home_pts + funded_amt_pts + grade_pts) * 0.35 as decimal(13,2))
-            financial_health_pts
-        from points)),
+  from sums),
 grades as (
   select member_id, loan_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
-         {_LETTER[profile].format(**numbers)} loan_grade
+         {_letters(profile, numbers)} loan_grade
   from totals)
 """
 
@@ -246,17 +231,12 @@ _WIDE_COLUMNS = """
   c.*, l.* exclude (member_id), r.* exclude (loan_id), q.* exclude (member_id), t.* exclude (member_id)"""
 
 _PAYMENTS = "select member_id, loan_id, {} from payments"
-_HISTORY = "select member_id, loan_id, cast({0} as int) {0} from history"
-_POINTS = "select member_id, loan_id, cast({0} as int) {0} from points"
-
-
-def _point_columns(*names: str) -> str:
-    return ", ".join(f"cast({name} as int) {name}" for name in names)
-
+_HISTORY = "select member_id, loan_id, {} from history"
+_POINTS = "select member_id, loan_id, {} from points"
 
-PAYMENT = ("last_payment_pts", "total_payment_received_pts")
-HISTORY = ("delinq_pts", "public_record_pts", "public_bankruptcies_pts", "enq_pts")
-HEALTH = ("loan_status_pts", "home_pts", "funded_amt_pts", "grade_pts")
+PAYMENT = "last_payment_pts, total_payment_received_pts"
+HISTORY = "delinq_pts, public_record_pts, public_bankruptcies_pts, enq_pts"
+HEALTH = "loan_status_pts, home_pts, funded_amt_pts, grade_pts"
 _RESULT = ("member_id, loan_id, payment_history_pts, loan_default_history_pts, financial_health_pts, "
            "loan_total_score, loan_grade")
 
@@ -289,6 +269,11 @@ def oracle_sql() -> dict[str, str]:
             join good_delinq q on q.member_id = c.member_id join good_detail t on t.member_id = c.member_id
           union all select 'gold', 'loan_scores', count(*) from grades
           union all select 'quarantine', 'bad_data', count(*) from bad"""),
+        "catalog_scan": _query("select * from customers"),
+        "view_scan": _query("""
+          select l.loan_id, l.member_id, l.funded_amount, c.total_high_credit_limit
+          from loans l join good_customers c on c.member_id = l.member_id
+          where l.funded_amount <= c.total_high_credit_limit"""),
         "preview_top10": _query("select * from applications order by id limit 10"),
         "member_id_hash": _query("select id, member_id from keyed"),
         "split_customers": _query("select * from landed_customers"),
@@ -326,21 +311,19 @@ def oracle_sql() -> dict[str, str]:
         "score_last_payment": _scored(_PAYMENTS.format("last_payment_pts")),
         "score_total_payment": _scored(_PAYMENTS.format("total_payment_received_pts")),
         "score_payment_history": _scored(_PAYMENTS.format(
-            "last_payment_pts, total_payment_received_pts, "
-            "cast((last_payment_pts + total_payment_received_pts) * 0.20 as decimal(13,2)) payment_history_pts")),
+            PAYMENT + ", cast((last_payment_pts + total_payment_received_pts) * 0.20 as decimal(13,2)) payment_history_pts")),
         "score_delinq": _scored(_HISTORY.format("delinq_pts")),
         "score_public_record": _scored(_HISTORY.format("public_record_pts")),
         "score_bankruptcies": _scored(_HISTORY.format("public_bankruptcies_pts")),
         "score_enquiries": _scored(_HISTORY.format("enq_pts")),
         "score_default_history": _scored(
-            f"select member_id, loan_id, {_point_columns(*PAYMENT, *HISTORY)}, "
-            f"{default_history} loan_default_history_pts from history"),
+            f"select member_id, loan_id, {PAYMENT}, {HISTORY}, {default_history} loan_default_history_pts from history"),
         "score_loan_status": _scored(_POINTS.format("loan_status_pts")),
         "score_home": _scored(_POINTS.format("home_pts")),
         "score_funded_amount": _scored(_POINTS.format("funded_amt_pts")),
         "score_grade_pts": _scored(_POINTS.format("grade_pts")),
         "score_financial_health": _scored(
-            f"select member_id, loan_id, {_point_columns(*HEALTH)}, financial_health_pts from totals"),
+            f"select member_id, loan_id, {HEALTH}, financial_health_pts from totals"),
         "loan_total_score": _scored(
             "select member_id, loan_id, payment_history_pts, loan_default_history_pts, financial_health_pts, "
             "loan_total_score from totals"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,7 +27,7 @@ CUSTOM = ScoreParams(
 
 
 def _over(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Tables(spark, sf_dir))
+    return lambda spark, sf_dir: build(Tables.of(spark, sf_dir))
 
 
 # --- scans and sinks ----------------------------------------------------------------------------
@@ -34,7 +35,7 @@ def _over(build: Callable[[Tables], DataFrame]) -> Query:
 def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide CSV read with inferred types, brought to the declared ones."""
     path = f"{scratch_root(spark)}/applications"
-    files.write_table(Tables(spark, sf_dir).applications, path, "csv")
+    files.write_table(Tables.of(spark, sf_dir).applications, path, "csv")
     inferred = files.read_csv(spark, path)
     return inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.WIDE])
 
@@ -42,7 +43,7 @@ def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_declared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loans landed under their source names and read back, by position, under the declared ones."""
     path = f"{scratch_root(spark)}/loans"
-    keyed = Tables(spark, sf_dir).keyed
+    keyed = Tables.of(spark, sf_dir).keyed
     files.write_table(keyed.select("id", "member_id", "loan_amnt", "funded_amnt", "term", "int_rate", "installment",
                                    "issue_d", "loan_status", "purpose", "title"), path, "csv")
     return files.read_csv(spark, path, schemas.LOANS)
@@ -52,32 +53,52 @@ def csv_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A numeric column with unreadable cells: they become NULL and no row is lost."""
     path = f"{scratch_root(spark)}/installments"
     amount = F.when(F.col("term").isNotNull(), F.col("installment").cast("string")).otherwise(F.lit("n/a"))
-    files.write_table(Tables(spark, sf_dir).applications.select("id", amount.alias("installment")), path, "csv")
+    files.write_table(Tables.of(spark, sf_dir).applications.select("id", amount.alias("installment")), path, "csv")
     declared = T.StructType([schemas.LOANS["loan_id"], schemas.LOANS["monthly_installment"]])
     return files.read_csv(spark, path, declared)
 
 
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/loans"
-    loans = Tables(spark, sf_dir).loans
+    loans = Tables.of(spark, sf_dir).loans
     files.write_table(loans, path, "csv")
     return files.read_csv(spark, path, loans.schema)
 
 
 def medallion_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers written under a scratch root; rows per table, counted from what was written."""
-    layout = medallion.run(spark, Tables(spark, sf_dir).applications, scratch_root(spark), BATCH_TIME)
+    layout = medallion.run(spark, Tables.of(spark, sf_dir).applications, scratch_root(spark), BATCH_TIME)
     return medallion.inventory(spark, layout)
 
 
+def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean customers written to files, entered in the catalog and read by name."""
+    path = f"{scratch_root(spark)}/customers"
+    files.write_table(Tables.of(spark, sf_dir).customers, path)
+    name = f"customers_{uuid4().hex}"
+    files.register_table(spark, name, path)
+    return spark.table(name)
+
+
+def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans and customers as views, joined in SQL."""
+    t = Tables.of(spark, sf_dir)
+    t.loans.createOrReplaceTempView("gradewell_loans")
+    quality.exclude(t.customers, t.bad, t.hot).createOrReplaceTempView("gradewell_good_customers")
+    return spark.sql("""
+        select l.loan_id, l.member_id, l.funded_amount, c.total_high_credit_limit
+        from gradewell_loans l join gradewell_good_customers c on c.member_id = l.member_id
+        where l.funded_amount <= c.total_high_credit_limit""")
+
+
 def preview_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Tables(spark, sf_dir).applications.orderBy("id").limit(10)
+    return Tables.of(spark, sf_dir).applications.orderBy("id").limit(10)
 
 
 # --- projections and cleaning -------------------------------------------------------------------
 
 def add_ingest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = clean.dedupe(Tables(spark, sf_dir).landed("loans_defaulters"))
+    landed = clean.dedupe(Tables.of(spark, sf_dir).landed("loans_defaulters"))
     stamped = clean.add_ingest_date(landed, BATCH_TIME)
     return stamped.withColumn("ingest_date", F.date_format("ingest_date", "yyyy-MM-dd HH:mm:ss"))
 
@@ -152,6 +173,8 @@ QUERIES: dict[str, Query] = {
     "csv_permissive": csv_permissive,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "medallion_layout": medallion_layout,
+    "catalog_scan": catalog_scan,
+    "view_scan": view_scan,
     "preview_top10": preview_top10,
     "member_id_hash": _over(lambda t: with_member_id(t.applications).select("id", "member_id")),
     "split_customers": _over(lambda t: t.landed("customers")),

@@ -12,12 +12,16 @@ from gradewell.sources.applications import applications
 
 
 class Tables:
-    """Wide, landed, cleaned and filtered tables built from the applications of `sf_dir`."""
+    """Wide, landed, cleaned and filtered tables of a set of applications."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.applications = applications(spark, sf_dir)
-        self.keyed = with_member_id(self.applications)
+    def __init__(self, wide: DataFrame):
+        self.spark = wide.sparkSession
+        self.applications = wide
+        self.keyed = with_member_id(wide)
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Tables:
+        return cls(applications(spark, sf_dir))
 
     def landed(self, entity: str) -> DataFrame:
         return split.SPLITS[entity](self.keyed)

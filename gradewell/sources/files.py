@@ -35,3 +35,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         # Keep blanks around values: by default the writer trims them.
         writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.save(path)
+
+
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
+    """Enter written files in the catalog under a name; the files stay where they are."""
+    spark.sql(f"drop table if exists {name}")
+    spark.catalog.createTable(name, path=path, source=fmt)

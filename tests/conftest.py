@@ -53,4 +53,4 @@ def duck():
 def tables(spark):
     from gradewell.plans.tables import Tables
 
-    return Tables(spark, SF_CHECK)
+    return Tables.of(spark, SF_CHECK)

@@ -19,7 +19,7 @@ from gradewell.sources.scratch import scratch_root
 
 @pytest.fixture(scope="module")
 def small(spark):
-    return Tables(spark, SF_SMALL)
+    return Tables.of(spark, SF_SMALL)
 
 
 @pytest.fixture(scope="module")

@@ -61,7 +61,7 @@ def test_loans_are_joined_with_members_once(shuffled):
 
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "loans")
-    Tables(spark, SF_SMALL).landed("loans").write.parquet(path)
+    Tables.of(spark, SF_SMALL).landed("loans").write.parquet(path)
     plan = physical(clean.clean_loans(spark.read.parquet(path)))
     pushed = re.search(r"PushedFilters: \[(.*?)\]", plan).group(1)
     for column in clean.REQUIRED_LOAN_COLUMNS:
@@ -70,7 +70,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
 
 def test_scan_reads_only_the_columns_used(spark, tmp_path):
     path = str(tmp_path / "wide")
-    Tables(spark, SF_SMALL).keyed.write.parquet(path)
+    Tables.of(spark, SF_SMALL).keyed.write.parquet(path)
     plan = physical(clean.clean_repayments(split_repayments(spark.read.parquet(path))))
     read = re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
     assert len(read.split(":")) - 1 == 8
