@@ -270,10 +270,7 @@ def oracle_sql() -> dict[str, str]:
           union all select 'gold', 'loan_scores', count(*) from grades
           union all select 'quarantine', 'bad_data', count(*) from bad"""),
         "catalog_scan": _query("select * from customers"),
-        "view_scan": _query("""
-          select l.loan_id, l.member_id, l.funded_amount, c.total_high_credit_limit
-          from loans l join good_customers c on c.member_id = l.member_id
-          where l.funded_amount <= c.total_high_credit_limit"""),
+        "view_scan": _scored(f"select {_RESULT} from grades"),
         "preview_top10": _query("select * from applications order by id limit 10"),
         "member_id_hash": _query("select id, member_id from keyed"),
         "split_customers": _query("select * from landed_customers"),

@@ -81,14 +81,10 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loans and customers as views, joined in SQL."""
-    t = Tables.of(spark, sf_dir)
-    t.loans.createOrReplaceTempView("gradewell_loans")
-    quality.exclude(t.customers, t.bad, t.hot).createOrReplaceTempView("gradewell_good_customers")
-    return spark.sql("""
-        select l.loan_id, l.member_id, l.funded_amount, c.total_high_credit_limit
-        from gradewell_loans l join gradewell_good_customers c on c.member_id = l.member_id
-        where l.funded_amount <= c.total_high_credit_limit""")
+    """Score totals as a view, graded by SQL that reads the view."""
+    points = _points(Tables.of(spark, sf_dir))
+    score.total_score(score.sub_scores(points)).createOrReplaceTempView("gradewell_totals")
+    return score.grade_in_sql(spark, spark.table("gradewell_totals"))
 
 
 def preview_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
