@@ -113,11 +113,17 @@ def any_positive(columns: list[str]) -> Column:
     return reduce(or_, [F.col(c) > 0 for c in columns])
 
 
+def _delinquency_columns() -> list[Column]:
+    months = whole(F.col("mths_since_last_delinq")).alias("mths_since_last_delinq")
+    return [F.col("delinq_2yrs"), F.col("delinq_amnt"), months]
+
+
+def _detail_columns() -> list[Column]:
+    return [count_or_zero(c).alias(c) for c in RECORD_COUNTS]
+
+
 def delinquencies(defaulters: DataFrame) -> DataFrame:
-    return defaulters.where(any_positive(DELINQUENCY_COUNTS)).select(
-        "member_id", "delinq_2yrs", "delinq_amnt",
-        whole(F.col("mths_since_last_delinq")).alias("mths_since_last_delinq"),
-    )
+    return defaulters.where(any_positive(DELINQUENCY_COUNTS)).select("member_id", *_delinquency_columns())
 
 
 def records_and_enquiries(defaulters: DataFrame) -> DataFrame:
@@ -125,7 +131,13 @@ def records_and_enquiries(defaulters: DataFrame) -> DataFrame:
 
 
 def detail_records(defaulters: DataFrame) -> DataFrame:
-    return defaulters.select("member_id", *[count_or_zero(c).alias(c) for c in RECORD_COUNTS])
+    return defaulters.select("member_id", *_detail_columns())
+
+
+def delinquencies_and_details(defaulters: DataFrame) -> DataFrame:
+    """Both side by side, for members with one row each."""
+    delinquent = defaulters.where(any_positive(DELINQUENCY_COUNTS))
+    return delinquent.select("member_id", *_delinquency_columns(), *_detail_columns())
 
 
 CLEANERS = {

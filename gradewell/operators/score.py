@@ -49,6 +49,13 @@ def home_points(params: ScoreParams, rules: RuleSet) -> Column:
     return pattern_points(rules.home, F.col("home_ownership"), params, otherwise=rules.otherwise_home)
 
 
+def home_points_of_loan(points: Column, no_status: Column, params: ScoreParams, rules: RuleSet) -> Column:
+    """Home points once the loan is known: one profile gives the lowest level to loans without a status."""
+    if not rules.home_tests_loan_status:
+        return points
+    return F.coalesce(points, F.when(no_status, F.lit(params.unacceptable)))
+
+
 def funded_points(params: ScoreParams, rules: RuleSet) -> Column:
     return band_points(rules.funded, F.col("funded_amount"), params,
                        scale=F.col("total_high_credit_limit"), otherwise=rules.otherwise_funded)
@@ -176,6 +183,22 @@ def score_points(base: DataFrame, customers: DataFrame, defaulters: DataFrame, h
     )
 
 
+def score_wide(wide: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED) -> DataFrame:
+    """All ten rules on rows that already hold everything, such as the wide table without quarantined members."""
+    history = zip(["delinq_2yrs", *RECORD_COUNTS], HISTORY_POINTS)
+    home = home_points_of_loan(home_points(params, rules), F.col("loan_status").isNull(), params, rules)
+    return wide.select(
+        "member_id", "loan_id",
+        last_payment_points(params, rules).alias("last_payment_pts"),
+        total_payment_points(params).alias("total_payment_received_pts"),
+        *[count_points(column, params, rules).alias(points) for column, points in history],
+        loan_status_points(params, rules).alias("loan_status_pts"),
+        home.alias("home_pts"),
+        funded_points(params, rules).alias("funded_amt_pts"),
+        lender_grade_points(params, rules).alias("grade_pts"),
+    )
+
+
 def sub_scores(points: DataFrame, params: ScoreParams = DEFAULTS) -> DataFrame:
     return points.withColumns({
         "payment_history_pts": payment_history(params),
@@ -215,9 +238,7 @@ def grade_member_pairs(base: DataFrame, loans: DataFrame, customers: DataFrame,
         loan_status_points(params, rules).alias("loan_status_pts"),
         F.col("loan_status").isNull().alias("_no_status"),
     )
-    home = F.col("home_pts")
-    if rules.home_tests_loan_status:
-        home = F.coalesce(home, F.when(F.col("_no_status"), F.lit(params.unacceptable)))
+    home = home_points_of_loan(F.col("home_pts"), F.col("_no_status"), params, rules)
     healths = (
         join_members(statuses, member_profile(customers, params, rules), hot)
         .withColumns({"home_pts": home, "funded_amt_pts": funded_points(params, rules)})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gradewell.operators.clean import delinquencies_and_details
 from gradewell.operators.skew import join_members
 
 
@@ -33,9 +34,20 @@ def join_wide(customers: DataFrame, loans: DataFrame, repayments: DataFrame, del
     Loans meet repayments on the loan; everything else meets on the member. Equal delinquency and
     detail rows travel once with a count and are repeated at the very end, after the last shuffle.
     A member with several rows in several tables yields every combination of them: that is what
-    the join means. Without the quarantined members it is one row per loan.
+    the join means.
     """
     members = _counted(delinquencies, "_q").join(_counted(details, "_d"), "member_id")
     people = join_members(customers, members, hot)
     wide = join_members(loans.join(repayments, "loan_id"), people, hot)
     return repeat_rows(wide.withColumn("_n", F.col("_q") * F.col("_d")).drop("_q", "_d"), "_n")
+
+
+def join_kept(customers: DataFrame, loans: DataFrame, repayments: DataFrame, defaulters: DataFrame,
+              hot: DataFrame) -> DataFrame:
+    """The same join without quarantined members: one row per loan.
+
+    Each member has one customer and one default-history row, and delinquency and detail record are
+    both read off the latter.
+    """
+    people = customers.join(delinquencies_and_details(defaulters), "member_id")
+    return join_members(loans.join(repayments, "loan_id"), people, hot)

@@ -13,7 +13,7 @@ from gradewell.operators import clean, quality, score, skew, split, wide
 from gradewell.params import REPAIRED, RuleSet, ScoreParams
 from gradewell.schemas import ENTITIES
 from gradewell.sources import files
-from gradewell.sources.layout import LAYERS, Layout
+from gradewell.sources.layout import Layout
 
 
 def land_bronze(spark: SparkSession, applications: DataFrame, layout: Layout, fmt: str = "parquet") -> None:
@@ -44,51 +44,80 @@ DERIVED = {
 }
 
 
+def mark_hot_members(spark: SparkSession, layout: Layout) -> None:
+    """Find the members to salt, once, by their loans and default records: one narrow column of each."""
+    ids = [_read(spark, layout, "silver", e).select("member_id") for e in ("loans", "loans_defaulters")]
+    files.write_table(skew.hot_buckets(ids[0].unionByName(ids[1]), "member_id"), layout.hot_buckets)
+
+
 def quarantine(spark: SparkSession, layout: Layout) -> None:
     """Write the bad member ids, then the tables without them."""
-    silver = _silver(spark, layout)
-    files.write_table(quality.bad_members(silver["customers"], silver["loans_defaulters"]), layout.bad_data)
-    bad = spark.read.parquet(layout.bad_data)
-    hot = _hot(silver)
-    files.write_table(quality.exclude(silver["customers"], bad, hot), layout.path("gold", "customers"))
-    kept = quality.exclude(silver["loans_defaulters"], bad, hot)
+    customers, defaulters = (_read(spark, layout, "silver", e) for e in ("customers", "loans_defaulters"))
+    files.write_table(quality.bad_members(customers, defaulters), layout.bad_data)
+    bad, hot = spark.read.parquet(layout.bad_data), spark.read.parquet(layout.hot_buckets)
+    files.write_table(quality.exclude(customers, bad, hot), layout.path("gold", "customers"))
+    files.write_table(quality.exclude(defaulters, bad, hot), layout.path("gold", "loans_defaulters"))
+    kept = _read(spark, layout, "gold", "loans_defaulters")
     files.write_table(clean.delinquencies(kept), layout.path("gold", "loans_defaulters_delinq"))
     files.write_table(clean.detail_records(kept), layout.path("gold", "loans_defaulters_detail_records_enq"))
 
 
-def build_wide(spark: SparkSession, layout: Layout, with_quarantined: bool = False) -> None:
-    """The wide gold table, one row per loan of the members that are not quarantined.
+def build_wide(spark: SparkSession, layout: Layout) -> None:
+    """The wide gold table, one row per loan of the members that are not quarantined."""
+    joined = wide.join_kept(
+        _read(spark, layout, "gold", "customers").drop("ingest_date"),
+        _read(spark, layout, "silver", "loans"),
+        _read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
+        _read(spark, layout, "gold", "loans_defaulters"),
+        spark.read.parquet(layout.hot_buckets),
+    )
+    files.write_table(joined, layout.path("gold", "total_files"))
 
-    `with_quarantined` joins the silver tables instead: members with conflicting records then yield every
-    combination of them, which is quadratic in the records of one member.
-    """
-    silver, gold = _silver(spark, layout), _gold(spark, layout)
-    people = silver if with_quarantined else gold
+
+def build_unfiltered_wide(spark: SparkSession, layout: Layout) -> None:
+    """The wide table of all members. Those with conflicting records yield every combination of
+    them, which is quadratic in the records of one member."""
     joined = wide.join_wide(
-        people["customers"].drop("ingest_date"), silver["loans"], silver["loans_repayments"].drop("ingest_date"),
-        people["loans_defaulters_delinq"], people["loans_defaulters_detail_records_enq"], _hot(silver))
-    files.write_table(joined, layout.path("gold", "total_files"))
+        _read(spark, layout, "silver", "customers").drop("ingest_date"),
+        _read(spark, layout, "silver", "loans"),
+        _read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
+        _read(spark, layout, "silver", "loans_defaulters_delinq"),
+        _read(spark, layout, "silver", "loans_defaulters_detail_records_enq"),
+        spark.read.parquet(layout.hot_buckets),
+    )
+    files.write_table(joined, layout.total_files_unfiltered)
 
 
 def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: ScoreParams = score.DEFAULTS,
                 rules: RuleSet = REPAIRED, include_clean_members: bool = False) -> None:
-    silver = _silver(spark, layout)
-    base = score.payment_base(silver["loans_repayments"].drop("ingest_date"), silver["loans"].drop("ingest_date"))
-    points = score.score_points(base, silver["customers"], silver["loans_defaulters"], _hot(silver), params, rules,
-                                include_clean_members)
+    """Grades from the wide gold table, whose rows are the loans to score: no join is left to do.
+
+    Members without a delinquency are not in the wide table; including them takes the join again.
+    """
+    if include_clean_members:
+        base = score.payment_base(_read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
+                                  _read(spark, layout, "silver", "loans").drop("ingest_date"))
+        points = score.score_points(base, _read(spark, layout, "gold", "customers"),
+                                    _read(spark, layout, "gold", "loans_defaulters"),
+                                    spark.read.parquet(layout.hot_buckets), params, rules, include_clean_members)
+    else:
+        points = score.score_wide(_read(spark, layout, "gold", "total_files"), params, rules)
     graded = clean.add_ingest_date(score.grade(points, params, rules), batch_time)
     files.write_table(graded, layout.path("gold", "loan_scores"))
 
 
 def run(spark: SparkSession, applications: DataFrame, root: str, batch_time: str,
         params: ScoreParams = score.DEFAULTS, rules: RuleSet = REPAIRED, bronze_format: str = "parquet",
-        include_clean_members: bool = False, wide_with_quarantined: bool = False) -> Layout:
+        include_clean_members: bool = False, unfiltered_wide: bool = False) -> Layout:
     """All layers under `root`, from a wide table of applications in the declared schema."""
     layout = Layout(root)
     land_bronze(spark, applications, layout, bronze_format)
     build_silver(spark, layout, batch_time, bronze_format)
+    mark_hot_members(spark, layout)
+    if unfiltered_wide:
+        build_unfiltered_wide(spark, layout)
     quarantine(spark, layout)
-    build_wide(spark, layout, wide_with_quarantined)
+    build_wide(spark, layout)
     score_loans(spark, layout, batch_time, params, rules, include_clean_members)
     return layout
 
@@ -128,20 +157,5 @@ def register_tables(spark: SparkSession, layout: Layout, database: str) -> list[
     return names
 
 
-def _read_layer(spark: SparkSession, layout: Layout, layer: str) -> dict[str, DataFrame]:
-    return {entity: spark.read.parquet(layout.path(layer, entity)) for entity in LAYERS[layer]}
-
-
-def _silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return _read_layer(spark, layout, "silver")
-
-
-def _gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    entities = ["customers", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq"]
-    return {entity: spark.read.parquet(layout.path("gold", entity)) for entity in entities}
-
-
-def _hot(silver: dict[str, DataFrame]) -> DataFrame:
-    """Hot members by their loans and default records, from one narrow column of each."""
-    members = silver["loans"].select("member_id").unionByName(silver["loans_defaulters"].select("member_id"))
-    return skew.hot_buckets(members, "member_id")
+def _read(spark: SparkSession, layout: Layout, layer: str, entity: str) -> DataFrame:
+    return spark.read.parquet(layout.path(layer, entity))

@@ -262,6 +262,8 @@ def oracle_sql() -> dict[str, str]:
           union all select 'silver', 'loans_defaulters_records_enq', count(*) from records_enq
           union all select 'silver', 'loans_defaulters_detail_records_enq', count(*) from detail
           union all select 'gold', 'customers', count(*) from good_customers
+          union all select 'gold', 'loans_defaulters', count(*) from defaulters
+            where member_id not in (select member_id from bad)
           union all select 'gold', 'loans_defaulters_delinq', count(*) from good_delinq
           union all select 'gold', 'loans_defaulters_detail_records_enq', count(*) from good_detail
           union all select 'gold', 'total_files', count(*) from good_customers c
@@ -325,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
             "select member_id, loan_id, payment_history_pts, loan_default_history_pts, financial_health_pts, "
             "loan_total_score from totals"),
         "loan_grade": _scored(f"select {_RESULT} from grades"),
+        "loan_grade_from_wide": _scored(f"select {_RESULT} from grades"),
         "loan_grade_literal": _scored("""
           select member_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
                  loan_grade, count(*) n_rows

@@ -121,9 +121,8 @@ def join_wide(t: Tables) -> DataFrame:
 
 
 def join_wide_clean(t: Tables) -> DataFrame:
-    kept = _kept_defaulters(t)
-    return wide.join_wide(quality.exclude(t.customers, t.bad, t.hot), t.loans, t.repayments,
-                          clean.delinquencies(kept), clean.detail_records(kept), t.hot)
+    customers = quality.exclude(t.customers, t.bad, t.hot)
+    return wide.join_kept(customers, t.loans, t.repayments, _kept_defaulters(t), t.hot)
 
 
 def payment_base(t: Tables) -> DataFrame:
@@ -217,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "loan_total_score": _over(lambda t: score.total_score(score.sub_scores(_points(t))).select(
         "member_id", "loan_id", *score.SUBSCORES, "loan_total_score")),
     "loan_grade": _over(loan_grade),
+    "loan_grade_from_wide": _over(lambda t: score.grade(score.score_wide(join_wide_clean(t)))),
     "loan_grade_literal": _over(loan_grade_literal),
     "loan_grade_incl_clean": _over(lambda t: score.grade(_points(t, include_clean_members=True))),
     "grade_distribution": _over(lambda t: score.grade_distribution(loan_grade(t))),

@@ -12,7 +12,7 @@ LAYERS = {
         "loans_defaulters_records_enq", "loans_defaulters_detail_records_enq",
     ],
     "gold": [
-        "customers", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq",
+        "customers", "loans_defaulters", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq",
         "total_files", "loan_scores",
     ],
 }
@@ -32,6 +32,16 @@ class Layout:
         """The keyed wide table, in Parquet, that the bronze tables are cut from."""
         return f"{self.root}/bronze/applications"
 
+    @property
+    def hot_buckets(self) -> str:
+        """Which members the joins of later steps salt."""
+        return f"{self.root}/silver/hot_buckets"
+
+    @property
+    def total_files_unfiltered(self) -> str:
+        """The wide table before the quarantine, where asked for."""
+        return f"{self.root}/silver/total_files"
+
     @property
     def bad_data(self) -> str:
         return f"{self.root}/bad_data"

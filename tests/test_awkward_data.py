@@ -77,11 +77,11 @@ PLANS = {
     "join_wide": queries.join_wide,
     "join_wide_clean": queries.join_wide_clean,
     "loan_grade": queries.loan_grade,
+    "loan_grade_from_wide": lambda t: queries.score.grade(queries.score.score_wide(queries.join_wide_clean(t))),
     "loan_grade_literal": queries.loan_grade_literal,
-    "loan_grade_incl_clean": queries.QUERIES["loan_grade_incl_clean"],
+    "loan_grade_incl_clean": lambda t: queries.score.grade(queries._points(t, include_clean_members=True)),
     "score_custom_params": queries.score_custom_params,
 }
-PLANS["loan_grade_incl_clean"] = lambda t: queries.score.grade(queries._points(t, include_clean_members=True))
 
 
 @pytest.fixture(scope="module", params=[1, 2, 3])

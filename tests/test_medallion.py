@@ -43,6 +43,7 @@ def expected(small):
     }
     kept = quality.exclude(small.defaulters, small.bad, small.hot)
     gold = {
+        "loans_defaulters": kept,
         "customers": quality.exclude(small.customers, small.bad, small.hot),
         "loans_defaulters_delinq": clean.delinquencies(kept),
         "loans_defaulters_detail_records_enq": clean.detail_records(kept),
@@ -91,14 +92,18 @@ def test_csv_from_end_to_end(spark, small, layout, tmp_path):
         same(spark.read.parquet(other.path(layer, entity)), spark.read.parquet(layout.path(layer, entity)))
 
 
-def test_wide_with_quarantined_members(spark, small, layout):
-    medallion.build_wide(spark, layout, with_quarantined=True)
-    written = spark.read.parquet(layout.path("gold", "total_files"))
-    assert written.count() == 4_899
-    medallion.build_wide(spark, layout)
+def test_unfiltered_wide_table(spark, layout):
+    medallion.build_unfiltered_wide(spark, layout)
+    assert spark.read.parquet(layout.total_files_unfiltered).count() == 4_899
     assert spark.read.parquet(layout.path("gold", "total_files")).count() == 888
 
 
+def test_scores_need_no_shuffle(spark, layout):
+    graded = score.grade(score.score_wide(spark.read.parquet(layout.path("gold", "total_files"))))
+    plan = graded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_options_of_the_score(spark, layout):
     medallion.score_loans(spark, layout, BATCH_TIME, rules=LITERAL)
     graded = spark.read.parquet(layout.path("gold", "loan_scores"))
