@@ -15,8 +15,11 @@ def member_id(columns: Sequence[str] = KEY_COLUMNS) -> Column:
     NULLs are skipped, so the same values around a moved NULL share an id. Such persons
     show up as duplicate members and are quarantined. Money must already be decimal:
     the text of a double depends on its size.
+
+    The hash of a text is never NULL, but Spark cannot know: without the coalesce every join on the id
+    filters on it first, which computes the hash twice and keeps equal scans from being shared.
     """
-    return F.sha2(F.concat_ws("||", *columns), 256)
+    return F.coalesce(F.sha2(F.concat_ws("||", *columns), 256), F.lit(""))
 
 
 def with_member_id(applications: DataFrame) -> DataFrame:
