@@ -1,69 +1,72 @@
-"""Fold band and pattern tables into native CASE expressions."""
+"""Fold band and pattern tables into native CASE expressions.
+
+Columns are given by name. The CASE is handed over as one expression: built from Column objects, a dozen
+rules cost thousands of calls to the JVM before a query starts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, functions as F
 
 from gradewell.params import Band, ScoreParams
 
 
-def _inside(band: Band, value: Column, scale: Column | None) -> Column:
-    def bound(number):
-        return F.lit(number) if scale is None else scale * F.lit(number)
-
+def _inside(band: Band, value: str, scale: str | None) -> str:
+    unit = "" if scale is None else f"{scale} * "
     tests = []
     if band.low is not None:
-        tests.append(value >= bound(band.low) if band.closed in ("both", "left") else value > bound(band.low))
+        tests.append(f"{value} {'>=' if band.closed in ('both', 'left') else '>'} {unit}{band.low}")
     if band.high is not None:
-        tests.append(value <= bound(band.high) if band.closed in ("both", "right") else value < bound(band.high))
-    return reduce(and_, tests)
+        tests.append(f"{value} {'<=' if band.closed in ('both', 'right') else '<'} {unit}{band.high}")
+    return " and ".join(tests)
 
 
-def _case(branches: Iterable[tuple[Column, int]], otherwise: int | None) -> Column:
-    case = F
-    for test, points in branches:
-        case = case.when(test, F.lit(points))
-    return case if otherwise is None else case.otherwise(F.lit(otherwise))
+def _case(branches: Iterable[tuple[str, int | str]], otherwise: int | None = None) -> Column:
+    whens = " ".join(f"when {test} then {result}" for test, result in branches)
+    last = "" if otherwise is None else f"else {otherwise}"
+    return F.expr(f"case {whens} {last} end")
 
 
 def _level(params: ScoreParams, name: str | None) -> int | None:
     return None if name is None else params.level(name)
 
 
-def band_points(bands: Iterable[Band], value: Column, params: ScoreParams, scale: Column | None = None,
-                null_test: Column | None = None, otherwise: str | None = None) -> Column:
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def band_points(bands: Iterable[Band], value: str, params: ScoreParams, scale: str | None = None,
+                null_test: str | None = None, otherwise: str | None = None) -> Column:
     """Points of the first band that holds `value`; `null_test` is what `or_null` bands look at."""
-    null_test = value if null_test is None else null_test
     branches = []
     for band in bands:
         test = _inside(band, value, scale)
-        branches.append((test | null_test.isNull() if band.or_null else test, params.level(band.level)))
+        if band.or_null:
+            test = f"({test}) or {null_test or value} is null"
+        branches.append((test, params.level(band.level)))
     return _case(branches, _level(params, otherwise))
 
 
-def pattern_points(patterns: Iterable[tuple[str, str]], text: Column, params: ScoreParams,
+def pattern_points(patterns: Iterable[tuple[str, str]], text: str, params: ScoreParams,
                    otherwise: str | None = None) -> Column:
     """Points of the first LIKE pattern that the lower-cased text matches."""
-    lowered = F.lower(text)
-    branches = [(lowered.like(pattern), params.level(level)) for pattern, level in patterns]
+    branches = [(f"lower({text}) like {_text(pattern)}", params.level(level)) for pattern, level in patterns]
     return _case(branches, _level(params, otherwise))
 
 
-def grade_points(grade: Column, sub_grade: Column, levels: dict[str, str], params: ScoreParams,
+def grade_points(grade: str, sub_grade: str, levels: dict[str, str], params: ScoreParams,
                  otherwise: str | None = None) -> Column:
-    """Points of a lender grade, given only where the sub-grade belongs to it."""
-    branches = [
-        ((grade == letter) & sub_grade.isin([f"{letter}{step}" for step in range(1, 6)]), params.level(level))
-        for letter, level in levels.items()
-    ]
+    """Points of a lender grade, given only where the sub-grade belongs to it: the letter and 1 to 5."""
+    branches = []
+    for letter, level in levels.items():
+        steps = ", ".join(f"'{letter}{step}'" for step in range(1, 6))
+        branches.append((f"{grade} = '{letter}' and {sub_grade} in ({steps})", params.level(level)))
     return _case(branches, _level(params, otherwise))
 
 
-def letter_grade(total: Column, params: ScoreParams, half_open: bool = True) -> Column:
+def letter_grade(total: str, params: ScoreParams, half_open: bool = True) -> Column:
     """A+ to F from the total. Closed bands end one point below the next cut and leave a gap for fractions."""
     cuts = [
         ("B", params.good_grade, params.very_good_grade),
@@ -71,8 +74,9 @@ def letter_grade(total: Column, params: ScoreParams, half_open: bool = True) ->
         ("D", params.very_bad_grade, params.bad_grade),
         ("E", params.unacceptable_grade, params.very_bad_grade),
     ]
-    case = F.when(total >= params.very_good_grade, F.lit("A+"))
+    branches = [(f"{total} >= {params.very_good_grade}", "'A+'")]
     for letter, low, high in cuts:
-        inside = (total >= low) & (total < high) if half_open else total.between(low, high - 1)
-        case = case.when(inside, F.lit(letter))
-    return case.when(total < params.unacceptable_grade, F.lit("F"))
+        upper = f"{total} < {high}" if half_open else f"{total} <= {high - 1}"
+        branches.append((f"{total} >= {low} and {upper}", f"'{letter}'"))
+    branches.append((f"{total} < {params.unacceptable_grade}", "'F'"))
+    return _case(branches)

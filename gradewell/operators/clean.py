@@ -8,8 +8,6 @@ part of the rows ends up in one task.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,8 +42,8 @@ def add_ingest_date(df: DataFrame, batch_time: datetime | str) -> DataFrame:
 
 
 def _require(df: DataFrame, columns: list[str]) -> DataFrame:
-    # isNotNull conjuncts, unlike na.drop, are pushed into the Parquet scan. Decimals have no NaN.
-    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    # Conjuncts, unlike na.drop, are pushed into the Parquet scan. Decimals have no NaN.
+    return df.where(" and ".join(f"{c} is not null" for c in columns))
 
 
 def fill_with_mean(df: DataFrame, column: str) -> DataFrame:
@@ -110,7 +108,7 @@ RECORD_COUNTS = ["pub_rec", "pub_rec_bankruptcies", "inq_last_6mths"]
 
 
 def any_positive(columns: list[str]) -> Column:
-    return reduce(or_, [F.col(c) > 0 for c in columns])
+    return F.expr(" or ".join(f"{c} > 0" for c in columns))
 
 
 def _delinquency_columns() -> list[Column]:

@@ -28,25 +28,24 @@ SUBSCORES = ["payment_history_pts", "loan_default_history_pts", "financial_healt
 # --- the rules, one expression each -------------------------------------------------------------
 
 def last_payment_points(params: ScoreParams, rules: RuleSet) -> Column:
-    return band_points(rules.last_payment, F.col("last_payment_amount"), params, scale=F.col("monthly_installment"))
+    return band_points(rules.last_payment, "last_payment_amount", params, scale="monthly_installment")
 
 
 def total_payment_points(params: ScoreParams) -> Column:
-    return band_points(TOTAL_PAYMENT_BANDS, F.col("total_payment_received"), params,
-                       scale=F.col("funded_amount"), otherwise="unacceptable")
+    return band_points(TOTAL_PAYMENT_BANDS, "total_payment_received", params,
+                       scale="funded_amount", otherwise="unacceptable")
 
 
 def count_points(column: str, params: ScoreParams, rules: RuleSet) -> Column:
-    null_test = F.col(rules.count_null_column or column)
-    return band_points(rules.counts, F.col(column), params, null_test=null_test)
+    return band_points(rules.counts, column, params, null_test=rules.count_null_column)
 
 
 def loan_status_points(params: ScoreParams, rules: RuleSet) -> Column:
-    return pattern_points(rules.loan_status, F.col("loan_status"), params, otherwise=rules.otherwise_status)
+    return pattern_points(rules.loan_status, "loan_status", params, otherwise=rules.otherwise_status)
 
 
 def home_points(params: ScoreParams, rules: RuleSet) -> Column:
-    return pattern_points(rules.home, F.col("home_ownership"), params, otherwise=rules.otherwise_home)
+    return pattern_points(rules.home, "home_ownership", params, otherwise=rules.otherwise_home)
 
 
 def home_points_of_loan(points: Column, no_status: Column, params: ScoreParams, rules: RuleSet) -> Column:
@@ -57,17 +56,16 @@ def home_points_of_loan(points: Column, no_status: Column, params: ScoreParams,
 
 
 def funded_points(params: ScoreParams, rules: RuleSet) -> Column:
-    return band_points(rules.funded, F.col("funded_amount"), params,
-                       scale=F.col("total_high_credit_limit"), otherwise=rules.otherwise_funded)
+    return band_points(rules.funded, "funded_amount", params,
+                       scale="total_high_credit_limit", otherwise=rules.otherwise_funded)
 
 
 def lender_grade_points(params: ScoreParams, rules: RuleSet) -> Column:
-    return grade_points(F.col("grade"), F.col("sub_grade"), GRADE_LEVELS, params, rules.otherwise_grade)
+    return grade_points("grade", "sub_grade", GRADE_LEVELS, params, rules.otherwise_grade)
 
 
 def _weighted(points: list[str], weight) -> Column:
-    total = sum((F.col(p) for p in points[1:]), F.col(points[0]))
-    return (total * F.lit(weight)).cast(SUBSCORE)
+    return F.expr(f"({' + '.join(points)}) * {weight}").cast(SUBSCORE)
 
 
 def payment_history(params: ScoreParams) -> Column:
@@ -208,15 +206,14 @@ def sub_scores(points: DataFrame, params: ScoreParams = DEFAULTS) -> DataFrame:
 
 
 def total_score(scored: DataFrame) -> DataFrame:
-    total = F.col(SUBSCORES[0]) + F.col(SUBSCORES[1]) + F.col(SUBSCORES[2])
-    return scored.withColumn("loan_total_score", total.cast(SCORE))
+    return scored.withColumn("loan_total_score", F.expr(" + ".join(SUBSCORES)).cast(SCORE))
 
 
 def grade(points: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED,
           keep: tuple[str, ...] = ("member_id", "loan_id")) -> DataFrame:
     """Sub-scores, total and letter grade with the keys of the loan."""
     totals = total_score(sub_scores(points, params))
-    letter = letter_grade(F.col("loan_total_score"), params, rules.half_open_grades)
+    letter = letter_grade("loan_total_score", params, rules.half_open_grades)
     return totals.select(*keep, *SUBSCORES, "loan_total_score", letter.alias("loan_grade"))
 
 

@@ -116,7 +116,7 @@ def test_letter(spark, half_open, expected):
     totals = ["2500", "2499.50", "2000", "1999.50", "1500", "1499.50", "1000", "999.50", "750", "749.50", "0"]
     rows = [(Decimal(t),) for t in totals] + [(None,)]
     schema = [T.StructField("t", SCORE)]
-    assert evaluate(spark, letter_grade(F.col("t"), P, half_open), schema, rows) == expected
+    assert evaluate(spark, letter_grade("t", P, half_open), schema, rows) == expected
 
 
 def test_params_from_conf(spark):
@@ -138,5 +138,5 @@ def test_sql_grade_agrees_with_the_columns(spark):
     schema = ("member_id string, loan_id string, payment_history_pts decimal(13,2), loan_default_history_pts decimal(13,2), "
               "financial_health_pts decimal(13,2), loan_total_score decimal(15,2)")
     totals = spark.createDataFrame(rows, schema)
-    both = score.grade_in_sql(spark, totals).withColumn("other", letter_grade(F.col("loan_total_score"), P))
+    both = score.grade_in_sql(spark, totals).withColumn("other", letter_grade("loan_total_score", P))
     assert both.where(~F.col("loan_grade").eqNullSafe(F.col("other"))).count() == 0
