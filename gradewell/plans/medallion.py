@@ -23,18 +23,17 @@ def land_bronze(spark: SparkSession, applications: DataFrame, layout: Layout, fm
     """
     files.write_table(with_member_id(applications), layout.staged_applications)
     keyed = spark.read.parquet(layout.staged_applications)
-    for entity, cut in split.SPLITS.items():
-        files.write_table(cut(keyed), layout.path("bronze", entity), fmt)
+    files.write_tables({layout.path("bronze", entity): cut(keyed) for entity, cut in split.SPLITS.items()}, fmt)
 
 
 def build_silver(spark: SparkSession, layout: Layout, batch_time: str, fmt: str = "parquet") -> None:
+    cleaned = {}
     for entity, cleaner in clean.CLEANERS.items():
         landed = files.read_table(spark, layout.path("bronze", entity), fmt, ENTITIES[entity])
-        cleaned = clean.add_ingest_date(cleaner(landed), batch_time)
-        files.write_table(cleaned, layout.path("silver", entity))
-    defaulters = spark.read.parquet(layout.path("silver", "loans_defaulters"))
-    for entity, derive in DERIVED.items():
-        files.write_table(derive(defaulters), layout.path("silver", entity))
+        cleaned[layout.path("silver", entity)] = clean.add_ingest_date(cleaner(landed), batch_time)
+    files.write_tables(cleaned)
+    defaulters = _read(spark, layout, "silver", "loans_defaulters")
+    files.write_tables({layout.path("silver", entity): derive(defaulters) for entity, derive in DERIVED.items()})
 
 
 DERIVED = {
@@ -55,11 +54,15 @@ def quarantine(spark: SparkSession, layout: Layout) -> None:
     customers, defaulters = (_read(spark, layout, "silver", e) for e in ("customers", "loans_defaulters"))
     files.write_table(quality.bad_members(customers, defaulters), layout.bad_data)
     bad, hot = spark.read.parquet(layout.bad_data), spark.read.parquet(layout.hot_buckets)
-    files.write_table(quality.exclude(customers, bad, hot), layout.path("gold", "customers"))
-    files.write_table(quality.exclude(defaulters, bad, hot), layout.path("gold", "loans_defaulters"))
+    files.write_tables({
+        layout.path("gold", "customers"): quality.exclude(customers, bad, hot),
+        layout.path("gold", "loans_defaulters"): quality.exclude(defaulters, bad, hot),
+    })
     kept = _read(spark, layout, "gold", "loans_defaulters")
-    files.write_table(clean.delinquencies(kept), layout.path("gold", "loans_defaulters_delinq"))
-    files.write_table(clean.detail_records(kept), layout.path("gold", "loans_defaulters_detail_records_enq"))
+    files.write_tables({
+        layout.path("gold", "loans_defaulters_delinq"): clean.delinquencies(kept),
+        layout.path("gold", "loans_defaulters_detail_records_enq"): clean.detail_records(kept),
+    })
 
 
 def build_wide(spark: SparkSession, layout: Layout) -> None:

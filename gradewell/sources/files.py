@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 # Part of the rows looked at when a schema is inferred.
@@ -37,6 +40,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.save(path)
 
 
+def write_tables(tables: dict[str, DataFrame], fmt: str = "parquet") -> None:
+    """Write independent tables, path by path, as concurrent Spark jobs; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(df.sparkSession)(write_table), df, path, fmt)
+                for path, df in tables.items()]
+        for job in jobs:
+            job.result()
+
+
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """Enter written files in the catalog under a name; the files stay where they are."""
     spark.sql(f"drop table if exists {name}")
