@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BUCKETS = 16_384      # the histogram has at most this many rows, at any data size
 FAIR_SHARES = 4       # a bucket is hot above this many times the mean
 MIN_HOT_ROWS = 1_000_000
-MAX_SALTS = 1_024
+MAX_SALTS = 2_048     # all salts together repeat the members at most about once more
 
 
 def _bucket(key: Column) -> Column:
