@@ -15,7 +15,7 @@ from gradewell.operators.clean import DELINQUENCY_COUNTS, RECORD_COUNTS, any_pos
 from gradewell.operators.quality import bad_members, duplicate_members, exclude
 from gradewell.operators.skew import join_members
 from gradewell.params import GRADE_LEVELS, LITERAL, REPAIRED, TOTAL_PAYMENT_BANDS, RuleSet, ScoreParams
-from gradewell.schemas import SCORE, SUBSCORE
+from gradewell.schemas import PAIR_COUNT, SCORE, SUBSCORE
 
 DEFAULTS = ScoreParams()
 
@@ -241,11 +241,13 @@ def grade_member_pairs(base: DataFrame, loans: DataFrame, customers: DataFrame,
         .withColumns({"home_pts": home, "funded_amt_pts": funded_points(params, rules)})
         .groupBy("member_id", *HEALTH_POINTS).agg(F.count("*").alias("_loans"))
     )
-    pairs = histories.join(healths, "member_id").withColumn("n_rows", F.col("_payments") * F.col("_loans"))
+    # Decimal, because the square of a large member's loans can pass the range of a long.
+    n_rows = F.expr("cast(_payments as decimal(19,0)) * cast(_loans as decimal(19,0))").cast(PAIR_COUNT)
+    pairs = histories.join(healths, "member_id").withColumn("n_rows", n_rows)
     graded = grade(pairs, params, rules, keep=("member_id", "n_rows"))
     return (
         graded.groupBy("member_id", *SUBSCORES, "loan_total_score", "loan_grade")
-        .agg(F.sum("n_rows").alias("n_rows"))
+        .agg(F.sum("n_rows").cast(PAIR_COUNT).alias("n_rows"))
     )
 
 

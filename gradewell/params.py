@@ -109,7 +109,7 @@ class RuleSet:
     half_open_grades: bool
 
 
-# Total received against the funded amount. The reference uses these points without defining them: this table is ours.
+# Total received against the funded amount. These points had no definition to follow: the table is ours.
 TOTAL_PAYMENT_BANDS = (
     Band("very_good", low=_share("0.5"), closed="left"),
     Band("good", low=0, closed="neither"),

@@ -330,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "loan_grade_from_wide": _scored(f"select {_RESULT} from grades"),
         "loan_grade_literal": _scored("""
           select member_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
-                 loan_grade, count(*) n_rows
+                 loan_grade, cast(count(*) as decimal(38,0)) n_rows
           from grades group by all""", profile="literal"),
         "loan_grade_incl_clean": _scored(f"select {_RESULT} from grades", clean_members=True),
         "grade_distribution": _scored("select loan_grade, count(*) loans from grades group by loan_grade"),

@@ -9,6 +9,7 @@ RATE = T.DecimalType(6, 2)
 COUNT = T.DecimalType(6, 1)
 SUBSCORE = T.DecimalType(13, 2)
 SCORE = T.DecimalType(15, 2)
+PAIR_COUNT = T.DecimalType(38, 0)
 TEXT = T.StringType()
 
 

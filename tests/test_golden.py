@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_CHECK
 from gradewell.operators import clean, quality, score, wide
 from gradewell.plans import queries
 
@@ -29,6 +30,17 @@ def test_records_and_enquiries(tables):
     assert clean.records_and_enquiries(tables.defaulters).count() == 1_860
 
 
+def test_ranked_report_is_in_order(tables):
+    rows = [(r["total"], r["member_id"]) for r in quality.ranked_duplicates(tables.details).collect()]
+    assert len(rows) == 416
+    assert rows == sorted(rows, key=lambda r: (-r[0], r[1]))
+
+
+def test_preview_is_the_first_ten(spark, tables):
+    ids = [r["id"] for r in queries.preview_top10(spark, SF_CHECK).collect()]
+    assert ids == sorted(r["id"] for r in tables.applications.select("id").collect())[:10]
+
+
 def test_mean_fill(tables):
     known = tables.customers.where("emp_length is not null")
     assert known.count() == 1_512
