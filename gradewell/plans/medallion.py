@@ -11,29 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gradewell.functions.keys import with_member_id
 from gradewell.operators import clean, quality, score, skew, split, wide
 from gradewell.params import REPAIRED, RuleSet, ScoreParams
-from gradewell.schemas import ENTITIES
 from gradewell.sources import files
 from gradewell.sources.layout import Layout
 
 
-def land_bronze(spark: SparkSession, applications: DataFrame, layout: Layout, fmt: str = "parquet") -> None:
+def land_bronze(spark: SparkSession, applications: DataFrame, layout: Layout) -> None:
     """Key the wide input, stage it once in Parquet, and cut the four entity tables from the staged copy.
 
     The raw input, often CSV, is scanned once; each table then reads only its own columns.
     """
     files.write_table(with_member_id(applications), layout.staged_applications)
     keyed = spark.read.parquet(layout.staged_applications)
-    files.write_tables({layout.path("bronze", entity): cut(keyed) for entity, cut in split.SPLITS.items()}, fmt)
-
-
-def build_silver(spark: SparkSession, layout: Layout, batch_time: str, fmt: str = "parquet") -> None:
-    cleaned = {}
-    for entity, cleaner in clean.CLEANERS.items():
-        landed = files.read_table(spark, layout.path("bronze", entity), fmt, ENTITIES[entity])
-        cleaned[layout.path("silver", entity)] = clean.add_ingest_date(cleaner(landed), batch_time)
-    files.write_tables(cleaned)
-    defaulters = _read(spark, layout, "silver", "loans_defaulters")
-    files.write_tables({layout.path("silver", entity): derive(defaulters) for entity, derive in DERIVED.items()})
+    layout.write("bronze", {entity: cut(keyed) for entity, cut in split.SPLITS.items()})
 
 
 DERIVED = {
@@ -43,52 +32,57 @@ DERIVED = {
 }
 
 
+def build_silver(spark: SparkSession, layout: Layout, batch_time: str) -> None:
+    layout.write("silver", {
+        entity: clean.add_ingest_date(cleaner(layout.read(spark, "bronze", entity)), batch_time)
+        for entity, cleaner in clean.CLEANERS.items()
+    })
+    defaulters = layout.read(spark, "silver", "loans_defaulters")
+    layout.write("silver", {entity: derive(defaulters) for entity, derive in DERIVED.items()})
+
+
 def mark_hot_members(spark: SparkSession, layout: Layout) -> None:
     """Find the members to salt, once, by their loans and default records: one narrow column of each."""
-    ids = [_read(spark, layout, "silver", e).select("member_id") for e in ("loans", "loans_defaulters")]
+    ids = [layout.read(spark, "silver", entity).select("member_id") for entity in ("loans", "loans_defaulters")]
     files.write_table(skew.hot_buckets(ids[0].unionByName(ids[1]), "member_id"), layout.hot_buckets)
 
 
 def quarantine(spark: SparkSession, layout: Layout) -> None:
     """Write the bad member ids, then the tables without them."""
-    customers, defaulters = (_read(spark, layout, "silver", e) for e in ("customers", "loans_defaulters"))
-    files.write_table(quality.bad_members(customers, defaulters), layout.bad_data)
-    bad, hot = spark.read.parquet(layout.bad_data), spark.read.parquet(layout.hot_buckets)
-    files.write_tables({
-        layout.path("gold", "customers"): quality.exclude(customers, bad, hot),
-        layout.path("gold", "loans_defaulters"): quality.exclude(defaulters, bad, hot),
+    customers, defaulters = (layout.read(spark, "silver", e) for e in ("customers", "loans_defaulters"))
+    layout.write("quarantine", {"bad_data": quality.bad_members(customers, defaulters)})
+    bad, hot = layout.read(spark, "quarantine", "bad_data"), _hot(spark, layout)
+    layout.write("gold", {
+        "customers": quality.exclude(customers, bad, hot),
+        "loans_defaulters": quality.exclude(defaulters, bad, hot),
     })
-    kept = _read(spark, layout, "gold", "loans_defaulters")
-    files.write_tables({
-        layout.path("gold", "loans_defaulters_delinq"): clean.delinquencies(kept),
-        layout.path("gold", "loans_defaulters_detail_records_enq"): clean.detail_records(kept),
+    kept = layout.read(spark, "gold", "loans_defaulters")
+    layout.write("gold", {
+        "loans_defaulters_delinq": clean.delinquencies(kept),
+        "loans_defaulters_detail_records_enq": clean.detail_records(kept),
     })
 
 
 def build_wide(spark: SparkSession, layout: Layout) -> None:
     """The wide gold table, one row per loan of the members that are not quarantined."""
-    joined = wide.join_kept(
-        _read(spark, layout, "gold", "customers").drop("ingest_date"),
-        _read(spark, layout, "silver", "loans"),
-        _read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
-        _read(spark, layout, "gold", "loans_defaulters"),
-        spark.read.parquet(layout.hot_buckets),
-    )
-    files.write_table(joined, layout.path("gold", "total_files"))
+    customers = layout.read(spark, "gold", "customers").drop("ingest_date")
+    loans, repayments = _loans_and_repayments(spark, layout)
+    defaulters = layout.read(spark, "gold", "loans_defaulters")
+    layout.write("gold", {
+        "total_files": wide.join_kept(customers, loans, repayments, defaulters, _hot(spark, layout)),
+    })
 
 
 def build_unfiltered_wide(spark: SparkSession, layout: Layout) -> None:
     """The wide table of all members. Those with conflicting records yield every combination of
     them, which is quadratic in the records of one member."""
-    joined = wide.join_wide(
-        _read(spark, layout, "silver", "customers").drop("ingest_date"),
-        _read(spark, layout, "silver", "loans"),
-        _read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
-        _read(spark, layout, "silver", "loans_defaulters_delinq"),
-        _read(spark, layout, "silver", "loans_defaulters_detail_records_enq"),
-        spark.read.parquet(layout.hot_buckets),
-    )
-    files.write_table(joined, layout.total_files_unfiltered)
+    customers = layout.read(spark, "silver", "customers").drop("ingest_date")
+    loans, repayments = _loans_and_repayments(spark, layout)
+    delinquencies = layout.read(spark, "silver", "loans_defaulters_delinq")
+    details = layout.read(spark, "silver", "loans_defaulters_detail_records_enq")
+    layout.write("silver", {
+        "total_files": wide.join_wide(customers, loans, repayments, delinquencies, details, _hot(spark, layout)),
+    })
 
 
 def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: ScoreParams = score.DEFAULTS,
@@ -98,24 +92,23 @@ def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: Sc
     Members without a delinquency are not in the wide table; including them takes the join again.
     """
     if include_clean_members:
-        base = score.payment_base(_read(spark, layout, "silver", "loans_repayments").drop("ingest_date"),
-                                  _read(spark, layout, "silver", "loans").drop("ingest_date"))
-        points = score.score_points(base, _read(spark, layout, "gold", "customers"),
-                                    _read(spark, layout, "gold", "loans_defaulters"),
-                                    spark.read.parquet(layout.hot_buckets), params, rules, include_clean_members)
+        loans, repayments = _loans_and_repayments(spark, layout)
+        points = score.score_points(
+            score.payment_base(repayments, loans), layout.read(spark, "gold", "customers"),
+            layout.read(spark, "gold", "loans_defaulters"), _hot(spark, layout), params, rules, include_clean_members)
     else:
-        points = score.score_wide(_read(spark, layout, "gold", "total_files"), params, rules)
+        points = score.score_wide(layout.read(spark, "gold", "total_files"), params, rules)
     graded = clean.add_ingest_date(score.grade(points, params, rules), batch_time)
-    files.write_table(graded, layout.path("gold", "loan_scores"))
+    layout.write("gold", {"loan_scores": graded})
 
 
-def run(spark: SparkSession, applications: DataFrame, root: str, batch_time: str,
-        params: ScoreParams = score.DEFAULTS, rules: RuleSet = REPAIRED, bronze_format: str = "parquet",
+def run(spark: SparkSession, applications: DataFrame, layout: Layout | str, batch_time: str,
+        params: ScoreParams = score.DEFAULTS, rules: RuleSet = REPAIRED,
         include_clean_members: bool = False, unfiltered_wide: bool = False) -> Layout:
-    """All layers under `root`, from a wide table of applications in the declared schema."""
-    layout = Layout(root)
-    land_bronze(spark, applications, layout, bronze_format)
-    build_silver(spark, layout, batch_time, bronze_format)
+    """All layers, under a root or in a given layout, from a wide table in the declared schema."""
+    layout = Layout(layout) if isinstance(layout, str) else layout
+    land_bronze(spark, applications, layout)
+    build_silver(spark, layout, batch_time)
     mark_hot_members(spark, layout)
     if unfiltered_wide:
         build_unfiltered_wide(spark, layout)
@@ -126,12 +119,10 @@ def run(spark: SparkSession, applications: DataFrame, root: str, batch_time: str
 
 
 def inventory(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Rows of every table written, in Parquet."""
-    paths = {(layer, entity): layout.path(layer, entity) for layer, entity in layout.tables()}
-    paths["quarantine", "bad_data"] = layout.bad_data
+    """Rows of every table written."""
     counts = None
-    for (layer, entity), path in paths.items():
-        count = spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
+    for layer, entity in layout.tables():
+        count = layout.read(spark, layer, entity).agg(F.count("*").alias("n_rows"))
         row = count.select(F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), "n_rows")
         counts = row if counts is None else counts.unionByName(row)
     return counts
@@ -141,10 +132,9 @@ def register_views(spark: SparkSession, layout: Layout, prefix: str = "") -> lis
     """Temp views `<prefix><layer>_<entity>` over the written tables, for SQL."""
     names = []
     for layer, entity in layout.tables():
-        if layer != "bronze":
-            name = f"{prefix}{layer}_{entity}"
-            spark.read.parquet(layout.path(layer, entity)).createOrReplaceTempView(name)
-            names.append(name)
+        name = f"{prefix}{layer}_{entity}"
+        layout.read(spark, layer, entity).createOrReplaceTempView(name)
+        names.append(name)
     return names
 
 
@@ -153,12 +143,15 @@ def register_tables(spark: SparkSession, layout: Layout, database: str) -> list[
     spark.sql(f"create database if not exists `{database}`")
     names = []
     for layer, entity in layout.tables():
-        if layer != "bronze":
-            name = f"{database}.{layer}_{entity}"
-            files.register_table(spark, name, layout.path(layer, entity))
-            names.append(name)
+        name = f"{database}.{layer}_{entity}"
+        files.register_table(spark, name, layout.path(layer, entity), layout.format(layer), layout.schema(layer, entity))
+        names.append(name)
     return names
 
 
-def _read(spark: SparkSession, layout: Layout, layer: str, entity: str) -> DataFrame:
-    return spark.read.parquet(layout.path(layer, entity))
+def _hot(spark: SparkSession, layout: Layout) -> DataFrame:
+    return spark.read.schema("_bucket int, _salts int").parquet(layout.hot_buckets)
+
+
+def _loans_and_repayments(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    return layout.read(spark, "silver", "loans"), layout.read(spark, "silver", "loans_repayments").drop("ingest_date")

@@ -61,9 +61,48 @@ DEFAULTERS = _struct(
     ("mths_since_last_delinq", COUNT), ("mths_since_last_record", COUNT),
 )
 
-ENTITIES = {
-    "customers": CUSTOMERS,
-    "loans": LOANS,
-    "loans_repayments": REPAYMENTS,
-    "loans_defaulters": DEFAULTERS,
-}
+WHOLE = T.IntegerType()
+INGESTED = ("ingest_date", T.TimestampType())
+
+# The entity tables once cleaned.
+CLEAN_CUSTOMERS = _struct(
+    ("member_id", TEXT), ("emp_title", TEXT), ("emp_length", WHOLE), ("home_ownership", TEXT),
+    ("annual_income", MONEY), ("address_state", TEXT), ("address_zipcode", TEXT), ("address_country", TEXT),
+    ("grade", TEXT), ("sub_grade", TEXT), ("verification_status", TEXT), ("total_high_credit_limit", MONEY),
+    ("application_type", TEXT), ("join_annual_income", MONEY), ("verification_status_joint", TEXT), INGESTED,
+)
+CLEAN_LOANS = _struct(
+    ("loan_id", TEXT), ("member_id", TEXT), ("loan_amount", MONEY), ("funded_amount", MONEY),
+    ("loan_term_years", WHOLE), ("interest_rate", RATE), ("monthly_installment", MONEY),
+    ("issue_date", TEXT), ("loan_status", TEXT), ("loan_purpose", TEXT), ("loan_title", TEXT), INGESTED,
+)
+CLEAN_REPAYMENTS = T.StructType(REPAYMENTS.fields + _struct(INGESTED).fields)
+CLEAN_DEFAULTERS = _struct(
+    ("member_id", TEXT), ("delinq_2yrs", WHOLE), ("delinq_amnt", MONEY), ("pub_rec", COUNT),
+    ("pub_rec_bankruptcies", COUNT), ("inq_last_6mths", COUNT), ("total_rec_late_fee", MONEY),
+    ("mths_since_last_delinq", COUNT), ("mths_since_last_record", COUNT), INGESTED,
+)
+DELINQUENCIES = _struct(
+    ("member_id", TEXT), ("delinq_2yrs", WHOLE), ("delinq_amnt", MONEY), ("mths_since_last_delinq", WHOLE),
+)
+DETAILS = _struct(
+    ("member_id", TEXT), ("pub_rec", WHOLE), ("pub_rec_bankruptcies", WHOLE), ("inq_last_6mths", WHOLE),
+)
+BAD_MEMBERS = _struct(("member_id", TEXT))
+
+
+def _without(schema: T.StructType, *names: str) -> list[T.StructField]:
+    return [field for field in schema if field.name not in names]
+
+
+TOTAL_FILES = T.StructType([
+    *_without(CLEAN_CUSTOMERS, "ingest_date"),
+    *_without(CLEAN_LOANS, "member_id"),
+    *_without(CLEAN_REPAYMENTS, "loan_id", "ingest_date"),
+    *_without(DELINQUENCIES, "member_id"),
+    *_without(DETAILS, "member_id"),
+])
+LOAN_SCORES = _struct(
+    ("member_id", TEXT), ("loan_id", TEXT), ("payment_history_pts", SUBSCORE), ("loan_default_history_pts", SUBSCORE),
+    ("financial_health_pts", SUBSCORE), ("loan_total_score", SCORE), ("loan_grade", TEXT), INGESTED,
+)

@@ -29,7 +29,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
-    return read_csv(spark, path, schema) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if fmt == "csv":
+        return read_csv(spark, path, schema)
+    reader = spark.read.format(fmt)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -49,7 +52,9 @@ def write_tables(tables: dict[str, DataFrame], fmt: str = "parquet") -> None:
             job.result()
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                   schema: T.StructType | None = None) -> None:
     """Enter written files in the catalog under a name; the files stay where they are."""
     spark.sql(f"drop table if exists {name}")
-    spark.catalog.createTable(name, path=path, source=fmt)
+    options = {"header": "true", "mode": "PERMISSIVE"} if fmt == "csv" else {}
+    spark.catalog.createTable(name, path=path, source=fmt, schema=schema, **options)

@@ -1,32 +1,79 @@
-"""Where each table of a layer lives under a root."""
+"""Where each table of a layer lives under a root, in which format and with which columns."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Entities of each layer.
+from pyspark.sql import DataFrame, SparkSession
+
+from gradewell import schemas
+from gradewell.sources import files
+
+# Tables of each layer.
 LAYERS = {
-    "bronze": ["customers", "loans", "loans_repayments", "loans_defaulters"],
-    "silver": [
-        "customers", "loans", "loans_repayments", "loans_defaulters", "loans_defaulters_delinq",
-        "loans_defaulters_records_enq", "loans_defaulters_detail_records_enq",
-    ],
-    "gold": [
-        "customers", "loans_defaulters", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq",
-        "total_files", "loan_scores",
-    ],
+    "bronze": {
+        "customers": schemas.CUSTOMERS,
+        "loans": schemas.LOANS,
+        "loans_repayments": schemas.REPAYMENTS,
+        "loans_defaulters": schemas.DEFAULTERS,
+    },
+    "silver": {
+        "customers": schemas.CLEAN_CUSTOMERS,
+        "loans": schemas.CLEAN_LOANS,
+        "loans_repayments": schemas.CLEAN_REPAYMENTS,
+        "loans_defaulters": schemas.CLEAN_DEFAULTERS,
+        "loans_defaulters_delinq": schemas.DELINQUENCIES,
+        "loans_defaulters_records_enq": schemas.CLEAN_DEFAULTERS,
+        "loans_defaulters_detail_records_enq": schemas.DETAILS,
+    },
+    "quarantine": {
+        "bad_data": schemas.BAD_MEMBERS,
+    },
+    "gold": {
+        "customers": schemas.CLEAN_CUSTOMERS,
+        "loans_defaulters": schemas.CLEAN_DEFAULTERS,
+        "loans_defaulters_delinq": schemas.DELINQUENCIES,
+        "loans_defaulters_detail_records_enq": schemas.DETAILS,
+        "total_files": schemas.TOTAL_FILES,
+        "loan_scores": schemas.LOAN_SCORES,
+    },
 }
+# Written only where asked for.
+OPTIONAL = {("silver", "total_files"): schemas.TOTAL_FILES}
 
 
 @dataclass(frozen=True)
 class Layout:
+    """Tables are Parquet by default. CSV works for every layer, but cannot tell an empty text from NULL."""
+
     root: str
+    bronze_format: str = "parquet"
+    table_format: str = "parquet"
 
-    def path(self, layer: str, entity: str) -> str:
-        if entity not in LAYERS[layer]:
+    def schema(self, layer: str, entity: str):
+        schema = LAYERS[layer].get(entity) or OPTIONAL.get((layer, entity))
+        if schema is None:
             raise KeyError(f"{layer} has no table {entity}")
+        return schema
+
+    def format(self, layer: str) -> str:
+        return self.bronze_format if layer == "bronze" else self.table_format
+
+    def path(self, layer: str, entity: str) -> str:
+        self.schema(layer, entity)
         return f"{self.root}/{layer}/{entity}"
 
+    def read(self, spark: SparkSession, layer: str, entity: str) -> DataFrame:
+        """The columns are declared, so no job has to look for them."""
+        return files.read_table(spark, self.path(layer, entity), self.format(layer), self.schema(layer, entity))
+
+    def write(self, layer: str, tables: dict[str, DataFrame]) -> None:
+        """Write tables of a layer that do not depend on each other."""
+        files.write_tables({
+            self.path(layer, entity): df.select(*self.schema(layer, entity).fieldNames())
+            for entity, df in tables.items()
+        }, self.format(layer))
+
     @property
     def staged_applications(self) -> str:
         """The keyed wide table, in Parquet, that the bronze tables are cut from."""
@@ -34,17 +81,8 @@ class Layout:
 
     @property
     def hot_buckets(self) -> str:
-        """Which members the joins of later steps salt."""
+        """Which members the joins of later steps salt, in Parquet."""
         return f"{self.root}/silver/hot_buckets"
 
-    @property
-    def total_files_unfiltered(self) -> str:
-        """The wide table before the quarantine, where asked for."""
-        return f"{self.root}/silver/total_files"
-
-    @property
-    def bad_data(self) -> str:
-        return f"{self.root}/bad_data"
-
     def tables(self) -> list[tuple[str, str]]:
         return [(layer, entity) for layer, entities in LAYERS.items() for entity in entities]

@@ -52,15 +52,16 @@ def expected(small):
     }
     bronze = {entity: small.landed(entity) for entity in
               ("customers", "loans", "loans_repayments", "loans_defaulters")}
-    return {"bronze": bronze, "silver": silver, "gold": gold}
+    return {"bronze": bronze, "silver": silver, "quarantine": {"bad_data": small.bad}, "gold": gold}
 
 
 def test_each_sink_holds_its_table(spark, small, layout):
     tables = expected(small)
     assert {(layer, entity) for layer in tables for entity in tables[layer]} == set(layout.tables())
     for layer, entity in layout.tables():
-        written = spark.read.parquet(layout.path(layer, entity)).drop("ingest_date")
-        same(written, tables[layer][entity])
+        written = spark.read.parquet(layout.path(layer, entity))
+        assert written.schema == layout.schema(layer, entity)
+        same(written.drop("ingest_date"), tables[layer][entity])
 
 
 def test_one_batch_time(spark, layout):
@@ -70,7 +71,7 @@ def test_one_batch_time(spark, layout):
 
 
 def test_quarantine_is_disjoint_from_gold(spark, small, layout):
-    bad = spark.read.parquet(layout.bad_data)
+    bad = layout.read(spark, "quarantine", "bad_data")
     same(bad, small.bad)
     for entity in ("customers", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq", "loan_scores"):
         assert spark.read.parquet(layout.path("gold", entity)).join(bad, "member_id", "left_semi").count() == 0
@@ -83,18 +84,22 @@ def test_rerun_replaces(spark, small, layout):
 
 
 def test_csv_from_end_to_end(spark, small, layout, tmp_path):
-    """Wide CSV with columns of its own in another order, and bronze in CSV, give the same scores."""
+    """Wide CSV with columns of its own in another order, and every layer in CSV, give the same tables."""
     raw = str(tmp_path / "raw")
     shuffled = small.applications.select(F.lit("x").alias("url"), *reversed(small.applications.columns))
     files.write_table(shuffled, raw, "csv")
-    other = medallion.run(spark, read_applications(spark, raw), str(tmp_path / "lake"), BATCH_TIME, bronze_format="csv")
-    for layer, entity in [("silver", "customers"), ("silver", "loans"), ("gold", "loan_scores"), ("gold", "total_files")]:
-        same(spark.read.parquet(other.path(layer, entity)), spark.read.parquet(layout.path(layer, entity)))
+    in_csv = Layout(str(tmp_path / "lake"), bronze_format="csv", table_format="csv")
+    medallion.run(spark, read_applications(spark, raw), in_csv, BATCH_TIME)
+    for layer, entity in layout.tables():
+        same(in_csv.read(spark, layer, entity), layout.read(spark, layer, entity))
+    medallion.register_tables(spark, in_csv, "scoring_csv")
+    same(spark.table("scoring_csv.gold_loan_scores"), layout.read(spark, "gold", "loan_scores"))
+    spark.sql("drop database scoring_csv cascade")
 
 
 def test_unfiltered_wide_table(spark, layout):
     medallion.build_unfiltered_wide(spark, layout)
-    assert spark.read.parquet(layout.total_files_unfiltered).count() == 4_899
+    assert layout.read(spark, "silver", "total_files").count() == 4_899
     assert spark.read.parquet(layout.path("gold", "total_files")).count() == 888
 
 
