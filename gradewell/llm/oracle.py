@@ -64,4 +64,38 @@ FROM terms LEFT JOIN best USING (page_id)
 """
 
 
-ORACLE_SQL = {"op3_decontamination": OP3, "op4_url_filter": _op4()}
+OP5 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'),
+                                                '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM docs UNION SELECT reach.doc_id, b FROM reach JOIN links ON a = seen
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+OP10 = """
+WITH records AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), told AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM records
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM told
+"""
+
+ORACLE_SQL = {
+    "op3_decontamination": OP3, "op4_url_filter": _op4(), "op5_superminhash": OP5, "op10_warc": OP10,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, url_filter
+from gradewell.llm import decontamination, near_dup, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -23,6 +23,15 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontamination, op4_url_filter)
+    f.__name__: f for f in (op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
 }
