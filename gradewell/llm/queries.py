@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, near_dup, url_filter, warc
+from gradewell.llm import decontamination, near_dup, packing, url_filter, warc
 from gradewell.llm.common import table
 
 
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark")).select(
@@ -33,5 +40,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
+    f.__name__: f for f in (op1_curve_packing, op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
 }
