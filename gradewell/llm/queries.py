@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, near_dup, packing, url_filter, warc
+from gradewell.llm import decontamination, licenses, near_dup, packing, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("matches")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark")).select(
@@ -40,5 +44,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curve_packing, op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
+    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
 }
