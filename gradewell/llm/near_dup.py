@@ -6,11 +6,12 @@ one shingle are correlated, so that estimates vary less than MinHash's, and a do
 all slots hold values below the next rank. Slots are banded; documents that share a band are candidates.
 Candidates become links only when their full sets, made anew from the whole texts, are similar enough.
 
-Documents of one set form a class, and only classes are compared. First every class is compared with the class
-that heads most of its buckets; groups of near copies become components by that. Then all pairs of
-classes that share a bucket and are still in different components are compared by their sketches, in
-blocks of bounded size, and those that may be similar by their sets. So no link between different components is
-lost, and a large group of copies costs one comparison per member.
+Documents of one set form a class, and only classes are compared. First every class is verified against the class
+that heads most of its buckets. Then, for as long as that links anything, every class is verified against the one
+of another component whose sketch agrees best with its own, among those that share a bucket. Groups of near copies become
+components by that, at one verification a member and round. At last all pairs that share a bucket, are in
+different components and may be similar by their sketches are verified, so that no link between components is lost.
+Sketches are compared in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +43,11 @@ class NearDup:
     words: int = 5
     percent: int = 75
     rows: int = 4
-    #: Slots whose low bytes make the sketch, and the share of them that must agree before sets are
-    #: compared: more than four standard deviations below the similarity asked for.
-    sketch: int = 64
-    least_agreeing: float = 0.5
+    #: Share of the sketch's bytes, one of each slot, that must agree before sets are compared: five standard
+    #: deviations below the similarity asked for.
+    least_agreeing: float = 0.56
+    #: Rounds of best partners at most, before all pairs that are left.
+    rounds: int = 4
     #: Members of a bucket in one block of comparisons.
     block: int = 512
 
@@ -118,12 +121,12 @@ def superminhash(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def bands_and_sketches(signatures: np.ndarray, p: NearDup = DEFAULT) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each band (its number is part of it), and a byte for each of the first slots."""
+    """A 64-bit key for each band (its number is part of it), and a byte for each slot."""
     bits = _mix(signatures.view(np.uint64))
     keys = np.zeros((len(bits), SLOTS // p.rows), np.uint64) + np.arange(SLOTS // p.rows, dtype=np.uint64) * np.uint64(_GOLDEN)
     for i in range(p.rows):
         keys = _mix(keys ^ bits[:, i::p.rows])
-    return keys.view(np.int64), (bits[:, :p.sketch] & np.uint64(0xFF)).astype(np.uint8)
+    return keys.view(np.int64), (bits & np.uint64(0xFF)).astype(np.uint8)
 
 
 _FINGERPRINT = "struct<n_shingles:bigint,set_key:binary,bands:array<bigint>,sketch:binary>"
@@ -199,45 +202,54 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
     return met.mapInArrow(_similar(p), "a long, b long").distinct()
 
 
-def _likely(p: NearDup):
-    """Pairs of different components and similar sketches, of rows sorted by block and then by group."""
-    from itertools import groupby
+def _likely(p: NearDup, best: bool):
+    """Pairs (a, b, agree) of different components and similar sketches, of rows that come group by group.
 
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    `best` gives for each row only the one that agrees most with it, else all pairs.
+    """
+
+    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int, float]]:
         if len({r[1] for r in rows}) < 2:
             return
         node, comp, n, part = (np.array([r[i] for r in rows]) for i in range(4))
         sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
         mixed = part.min() != part.max()
-        for i in range(len(rows) - 1):
-            agree = (sketch[i + 1:] == sketch[i]).mean(axis=1) >= p.least_agreeing
-            near = 100 * np.minimum(n[i + 1:], n[i]) >= p.percent * np.maximum(n[i + 1:], n[i])
-            ok = agree & near & (comp[i + 1:] != comp[i])
+        for i in range(len(rows)):
+            rest = slice(0 if best else i + 1, None)
+            ok = (comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= p.percent * np.maximum(n[rest], n[i]))
             if mixed:  # pairs inside one block belong to that block's own group
-                ok &= part[i + 1:] != part[i]
-            for j in np.flatnonzero(ok) + i + 1:
-                yield (int(node[i]), int(node[j])) if n[i] >= n[j] else (int(node[j]), int(node[i]))
+                ok &= part[rest] != part[i]
+            which = np.flatnonzero(ok) + (rest.start or 0)
+            agree = (sketch[which] == sketch[i]).mean(axis=1)
+            if best and len(which):
+                which, agree = which[[agree.argmax()]], agree[[agree.argmax()]]
+            for j, share in zip(which[agree >= p.least_agreeing], agree[agree >= p.least_agreeing]):
+                yield int(node[i]), int(node[j]), float(share)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             yield from zip(*(c.to_pylist() for c in batch.columns))
 
+    def out(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
+        columns = list(zip(*pairs)) or [()] * 3
+        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
+
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
+        pairs: list[tuple[int, int, float]] = []
         for _, group in groupby(rows(batches), key=lambda r: r[:3]):
-            for x, y in pairs_of([r[3:] for r in group]):
-                a.append(x)
-                b.append(y)
-            if len(a) > 100_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-                a, b = [], []
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            for pair in pairs_of([r[3:] for r in group]):
+                pairs.append(pair)
+                if len(pairs) >= 50_000:
+                    yield out(pairs)
+                    pairs = []
+        yield out(pairs)
 
     return likely
 
 
-def _open_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs of one bucket and different components that may be similar.
+def _open_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, best: bool, p: NearDup) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that may be similar; with `best` one for each a.
 
     A bucket of many members is cut into blocks by a hash; each two blocks meet in a group of their own.
     """
@@ -259,7 +271,10 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, p: Nea
         "node", "comp", "n_shingles", "mine", "sketch",
     )
     dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(_likely(p), "a long, b long").distinct()
+    likely = dealt.mapInArrow(_likely(p, best), "a long, b long, agree double")
+    if best:
+        return likely.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+    return likely.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -300,8 +315,15 @@ def near_duplicates(
         .select("a", F.col("node").alias("b"))
     )
     links = staged(_verified(nearest, texts, p), "links")
-    pairs = staged(_open_pairs(shared.select("key", "node"), classes, staged(components(links), "labels"), p), "pairs")
-    links = links.unionAll(_verified(pairs, texts, p))
+    buckets = shared.select("key", "node")
+    for turn in range(p.rounds, -1, -1):
+        labels = staged(components(links), "labels")
+        best = turn > 0 and (turn == p.rounds or not more.isEmpty())
+        pairs = staged(_open_pairs(buckets, classes, labels, best, p), "pairs")
+        more = staged(_verified(pairs, texts, p), "links")
+        links = links.unionAll(more)
+        if not best:
+            break
 
     # Texts of one id are one document, so their classes are linked as well.
     repeated = prints.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
