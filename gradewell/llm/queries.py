@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, licenses, near_dup, packing, url_filter, warc
+from gradewell.llm import decontamination, licenses, near_dup, packing, quality, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -39,10 +39,16 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.vote_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op10_warc)
+    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op9_quality_votes, op10_warc)
 }
