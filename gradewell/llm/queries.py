@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, licenses, near_dup, packing, quality, url_filter, warc
+from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -39,6 +39,15 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex",
+        F.sha2(secret_scan.written(secret_scan.base_only(F.col("spans"))), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.vote_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -50,5 +59,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op9_quality_votes, op10_warc)
+    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash,
+                            op6_secret_scan, op9_quality_votes, op10_warc)
 }
