@@ -1,10 +1,11 @@
 """Connected components of a graph of any size: union-find inside tasks, stars between them.
 
-Each pass first unites what one task's share of the edges connects, by union-find, whatever those edges are. Then
-every node hands its neighbours above it to its smallest neighbour, and then those below it, until nothing
-changes; the number of passes grows with the logarithm of the graph. A node with any number of
-neighbours is no group: its smallest neighbour is an aggregate, and its edges meet it in a join of
-two plain tables, which Spark splits where it is skewed. No edges or labels reach the driver.
+Each pass first unites what one task's share of the edges connects, by union-find, whatever those edges are; so a node
+has at most one edge downwards per task. Then every edge is lifted to the smallest neighbour of its lower end,
+and all lower neighbours of a node go to the smallest of them, until every node has one neighbour below it
+and that has none; the number of passes grows with the logarithm of the graph. A node with any number
+of neighbours is no group: its smallest neighbour is an aggregate, and its edges meet it in a join of two plain
+tables, which Spark splits where it is skewed. No edges or labels reach the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gradewell.llm.common import staged
 
@@ -58,15 +59,22 @@ def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One pass; `edges` (a, b) with a > b, read from a table. The same components, flatter."""
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "least")
-    # For every u: its neighbours above it go to its smallest neighbour or, if that is u, stay.
-    up = edges.join(least, edges["b"] == least["u"]).select("a", F.col("m").alias("b")).distinct()
-    up = staged(up, "up")
-    least = staged(up.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "least")
-    # For every u: its neighbours below it, and u itself, go to the smallest.
-    down = up.join(least, up["a"] == least["u"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return down.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+    least = staged(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "least")
+    lifted = edges.join(least, edges["b"] == least["u"], "left").select("a", F.coalesce("m", "b").alias("b"))
+    # As many rows for an `a` as there were tasks, at most.
+    lowest = lifted.mapInArrow(_unite, "a long, b long").withColumn("m", F.min("b").over(Window.partitionBy("a")))
+    ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+    return lowest.select(F.explode(ends).alias("e")).select("e.*").where("a <> b").mapInArrow(_unite, "a long, b long")
+
+
+def _unsettled(edges: DataFrame) -> bool:
+    """Whether a node has two neighbours below it, or one that has another below."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("b").alias("below"), F.lit(0).alias("lower")),
+        F.struct(F.col("b").alias("node"), F.lit(None).cast("long").alias("below"), F.lit(1).alias("lower")),
+    )).alias("e")).select("e.*")
+    told = ends.groupBy("node").agg(F.min("below").alias("lo"), F.max("below").alias("hi"), F.max("lower").alias("lower"))
+    return not told.where("lo <> hi OR lo IS NOT NULL AND lower = 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -75,13 +83,8 @@ def components(edges: DataFrame) -> DataFrame:
     Loops, repeated and reversed edges and nulls are harmless; an empty table gives an empty one.
     """
     clean = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, seen = staged(clean.mapInArrow(_unite, "a long, b long").distinct(), "edges"), None
-    while True:
-        state = now.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")
-        ).first()
-        if state[0] == 0 or state == seen:
-            break
-        seen = state
-        now = staged(_stars(now).mapInArrow(_unite, "a long, b long").distinct(), "edges")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select("b", "b").distinct())
+    now = staged(clean.mapInArrow(_unite, "a long, b long"), "edges")
+    while _unsettled(now):
+        now = staged(_stars(now), "edges")
+    ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("root")), F.struct(F.col("b").alias("node"), F.col("b").alias("root")))
+    return now.select(F.explode(ends).alias("e")).select("e.*").distinct()

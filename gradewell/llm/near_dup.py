@@ -6,12 +6,11 @@ one shingle are correlated, so that estimates vary less than MinHash's, and a do
 all slots hold values below the next rank. Slots are banded; documents that share a band are candidates.
 Candidates become links only when their full sets, made anew from the whole texts, are similar enough.
 
-Documents of one set form a class, and only classes are compared. First every class is verified against the class
-that heads most of its buckets. Then, for as long as that links anything, every class is verified against the one
-of another component whose sketch agrees best with its own, among those that share a bucket. Groups of near copies become
-components by that, at one verification a member and round. At last all pairs that share a bucket, are in
-different components and may be similar by their sketches are verified, so that no link between components is lost.
-Sketches are compared in blocks of bounded size.
+Documents of one set form a class, and only classes are compared. In every bucket the sketches give the spanning
+trees of largest similarity, and their edges are verified on the full sets; groups of near copies become components
+by that, at about one verification a member. Then all pairs that share a bucket, are still in different components and
+may be similar by their sketches are verified, so that no link between components is lost. Sketches
+are compared in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import shared_folder, staged
+from gradewell.llm.common import staged
 from gradewell.llm.components import components
 
 SLOTS = 128
@@ -46,8 +45,6 @@ class NearDup:
     #: Share of the sketch's bytes, one of each slot, that must agree before sets are compared: five standard
     #: deviations below the similarity asked for.
     least_agreeing: float = 0.56
-    #: Rounds of best partners at most, before all pairs that are left.
-    rounds: int = 4
     #: Members of a bucket in one block of comparisons.
     block: int = 512
 
@@ -170,98 +167,95 @@ def _fingerprints(p: NearDup):
 
 
 def _similar(p: NearDup):
-    """Of (a, key_a, text_a, b, key_b, text_b) the pairs whose full sets are similar."""
+    """Of (a, text_a, b, text_b) the pairs whose full sets are similar."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=16)
-        def full(text: bytes) -> tuple[np.ndarray, bytes]:
-            found = shingles(text, p.words)
-            return found, xxhash.xxh3_128_digest(found.tobytes())
-
+        full = lru_cache(maxsize=16)(lambda text: shingles(text, p.words))
         for batch in batches:
             links = []
-            for a, key_a, text_a, b, key_b, text_b in zip(*(c.to_pylist() for c in batch.columns)):
-                (set_a, is_a), (set_b, is_b) = full(text_a), full(text_b)
-                # The same id may stand on another text, which is not the class meant.
-                if is_a != key_a or is_b != key_b:
-                    continue
+            for a, text_a, b, text_b in zip(*(c.to_pylist() for c in batch.columns)):
+                set_a, set_b = full(text_a), full(text_b)
                 common = len(set_a) + len(set_b) - len(np.union1d(set_a, set_b))
                 if 100 * common >= p.percent * (len(set_a) + len(set_b) - common):
                     links.append((a, b))
-            yield pa.RecordBatch.from_pydict({
-                "a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())
-            })
+            yield _edges(links)
 
     return verify
 
 
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())
+    })
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
     """Links among `pairs` (a, b); b's texts are moved first, once, and then meet those of a."""
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("set_key").alias(f"key_{c}"), F.col("text").alias(f"text_{c}"))
-    met = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "key_a", "text_a", "b", "key_b", "text_b")
-    return met.mapInArrow(_similar(p), "a long, b long").distinct()
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    met = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "text_a", "b", "text_b")
+    return met.mapInArrow(_similar(p), "a long, b long")
 
 
-def _likely(p: NearDup, best: bool):
-    """Pairs (a, b, agree) of different components and similar sketches, of rows that come group by group.
+def _likely(p: NearDup, trees: bool):
+    """Pairs (a, b) of different components and similar sketches, of rows that come group by group.
 
-    `best` gives for each row only the one that agrees most with it, else all pairs.
+    `trees` gives the edges of the spanning trees of largest agreement in each group, else all pairs.
     """
 
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int, float]]:
+    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         if len({r[1] for r in rows}) < 2:
             return
         node, comp, n, part = (np.array([r[i] for r in rows]) for i in range(4))
         sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+
+        def agreeing(i: int, which: np.ndarray) -> np.ndarray:
+            """Agreement of row i with others; -1 where they can't be linked or are so already."""
+            close = 100 * np.minimum(n[which], n[i]) >= p.percent * np.maximum(n[which], n[i])
+            share = (sketch[which] == sketch[i]).mean(axis=1)
+            return np.where(close & (comp[which] != comp[i]) & (share >= p.least_agreeing), share, -1.0)
+
+        if trees:
+            rest, best, of = np.arange(1, len(rows)), np.full(len(rows), -1.0), np.zeros(len(rows), int)
+            i = 0
+            while len(rest):
+                share = agreeing(i, rest)
+                better = rest[share > best[rest]]
+                best[better], of[better] = share[share > best[rest]], i
+                i = rest[best[rest].argmax()]
+                if best[i] > 0:
+                    yield int(max(node[i], node[of[i]])), int(min(node[i], node[of[i]]))
+                rest = rest[rest != i]
+            return
         mixed = part.min() != part.max()
-        for i in range(len(rows)):
-            rest = slice(0 if best else i + 1, None)
-            ok = (comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= p.percent * np.maximum(n[rest], n[i]))
+        for i in range(len(rows) - 1):
+            rest = np.arange(i + 1, len(rows))
             if mixed:  # pairs inside one block belong to that block's own group
-                ok &= part[rest] != part[i]
-            which = np.flatnonzero(ok) + (rest.start or 0)
-            agree = (sketch[which] == sketch[i]).mean(axis=1)
-            if best and len(which):
-                which, agree = which[[agree.argmax()]], agree[[agree.argmax()]]
-            for j, share in zip(which[agree >= p.least_agreeing], agree[agree >= p.least_agreeing]):
-                yield int(node[i]), int(node[j]), float(share)
+                rest = rest[part[rest] != part[i]]
+            for j in rest[agreeing(i, rest) > 0]:
+                yield int(max(node[i], node[j])), int(min(node[i], node[j]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             yield from zip(*(c.to_pylist() for c in batch.columns))
 
-    def out(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
-        columns = list(zip(*pairs)) or [()] * 3
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["a", "b", "agree"])
-
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: list[tuple[int, int, float]] = []
+        pairs: set[tuple[int, int]] = set()
         for _, group in groupby(rows(batches), key=lambda r: r[:3]):
             for pair in pairs_of([r[3:] for r in group]):
-                pairs.append(pair)
+                pairs.add(pair)
                 if len(pairs) >= 50_000:
-                    yield out(pairs)
-                    pairs = []
-        yield out(pairs)
+                    yield _edges(list(pairs))
+                    pairs.clear()
+        yield _edges(list(pairs))
 
     return likely
 
 
-def _open_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, best: bool, p: NearDup) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that may be similar; with `best` one for each a.
+def _blocks(members: DataFrame, trees: bool, p: NearDup) -> DataFrame:
+    """Pairs (a, b) among members (key, blocks, node, comp, n_shingles, sketch) of one bucket that may be similar.
 
     A bucket of many members is cut into blocks by a hash; each two blocks meet in a group of their own.
     """
-    labelled = staged(
-        shared.join(labels, shared["node"] == labels["node"], "left")
-        .select("key", shared["node"], F.coalesce("root", shared["node"]).alias("comp")), "labelled",
-    )
-    mixed = staged(
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi").select("key", F.ceil(F.col("size") / p.block).cast("int").alias("blocks")), "mixed",
-    )
-    members = labelled.join(mixed, "key").join(classes.select("node", "n_shingles", "sketch"), "node")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     met = members.withColumn("mine", mine).select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "mine",
@@ -271,78 +265,59 @@ def _open_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame, best:
         "node", "comp", "n_shingles", "mine", "sketch",
     )
     dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    likely = dealt.mapInArrow(_likely(p, best), "a long, b long, agree double")
-    if best:
-        return likely.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-    return likely.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return staged(dealt.mapInArrow(_likely(p, trees), "a long, b long").distinct(), "pairs")
 
 
 def near_duplicates(
     docs: DataFrame, p: NearDup = DEFAULT, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of `docs`: the id, n_shingles, class_id, component_id and kept.
+    """One row per row of `docs`: the id (long), n_shingles, class_id, component_id and kept.
 
     class_id is the smallest id with the same set, component_id the smallest id that links reach. Texts without
     words, null ones too, are linked with nothing: both are the own id. A row without an id takes part in no link;
     its component is null and it is kept. Rows that share an id are one document: what any of their texts is
     linked with is one component. Other columns of `docs` are not read. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    prints = named.select("id", _fingerprints(p)("text").alias("f")).select("id", "f.*")
-    folder = shared_folder(spark, "fingerprints")
-    prints.write.parquet(folder)
-    prints = spark.read.schema(prints.schema).parquet(folder)
-
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    prints = staged(named.select("id", _fingerprints(p)("text").alias("f")).select("id", "f.*"), "fingerprints")
     usable = prints.where("id IS NOT NULL AND set_key IS NOT NULL")
     classes = staged(
-        usable.groupBy("set_key").agg(
-            F.min("id").alias("class_id"), F.first(F.struct("n_shingles", "bands", "sketch")).alias("f")
-        ).select(F.monotonically_increasing_id().alias("node"), "set_key", "class_id", "f.*"), "classes",
+        usable.groupBy("set_key").agg(F.min("id").alias("node"), F.first(F.struct("n_shingles", "bands", "sketch")).alias("f"))
+        .select("node", "set_key", "f.*"), "classes",
     )
     banded = classes.select("node", F.explode("bands").alias("key"))
-    heads = staged(
-        banded.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
-        .select("key", "head"), "heads",
-    )
-    shared = staged(banded.join(heads, "key"), "shared")
-    needed = shared.select("node").distinct().join(classes.select("node", "set_key", "class_id"), "node")
-    texts = staged(needed.join(named, F.col("class_id") == F.col("id")).select("node", "set_key", "text"), "texts")
-
-    heads_of = shared.where("node <> head").groupBy("node", "head").agg(F.count("*").alias("bands"))
-    nearest = (
-        heads_of.where("bands >= 3").groupBy("node").agg(F.max_by("head", F.struct("bands", -F.col("head"))).alias("a"))
-        .select("a", F.col("node").alias("b"))
+    sizes = staged(
+        banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        .select("key", F.ceil(F.col("size") / p.block).cast("int").alias("blocks")), "sizes",
     )
-    links = staged(_verified(nearest, texts, p), "links")
-    buckets = shared.select("key", "node")
-    for turn in range(p.rounds, -1, -1):
-        labels = staged(components(links), "labels")
-        best = turn > 0 and (turn == p.rounds or not more.isEmpty())
-        pairs = staged(_open_pairs(buckets, classes, labels, best, p), "pairs")
-        more = staged(_verified(pairs, texts, p), "links")
-        links = links.unionAll(more)
-        if not best:
-            break
+    shared = staged(banded.join(sizes, "key"), "shared")
+    sketches = classes.select("node", "n_shingles", "sketch")
+    needed = shared.select("node").distinct()
+    texts = staged(named.join(needed, F.col("id") == F.col("node")).select("node", "text"), "texts")
 
-    # Texts of one id are one document, so their classes are linked as well.
-    repeated = prints.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    twice = usable.join(repeated, "id").join(classes.select("set_key", "node"), "set_key").groupBy("id")
-    links = links.unionAll(
-        usable.join(repeated, "id").join(classes.select("set_key", "node"), "set_key")
-        .join(twice.agg(F.min("node").alias("first")), "id").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    )
+    members = shared.join(sketches, "node").withColumn("comp", F.col("node"))
+    links = staged(_verified(_blocks(members, True, p), texts, p), "links")
     labels = staged(components(links), "labels")
-    grouped = classes.select("node", "set_key", "class_id").join(labels, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
+    labelled = staged(
+        shared.join(labels, "node", "left").select("key", "blocks", "node", F.coalesce("root", "node").alias("comp")), "labelled",
+    )
+    mixed = staged(
+        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "mixed",
     )
-    smallest = staged(grouped.groupBy("root").agg(F.min("class_id").alias("component_id")), "smallest")
-    named_classes = staged(staged(grouped, "grouped").join(smallest, "root").select("set_key", "class_id", "component_id"), "named")
-    own = F.when(F.col("set_key").isNotNull() | F.col("id").isNull(), F.col("component_id")).otherwise(F.col("id"))
-    found = prints.select("id", "n_shingles", "set_key").join(named_classes, "set_key", "left")
-    return found.select(
+    members = labelled.join(mixed, "key").join(sketches, "node")
+    more = _verified(_blocks(members, False, p), texts, p)
+
+    # Texts of one id are one document, so their classes are linked as well.
+    several = usable.groupBy("id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("id")
+    same = usable.join(staged(several, "several"), "id").join(classes.select("set_key", "node"), "set_key")
+    known = labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    labels = components(known.unionAll(more).unionAll(same.select(F.col("id").alias("a"), F.col("node").alias("b"))))
+    found = classes.select("node", "set_key").join(staged(labels, "labels"), "node", "left")
+    found = staged(found.select("set_key", "node", F.coalesce("root", "node").alias("root")), "found")
+    own = F.when(F.col("set_key").isNotNull(), F.col("root")).otherwise(F.col("id"))
+    return prints.select("id", "n_shingles", "set_key").join(found, "set_key", "left").select(
         F.col("id").alias(id_col), "n_shingles",
-        F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("node", "id")).alias("class_id"),
         F.when(F.col("id").isNotNull(), own).alias("component_id"),
         F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"),
     )
