@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, url_filter, warc
+from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, toxicity, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -48,6 +48,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.vote_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -60,5 +67,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash,
-                            op6_secret_scan, op9_quality_votes, op10_warc)
+                            op6_secret_scan, op8_toxicity, op9_quality_votes, op10_warc)
 }
