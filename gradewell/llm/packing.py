@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gradewell.llm.common import shared_folder, staged
@@ -38,83 +39,93 @@ def default() -> Packing:
     return Packing(public_tokenizers.path("word_bpe_49k.json"))
 
 
-#: Letters that clean-up neither splits nor joins, and ASCII marks after them, of which none opens a contraction.
-_LETTERS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)((?:[!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?)")
+#: A word of letters that clean-up neither splits nor joins, and the ASCII marks after it, of which none opens a contraction.
+_WORD = r"^(?P<stem>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>(?:[!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?)$"
 
 
-class WordTokens(dict):
-    """Token ids of words, as little-endian bytes, by the tokenizer file; forgotten when there are too many.
+class WordTokens:
+    """Token ids of texts by the tokenizer file, each different word tokenized once a batch.
 
-    For tokenizers that never join what white space parts, nor letters and the marks after them, and that mark the
-    token which ends a word: the ids of a text are those of its words in turn. Upper case in A-Z may be lost
+    For tokenizers that never join what white space parts, nor letters and the marks after them, and that mark
+    the token which ends a word: the ids of a text are those of its words in turn. Upper case in A-Z may be lost
     beforehand if the tokenizer drops it anyway, but for special tokens.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        # For lower-case words of letters, which need no clean-up.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        ])
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Makes all of `words` known. Words of letters go to the tokenizer many at a time."""
-        new = words.difference(self)
-        if len(self) + len(new) > self.most:
-            self.clear()
-            new = words
-        stems: set[str] = set()
-        marked: list[tuple[bytes, str, str]] = []
-        other: set[str] = set()
-        for word in new:
-            text = word.decode()
-            if (m := _LETTERS.fullmatch(text)) is None:
-                other.add(text)
-                continue
-            stem, marks = m.groups()
-            stems.add(stem)
-            if marks:
-                marked.append((word, stem, marks))
-                other.add(marks)
-        known: dict[str, bytes] = {}
-        plain, width = sorted(stems), self.kind.itemsize
-        groups = [plain[i:i + 500] for i in range(0, len(plain), 500)]
-        for some, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                data, at = ids.tobytes(), [0, *(cuts * width).tolist()]
-                known.update((w, data[b:e]) for w, b, e in zip(some, at, at[1:]))
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, self.kind) for e in found]
+
+    def _stems(self, stems: list[str]) -> list[np.ndarray]:
+        """Ids of words of letters, many to a call; parts of the list in turn, each with the lengths of its words."""
+        groups = [stems[i:i + 500] for i in range(0, len(stems), 500)]
+        out = []
+        for group, e in zip(groups, self.letters.encode_batch_fast([" ".join(g).lower() for g in groups])):
+            ids = np.array(e.ids, self.kind)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(group):
+                out.append((ids, np.diff(last, prepend=-1)))
             else:
-                other.update(some)
-        single = list(other)
-        known.update((w, ids.tobytes()) for w, ids in zip(single, self._ids(single)))
-        self.update((w, known[w.decode()]) for w in new if w.decode() in known)
-        self.update((word, known[stem] + known[marks]) for word, stem, marks in marked)
-
-    def encode(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
-        """Ids of each text, a few megabytes of texts at a time."""
-        held, size = [], 0
-        for text in texts:
-            text = text or b""
-            held.append((text if b"<|" in text else text.lower()).split())
-            size += len(text)
-            if size > 1 << 22:
-                yield from self._encoded(held)
-                held, size = [], 0
-        yield from self._encoded(held)
-
-    def _encoded(self, held: list[list[bytes]]) -> Iterator[np.ndarray]:
-        self.learn(set().union(*held))
-        for words in held:
-            yield np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
+                each = self._each(group)
+                out.append((np.concatenate(each), np.array([len(x) for x in each])))
+        return out
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text (null: none), a few megabytes of texts at a time."""
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 24), "right")))
+            yield from self._encoded(texts.slice(at, stop - at))
+            at = stop
+
+    def _encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words = split.flatten().dictionary_encode()
+        known, which = words.dictionary, words.indices.to_numpy(zero_copy_only=False)
+        parts = pc.extract_regex(known, _WORD)
+        other = pc.is_null(parts).to_numpy(zero_copy_only=False)
+        stems = pc.struct_field(parts, "stem").dictionary_encode()
+        marks = pc.struct_field(parts, "marks").dictionary_encode()
+
+        # Pieces in turn: the stems, the marks, the other words. A word is a stem and marks, or one other word and nothing.
+        found = self._stems(stems.dictionary.to_pylist())
+        single = self._each(marks.dictionary.to_pylist() + known.filter(pa.array(other)).to_pylist())
+        flat = np.concatenate([ids for ids, _ in found] + single + [np.zeros(0, self.kind)])
+        size = np.concatenate([n for _, n in found] + [np.array([len(x) for x in single] + [0], np.int64)])
+        start = np.cumsum(size) - size
+        n_stems, nothing = len(stems.dictionary), len(size) - 1
+        first = pc.fill_null(stems.indices, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        second = pc.fill_null(marks.indices, 0).to_numpy(zero_copy_only=False) + n_stems
+        first[other] = n_stems + len(marks.dictionary) + np.arange(other.sum())
+        second = np.where(other, nothing, second)
+
+        piece = np.column_stack((first[which], second[which])).reshape(-1)
+        lengths = size[piece]
+        done = np.cumsum(lengths)
+        ids = flat[np.repeat(start[piece] - (done - lengths), lengths) + np.arange(done[-1] if len(done) else 0)]
+        cuts = np.concatenate(([0], done))[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        whole = iter(self._each(texts.filter(special).to_pylist()))
+        for i, is_special in enumerate(special.to_pylist()):
+            yield next(whole) if is_special else ids[cuts[i]:cuts[i + 1]]
 
 
 @lru_cache(maxsize=2)
@@ -154,7 +165,7 @@ def _documents(p: Packing):
         end = np.array([p.end_id], tokens.kind)
         for texts in batches:
             out = []
-            for ids in tokens.encode(texts.to_pylist()):
+            for ids in tokens.encode(texts):
                 whole = np.concatenate((ids, end))
                 out.append({"n": len(whole), "ids": whole.tobytes(), "point": vectors.point(whole)})
             yield pa.array(out, pa.struct([("n", pa.int64()), ("ids", pa.binary()), ("point", pa.list_(pa.float64()))]))
@@ -232,7 +243,7 @@ def pack(docs: DataFrame, p: Packing | None = None, id_col: str = "doc_id", text
     p = p or default()
     spark = docs.sparkSession
     made = docs.select(
-        F.col(id_col).alias("doc_id"), _documents(p)(F.col(text_col).cast("string").cast("binary")).alias("d")
+        F.col(id_col).alias("doc_id"), _documents(p)(F.col(text_col).cast("string")).alias("d")
     ).select(F.monotonically_increasing_id().alias("row"), "doc_id", "d.*")
     folder = shared_folder(spark, "tokens")
     made.write.option("compression", "zstd").parquet(folder)
