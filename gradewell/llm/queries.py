@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, toxicity, url_filter, warc
+from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
 from gradewell.llm.common import table
 
 
@@ -48,6 +48,18 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What the counted edits take out: long numbers, and runs of marks.
+EDITED = r"[0-9]{6,}|[#*$%&]{3}"
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.with_trees(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    edits = token_counts.masking(F.coalesce("text", F.lit("")), EDITED, "")
+    return token_counts.apply_edits(counted, edits, with_texts=False).select(
+        "doc_id", "n_pre_tokens", "n_tokens", "n_edits", "n_tokens_after", "n_encoded",
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -66,6 +78,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash,
-                            op6_secret_scan, op8_toxicity, op9_quality_votes, op10_warc)
+    f.__name__: f for f in (
+        op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op6_secret_scan,
+        op7_token_counts, op8_toxicity, op9_quality_votes, op10_warc,
+    )
 }
