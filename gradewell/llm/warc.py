@@ -91,7 +91,7 @@ def _writer(folder: str, archive_bytes: int):
             # A name of its own for each attempt: what a lost executor leaves is in no manifest.
             path = f"{top}/{uuid.uuid4().hex}.warc.zst"
             data, trained = archive(records)
-            with where.open_output_stream(path) as f:
+            with where.open_output_stream(path, compression=None) as f:
                 f.write(data)
             return pa.RecordBatch.from_pydict({
                 "path": [f"{folder}/{path.rsplit('/', 1)[1]}"], "n_records": [len(records)], "n_bytes": [len(data)],
@@ -195,7 +195,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for uri in batch.column(0).to_pylist():
             where, path = _place(uri)
             rows = []
-            with where.open_input_stream(path) as f:
+            with where.open_input_stream(path, compression=None) as f:
                 for headers, block in records_of(f):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     n = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])

@@ -97,6 +97,20 @@ def test_signatures_do_not_depend_on_company():
     assert (together < N.SLOTS).all()
 
 
+def test_parities_never_claim_too_much():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**63, 4_000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool[:m], m * 3 // 4, replace=False)) for m in (2, 8, 100, 120, 130, 400, 500, 2_000, 4_000)]
+    bound = N.Parities([N.parities(s) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            least = bound.differing(i, np.array([j]))[0]
+            differ = len(np.setxor1d(a, b))
+            assert least <= differ
+            if 0.75 <= len(a) / len(b) <= 4 / 3 and i != j:
+                assert least > 0.6 * differ
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=60))
 def test_forest(edges):
