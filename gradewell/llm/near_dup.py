@@ -9,8 +9,9 @@ Candidates become links only when their full sets, made anew from the whole text
 Documents of one set form a class, and only classes are compared. In every bucket the sketches give the spanning
 trees of largest similarity, and their edges are verified on the full sets; groups of near copies become components
 by that, at about one verification a member. Then all pairs that share a bucket, are still in different components and
-may be similar by their sketches are verified, so that no link between components is lost. Sketches
-are compared in blocks of bounded size.
+may be similar are verified, so that no link between components is lost. Sketches are compared in blocks of bounded
+size. What passes the sketch must also pass a bound that never errs: sets are kept as parities of hashed bits, and as many
+shingles differ, at least, as parities do.
 """
 
 from __future__ import annotations
@@ -126,7 +127,39 @@ def bands_and_sketches(signatures: np.ndarray, p: NearDup = DEFAULT) -> tuple[np
     return keys.view(np.int64), (bits & np.uint64(0xFF)).astype(np.uint8)
 
 
-_FINGERPRINT = "struct<n_shingles:bigint,set_key:binary,bands:array<bigint>,sketch:binary>"
+def parities(found: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls on a bit; at least twice as many bits as shingles, a power of two."""
+    bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
+    return np.packbits(np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+class Parities:
+    """The parities of a group's sets, each also in half the bits; sets of similar sizes differ by one halving at most."""
+
+    def __init__(self, sets: list[bytes]):
+        self.size = np.array([len(s) for s in sets])
+        own = [np.frombuffer(s, np.uint8) for s in sets]
+        self.at: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in set(self.size.tolist()) | {s // 2 for s in self.size.tolist()}:
+            rows = np.flatnonzero((self.size == size) | (self.size == 2 * size))
+            made = [own[i] if len(own[i]) == size else own[i][:size] ^ own[i][size:] for i in rows]
+            place = np.full(len(sets), -1)
+            place[rows] = np.arange(len(rows))
+            self.at[size] = place, np.array(made, np.uint8)
+
+    def differing(self, i: int, which: np.ndarray) -> np.ndarray:
+        """How many shingles of row i and of each other differ, at least; 0 if the sizes are too far apart."""
+        out = np.zeros(len(which), np.int64)
+        for size in (self.size[i], self.size[i] // 2):
+            place, rows = self.at[size]
+            both = np.minimum(self.size[which], self.size[i]) == size
+            both &= (place[which] >= 0) & (place[i] >= 0)
+            if both.any():
+                out[both] = np.bitwise_count(rows[place[which[both]]] ^ rows[place[i]]).sum(axis=1)
+        return out
+
+
+_FINGERPRINT = "struct<n_shingles:bigint,set_key:binary,bands:array<bigint>,sketch:binary,parities:binary>"
 #: Shingles in one call of superminhash; the permutations of so many fit the processor's cache.
 _AT_ONCE = 50_000
 
@@ -140,13 +173,13 @@ def _fingerprints(p: NearDup):
             if group:
                 keys, sketches = bands_and_sketches(superminhash([s for _, s in group]), p)
                 for (i, s), k, sketch in zip(group, keys, sketches):
-                    out[i] |= {"set_key": xxhash.xxh3_128_digest(s.tobytes()), "bands": k, "sketch": sketch.tobytes()}
+                    out[i] |= {"set_key": xxhash.xxh3_128_digest(s.tobytes()), "bands": k, "sketch": sketch.tobytes(), "parities": parities(s)}
                 group.clear()
 
         held = 0
         for i, text in enumerate(texts):
             found = shingles(text, p.words)
-            out.append({"n_shingles": len(found), "set_key": None, "bands": [], "sketch": None})
+            out.append({"n_shingles": len(found), "set_key": None, "bands": [], "sketch": None, "parities": None})
             if len(found):
                 group.append((i, found))
                 held += len(found)
@@ -160,7 +193,7 @@ def _fingerprints(p: NearDup):
         for texts in batches:
             yield pa.array(of(texts.to_pylist()), pa.struct([
                 ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())),
-                ("sketch", pa.binary()),
+                ("sketch", pa.binary()), ("parities", pa.binary()),
             ]))
 
     return F.arrow_udf(fingerprints, _FINGERPRINT, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
@@ -226,12 +259,15 @@ def _likely(p: NearDup, trees: bool):
                     yield int(max(node[i], node[of[i]])), int(min(node[i], node[of[i]]))
                 rest = rest[rest != i]
             return
-        mixed = part.min() != part.max()
+        mixed, kept = part.min() != part.max(), Parities([r[5] for r in rows])
         for i in range(len(rows) - 1):
             rest = np.arange(i + 1, len(rows))
             if mixed:  # pairs inside one block belong to that block's own group
                 rest = rest[part[rest] != part[i]]
-            for j in rest[agreeing(i, rest) > 0]:
+            rest = rest[agreeing(i, rest) > 0]
+            both = n[rest] + n[i]
+            common = (both - kept.differing(i, rest)) // 2  # at most
+            for j in rest[100 * common >= p.percent * (both - common)]:
                 yield int(max(node[i], node[j])), int(min(node[i], node[j]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -252,17 +288,17 @@ def _likely(p: NearDup, trees: bool):
 
 
 def _blocks(members: DataFrame, trees: bool, p: NearDup) -> DataFrame:
-    """Pairs (a, b) among members (key, blocks, node, comp, n_shingles, sketch) of one bucket that may be similar.
+    """Pairs (a, b) among members (key, blocks, node, comp, n_shingles, sketch, parities) of one bucket that may be similar.
 
     A bucket of many members is cut into blocks by a hash; each two blocks meet in a group of their own.
     """
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     met = members.withColumn("mine", mine).select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "mine",
-        "node", "comp", "n_shingles", "sketch",
+        "node", "comp", "n_shingles", "sketch", "parities",
     ).select(
         "key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-        "node", "comp", "n_shingles", "mine", "sketch",
+        "node", "comp", "n_shingles", "mine", "sketch", "parities",
     )
     dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     return staged(dealt.mapInArrow(_likely(p, trees), "a long, b long").distinct(), "pairs")
@@ -282,7 +318,7 @@ def near_duplicates(
     prints = staged(named.select("id", _fingerprints(p)("text").alias("f")).select("id", "f.*"), "fingerprints")
     usable = prints.where("id IS NOT NULL AND set_key IS NOT NULL")
     classes = staged(
-        usable.groupBy("set_key").agg(F.min("id").alias("node"), F.first(F.struct("n_shingles", "bands", "sketch")).alias("f"))
+        usable.groupBy("set_key").agg(F.min("id").alias("node"), F.first(F.struct("n_shingles", "bands", "sketch", "parities")).alias("f"))
         .select("node", "set_key", "f.*"), "classes",
     )
     banded = classes.select("node", F.explode("bands").alias("key"))
@@ -291,11 +327,12 @@ def near_duplicates(
         .select("key", F.ceil(F.col("size") / p.block).cast("int").alias("blocks")), "sizes",
     )
     shared = staged(banded.join(sizes, "key"), "shared")
-    sketches = classes.select("node", "n_shingles", "sketch")
+    sketches = classes.select("node", "n_shingles", "sketch", "parities")
     needed = shared.select("node").distinct()
     texts = staged(named.join(needed, F.col("id") == F.col("node")).select("node", "text"), "texts")
 
-    members = shared.join(sketches, "node").withColumn("comp", F.col("node"))
+    # The trees need no bound; the verification tells.
+    members = shared.join(sketches.withColumn("parities", F.lit(None).cast("binary")), "node").withColumn("comp", F.col("node"))
     links = staged(_verified(_blocks(members, True, p), texts, p), "links")
     labels = staged(components(links), "labels")
     labelled = staged(
