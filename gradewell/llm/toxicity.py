@@ -24,14 +24,14 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gradewell.llm.common import staged, with_result
+from gradewell.llm.common import with_result
 
 
 @dataclass(frozen=True)
 class Toxicity:
-    """The model is fitted on at most `per_label` texts of each label, of at most `characters` each."""
+    """The model is fitted on at most `per_label` labelled ids of each label, and `characters` of each text."""
 
-    per_label: int = 2_500
+    per_label: int = 3_000
     characters: int = 20_000
     window: int = 96
     level: int = 7
@@ -199,26 +199,37 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
-def _smallest(rows: DataFrame, p: Toxicity) -> list[bytes]:
-    """A bounded sample that does not depend on partitions: the texts of the smallest hashes."""
-    some = rows.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h", "text").limit(p.per_label)
-    return [(r[0] or "")[:p.characters].lower().encode("utf-8", "surrogatepass") for r in some.select("text").collect()]
+def _sampled(docs: DataFrame, known: DataFrame, p: Toxicity) -> dict[int, list[bytes]]:
+    """Different texts by label, of a bounded sample of ids that does not depend on partitions: those of the smallest hashes."""
+    picked = [
+        known.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(p.per_label) for label in (0, 1)
+    ]
+    # Twice per_label ids at most, and one text of each.
+    ids = F.broadcast(picked[0].unionAll(picked[1]))
+    rows = docs.join(ids, "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).collect()
+    out: dict[int, set[bytes]] = {0: set(), 1: set()}
+    for r in rows:
+        if r["text"] is not None:
+            out[r["toxic"]].add(r["text"].lower().encode("utf-8", "surrogatepass"))
+    return {label: sorted(texts) for label, texts in out.items()}
 
 
 def train(docs: DataFrame, labels: DataFrame, p: Toxicity = DEFAULT, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model, from a bounded sample of the labelled rows that are not held out.
 
-    Rows without a label, an id or a text teach nothing; an id of two labels or texts teaches with each. The curve is
+    Rows without a label, an id or a text teach nothing; an id of two labels teaches with each, one of several texts with one. The curve is
     fitted to each half of the sample by dictionaries of the other, so to gains like those of unseen texts; the
     dictionaries kept are of the whole sample.
     Without any text of one label every score is the share of toxic labels, or a half if there is no label.
     """
-    known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).select(F.col(id_col).alias("id"), "toxic")
+    known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1)).select(
+        F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")
+    )
     known = known.where(~held_out(F.col("id"), p.fold_every)).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, p.characters).alias("text"))
-    rows = staged(texts.where(F.col("text").isNotNull() & ~held_out(F.col("id"), p.fold_every)).join(known, "id"), "labelled")
-    toxic, ordinary = _smallest(rows.where("toxic = 1"), p), _smallest(rows.where("toxic = 0"), p)
-    counts = {r["toxic"]: r["n"] for r in rows.where("toxic IN (0, 1)").groupBy("toxic").agg(F.count_distinct("text").alias("n")).collect()}
+    sample = _sampled(texts, known, p)
+    toxic, ordinary = sample[1], sample[0]
+    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not toxic or not ordinary:
         share = (len(toxic) + 0.5) / (len(toxic) + len(ordinary) + 1)
         return Model(b" " * 8, b" " * 8, (0.0,) * 4 + (float(np.log(share / (1 - share))),), p.window, p.level, p.context_bytes)

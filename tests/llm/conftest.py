@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from awkward_rows import CLASH, ROWS
+from .awkward_rows import CLASH, ROWS
 
 @pytest.fixture(scope="session")
 def awkward(spark):

@@ -2,7 +2,7 @@ import re
 
 from gradewell.llm import decontamination as D
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

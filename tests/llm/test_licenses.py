@@ -3,7 +3,7 @@ import re
 
 from gradewell.llm import licenses as L
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 MORE = [
     (20, "Cc  By!CC-BY cc by"), (21, "cc\nby and the GENERAL public\tLicense."), (22, "xcc by cc byx"), (23, "all rights reserved" * 3),

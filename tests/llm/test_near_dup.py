@@ -8,7 +8,7 @@ from gradewell.llm import near_dup as N
 from gradewell.llm.components import components, forest
 from gradewell.llm.common import staged
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 
 def shingle_set(text):

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from gradewell.llm import packing
 from gradewell.llm.queries import op1_curve_packing
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 
 @pytest.fixture(scope="module")

@@ -1,10 +1,10 @@
 import zlib
 
 import pytest
-from test_decontamination import brute as decontaminated
-from test_near_dup import brute as near_dups
-from test_packing import check
-from test_secrets import base as secrets
+from .test_decontamination import brute as decontaminated
+from .test_near_dup import brute as near_dups
+from .test_packing import check
+from .test_secrets import base as secrets
 
 import __spark_entry__
 import corpus_pipeline as P

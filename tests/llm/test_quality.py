@@ -7,7 +7,7 @@ import pytest
 from gradewell.llm import quality as Q
 from gradewell.llm.queries import op9_quality_votes
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 MORE = [
     (40, "a b c a b c a"), (41, "x x x x"), (42, "a b\na b\n \na b\n"), (43, "#*$%&|<> € # \x0b\x0c|"), (44, "é è  ê\r\nà"),

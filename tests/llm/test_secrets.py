@@ -8,7 +8,7 @@ import pytest
 from gradewell.llm import secret_scan as S
 from gradewell.llm.queries import op6_secret_scan
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 MORE = [

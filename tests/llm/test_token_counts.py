@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradewell.llm import token_counts as C
 from gradewell.llm.queries import EDITED, op7_token_counts
 
-from awkward_rows import ROWS
+from .awkward_rows import ROWS
 
 TEXT = st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("ab's'tre.,!? \n\t12  ''llve  ")), max_size=60)
 
