@@ -31,6 +31,12 @@ REQUIRED_REPAYMENT_COLUMNS = [
     "total_payment_received", "last_payment_amount",
 ]
 
+REQUIRED = {
+    "customers": ["annual_inc"],
+    "loans": REQUIRED_LOAN_COLUMNS,
+    "loans_repayments": REQUIRED_REPAYMENT_COLUMNS,
+}
+
 
 def dedupe(landed: DataFrame) -> DataFrame:
     return landed.distinct()
@@ -46,6 +52,13 @@ def _require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(" and ".join(f"{c} is not null" for c in columns))
 
 
+def dropped_rows(landed: DataFrame, entity: str) -> DataFrame:
+    """How many distinct landed rows the cleaner drops, by the first required column that is missing."""
+    first = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[entity]])
+    missing = dedupe(landed).select(first.alias("missing")).where("missing is not null")
+    return missing.groupBy("missing").agg(F.count("*").alias("n_rows")).select(F.lit(entity).alias("entity"), "missing", "n_rows")
+
+
 def fill_with_mean(df: DataFrame, column: str) -> DataFrame:
     """Fill NULLs of an int column with its mean, truncated, as a scalar subquery in the plan."""
     mean = df.agg(F.avg(column).cast("int")).scalar()

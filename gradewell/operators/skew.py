@@ -1,40 +1,38 @@
 """Equi-joins of rows with members that stay balanced when one member holds a third of the rows.
 
-Members are hashed into a fixed number of buckets and the rows per bucket are counted. A bucket far
-above its fair share is hot: its rows on the many side are spread over several salts, its members on
-the other side are repeated once per salt, and the join runs on member and salt. Every row still
-meets its member exactly once, so results do not change. AQE does not split this kind of join by
-itself: it wants a plain shuffle on both sides, and the member side is usually an aggregate.
+The rows of every member are counted, and a member is cut into slices of a fixed number of rows: its rows on the
+many side are spread over as many salts as it has slices, it is repeated once per salt on the other side, and the join
+runs on member and salt. Every row still meets its member exactly once, so results do not change. AQE does
+not split this kind of join by itself: it wants a plain shuffle on both sides, and the member side is usually an
+aggregate.
+
+What tells the salts is broadcast, so it must not grow: members share buckets, and a bucket takes the salts of its
+largest member. Members that share one with a large member are repeated in vain, but for every slice there is
+that many rows, so all repeats together stay below the rows divided by SLICE_ROWS, times the members of a bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-BUCKETS = 16_384      # the histogram has at most this many rows, at any data size
-FAIR_SHARES = 4       # a bucket is hot above this many times the mean
-MIN_HOT_ROWS = 1_000_000
-MAX_SALTS = 2_048     # all salts together repeat the members at most about once more
+BUCKETS = 65_536        # rows of two ints that are broadcast, at most and at any data size
+SLICE_ROWS = 1_000_000  # rows of one member that one task joins, at any data size
 
 
 def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def hot_buckets(rows: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Buckets of `key` that need salting, with their number of salts: at most BUCKETS rows.
+def hot_buckets(rows: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Buckets with a member of more rows than a slice, and the slices of its largest one: at most BUCKETS rows.
 
-    `rows` need hold no more than the key. Counts are combined on the map side; the window that adds
-    them up, in one task, sees the histogram only.
+    `rows` need hold no more than the key. Rows are counted per member, combined on the map side.
     """
-    histogram = (
-        rows.groupBy(_bucket(F.col(key)).alias("_bucket")).agg(F.count("*").alias("_rows"))
-        .withColumn("_fair", F.sum("_rows").over(Window.partitionBy()) / F.lit(BUCKETS))
+    slices = F.ceil(F.col("_rows") / F.lit(slice_rows)).cast("int")
+    return (
+        rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > slice_rows)
+        .groupBy(_bucket(F.col(key)).alias("_bucket")).agg(F.max(slices).alias("_salts"))
     )
-    threshold = F.greatest(F.col("_fair") * FAIR_SHARES, F.lit(float(min_hot_rows)))
-    per_salt = F.greatest(F.col("_fair"), F.lit(min_hot_rows / FAIR_SHARES))
-    salts = F.least(F.ceil(F.col("_rows") / per_salt), F.lit(MAX_SALTS)).cast("int")
-    return histogram.where(F.col("_rows") > threshold).select("_bucket", salts.alias("_salts"))
 
 
 def _with_salt(df: DataFrame, key: str, hot: DataFrame, salt: Column) -> DataFrame:
@@ -47,8 +45,9 @@ def join_members(rows: DataFrame, members: DataFrame, hot: DataFrame, how: str =
                  key: str = "member_id") -> DataFrame:
     """Join `rows` (many per member) with `members` on the member, salting hot members.
 
-    `how` is inner, left or left_anti. The salt is a hash of the row's own columns, not a random number, so a
-    recomputed task sends each row where it went before; rows should therefore be distinct.
+    `how` is inner, left or left_anti. `members` should hold one row per member, since each is repeated per salt. The salt
+    is a hash of the row's own columns, not a random number, so a recomputed task sends each row where it went
+    before; rows should therefore be distinct.
     """
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     row_salt = F.pmod(F.xxhash64(*rows.columns), salts).cast("int")

@@ -7,15 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from gradewell import schemas
 
 
-def _customer_columns():
-    names = [name for name in schemas.CUSTOMERS.fieldNames() if name != "country"]
-    columns = {name: F.col(name) for name in names}
-    columns["country"] = F.lit("USA")
-    return [columns[name].alias(name) for name in schemas.CUSTOMERS.fieldNames()]
-
-
 def split_customers(keyed: DataFrame) -> DataFrame:
-    return keyed.select(*_customer_columns())
+    return keyed.withColumn("country", F.lit("USA")).select(*schemas.CUSTOMERS.fieldNames())
 
 
 # Wide column behind each landed column of loans and repayments.

@@ -6,45 +6,38 @@ from pyspark.sql import DataFrame, functions as F
 
 from gradewell.operators.clean import delinquencies_and_details
 from gradewell.operators.skew import join_members
+from gradewell.schemas import PAIR_COUNT
 
 
-def _counted(table: DataFrame, name: str) -> DataFrame:
-    return table.groupBy(*table.columns).agg(F.count("*").alias(name))
-
-
-def repeat_rows(counted: DataFrame, count: str) -> DataFrame:
-    """Each row as often as its count says, without a shuffle.
-
-    In two steps, so that no row ever carries an array as long as its count.
-    """
-    block = F.lit(4096)
-    blocks = F.sequence(F.lit(0), F.floor((F.col(count) - 1) / block))
-    copies = F.sequence(F.lit(1), F.least(block, F.col(count) - F.col("_block") * block))
-    return (
-        counted.withColumn("_block", F.explode(blocks))
-        .withColumn("_copy", F.explode(copies))
-        .drop("_block", "_copy", count)
-    )
+def member_counts(customers: DataFrame, delinquencies: DataFrame, details: DataFrame) -> DataFrame:
+    """How many rows of each table a member has, for members that have some in all three: one row each."""
+    sides = {"n_customers": customers, "n_delinq": delinquencies, "n_detail": details}
+    ids = [
+        df.select("member_id", *[F.lit(int(name == own)).alias(name) for name in sides]) for own, df in sides.items()
+    ]
+    both = ids[0].unionAll(ids[1]).unionAll(ids[2])
+    counted = both.groupBy("member_id").agg(*[F.sum(name).alias(name) for name in sides])
+    return counted.where(" and ".join(f"{name} > 0" for name in sides))
 
 
 def join_wide(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinquencies: DataFrame,
               details: DataFrame, hot: DataFrame) -> DataFrame:
-    """Inner join of the five tables, repeated names kept once.
+    """The inner join of the five tables, factored: one row per loan and repayment.
 
-    Loans meet repayments on the loan; everything else meets on the member. Equal delinquency and
-    detail rows travel once with a count and are repeated at the very end, after the last shuffle.
-    A member with several rows in several tables yields every combination of them: that is what
-    the join means.
+    The join pairs every customer row of a member with every delinquency, detail record and loan of that member, though
+    loans say nothing about which belong together. Here each loan carries how many rows of each kind its member has, and
+    their product `n_rows`, the rows that the join would make of it; the member's own rows stay in their tables. The
+    result is linear in the loans, and no combination is ever made.
     """
-    members = _counted(delinquencies, "_q").join(_counted(details, "_d"), "member_id")
-    people = join_members(customers, members, hot)
-    wide = join_members(loans.join(repayments, "loan_id"), people, hot)
-    return repeat_rows(wide.withColumn("_n", F.col("_q") * F.col("_d")).drop("_q", "_d"), "_n")
+    members = member_counts(customers, delinquencies, details)
+    counted = join_members(loans.join(repayments, "loan_id"), members, hot)
+    parts = " * ".join(f"cast({name} as decimal(12,0))" for name in ("n_customers", "n_delinq", "n_detail"))
+    return counted.withColumn("n_rows", F.expr(parts).cast(PAIR_COUNT))
 
 
 def join_kept(customers: DataFrame, loans: DataFrame, repayments: DataFrame, defaulters: DataFrame,
               hot: DataFrame) -> DataFrame:
-    """The same join without quarantined members: one row per loan.
+    """The same join without quarantined members, all columns: one row per loan.
 
     Each member has one customer and one default-history row, and delinquency and detail record are
     both read off the latter.

@@ -84,10 +84,6 @@ class Band:
     or_null: bool = False
 
 
-def _share(text: str) -> Decimal:
-    return Decimal(text)
-
-
 @dataclass(frozen=True)
 class RuleSet:
     """A profile: the bands and text patterns of every rule.
@@ -107,11 +103,12 @@ class RuleSet:
     otherwise_home: str | None
     otherwise_grade: str | None
     half_open_grades: bool
+    loans_by_member: bool = False
 
 
 # Total received against the funded amount. These points had no definition to follow: the table is ours.
 TOTAL_PAYMENT_BANDS = (
-    Band("very_good", low=_share("0.5"), closed="left"),
+    Band("very_good", low=Decimal("0.5"), closed="left"),
     Band("good", low=0, closed="neither"),
 )
 
@@ -129,20 +126,20 @@ COUNT_BANDS = (
 LITERAL = RuleSet(
     # Last payment in installments.
     last_payment=(
-        Band("very_bad", high=_share("0.5"), closed="neither"),
-        Band("bad", low=_share("0.5"), high=1, closed="neither"),
-        Band("good", low=_share("0.5"), high=_share("0.5")),
-        Band("very_good", low=1, high=_share("1.5"), closed="neither"),
-        Band("excellent", low=_share("1.5"), closed="neither"),
+        Band("very_bad", high=Decimal("0.5"), closed="neither"),
+        Band("bad", low=Decimal("0.5"), high=1, closed="neither"),
+        Band("good", low=Decimal("0.5"), high=Decimal("0.5")),
+        Band("very_good", low=1, high=Decimal("1.5"), closed="neither"),
+        Band("excellent", low=Decimal("1.5"), closed="neither"),
     ),
     counts=COUNT_BANDS,
     count_null_column="delinq_2yrs",
     # Funded amount in credit limits; earlier bands win.
     funded=(
-        Band("excellent", high=_share("0.1")),
-        Band("good", low=_share("0.1"), high=_share("0.3"), closed="neither"),
-        Band("bad", high=_share("0.3")),
-        Band("very_bad", high=_share("0.5")),
+        Band("excellent", high=Decimal("0.1")),
+        Band("good", low=Decimal("0.1"), high=Decimal("0.3"), closed="neither"),
+        Band("bad", high=Decimal("0.3")),
+        Band("very_bad", high=Decimal("0.5")),
         Band("unacceptable", low=1, high=1),
     ),
     # Lower-cased LIKE patterns, first match wins.
@@ -166,23 +163,24 @@ LITERAL = RuleSet(
     otherwise_home=None,
     otherwise_grade=None,
     half_open_grades=False,
+    loans_by_member=True,
 )
 
 REPAIRED = RuleSet(
     last_payment=(
-        Band("very_bad", high=_share("0.5"), closed="neither"),
-        Band("bad", low=_share("0.5"), high=1, closed="left"),
+        Band("very_bad", high=Decimal("0.5"), closed="neither"),
+        Band("bad", low=Decimal("0.5"), high=1, closed="left"),
         Band("good", low=1, high=1),
-        Band("very_good", low=1, high=_share("1.5"), closed="neither"),
-        Band("excellent", low=_share("1.5"), closed="left"),
+        Band("very_good", low=1, high=Decimal("1.5"), closed="neither"),
+        Band("excellent", low=Decimal("1.5"), closed="left"),
     ),
     counts=COUNT_BANDS,
     count_null_column=None,
     funded=(
-        Band("excellent", high=_share("0.1")),
-        Band("good", low=_share("0.1"), high=_share("0.3"), closed="neither"),
-        Band("bad", low=_share("0.3"), high=_share("0.5"), closed="left"),
-        Band("very_bad", low=_share("0.5"), high=_share("0.9"), closed="left"),
+        Band("excellent", high=Decimal("0.1")),
+        Band("good", low=Decimal("0.1"), high=Decimal("0.3"), closed="neither"),
+        Band("bad", low=Decimal("0.3"), high=Decimal("0.5"), closed="left"),
+        Band("very_bad", low=Decimal("0.5"), high=Decimal("0.9"), closed="left"),
     ),
     loan_status=(
         ("%fully paid%", "excellent"),

@@ -73,23 +73,29 @@ def build_wide(spark: SparkSession, layout: Layout) -> None:
     })
 
 
-def build_unfiltered_wide(spark: SparkSession, layout: Layout) -> None:
-    """The wide table of all members. Those with conflicting records yield every combination of
-    them, which is quadratic in the records of one member."""
-    customers = layout.read(spark, "silver", "customers").drop("ingest_date")
+def build_counted_wide(spark: SparkSession, layout: Layout) -> None:
+    """The wide table of all members, quarantined ones too, in factored form: one row per loan."""
+    customers = layout.read(spark, "silver", "customers").select("member_id")
     loans, repayments = _loans_and_repayments(spark, layout)
-    delinquencies = layout.read(spark, "silver", "loans_defaulters_delinq")
-    details = layout.read(spark, "silver", "loans_defaulters_detail_records_enq")
+    delinquencies = layout.read(spark, "silver", "loans_defaulters_delinq").select("member_id")
+    details = layout.read(spark, "silver", "loans_defaulters_detail_records_enq").select("member_id")
     layout.write("silver", {
-        "total_files": wide.join_wide(customers, loans, repayments, delinquencies, details, _hot(spark, layout)),
+        "total_files_counted": wide.join_wide(customers, loans, repayments, delinquencies, details, _hot(spark, layout)),
     })
 
 
+def count_dropped(spark: SparkSession, layout: Layout) -> None:
+    """How many landed rows of each entity the cleaners drop, and why."""
+    counts = [clean.dropped_rows(layout.read(spark, "bronze", entity), entity) for entity in clean.REQUIRED]
+    layout.write("quarantine", {"dropped_rows": counts[0].unionByName(counts[1]).unionByName(counts[2])})
+
+
 def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: ScoreParams = score.DEFAULTS,
                 rules: RuleSet = REPAIRED, include_clean_members: bool = False) -> None:
     """Grades from the wide gold table, whose rows are the loans to score: no join is left to do.
 
-    Members without a delinquency are not in the wide table; including them takes the join again.
+    Members without a delinquency are not in the wide table; including them takes the join again. Rules that join loans
+    a second time on the member also give the grades of those pairs, counted, as `member_scores`.
     """
     if include_clean_members:
         loans, repayments = _loans_and_repayments(spark, layout)
@@ -100,19 +106,25 @@ def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: Sc
         points = score.score_wide(layout.read(spark, "gold", "total_files"), params, rules)
     graded = clean.add_ingest_date(score.grade(points, params, rules), batch_time)
     layout.write("gold", {"loan_scores": graded})
+    if rules.loans_by_member:
+        loans, repayments = _loans_and_repayments(spark, layout)
+        pairs = score.grade_member_pairs(
+            score.payment_base(repayments, loans), loans, layout.read(spark, "silver", "customers"),
+            layout.read(spark, "silver", "loans_defaulters"), _hot(spark, layout), params, rules)
+        layout.write("gold", {"member_scores": clean.add_ingest_date(pairs, batch_time)})
 
 
 def run(spark: SparkSession, applications: DataFrame, layout: Layout | str, batch_time: str,
         params: ScoreParams = score.DEFAULTS, rules: RuleSet = REPAIRED,
-        include_clean_members: bool = False, unfiltered_wide: bool = False) -> Layout:
+        include_clean_members: bool = False) -> Layout:
     """All layers, under a root or in a given layout, from a wide table in the declared schema."""
     layout = Layout(layout) if isinstance(layout, str) else layout
     land_bronze(spark, applications, layout)
     build_silver(spark, layout, batch_time)
     mark_hot_members(spark, layout)
-    if unfiltered_wide:
-        build_unfiltered_wide(spark, layout)
+    build_counted_wide(spark, layout)
     quarantine(spark, layout)
+    count_dropped(spark, layout)
     build_wide(spark, layout)
     score_loans(spark, layout, batch_time, params, rules, include_clean_members)
     return layout

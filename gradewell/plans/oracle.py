@@ -47,6 +47,7 @@ loans as (
   select loan_id, member_id, loan_amount, funded_amount,
          cast(trunc(cast(trim(replace(loan_term_months, ' months', '')) as int) / 12) as int) loan_term_years,
          interest_rate, monthly_installment, issue_date, loan_status,
+         -- fixed values: the purposes kept
          case when loan_purpose in ('debt_consolidation', 'credit_card', 'home_improvement', 'other',
                                     'major_purchase', 'medical', 'small_business', 'car', 'vacation', 'moving',
                                     'house', 'wedding', 'renewable_energy', 'educational')
@@ -91,6 +92,22 @@ good_customers as (select * from customers where member_id not in (select member
 good_delinq as (select * from delinq where member_id not in (select member_id from bad)),
 good_detail as (select * from detail where member_id not in (select member_id from bad)),
 base as (select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id),
+dropped as (
+  select 'customers' entity, 'annual_inc' missing, count(*) n_rows
+  from (select distinct * from landed_customers) where annual_inc is null having count(*) > 0
+  union all
+  select 'loans', case when loan_amount is null then 'loan_amount' when funded_amount is null then 'funded_amount'
+    when loan_term_months is null then 'loan_term_months' when interest_rate is null then 'interest_rate'
+    when monthly_installment is null then 'monthly_installment' when issue_date is null then 'issue_date'
+    when loan_status is null then 'loan_status' when loan_purpose is null then 'loan_purpose' end missing, count(*)
+  from (select distinct * from landed_loans) group by missing having missing is not null
+  union all
+  select 'loans_repayments', case when total_principal_received is null then 'total_principal_received'
+    when total_interest_received is null then 'total_interest_received'
+    when total_late_fee_received is null then 'total_late_fee_received'
+    when total_payment_received is null then 'total_payment_received'
+    when last_payment_amount is null then 'last_payment_amount' end missing, count(*)
+  from (select distinct * from landed_repayments) group by missing having missing is not null),
 """
 
 # Points and cut points.
@@ -241,14 +258,42 @@ _RESULT = ("member_id, loan_id, payment_history_pts, loan_default_history_pts, f
            "loan_total_score, loan_grade")
 
 
+_COUNTED_GRADES = """
+  select member_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
+         loan_grade, cast(count(*) as decimal(38,0)) n_rows
+  from grades group by all"""
+
+
+def _skewed(sql: str) -> str:
+    """The same over applications of which a third carry the person and the history of one."""
+    loan = ["id", "loan_amnt", "funded_amnt", "term", "int_rate", "installment", "issue_d", "loan_status", "purpose", "title",
+            "total_rec_prncp", "total_rec_int", "total_rec_late_fee", "total_pymnt", "last_pymnt_amnt", "last_pymnt_d",
+            "next_pymnt_d"]
+    own = ", ".join(f"a.{c} as {c}" for c in loan)
+    skewed = f"""applications as (
+      select p.* replace ({own}) from given a join given p on p.id = case when cast(a.id as bigint) % 3 = 0 then (
+        select cast(min(cast(id as bigint)) as varchar) from given where annual_inc is not null and delinq_2yrs between 1 and 7)
+        else a.id end"""
+    at = sql.index("keyed as (")
+    before = sql[:at].rstrip().removesuffix(",").replace("applications as (", "given as (", 1)
+    return f"{before}, {skewed}),\n{sql[at:]}"
+
+
+def _hostile(column: str, line_end: str = "") -> str:
+    text = ', "quoted", ""twice"" \\ 007 ' + line_end + "end"
+    return f"case when {column} like '%3' then '' else {column} || '{text}' end"
+
+
 def oracle_sql() -> dict[str, str]:
     default_history = "cast((delinq_pts + public_record_pts + public_bankruptcies_pts + enq_pts) * 0.45 as decimal(13,2))"
     return {
-        "csv_inferred_scan": _query("select * from applications"),
-        "csv_declared_scan": _query("select * from landed_loans"),
+        "csv_inferred_scan": _query(f"select * replace ({_hostile('title')} as title) from applications"),
+        "csv_declared_scan": _query(
+            f"select * replace ({_hostile('loan_title', chr(10))} as loan_title) from landed_loans"),
         "csv_permissive": _query(
             "select id loan_id, case when term is not null then installment end monthly_installment from applications"),
-        "csv_sink_roundtrip": _query("select * from loans"),
+        "csv_sink_roundtrip": _query(f"select * replace ({_hostile('loan_title')} as loan_title) from loans"),
+        "medallion_literal": _scored(_COUNTED_GRADES, profile="literal"),
         "medallion_layout": _scored("""
           select 'bronze' layer, 'customers' entity, count(*) n_rows from landed_customers
           union all select 'bronze', 'loans', count(*) from landed_loans
@@ -270,6 +315,10 @@ def oracle_sql() -> dict[str, str]:
             join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
             join good_delinq q on q.member_id = c.member_id join good_detail t on t.member_id = c.member_id
           union all select 'gold', 'loan_scores', count(*) from grades
+          union all select 'silver', 'total_files_counted', count(*) from loans l join repayments using (loan_id)
+            where l.member_id in (select member_id from customers) and l.member_id in (select member_id from delinq)
+              and l.member_id in (select member_id from detail)
+          union all select 'quarantine', 'dropped_rows', count(*) from dropped
           union all select 'quarantine', 'bad_data', count(*) from bad"""),
         "catalog_scan": _query("select * from customers"),
         "view_scan": _scored(f"select {_RESULT} from grades"),
@@ -300,9 +349,13 @@ def oracle_sql() -> dict[str, str]:
         "exclude_delinq": _query("select * from good_delinq"),
         "exclude_detail": _query("select * from good_detail"),
         "exclude_not_in": _query("select * from base where not member_id in (select member_id from bad)"),
-        "join_wide": _query(f"""select {_WIDE_COLUMNS} from customers c
-            join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
-            join delinq q on q.member_id = c.member_id join detail t on t.member_id = c.member_id"""),
+        "join_wide": _query("""select j.*, x.n n_customers, y.n n_delinq, z.n n_detail from (
+              select l.*, r.* exclude (loan_id), cast(count(*) as decimal(38,0)) n_rows from customers c
+              join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
+              join delinq q on q.member_id = c.member_id join detail t on t.member_id = c.member_id group by all) j
+            join (select member_id, count(*) n from customers group by member_id) x using (member_id)
+            join (select member_id, count(*) n from delinq group by member_id) y using (member_id)
+            join (select member_id, count(*) n from detail group by member_id) z using (member_id)"""),
         "join_wide_clean": _query(f"""select {_WIDE_COLUMNS} from good_customers c
             join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
             join good_delinq q on q.member_id = c.member_id join good_detail t on t.member_id = c.member_id"""),
@@ -328,11 +381,11 @@ def oracle_sql() -> dict[str, str]:
             "loan_total_score from totals"),
         "loan_grade": _scored(f"select {_RESULT} from grades"),
         "loan_grade_from_wide": _scored(f"select {_RESULT} from grades"),
-        "loan_grade_literal": _scored("""
-          select member_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
-                 loan_grade, cast(count(*) as decimal(38,0)) n_rows
-          from grades group by all""", profile="literal"),
+        "loan_grade_literal": _scored(_COUNTED_GRADES, profile="literal"),
         "loan_grade_incl_clean": _scored(f"select {_RESULT} from grades", clean_members=True),
         "grade_distribution": _scored("select loan_grade, count(*) loans from grades group by loan_grade"),
         "score_custom_params": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
+        "score_from_conf": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
+        "dropped_rows": _query("select * from dropped"),
+        "loan_grade_skewed": _skewed(_scored(f"select {_RESULT} from grades")),
     }

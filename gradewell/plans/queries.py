@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from gradewell import schemas
 from gradewell.functions.keys import with_member_id
 from gradewell.operators import clean, quality, score, wide
+from gradewell.operators.split import LOAN_SOURCES, REPAYMENT_SOURCES
 from gradewell.params import LITERAL, ScoreParams
 from gradewell.plans import medallion
 from gradewell.plans.tables import Tables
@@ -32,37 +33,49 @@ def _over(build: Callable[[Tables], DataFrame]) -> Query:
 
 # --- scans and sinks ----------------------------------------------------------------------------
 
+# Each of these writes its own copy of the tables when it is called.
+
+#: Text that CSV must bring back as it is.
+HOSTILE = ', "quoted", ""twice"" \\ 007 '
+
+
+def _hostile(df: DataFrame, column: str, line_end: bool = False) -> DataFrame:
+    """Commas, quotes, backslashes and blanks in a text column, and empty texts; line ends if asked for."""
+    text = F.concat(F.col(column), F.lit(HOSTILE + ("\n" if line_end else "") + "end"))
+    return df.withColumn(column, F.when(F.col(column).endswith("3"), F.lit("")).otherwise(text))
+
+
 def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide CSV read with inferred types, brought to the declared ones."""
+    """Wide CSV read with inferred numbers, brought to the declared types; text is never inferred."""
     path = f"{scratch_root(spark)}/applications"
-    files.write_table(Tables.of(spark, sf_dir).applications, path, "csv")
-    inferred = files.read_csv(spark, path)
-    return inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.WIDE])
+    files.write_table(_hostile(Tables.of(spark, sf_dir).applications, "title"), path, "csv")
+    text = [f.name for f in schemas.WIDE if isinstance(f.dataType, T.StringType)]
+    inferred = files.read_csv(spark, path, text_columns=text, null_mark=files.NULL_MARK)
+    return inferred.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.WIDE])
 
 
 def csv_declared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loans landed under their source names and read back, by position, under the declared ones."""
     path = f"{scratch_root(spark)}/loans"
-    keyed = Tables.of(spark, sf_dir).keyed
-    files.write_table(keyed.select("id", "member_id", "loan_amnt", "funded_amnt", "term", "int_rate", "installment",
-                                   "issue_d", "loan_status", "purpose", "title"), path, "csv")
-    return files.read_csv(spark, path, schemas.LOANS)
+    loans = Tables.of(spark, sf_dir).keyed.select(*LOAN_SOURCES.values())
+    files.write_table(_hostile(loans, "title", line_end=True), path, "csv", line_ends=True)
+    return files.read_csv(spark, path, schemas.LOANS, multi_line=True, null_mark=files.NULL_MARK)
 
 
 def csv_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A numeric column with unreadable cells: they become NULL and no row is lost."""
     path = f"{scratch_root(spark)}/installments"
-    amount = F.when(F.col("term").isNotNull(), F.col("installment").cast("string")).otherwise(F.lit("n/a"))
+    amount = F.when(F.col("term").isNotNull(), F.col("installment").cast("string")).otherwise(F.lit("n/a, see \"note\""))
     files.write_table(Tables.of(spark, sf_dir).applications.select("id", amount.alias("installment")), path, "csv")
     declared = T.StructType([schemas.LOANS["loan_id"], schemas.LOANS["monthly_installment"]])
-    return files.read_csv(spark, path, declared)
+    return files.read_csv(spark, path, declared, null_mark=files.NULL_MARK)
 
 
 def csv_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_root(spark)}/loans"
-    loans = Tables.of(spark, sf_dir).loans
+    loans = _hostile(Tables.of(spark, sf_dir).loans, "loan_title")
     files.write_table(loans, path, "csv")
-    return files.read_csv(spark, path, loans.schema)
+    return files.read_table(spark, path, "csv", loans.schema)
 
 
 def medallion_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,14 +90,26 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_table(Tables.of(spark, sf_dir).customers, path)
     name = f"customers_{uuid4().hex}"
     files.register_table(spark, name, path)
-    return spark.table(name)
+    read = spark.table(name)
+    read.schema  # resolved here, so that the name can go
+    spark.sql(f"drop table {name}")
+    return read
+
+
+def medallion_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counted grades that a run of the literal profile writes."""
+    layout = medallion.run(spark, Tables.of(spark, sf_dir).applications, scratch_root(spark), BATCH_TIME, rules=LITERAL)
+    return layout.read(spark, "gold", "member_scores").drop("ingest_date")
 
 
 def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score totals as a view, graded by SQL that reads the view."""
     points = _points(Tables.of(spark, sf_dir))
-    score.total_score(score.sub_scores(points)).createOrReplaceTempView("gradewell_totals")
-    return score.grade_in_sql(spark, spark.table("gradewell_totals"))
+    name = f"totals_{uuid4().hex}"
+    score.total_score(score.sub_scores(points)).createOrReplaceTempView(name)
+    graded = score.grade_in_sql(spark, spark.table(name))
+    spark.catalog.dropTempView(name)
+    return graded
 
 
 def preview_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +187,48 @@ def score_custom_params(t: Tables) -> DataFrame:
     return score.grade_in_sql(t.spark, totals, CUSTOM)
 
 
+def score_from_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of score_custom_params set as keys of a session of its own and read from there."""
+    session = spark.newSession()
+    CUSTOM.to_conf(session)
+    params = ScoreParams.from_conf(session)
+    return score.grade(_points(Tables.of(session, sf_dir), params=params), params)
+
+
+def dropped_rows(t: Tables) -> DataFrame:
+    counts = [clean.dropped_rows(t.landed(entity), entity) for entity in clean.REQUIRED]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+# A third of the applications belong to one person; members are cut into slices of so many rows.
+SKEWED_SLICE = 100
+
+
+def skewed_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applications of which a third carry the person and history of one application, the first of a good payer's kind."""
+    wide = Tables.of(spark, sf_dir).applications
+    loan = {*LOAN_SOURCES.values(), *REPAYMENT_SOURCES.values()}
+    person = [f.name for f in schemas.WIDE if f.name not in loan]
+    known = "annual_inc is not null and delinq_2yrs between 1 and 7"
+    one = wide.where(known).agg(F.min(F.col("id").cast("long")).cast("string")).scalar()
+    of = F.when(F.col("id").cast("long") % 3 == 0, one).otherwise(F.col("id"))
+    people = wide.select(F.col("id").alias("_of"), *person)
+    own = wide.select(of.alias("_of"), *[f.name for f in schemas.WIDE if f.name in loan])
+    return own.join(people, "_of").select(*schemas.WIDE.fieldNames())
+
+
+def loan_grade_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grades where one good member holds a third of the loans, in slices."""
+    return loan_grade(Tables(skewed_applications(spark, sf_dir), slice_rows=SKEWED_SLICE))
+
+
 QUERIES: dict[str, Query] = {
     "csv_inferred_scan": csv_inferred_scan,
     "csv_declared_scan": csv_declared_scan,
     "csv_permissive": csv_permissive,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "medallion_layout": medallion_layout,
+    "medallion_literal": medallion_literal,
     "catalog_scan": catalog_scan,
     "view_scan": view_scan,
     "preview_top10": preview_top10,
@@ -221,4 +282,7 @@ QUERIES: dict[str, Query] = {
     "loan_grade_incl_clean": _over(lambda t: score.grade(_points(t, include_clean_members=True))),
     "grade_distribution": _over(lambda t: score.grade_distribution(loan_grade(t))),
     "score_custom_params": _over(score_custom_params),
+    "score_from_conf": score_from_conf,
+    "dropped_rows": _over(dropped_rows),
+    "loan_grade_skewed": loan_grade_skewed,
 }

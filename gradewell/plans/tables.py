@@ -14,8 +14,9 @@ from gradewell.sources.applications import applications
 class Tables:
     """Wide, landed, cleaned and filtered tables of a set of applications."""
 
-    def __init__(self, wide: DataFrame):
+    def __init__(self, wide: DataFrame, slice_rows: int = skew.SLICE_ROWS):
         self.spark = wide.sparkSession
+        self.slice_rows = slice_rows
         self.applications = wide
         self.keyed = with_member_id(wide)
 
@@ -59,4 +60,4 @@ class Tables:
 
     @cached_property
     def hot(self) -> DataFrame:
-        return skew.hot_buckets(self.keyed, "member_id")
+        return skew.hot_buckets(self.keyed, "member_id", self.slice_rows)

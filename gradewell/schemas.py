@@ -102,6 +102,16 @@ TOTAL_FILES = T.StructType([
     *_without(DELINQUENCIES, "member_id"),
     *_without(DETAILS, "member_id"),
 ])
+COUNTED_FILES = T.StructType([
+    T.StructField("member_id", TEXT), *_without(CLEAN_LOANS, "member_id"),
+    *_without(CLEAN_REPAYMENTS, "loan_id", "ingest_date"),
+    *_struct(("n_customers", T.LongType()), ("n_delinq", T.LongType()), ("n_detail", T.LongType()), ("n_rows", PAIR_COUNT)),
+])
+DROPPED_ROWS = _struct(("entity", TEXT), ("missing", TEXT), ("n_rows", T.LongType()))
+MEMBER_SCORES = _struct(
+    ("member_id", TEXT), ("payment_history_pts", SUBSCORE), ("loan_default_history_pts", SUBSCORE),
+    ("financial_health_pts", SUBSCORE), ("loan_total_score", SCORE), ("loan_grade", TEXT), ("n_rows", PAIR_COUNT), INGESTED,
+)
 LOAN_SCORES = _struct(
     ("member_id", TEXT), ("loan_id", TEXT), ("payment_history_pts", SUBSCORE), ("loan_default_history_pts", SUBSCORE),
     ("financial_health_pts", SUBSCORE), ("loan_total_score", SCORE), ("loan_grade", TEXT), INGESTED,

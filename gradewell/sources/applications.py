@@ -63,14 +63,17 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_applications(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_applications(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
+                      null_mark: str = "") -> DataFrame:
     """Applications from wide files with any number of further columns, brought to the declared types by name.
 
-    CSV is read as text, so no pass infers types and the person key does not depend on what was inferred.
-    A number that does not parse becomes NULL and its row is kept.
+    CSV is read as text, so no pass infers types and the person key does not depend on what was inferred. Quoted texts may
+    hold commas and doubled quotes; for line ends set `multi_line`, which makes each file one task. A number that does
+    not parse becomes NULL and its row is kept.
     """
     if fmt == "csv":
-        raw = spark.read.csv(path, header=True, mode="PERMISSIVE")
+        raw = spark.read.csv(path, header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line,
+                             nullValue=null_mark)
     else:
         raw = spark.read.format(fmt).load(path)
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WIDE])

@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-# Part of the rows looked at when a schema is inferred.
-INFERENCE_RATIO = 0.4
+#: How NULL is written in CSV, so that it differs from an empty text.
+NULL_MARK = r"\N"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             corrupt_column: str | None = None) -> DataFrame:
+def _csv_options(null_mark: str, multi_line: bool) -> dict[str, object]:
+    """Quotes inside a text are doubled, on both sides; a backslash is a character like others."""
+    return {"header": True, "escape": '"', "nullValue": null_mark, "emptyValue": "", "multiLine": multi_line}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, corrupt_column: str | None = None,
+             multi_line: bool = False, text_columns: Iterable[str] = (), null_mark: str = "") -> DataFrame:
     """CSV with a header. A declared schema names and types the columns by position; without one it is inferred.
 
     A cell that does not parse becomes NULL and its row is kept; `corrupt_column` keeps the text of such rows.
-    Inference is a pass over the files of its own.
+    Inference is a pass of its own over all rows; `text_columns` are text whatever they hold. `multi_line` is for raw
+    files with line ends inside quotes: each file is then read by one task, so stage it once. Files of
+    write_table() are read with its `null_mark`.
     """
-    reader = spark.read.options(header=True, mode="PERMISSIVE")
+    reader = spark.read.options(mode="PERMISSIVE", **_csv_options(null_mark, multi_line))
     if schema is None:
-        return reader.options(inferSchema=True, samplingRatio=INFERENCE_RATIO).csv(path)
-    if corrupt_column is not None:
+        inferred = reader.options(inferSchema=True).csv(path).schema
+        text = set(text_columns)
+        schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in inferred])
+    elif corrupt_column is not None:
         schema = T.StructType([*schema, T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.option("enforceSchema", True).schema(schema).csv(path)
@@ -30,17 +41,34 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, null_mark=NULL_MARK)
     reader = spark.read.format(fmt)
     return (reader if schema is None else reader.schema(schema)).load(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    writer = df.write.format(fmt).mode(mode)
+def _csv_safe(df: DataFrame, line_ends: bool) -> DataFrame:
+    """`df` whose texts come back as they are; a text that would not fails the job that writes it."""
+    columns = []
+    for field in df.schema:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            broken = value == NULL_MARK if line_ends else (value == NULL_MARK) | value.rlike(r"[\r\n]")
+            told = F.raise_error(F.lit(f"CSV cannot hold this text of {field.name}: a line end, or the mark of NULL"))
+            value = F.when(broken, told.cast("string")).otherwise(value).alias(field.name)
+        columns.append(value)
+    return df.select(*columns)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", line_ends: bool = False) -> None:
+    """CSV refuses texts with line ends unless `line_ends` is set; such files are then read with `multi_line`."""
     if fmt == "csv":
-        # Keep blanks around values: by default the writer trims them.
-        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    writer.save(path)
+        # Keep blanks around values: by default the writer trims them. An empty text is written in quotes.
+        blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        options = _csv_options(NULL_MARK, False) | {"emptyValue": '""'} | blanks
+        options.pop("multiLine")
+        _csv_safe(df, line_ends).write.format(fmt).mode(mode).options(**options).save(path)
+    else:
+        df.write.format(fmt).mode(mode).save(path)
 
 
 def write_tables(tables: dict[str, DataFrame], fmt: str = "parquet") -> None:
@@ -54,7 +82,15 @@ def write_tables(tables: dict[str, DataFrame], fmt: str = "parquet") -> None:
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
                    schema: T.StructType | None = None) -> None:
-    """Enter written files in the catalog under a name; the files stay where they are."""
-    spark.sql(f"drop table if exists {name}")
-    options = {"header": "true", "mode": "PERMISSIVE"} if fmt == "csv" else {}
-    spark.catalog.createTable(name, path=path, source=fmt, schema=schema, **options)
+    """Enter written files in the catalog under a name; the files stay where they are.
+
+    A table of that name is replaced only if it is an external one at the same place.
+    """
+    if spark.catalog.tableExists(name):
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {name}").collect()}
+        place = re.sub(r"^file:/+", "/", told.get("Location", ""))
+        if told.get("Type") != "EXTERNAL" or place.rstrip("/") != re.sub(r"^file:/+", "/", path).rstrip("/"):
+            raise ValueError(f"{name} exists and is not an external table at {path}")
+        spark.sql(f"drop table {name}")
+    options = {"mode": "PERMISSIVE"} | _csv_options(NULL_MARK, False) if fmt == "csv" else {}
+    spark.catalog.createTable(name, path=path, source=fmt, schema=schema, **{k: str(v) for k, v in options.items()})

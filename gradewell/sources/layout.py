@@ -25,9 +25,11 @@ LAYERS = {
         "loans_defaulters_delinq": schemas.DELINQUENCIES,
         "loans_defaulters_records_enq": schemas.CLEAN_DEFAULTERS,
         "loans_defaulters_detail_records_enq": schemas.DETAILS,
+        "total_files_counted": schemas.COUNTED_FILES,
     },
     "quarantine": {
         "bad_data": schemas.BAD_MEMBERS,
+        "dropped_rows": schemas.DROPPED_ROWS,
     },
     "gold": {
         "customers": schemas.CLEAN_CUSTOMERS,
@@ -38,13 +40,13 @@ LAYERS = {
         "loan_scores": schemas.LOAN_SCORES,
     },
 }
-# Written only where asked for.
-OPTIONAL = {("silver", "total_files"): schemas.TOTAL_FILES}
+# Written only by the profile that joins loans on the member.
+OPTIONAL = {("gold", "member_scores"): schemas.MEMBER_SCORES}
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Tables are Parquet by default. CSV works for every layer, but cannot tell an empty text from NULL."""
+    """Tables are Parquet by default. CSV works for every layer whose texts hold no line end; others fail to be written."""
 
     root: str
     bronze_format: str = "parquet"

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A new folder under the shared one the cluster names; a local one only where Spark itself is local."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="gradewell-")
+    """A new folder that driver and executors share: under spark.checkpoint.dir, else under the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{shared.rstrip('/')}/gradewell-{uuid4().hex}"

@@ -92,7 +92,7 @@ def awkward(request, spark, tmp_path_factory):
     connection.execute(f"create view applications_file as select * from '{path}/*.parquet'")
     tables = Tables(spark.read.parquet(path))
     # Salt whatever is above one row, so that the salted way is what is compared.
-    tables.hot = skew.hot_buckets(tables.keyed, "member_id", min_hot_rows=1)
+    tables.hot = skew.hot_buckets(tables.keyed, "member_id", slice_rows=1)
     return tables, connection
 
 

@@ -40,6 +40,7 @@ def expected(small):
         "loans_defaulters": small.defaulters, "loans_defaulters_delinq": small.delinquencies,
         "loans_defaulters_records_enq": clean.records_and_enquiries(small.defaulters),
         "loans_defaulters_detail_records_enq": small.details,
+        "total_files_counted": QUERIES["join_wide"](small.spark, SF_SMALL),
     }
     kept = quality.exclude(small.defaulters, small.bad, small.hot)
     gold = {
@@ -52,7 +53,8 @@ def expected(small):
     }
     bronze = {entity: small.landed(entity) for entity in
               ("customers", "loans", "loans_repayments", "loans_defaulters")}
-    return {"bronze": bronze, "silver": silver, "quarantine": {"bad_data": small.bad}, "gold": gold}
+    quarantine = {"bad_data": small.bad, "dropped_rows": QUERIES["dropped_rows"](small.spark, SF_SMALL)}
+    return {"bronze": bronze, "silver": silver, "quarantine": quarantine, "gold": gold}
 
 
 def test_each_sink_holds_its_table(spark, small, layout):
@@ -89,7 +91,7 @@ def test_csv_from_end_to_end(spark, small, layout, tmp_path):
     shuffled = small.applications.select(F.lit("x").alias("url"), *reversed(small.applications.columns))
     files.write_table(shuffled, raw, "csv")
     in_csv = Layout(str(tmp_path / "lake"), bronze_format="csv", table_format="csv")
-    medallion.run(spark, read_applications(spark, raw), in_csv, BATCH_TIME)
+    medallion.run(spark, read_applications(spark, raw, null_mark=files.NULL_MARK), in_csv, BATCH_TIME)
     for layer, entity in layout.tables():
         same(in_csv.read(spark, layer, entity), layout.read(spark, layer, entity))
     medallion.register_tables(spark, in_csv, "scoring_csv")
@@ -97,12 +99,20 @@ def test_csv_from_end_to_end(spark, small, layout, tmp_path):
     spark.sql("drop database scoring_csv cascade")
 
 
-def test_unfiltered_wide_table(spark, layout):
-    medallion.build_unfiltered_wide(spark, layout)
-    assert layout.read(spark, "silver", "total_files").count() == 4_899
+def test_counted_wide_table(spark, layout):
+    counted = layout.read(spark, "silver", "total_files_counted")
+    assert counted.agg(F.sum("n_rows")).first()[0] == 4_899
+    assert ("silver", "total_files_counted") in layout.tables()
     assert spark.read.parquet(layout.path("gold", "total_files")).count() == 888
 
 
+def test_literal_run_counts_pairs(spark, layout, small):
+    medallion.score_loans(spark, layout, BATCH_TIME, rules=LITERAL)
+    pairs = layout.read(spark, "gold", "member_scores").drop("ingest_date")
+    same(pairs, QUERIES["loan_grade_literal"](small.spark, SF_SMALL))
+    medallion.score_loans(spark, layout, BATCH_TIME)
+
+
 def test_scores_need_no_shuffle(spark, layout):
     graded = score.grade(score.score_wide(spark.read.parquet(layout.path("gold", "total_files"))))
     plan = graded._jdf.queryExecution().executedPlan().toString()
@@ -153,6 +163,57 @@ def test_malformed_cells(spark, tmp_path):
     assert rows["1"]["bad"] == "1,x" and rows["2"]["bad"] is None
 
 
+HOSTILE = [
+    ("1", 'a "quoted", text', "007"), ("2", "back\\slash \\", ""), ("3", None, None), ("4", " blanks ", '"'), ("5", '""', ","),
+    ("6", "'", "NULL"), ("7", "n/a", "1e5"),
+]
+TEXTS = "id string, a string, b string"
+
+
+def test_csv_brings_texts_back(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    rows = spark.createDataFrame(HOSTILE, TEXTS)
+    files.write_table(rows, path, "csv")
+    same(files.read_table(spark, path, "csv", rows.schema), rows)
+    inferred = files.read_csv(spark, path, text_columns=["id", "a", "b"], null_mark=files.NULL_MARK)
+    same(inferred, rows)
+
+
+@pytest.mark.parametrize("text", ["two\nlines", "carriage\rreturn", files.NULL_MARK])
+def test_csv_refuses_what_it_would_change(spark, tmp_path, text):
+    with pytest.raises(Exception, match="CSV cannot hold"):
+        files.write_table(spark.createDataFrame([("1", text, "x")], TEXTS), str(tmp_path / "texts"), "csv")
+
+
+def test_raw_csv_with_line_ends(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = spark.createDataFrame([*HOSTILE, ("8", "two\nlines, \"q\"", "x")], TEXTS)
+    files.write_table(rows, path, "csv", line_ends=True)
+    same(files.read_csv(spark, path, rows.schema, multi_line=True, null_mark=files.NULL_MARK), rows)
+
+
+def test_rare_values_are_inferred_from_all_rows(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    number = F.when(F.col("id") == 19_999, "2.5").otherwise(F.col("id").cast("string"))
+    spark.range(20_000).select(F.format_string("%05d", "id").alias("code"), number.alias("n")).coalesce(1).write.csv(path, header=True)
+    read = files.read_csv(spark, path, text_columns=["code"])
+    assert dict(read.dtypes) == {"code": "string", "n": "double"}
+    assert read.where("n = 2.5").count() == 1 and read.where("code = '00007'").count() == 1
+
+
+def test_a_foreign_table_is_not_dropped(spark, tmp_path):
+    spark.range(3).write.mode("overwrite").saveAsTable("mine")
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="not an external table"):
+        files.register_table(spark, "mine", str(tmp_path / "other"))
+    assert spark.table("mine").count() == 3
+    spark.sql("drop table mine")
+    for _ in range(2):
+        files.register_table(spark, "theirs", str(tmp_path / "other"))
+    assert spark.table("theirs").count() == 3
+    spark.sql("drop table theirs")
+
+
 def test_scratch_is_under_the_shared_folder(spark):
     first, second = scratch_root(spark), scratch_root(spark)
     assert first != second

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gradewell.operators.quality import exclude
 from gradewell.operators.skew import BUCKETS, hot_buckets, join_members
-from gradewell.operators.wide import repeat_rows
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +24,7 @@ def members(rows):
 
 @pytest.fixture(scope="module")
 def hot(rows):
-    return hot_buckets(rows.select("member_id"), "member_id", min_hot_rows=1_000)
+    return hot_buckets(rows.select("member_id"), "member_id", slice_rows=1_000)
 
 
 def contents(frame):
@@ -35,16 +34,23 @@ def contents(frame):
 
 def test_only_the_hot_bucket_is_salted(hot):
     found = hot.collect()
-    assert len(found) == 1 and found[0]["_salts"] > 8
+    assert len(found) == 1 and found[0]["_salts"] == 20
 
 
-def test_no_bucket_is_hot_by_default_on_small_data(rows):
-    assert hot_buckets(rows, "member_id").count() == 0
+@pytest.mark.parametrize("times", [1, 10])
+def test_slices_do_not_grow_with_the_rows(rows, members, spark, times):
+    """Ten times the rows give ten times the salts, without a limit."""
+    more = rows.crossJoin(spark.range(times).select(F.col("id").alias("copy")))
+    hot = hot_buckets(more, "member_id", slice_rows=1_000)
+    assert hot.agg(F.max("_salts")).first()[0] == 20 * times
+    salted = F.pmod(F.xxhash64(*more.columns), F.lit(20 * times))
+    slices = more.where("member_id = 'hot'").groupBy(salted).count().agg(F.max("count"), F.min("count")).first()
+    assert 850 < slices[1] <= slices[0] < 1_200
 
 
 def test_histogram_is_bounded(spark):
     wide = spark.range(200_000).select(F.col("id").cast("string").alias("member_id"))
-    assert hot_buckets(wide, "member_id", min_hot_rows=0).count() <= BUCKETS
+    assert hot_buckets(wide, "member_id", slice_rows=0).count() <= BUCKETS
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
@@ -75,11 +81,3 @@ def test_excluding_a_hot_member(rows, hot):
     bad = rows.select("member_id").distinct().where("member_id in ('hot', 'm1')")
     kept = exclude(rows, bad, hot)
     assert contents(kept) == contents(rows.where("member_id not in ('hot', 'm1')"))
-
-
-def test_repeat_rows(spark):
-    counted = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10_000), ("d", 4_096), ("e", 8_193)], "k string, n long")
-    repeated = repeat_rows(counted, "n")
-    assert repeated.columns == ["k"]
-    assert {r["k"]: r["count"] for r in repeated.groupBy("k").count().collect()} == {
-        "a": 1, "b": 3, "c": 10_000, "d": 4_096, "e": 8_193}
