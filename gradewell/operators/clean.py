@@ -42,6 +42,17 @@ def dedupe(landed: DataFrame) -> DataFrame:
     return landed.distinct()
 
 
+def unique_rows(table: DataFrame, key: str) -> DataFrame:
+    """The rows whose key stands on one row, or on equal ones, which become one. Rows without a key go.
+
+    One aggregate on the key, combined on the map side, so a key that a third of the rows carry is a row per map
+    task; its partitioning and order serve the join that follows. Keys on different rows are what quality.repeated_loans() counts.
+    """
+    row = F.struct(*[c for c in table.columns if c != key])
+    ends = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
+    return ends.where("_lo <=> _hi").select(*[F.col(key) if c == key else F.col(f"_lo.{c}").alias(c) for c in table.columns])
+
+
 def add_ingest_date(df: DataFrame, batch_time: datetime | str) -> DataFrame:
     """Stamp rows with the time of the batch, given by the caller so that reruns agree."""
     return df.withColumn("ingest_date", F.lit(batch_time).cast("timestamp"))
@@ -85,28 +96,41 @@ def clean_customers(landed: DataFrame) -> DataFrame:
     return fill_with_mean(known, "emp_length")
 
 
+def _loan_values(loans: DataFrame) -> DataFrame:
+    return loans.withColumns({
+        "loan_term_months": months_to_years(F.col("loan_term_months")),
+        "loan_purpose": F.when(F.col("loan_purpose").isin(LOAN_PURPOSES), F.col("loan_purpose")).otherwise(F.lit("other")),
+    }).withColumnRenamed("loan_term_months", "loan_term_years")
+
+
 def clean_loans(landed: DataFrame) -> DataFrame:
-    return (
-        _require(dedupe(landed), REQUIRED_LOAN_COLUMNS)
-        .withColumns({
-            "loan_term_months": months_to_years(F.col("loan_term_months")),
-            "loan_purpose": F.when(F.col("loan_purpose").isin(LOAN_PURPOSES), F.col("loan_purpose"))
-                             .otherwise(F.lit("other")),
-        })
-        .withColumnRenamed("loan_term_months", "loan_term_years")
-    )
+    return _loan_values(_require(dedupe(landed), REQUIRED_LOAN_COLUMNS))
 
 
-def clean_repayments(landed: DataFrame) -> DataFrame:
+def unique_loans(landed: DataFrame) -> DataFrame:
+    """The clean loans whose id stands on one of them, ready to be joined on it."""
+    return _loan_values(unique_rows(_require(landed, REQUIRED_LOAN_COLUMNS), "loan_id"))
+
+
+def _repayment_values(repayments: DataFrame) -> DataFrame:
     parts = F.col("total_principal_received") + F.col("total_interest_received") + F.col("total_late_fee_received")
     unsummed = (F.col("total_principal_received") != 0) & (F.col("total_payment_received") == 0)
-    return _require(dedupe(landed), REQUIRED_REPAYMENT_COLUMNS).withColumns({
+    return repayments.withColumns({
         "total_payment_received": F.when(unsummed, parts.cast(MONEY)).otherwise(F.col("total_payment_received")),
         "last_payment_date": F.nullif(F.col("last_payment_date"), F.lit("0.0")),
         "next_payment_date": F.nullif(F.col("next_payment_date"), F.lit("0.0")),
     })
 
 
+def clean_repayments(landed: DataFrame) -> DataFrame:
+    return _repayment_values(_require(dedupe(landed), REQUIRED_REPAYMENT_COLUMNS))
+
+
+def unique_repayments(landed: DataFrame) -> DataFrame:
+    """The clean repayments whose loan id stands on one of them, ready to be joined on it."""
+    return _repayment_values(unique_rows(_require(landed, REQUIRED_REPAYMENT_COLUMNS), "loan_id"))
+
+
 def count_or_zero(column: str) -> Column:
     return F.coalesce(whole(F.col(column)), F.lit(0))
 

@@ -36,6 +36,15 @@ def bad_members(customers: DataFrame, defaulters: DataFrame) -> DataFrame:
     )
 
 
+def repeated_loans(loans: DataFrame, repayments: DataFrame) -> DataFrame:
+    """Loan ids on several distinct loans or repayments, with how many of each. They join with nothing."""
+    ids = loans.select("loan_id", F.lit(1).alias("n_loans"), F.lit(0).alias("n_repayments")).unionAll(
+        repayments.select("loan_id", F.lit(0), F.lit(1)))
+    counted = ids.where("loan_id is not null").groupBy("loan_id").agg(
+        F.sum("n_loans").alias("n_loans"), F.sum("n_repayments").alias("n_repayments"))
+    return counted.where("n_loans > 1 or n_repayments > 1")
+
+
 def union_of_members(*id_lists: DataFrame) -> DataFrame:
     """Distinct union of several id lists, for tables that are at hand separately."""
     union = id_lists[0].select("member_id")

@@ -48,9 +48,13 @@ def mark_hot_members(spark: SparkSession, layout: Layout) -> None:
 
 
 def quarantine(spark: SparkSession, layout: Layout) -> None:
-    """Write the bad member ids, then the tables without them."""
+    """Write the bad member ids and the repeated loan ids, then the tables without the members."""
     customers, defaulters = (layout.read(spark, "silver", e) for e in ("customers", "loans_defaulters"))
-    layout.write("quarantine", {"bad_data": quality.bad_members(customers, defaulters)})
+    loans, repayments = (layout.read(spark, "silver", e) for e in ("loans", "loans_repayments"))
+    layout.write("quarantine", {
+        "bad_data": quality.bad_members(customers, defaulters),
+        "repeated_loans": quality.repeated_loans(loans, repayments),
+    })
     bad, hot = layout.read(spark, "quarantine", "bad_data"), _hot(spark, layout)
     layout.write("gold", {
         "customers": quality.exclude(customers, bad, hot),
@@ -109,7 +113,7 @@ def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: Sc
     if rules.loans_by_member:
         loans, repayments = _loans_and_repayments(spark, layout)
         pairs = score.grade_member_pairs(
-            score.payment_base(repayments, loans), loans, layout.read(spark, "silver", "customers"),
+            score.payment_base(repayments, loans), layout.read(spark, "silver", "loans"), layout.read(spark, "silver", "customers"),
             layout.read(spark, "silver", "loans_defaulters"), _hot(spark, layout), params, rules)
         layout.write("gold", {"member_scores": clean.add_ingest_date(pairs, batch_time)})
 
@@ -166,4 +170,7 @@ def _hot(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def _loans_and_repayments(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataFrame]:
-    return layout.read(spark, "silver", "loans"), layout.read(spark, "silver", "loans_repayments").drop("ingest_date")
+    """Both without the ids that stand on several rows, ready to be joined."""
+    loans = layout.read(spark, "silver", "loans")
+    repayments = layout.read(spark, "silver", "loans_repayments").drop("ingest_date")
+    return clean.unique_rows(loans, "loan_id"), clean.unique_rows(repayments, "loan_id")

@@ -91,7 +91,14 @@ bad as (
 good_customers as (select * from customers where member_id not in (select member_id from bad)),
 good_delinq as (select * from delinq where member_id not in (select member_id from bad)),
 good_detail as (select * from detail where member_id not in (select member_id from bad)),
-base as (select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id),
+repeated as (
+  select loan_id, coalesce(n, 0) n_loans, coalesce(m, 0) n_repayments
+  from (select loan_id, count(*) n from loans where loan_id is not null group by loan_id)
+  full join (select loan_id, count(*) m from repayments where loan_id is not null group by loan_id) using (loan_id)
+  where n > 1 or m > 1),
+base as (
+  select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id
+  where r.loan_id not in (select loan_id from repeated)),
 dropped as (
   select 'customers' entity, 'annual_inc' missing, count(*) n_rows
   from (select distinct * from landed_customers) where annual_inc is null having count(*) > 0
@@ -279,6 +286,14 @@ def _skewed(sql: str) -> str:
     return f"{before}, {skewed}),\n{sql[at:]}"
 
 
+def _one_id(sql: str) -> str:
+    """The same over applications of which a third carry one id."""
+    at = sql.index("keyed as (")
+    before = sql[:at].rstrip().removesuffix(",").replace("applications as (", "given as (", 1)
+    one = "select * replace (case when cast(id as bigint) % 3 = 0 then 'n/a' else id end as id) from given"
+    return f"{before}, applications as ({one}),\n{sql[at:]}"
+
+
 def _hostile(column: str, line_end: str = "") -> str:
     text = ', "quoted", ""twice"" \\ 007 ' + line_end + "end"
     return f"case when {column} like '%3' then '' else {column} || '{text}' end"
@@ -319,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
             where l.member_id in (select member_id from customers) and l.member_id in (select member_id from delinq)
               and l.member_id in (select member_id from detail)
           union all select 'quarantine', 'dropped_rows', count(*) from dropped
+          union all select 'quarantine', 'repeated_loans', count(*) from repeated
           union all select 'quarantine', 'bad_data', count(*) from bad"""),
         "catalog_scan": _query("select * from customers"),
         "view_scan": _scored(f"select {_RESULT} from grades"),
@@ -387,5 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "score_custom_params": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
         "score_from_conf": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
         "dropped_rows": _query("select * from dropped"),
+        "payment_base_one_id": _one_id(_query("select * from base")),
+        "repeated_loans": _one_id(_query("select * from repeated")),
         "loan_grade_skewed": _skewed(_scored(f"select {_RESULT} from grades")),
     }

@@ -142,16 +142,16 @@ def _kept_defaulters(t: Tables) -> DataFrame:
 # --- joins --------------------------------------------------------------------------------------
 
 def join_wide(t: Tables) -> DataFrame:
-    return wide.join_wide(t.customers, t.loans, t.repayments, t.delinquencies, t.details, t.hot)
+    return wide.join_wide(t.customers, t.unique_loans, t.unique_repayments, t.delinquencies, t.details, t.hot)
 
 
 def join_wide_clean(t: Tables) -> DataFrame:
     customers = quality.exclude(t.customers, t.bad, t.hot)
-    return wide.join_kept(customers, t.loans, t.repayments, _kept_defaulters(t), t.hot)
+    return wide.join_kept(customers, t.unique_loans, t.unique_repayments, _kept_defaulters(t), t.hot)
 
 
 def payment_base(t: Tables) -> DataFrame:
-    return score.payment_base(t.repayments, t.loans)
+    return score.payment_base(t.unique_repayments, t.unique_loans)
 
 
 # --- scoring ------------------------------------------------------------------------------------
@@ -177,8 +177,7 @@ def loan_grade(t: Tables) -> DataFrame:
 
 
 def loan_grade_literal(t: Tables) -> DataFrame:
-    base = score.payment_base(t.repayments, t.loans)
-    return score.grade_member_pairs(base, t.loans, t.customers, t.defaulters, t.hot, rules=LITERAL)
+    return score.grade_member_pairs(payment_base(t), t.loans, t.customers, t.defaulters, t.hot, rules=LITERAL)
 
 
 def score_custom_params(t: Tables) -> DataFrame:
@@ -217,6 +216,22 @@ def skewed_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(people, "_of").select(*schemas.WIDE.fieldNames())
 
 
+def _one_loan_id(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables of which a third of the loans and repayments carry one placeholder id."""
+    wide = Tables.of(spark, sf_dir).applications
+    return Tables(wide.withColumn("id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("n/a")).otherwise(F.col("id"))))
+
+
+def payment_base_one_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repayments with their loans where a placeholder id is on a third of both: it joins with nothing."""
+    return payment_base(_one_loan_id(spark, sf_dir))
+
+
+def repeated_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _one_loan_id(spark, sf_dir)
+    return quality.repeated_loans(t.loans, t.repayments)
+
+
 def loan_grade_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grades where one good member holds a third of the loans, in slices."""
     return loan_grade(Tables(skewed_applications(spark, sf_dir), slice_rows=SKEWED_SLICE))
@@ -285,4 +300,6 @@ QUERIES: dict[str, Query] = {
     "score_from_conf": score_from_conf,
     "dropped_rows": _over(dropped_rows),
     "loan_grade_skewed": loan_grade_skewed,
+    "payment_base_one_id": payment_base_one_id,
+    "repeated_loans": repeated_loans,
 }

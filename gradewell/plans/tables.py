@@ -42,6 +42,14 @@ class Tables:
     def repayments(self) -> DataFrame:
         return self.cleaned("loans_repayments")
 
+    @cached_property
+    def unique_loans(self) -> DataFrame:
+        return clean.unique_loans(self.landed("loans"))
+
+    @cached_property
+    def unique_repayments(self) -> DataFrame:
+        return clean.unique_repayments(self.landed("loans_repayments"))
+
     @cached_property
     def defaulters(self) -> DataFrame:
         return self.cleaned("loans_defaulters")

@@ -107,6 +107,7 @@ COUNTED_FILES = T.StructType([
     *_without(CLEAN_REPAYMENTS, "loan_id", "ingest_date"),
     *_struct(("n_customers", T.LongType()), ("n_delinq", T.LongType()), ("n_detail", T.LongType()), ("n_rows", PAIR_COUNT)),
 ])
+REPEATED_LOANS = _struct(("loan_id", TEXT), ("n_loans", T.LongType()), ("n_repayments", T.LongType()))
 DROPPED_ROWS = _struct(("entity", TEXT), ("missing", TEXT), ("n_rows", T.LongType()))
 MEMBER_SCORES = _struct(
     ("member_id", TEXT), ("payment_history_pts", SUBSCORE), ("loan_default_history_pts", SUBSCORE),

@@ -29,6 +29,7 @@ LAYERS = {
     },
     "quarantine": {
         "bad_data": schemas.BAD_MEMBERS,
+        "repeated_loans": schemas.REPEATED_LOANS,
         "dropped_rows": schemas.DROPPED_ROWS,
     },
     "gold": {

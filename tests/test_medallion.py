@@ -53,7 +53,8 @@ def expected(small):
     }
     bronze = {entity: small.landed(entity) for entity in
               ("customers", "loans", "loans_repayments", "loans_defaulters")}
-    quarantine = {"bad_data": small.bad, "dropped_rows": QUERIES["dropped_rows"](small.spark, SF_SMALL)}
+    quarantine = {"bad_data": small.bad, "repeated_loans": quality.repeated_loans(small.loans, small.repayments),
+                  "dropped_rows": QUERIES["dropped_rows"](small.spark, SF_SMALL)}
     return {"bronze": bronze, "silver": silver, "quarantine": quarantine, "gold": gold}
 
 

@@ -39,9 +39,10 @@ def shuffled(spark):
 
 def test_no_python_no_cross_join(shuffled):
     for name, plan in shuffled.items():
-        for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate",
-                         "ObjectHashAggregate"):
+        for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
             assert operator not in plan, (name, operator)
+        for line in plan.splitlines():
+            assert "SortAggregate" not in line or "SortAggregate(key=[loan_id#" in line, (name, line)
 
 
 def test_only_the_histogram_is_broadcast(shuffled):
@@ -56,6 +57,14 @@ def test_member_joins_run_on_member_and_salt(shuffled):
         assert re.search(r"SortMergeJoin \[member_id#\d+, _salt#\d+\]", shuffled[name]), name
 
 
+def test_loans_and_repayments_move_once_to_meet(shuffled):
+    """Removing copies, finding repeated ids and the join share one shuffle of either side."""
+    plan = shuffled["payment_base"]
+    moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(loan_id#\d+", line)]
+    assert len(moved) == 2
+    assert not re.search(r"hashpartitioning\(loan_id#\d+, [a-z]", plan)
+
+
 def test_loans_are_joined_with_members_once(shuffled):
     joins = [line for line in shuffled["loan_grade"].splitlines() if "SortMergeJoin" in line and "_salt" in line]
     assert len(joins) == 1
