@@ -23,6 +23,8 @@ WINDOW = 10
 #: Characters of patterns in one automaton, some 30 bytes of memory each. Larger benchmarks are dealt
 #: by a hash over several automata that the texts pass one after the other.
 PATTERN_CHARS = 4_000_000
+#: Rows whose texts are Python objects at a time.
+_AT_ONCE = 500
 
 _FOUND = "struct<n_words:bigint,hits:array<bigint>,items:array<string>>"
 _RESULT = (
@@ -129,17 +131,20 @@ def find_contamination(
         def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             automaton = _automaton(key, words_of) if words_of.value else None
             for texts, earlier in batches:
-                out = []
-                for text, found in zip(texts.to_pylist(), earlier.to_pylist()):
-                    line, n = _joined(text)
-                    hits, items = _hits(line, automaton) if automaton else ((), ())
-                    if found:
-                        hits, items = {*hits, *found["hits"]}, {*items, *found["items"]}
-                    row = {"n_words": n, "hits": sorted(hits), "items": sorted(items)}
-                    if last:
-                        row |= {"n_hit": len(hits), "contaminated": bool(hits), "spans": _spans(text, row["hits"])}
-                    out.append(row)
-                yield pa.array(out, _ARROW[last])
+                parts = []
+                for at in range(0, max(1, len(texts)), _AT_ONCE):
+                    out = []
+                    for text, found in zip(texts.slice(at, _AT_ONCE).to_pylist(), earlier.slice(at, _AT_ONCE).to_pylist()):
+                        line, n = _joined(text)
+                        hits, items = _hits(line, automaton) if automaton else ((), ())
+                        if found:
+                            hits, items = {*hits, *found["hits"]}, {*items, *found["items"]}
+                        row = {"n_words": n, "hits": sorted(hits), "items": sorted(items)}
+                        if last:
+                            row |= {"n_hit": len(hits), "contaminated": bool(hits), "spans": _spans(text, row["hits"])}
+                        out.append(row)
+                    parts.append(pa.array(out, _ARROW[last]))
+                yield pa.concat_arrays(parts)
 
         return scan
 

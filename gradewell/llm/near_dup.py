@@ -63,7 +63,7 @@ class _WordHashes(dict):
     """Hashes of words seen by this worker; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -165,21 +165,26 @@ _AT_ONCE = 50_000
 
 
 def _fingerprints(p: NearDup):
-    def of(texts: list[bytes | None]) -> list[dict]:
-        out: list[dict] = []
+    kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+    names = ("n_shingles", "set_key", "bands", "sketch", "parities")
+
+    def of(texts: pa.Array) -> pa.Array:
+        size, key, bands, sketch, parity = ([] for _ in names)
         group: list[tuple[int, np.ndarray]] = []
 
         def flush() -> None:
             if group:
                 keys, sketches = bands_and_sketches(superminhash([s for _, s in group]), p)
-                for (i, s), k, sketch in zip(group, keys, sketches):
-                    out[i] |= {"set_key": xxhash.xxh3_128_digest(s.tobytes()), "bands": k, "sketch": sketch.tobytes(), "parities": parities(s)}
+                for (i, s), k, sk in zip(group, keys, sketches):
+                    key[i], bands[i] = xxhash.xxh3_128_digest(s.tobytes()), k
+                    sketch[i], parity[i] = sk.tobytes(), parities(s)
                 group.clear()
 
         held = 0
         for i, text in enumerate(texts):
-            found = shingles(text, p.words)
-            out.append({"n_shingles": len(found), "set_key": None, "bands": [], "sketch": None, "parities": None})
+            found = shingles(text.as_py(), p.words)
+            for column, value in ((size, len(found)), (key, None), (bands, []), (sketch, None), (parity, None)):
+                column.append(value)
             if len(found):
                 group.append((i, found))
                 held += len(found)
@@ -187,14 +192,13 @@ def _fingerprints(p: NearDup):
                     flush()
                     held = 0
         flush()
-        return out
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip((size, key, bands, sketch, parity), kinds)], names)
 
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(of(texts.to_pylist()), pa.struct([
-                ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())),
-                ("sketch", pa.binary()), ("parities", pa.binary()),
-            ]))
+            # Few rows at a time, so that only their results are Python objects.
+            parts = [of(texts.slice(at, 1_000)) for at in range(0, len(texts), 1_000)]
+            yield pa.concat_arrays(parts or [of(texts)])
 
     return F.arrow_udf(fingerprints, _FINGERPRINT, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
@@ -206,8 +210,9 @@ def _similar(p: NearDup):
         full = lru_cache(maxsize=16)(lambda text: shingles(text, p.words))
         for batch in batches:
             links = []
-            for a, text_a, b, text_b in zip(*(c.to_pylist() for c in batch.columns)):
-                set_a, set_b = full(text_a), full(text_b)
+            for a, text_a, b, text_b in zip(*batch.columns):
+                a, b = a.as_py(), b.as_py()
+                set_a, set_b = full(text_a.as_py()), full(text_b.as_py())
                 common = len(set_a) + len(set_b) - len(np.union1d(set_a, set_b))
                 if 100 * common >= p.percent * (len(set_a) + len(set_b) - common):
                     links.append((a, b))

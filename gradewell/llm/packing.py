@@ -92,7 +92,7 @@ class WordTokens:
         at = 0
         while at < len(texts):
             before = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 24), "right")))
+            stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 22), "right")))
             yield from self._encoded(texts.slice(at, stop - at))
             at = stop
 

@@ -53,11 +53,9 @@ EDITED = r"[0-9]{6,}|[#*$%&]{3}"
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.with_trees(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     edits = token_counts.masking(F.coalesce("text", F.lit("")), EDITED, "")
-    return token_counts.apply_edits(counted, edits, with_texts=False).select(
-        "doc_id", "n_pre_tokens", "n_tokens", "n_edits", "n_tokens_after", "n_encoded",
-    )
+    return token_counts.apply_edits(docs, edits, with_texts=False).drop("text")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

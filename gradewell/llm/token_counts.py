@@ -40,7 +40,7 @@ def default() -> Encoding:
 class Counter(dict):
     """Tokens of pre-tokens; forgotten when there are too many."""
 
-    def __init__(self, encoding: Encoding, most: int = 500_000):
+    def __init__(self, encoding: Encoding, most: int = 150_000):
         import base64
 
         import tiktoken
@@ -113,89 +113,135 @@ class Tree:
         return self.leaves.get(leaf) or ([n] if (n := int(self.sums[0][0][leaf])) else [])
 
 
-def edit(text: str, tree: Tree, counter: Counter, start: int, end: int, new: str) -> tuple[str, int]:
-    """The text with [start, end) replaced, the tree brought up to date, and how many pre-tokens were encoded."""
+class Tail:
+    """The text behind a place, as pieces of which the first is on top."""
+
+    def __init__(self, text: str):
+        self.pieces = [text]
+
+    def push(self, text: str) -> None:
+        self.pieces.append(text)
+
+    def peek(self, n: int) -> tuple[str, bool]:
+        """Its first n characters, and whether that is all."""
+        out = []
+        for piece in reversed(self.pieces):
+            out.append(piece[:n])
+            n -= len(piece)
+            if n < 0:
+                return "".join(out), False
+        return "".join(out), True
+
+    def whole(self) -> str:
+        return "".join(reversed(self.pieces))
+
+
+def _replace(text: str, tail: Tail, tree: Tree, counter: Counter, start: int, end: int, new: str) -> int:
+    """Brings the tree up to date with [start, end) replaced; how many pre-tokens were encoded.
+
+    The tree stands for text[:end] and the tail behind it; no more of them is looked at than the cuts need.
+    """
     first, begin = tree.leaf_at(max(0, start - LOOK_AHEAD))
-    changed = text[:start] + new + text[end:]
-    shift = len(new) - (end - start)
-    # Old cuts behind the edit, as places in the new text; more leaves come as they are needed.
+    head = text[begin:start] + new
+    shift = len(new) - (end - start) - begin  # from old places to new ones, counted from `begin`
     last, reach = first, begin
     old: set[int] = set()
-
-    def take() -> None:
-        nonlocal last, reach
-        for n in tree.cuts(last):
-            reach += n
-            if reach >= end:
-                old.add(reach + shift)
-        last += 1
-
     pieces: list[str] = []
-    at, window = begin, 256
-    while True:
-        while reach + shift < at + window and last < tree.size:
-            take()
-        stop = min(len(changed), at + window)
-        found = None
-        for m in counter.cut.finditer(changed, at, stop):
-            if m.end() > stop - LOOK_AHEAD and stop < len(changed):
+    at, window, found = 0, 64, False
+    while not found:
+        seen, is_all = tail.peek(max(0, at + window - len(head)))
+        view = head + seen
+        while reach + shift < len(view) and last < tree.size:
+            for n in tree.cuts(last):
+                reach += n
+                if reach >= end:
+                    old.add(reach + shift)
+            last += 1
+        for m in counter.cut.finditer(view, at):
+            if m.end() > len(view) - LOOK_AHEAD and not is_all:
                 break
             pieces.append(m[0])
             at = m.end()
             if at in old:
-                found = at
+                found = True
                 break
-        if found is not None or at >= len(changed):
+        if is_all and at >= len(view):
             break
         window *= 2
     # The leaves from `first` up to the one that ends where the cuts agree again.
     place, leaf = begin, first
     rest: list[int] = []
-    while leaf < tree.size and place + shift < at or leaf < tree.size and place < end:
+    while leaf < tree.size and (place + shift < at or place < end):
         for n in tree.cuts(leaf):
             place += n
             if place + shift > at:
                 rest.append(n)
         leaf += 1
-    kept = changed[at:at + sum(rest)]
-    tail, tail_at = [], 0
+    kept = (head + tail.peek(at + sum(rest))[0])[at:at + sum(rest)]
+    tail_at = 0
+    behind = []
     for n in rest:
-        tail.append(kept[tail_at:tail_at + n])
+        behind.append(kept[tail_at:tail_at + n])
         tail_at += n
     for k in range(first + 1, leaf):
         tree.put(k, [], 0)
-    tree.put(first, [len(p) for p in pieces + tail], sum(counter[p] for p in pieces + tail))
-    return changed, len(pieces)
+    tree.put(first, [len(p) for p in pieces + behind], sum(counter[p] for p in pieces + behind))
+    return len(pieces)
+
 
+def edit_all(text: str, tree: Tree, counter: Counter, edits: list[tuple[int, int, str]]) -> tuple[str, int]:
+    """The text with all edits made, the tree brought up to date, and how many pre-tokens were encoded.
 
-_TREE = np.dtype("<u4"), np.dtype("<u4")
+    Edits (start, end, new) are in order and apart, on the text as it is; they are made from the last one back.
+    """
+    encoded, behind = 0, len(text)
+    tail = Tail("")
+    for start, end, new in reversed(edits):
+        tail.push(text[end:behind])
+        encoded += _replace(text, tail, tree, counter, start, end, new)
+        tail.push(new)
+        behind = start
+    return text[:behind] + tail.whole(), encoded
 
 
 def _pack(lengths: list[int], tokens: list[int]) -> bytes:
-    return np.array(lengths, _TREE[0]).tobytes() + np.array(tokens, _TREE[1]).tobytes()
+    """A byte that tells the width of a number, the lengths, the tokens."""
+    width = 2 if max(lengths, default=0) < 1 << 16 and max(tokens, default=0) < 1 << 16 else 4
+    return bytes([width]) + np.array(lengths + tokens, f"<u{width}").tobytes()
 
 
 def _unpack(tree: bytes) -> Tree:
-    half = len(tree) // 2
-    return Tree(np.frombuffer(tree[:half], _TREE[0]).astype(np.int64), np.frombuffer(tree[half:], _TREE[1]).astype(np.int64))
+    both = np.frombuffer(tree, f"<u{tree[0]}", offset=1).astype(np.int64)
+    return Tree(both[:len(both) // 2], both[len(both) // 2:])
+
+
+#: Rows whose texts are Python objects at a time.
+_AT_ONCE = 500
+
+
+def _built(text: str | None, counter: Counter) -> tuple[list[int], list[int]]:
+    pieces = counter.pieces(text or "")
+    return list(map(len, pieces)), list(map(counter.__getitem__, pieces))
 
 
 def with_trees(docs: DataFrame, encoding: Encoding | None = None, text_col: str = "text") -> DataFrame:
-    """`docs` with n_pre_tokens, n_tokens and tree (lengths, then tokens, of all pre-tokens; 32 bits each).
+    """`docs` with n_pre_tokens, n_tokens and tree (lengths, then tokens, of all pre-tokens), to be kept with them.
 
     A null text is empty and has none. Every row is counted by itself and whole. Columns of these names are replaced.
     """
     encoding = encoding or default()
+    kind = pa.struct([("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64()), ("tree", pa.binary())])
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _counter(encoding)
         for texts in batches:
-            out = []
-            for text in texts.to_pylist():
-                pieces = counter.pieces(text or "")
-                tokens = list(map(counter.__getitem__, pieces))
-                out.append({"n_pre_tokens": len(pieces), "n_tokens": sum(tokens), "tree": _pack(list(map(len, pieces)), tokens)})
-            yield pa.array(out, pa.struct([("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64()), ("tree", pa.binary())]))
+            parts = []
+            for at in range(0, max(1, len(texts)), _AT_ONCE):
+                built = [_built(text.as_py(), counter) for text in texts.slice(at, _AT_ONCE)]
+                parts.append(pa.array(
+                    [{"n_pre_tokens": len(n), "n_tokens": sum(t), "tree": _pack(n, t)} for n, t in built], kind
+                ))
+            yield pa.concat_arrays(parts)
 
     made = F.arrow_udf(build, "struct<n_pre_tokens:bigint,n_tokens:bigint,tree:binary>", F.ArrowUDFType.SCALAR_ITER)
     return with_result(docs, made.asNondeterministic()(F.col(text_col).cast("string")), ["n_pre_tokens", "n_tokens", "tree"])
@@ -204,36 +250,41 @@ def with_trees(docs: DataFrame, encoding: Encoding | None = None, text_col: str
 def apply_edits(
     docs: DataFrame, edits: Column, encoding: Encoding | None = None, text_col: str = "text", with_texts: bool = True,
 ) -> DataFrame:
-    """`docs` of with_trees() with n_edits, n_tokens_after, n_encoded and, if wanted, text_after.
+    """`docs` with n_pre_tokens and n_tokens before the edits, n_edits, n_tokens_after, n_encoded and, if wanted, text_after.
 
     `edits` is an array of structs (start, end, new) on the text as it was: code points, end exclusive, in order, apart
     from each other. Null or empty edits leave a document as it is; a null text counts as empty. Edits are made from the
-    last one back. n_encoded is how many pre-tokens were encoded again.
+    last one back. n_encoded is how many pre-tokens were encoded again. The column `tree` of with_trees() is used where
+    there is one; else the trees are built on the way.
     """
     encoding = encoding or default()
-    names = ["n_edits", "n_tokens_after", "n_encoded"] + ["text_after"] * with_texts
-    kinds = [pa.int64(), pa.int64(), pa.int64()] + [pa.string()] * with_texts
-
-    def follow(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    kept = "tree" in docs.columns
+    names = ["n_pre_tokens", "n_tokens", "n_edits", "n_tokens_after", "n_encoded"] + ["text_after"] * with_texts
+    kind = pa.struct([(n, pa.string() if n == "text_after" else pa.int64()) for n in names])
+
+    def row(text: str | None, tree: bytes | None, wanted: list[dict] | None, counter: Counter) -> dict:
+        lengths, tokens = _built(text, counter) if tree is None else (None, None)
+        known = Tree(np.array(lengths, np.int64), np.array(tokens, np.int64)) if tree is None else _unpack(tree)
+        before, n, after, encoded = known.tokens, int((known.sums[0][0] > 0).sum()), text, 0
+        if wanted:
+            after, encoded = edit_all(text or "", known, counter, [(e["start"], e["end"], e["new"]) for e in wanted])
+        told = {"n_pre_tokens": n, "n_tokens": before, "n_edits": len(wanted or ()), "n_tokens_after": known.tokens}
+        return told | {"n_encoded": encoded, "text_after": after}
+
+    def follow(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         counter = _counter(encoding)
-        for texts, trees, changes in batches:
-            out = []
-            for text, tree, wanted in zip(texts, trees, changes.to_pylist()):
-                if not wanted:
-                    after, n, encoded = text.as_py() if with_texts else None, int(np.frombuffer(tree.as_py(), _TREE[1])[len(tree.as_py()) // 8:].sum()), 0
-                else:
-                    after, known, encoded = text.as_py() or "", _unpack(tree.as_py()), 0
-                    for e in reversed(wanted):
-                        after, some = edit(after, known, counter, e["start"], e["end"], e["new"])
-                        encoded += some
-                    n = known.tokens
-                row = {"n_edits": len(wanted or ()), "n_tokens_after": n, "n_encoded": encoded}
-                out.append(row | {"text_after": after} if with_texts else row)
-            yield pa.array(out, pa.struct(list(zip(names, kinds))))
-
-    shape = "struct<n_edits:bigint,n_tokens_after:bigint,n_encoded:bigint" + ",text_after:string" * with_texts + ">"
-    made = F.arrow_udf(follow, shape, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    return with_result(docs, made(F.col(text_col).cast("string"), F.col("tree"), edits), names)
+        for texts, changes, *trees in batches:
+            parts = []
+            for at in range(0, max(1, len(texts)), _AT_ONCE):
+                some = [c.slice(at, _AT_ONCE).to_pylist() for c in (texts, changes, *trees)]
+                rows = [row(text, tree[0] if tree else None, wanted, counter) for text, wanted, *tree in zip(*some)]
+                parts.append(pa.array([{k: r[k] for k in names} for r in rows], kind))
+            yield pa.concat_arrays(parts)
+
+    shape = ",".join(f"{n}:{'string' if n == 'text_after' else 'bigint'}" for n in names)
+    made = F.arrow_udf(follow, f"struct<{shape}>", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    columns = [F.col(text_col).cast("string"), edits] + [F.col("tree")] * kept
+    return with_result(docs, made(*columns), names)
 
 
 def masking(text: Column, pattern: str, new: str) -> Column:

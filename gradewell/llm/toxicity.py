@@ -263,7 +263,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer, weights = _scorer(key, shared), np.array(shared.value.weights)
         for texts in batches:
-            x = np.array([scorer.summary(t) for t in texts.to_pylist()]).reshape(-1, 4)
+            x = np.array([scorer.summary(t.as_py()) for t in texts]).reshape(-1, 4)
             yield pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
 
     made = F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()

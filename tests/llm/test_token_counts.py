@@ -31,7 +31,7 @@ def test_edits_one_after_the_other(counter, text, edits):
         start = min(start, len(text))
         end = min(len(text), start + n)
         wanted = text[:start] + new + text[end:]
-        text, _ = C.edit(text, tree, counter, start, end, new)
+        text, _ = C.edit_all(text, tree, counter, [(start, end, new)])
         assert text == wanted and tree.characters == len(text) and tree.tokens == whole(counter, text)
         assert [n for leaf in range(tree.size) for n in tree.cuts(leaf)] == [len(p) for p in counter.pieces(text)]
 
@@ -40,20 +40,42 @@ def test_only_the_region_is_encoded(counter):
     text = "some words of a long text " * 5_000
     pieces = counter.pieces(text)
     tree = C.Tree(np.array([len(p) for p in pieces], np.int64), np.array([counter[p] for p in pieces], np.int64))
-    _, encoded = C.edit(text, tree, counter, 60_000, 60_010, "new")
+    _, encoded = C.edit_all(text, tree, counter, [(60_000, 60_010, "new")])
     assert encoded < 10
 
 
+@settings(max_examples=300, deadline=None)
+@given(TEXT, st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), TEXT), max_size=8))
+def test_edits_of_one_text_together(counter, text, wanted):
+    edits, at = [], 0
+    for a, b, new in sorted(wanted):
+        start, end = max(at, min(a, len(text))), max(at, min(max(a, b), len(text)))
+        if edits and start == edits[-1][1]:
+            continue
+        edits.append((start, max(start, end), new))
+        at = edits[-1][1]
+    changed = text
+    for start, end, new in reversed(edits):
+        changed = changed[:start] + new + changed[end:]
+    pieces = counter.pieces(text)
+    tree = C.Tree(np.array([len(p) for p in pieces], np.int64), np.array([counter[p] for p in pieces], np.int64))
+    assert C.edit_all(text, tree, counter, edits)[0] == changed
+    assert tree.tokens == whole(counter, changed) and tree.characters == len(changed)
+
+
 def test_awkward_rows(spark, awkward, nothing, counter):
-    edits = C.masking(F.coalesce("text", F.lit("")), "e|[0-9]+", "€")
+    edits = C.masking(F.coalesce("text", F.lit("")), "z|[0-9]+|[Ee]nd", "€")
     made = C.apply_edits(C.with_trees(awkward), edits)
     got = sorted(str((r["doc_id"], r["n_tokens"], r["n_edits"], r["n_tokens_after"], r["text_after"])) for r in made.collect())
     wanted = []
     for i, t in ROWS:
-        after, n = re.subn("e|[0-9]+", "€", t or "")
+        after, n = re.subn("z|[0-9]+|[Ee]nd", "€", t or "")
         wanted.append(str((i, whole(counter, t), n, whole(counter, after), after if n else t)))
     assert got == sorted(wanted)
     assert made.columns.count("text_after") == 1
+    # Without kept trees the same.
+    same = C.apply_edits(awkward, edits)
+    assert sorted(map(str, same.collect())) == sorted(map(str, made.drop("tree").select(*same.columns).collect()))
     assert C.apply_edits(C.with_trees(nothing), edits).count() == 0
 
 
