@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text lower-cased in A-Z only, every other ASCII byte but letters and digits a space.
@@ -25,6 +29,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(batches: Iterator) -> Iterator:
+    """The batches of a task; after the last one, memory that the Python worker holds but does not use is given back.
+
+    Spark keeps workers for later tasks, and idle ones would count beside the next stage's memory.
+    """
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def with_result(df: DataFrame, result: Column, fields: list[str]) -> DataFrame:
     """`df` with the fields of the struct `result` as columns; columns of those names are replaced.
 

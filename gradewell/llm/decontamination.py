@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import PLAIN_WORDS, staged, with_result
+from gradewell.llm.common import PLAIN_WORDS, released, staged, with_result
 
 WINDOW = 10
 #: Characters of patterns in one automaton, some 30 bytes of memory each. Larger benchmarks are dealt
@@ -58,7 +58,7 @@ def patterns(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id"
     """Distinct (item, pattern); the id of an item without one is empty."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = sorted(windows_of(text, window))
                 yield pa.RecordBatch.from_pydict(
@@ -130,7 +130,7 @@ def find_contamination(
     def scanner(words_of: Broadcast, key: str, last: bool):
         def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             automaton = _automaton(key, words_of) if words_of.value else None
-            for texts, earlier in batches:
+            for texts, earlier in released(batches):
                 parts = []
                 for at in range(0, max(1, len(texts)), _AT_ONCE):
                     out = []

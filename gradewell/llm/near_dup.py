@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import staged
+from gradewell.llm.common import released, staged
 from gradewell.llm.components import components
 
 SLOTS = 128
@@ -195,7 +195,7 @@ def _fingerprints(p: NearDup):
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip((size, key, bands, sketch, parity), kinds)], names)
 
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in released(batches):
             # Few rows at a time, so that only their results are Python objects.
             parts = [of(texts.slice(at, 1_000)) for at in range(0, len(texts), 1_000)]
             yield pa.concat_arrays(parts or [of(texts)])
@@ -208,7 +208,7 @@ def _similar(p: NearDup):
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = lru_cache(maxsize=16)(lambda text: shingles(text, p.words))
-        for batch in batches:
+        for batch in released(batches):
             links = []
             for a, text_a, b, text_b in zip(*batch.columns):
                 a, b = a.as_py(), b.as_py()
@@ -276,7 +276,7 @@ def _likely(p: NearDup, trees: bool):
                 yield int(max(node[i], node[j])), int(min(node[i], node[j]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
+        for batch in released(batches):
             yield from zip(*(c.to_pylist() for c in batch.columns))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gradewell.llm.common import shared_folder, staged
+from gradewell.llm.common import released, shared_folder, staged
 
 
 @dataclass(frozen=True)
@@ -163,7 +163,7 @@ def _documents(p: Packing):
         tokens = _tokens(p.tokenizer)
         vectors = Vectors.of(p, max(len(tokens.ends), p.end_id + 1))
         end = np.array([p.end_id], tokens.kind)
-        for texts in batches:
+        for texts in released(batches):
             out = []
             for ids in tokens.encode(texts):
                 whole = np.concatenate((ids, end))
@@ -200,7 +200,7 @@ def _key(points: Column, mean: list[float], spread: list[float], bits: int) -> C
     """Hilbert keys of points whose coordinates are made about uniform in [0, 1) first."""
 
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in released(batches):
             at = np.asarray(batch.flatten()).reshape(len(batch), -1)
             at = (at - np.array(mean)) / np.array(spread)
             even = 1 / (1 + np.exp(-1.702 * np.clip(at, -30, 30)))
@@ -213,7 +213,7 @@ def _cut(kind: np.dtype, length: int):
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             out = [[] for _ in names]
             for doc, begin, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = np.frombuffer(ids, kind).astype("<u4")

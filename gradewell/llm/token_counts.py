@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gradewell.llm.common import with_result
+from gradewell.llm.common import released, with_result
 
 #: A pre-token depends on no character further behind it than this one's place; the pattern looks ahead as far.
 LOOK_AHEAD = 2
@@ -234,7 +234,7 @@ def with_trees(docs: DataFrame, encoding: Encoding | None = None, text_col: str
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = _counter(encoding)
-        for texts in batches:
+        for texts in released(batches):
             parts = []
             for at in range(0, max(1, len(texts)), _AT_ONCE):
                 built = [_built(text.as_py(), counter) for text in texts.slice(at, _AT_ONCE)]
@@ -273,7 +273,7 @@ def apply_edits(
 
     def follow(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         counter = _counter(encoding)
-        for texts, changes, *trees in batches:
+        for texts, changes, *trees in released(batches):
             parts = []
             for at in range(0, max(1, len(texts)), _AT_ONCE):
                 some = [c.slice(at, _AT_ONCE).to_pylist() for c in (texts, changes, *trees)]

@@ -24,7 +24,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gradewell.llm.common import with_result
+from gradewell.llm.common import released, with_result
 
 
 @dataclass(frozen=True)
@@ -262,7 +262,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer, weights = _scorer(key, shared), np.array(shared.value.weights)
-        for texts in batches:
+        for texts in released(batches):
             x = np.array([scorer.summary(t.as_py()) for t in texts]).reshape(-1, 4)
             yield pa.array(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
 
