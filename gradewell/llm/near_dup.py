@@ -347,7 +347,7 @@ def near_duplicates(
         labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "mixed",
     )
     members = labelled.join(mixed, "key").join(sketches, "node")
-    more = _verified(_blocks(members, False, p), texts, p)
+    more = staged(_verified(_blocks(members, False, p), texts, p), "more")  # one Python worker a task, not two
 
     # Texts of one id are one document, so their classes are linked as well.
     several = usable.groupBy("id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("id")
