@@ -105,9 +105,10 @@ class Tree:
         self.leaves[leaf] = lengths
         for levels, value in zip(self.sums, (sum(lengths), tokens)):
             more, node = value - int(levels[0][leaf]), leaf
-            for level in levels:
-                level[node] += more
-                node //= 2
+            if more:
+                for level in levels:
+                    level[node] += more
+                    node //= 2
 
     def cuts(self, leaf: int) -> list[int]:
         return self.leaves.get(leaf) or ([n] if (n := int(self.sums[0][0][leaf])) else [])
@@ -147,7 +148,7 @@ def _replace(text: str, tail: Tail, tree: Tree, counter: Counter, start: int, en
     last, reach = first, begin
     old: set[int] = set()
     pieces: list[str] = []
-    at, window, found = 0, 64, False
+    at, window, found = 0, 24, False
     while not found:
         seen, is_all = tail.peek(max(0, at + window - len(head)))
         view = head + seen
@@ -177,12 +178,12 @@ def _replace(text: str, tail: Tail, tree: Tree, counter: Counter, start: int, en
             if place + shift > at:
                 rest.append(n)
         leaf += 1
-    kept = (head + tail.peek(at + sum(rest))[0])[at:at + sum(rest)]
-    tail_at = 0
     behind = []
-    for n in rest:
-        behind.append(kept[tail_at:tail_at + n])
-        tail_at += n
+    if rest:
+        view, to = head + tail.peek(at + sum(rest))[0], at
+        for n in rest:
+            behind.append(view[to:to + n])
+            to += n
     for k in range(first + 1, leaf):
         tree.put(k, [], 0)
     tree.put(first, [len(p) for p in pieces + behind], sum(counter[p] for p in pieces + behind))
