@@ -53,15 +53,25 @@ class LicenseScan:
     containment: float = 0.8
     #: Score of a text that holds phrases but meets no template.
     phrase_score: float = 0.5
+    #: Templates of so many distinct tokens or fewer must be held whole.
+    short: int = 0
+    #: Words that tell licenses apart: a block must hold those of the template, and a template gives way to one of another
+    #: label that shares all its tokens and more with the block. Without any, templates are judged each by itself.
+    telling: frozenset[str] = frozenset()
 
 
+#: As the SQL states: one containment for all templates.
 DEFAULT = LicenseScan()
+TELLING = frozenset({"affero", "apache", "attribution", "bsd", "cc0", "lesser", "mit", "mozilla", "nc", "nd", "sa"})
+#: Labels that do not rest on what licenses have in common.
+STRICT = LicenseScan(short=7, telling=TELLING)
 
 
 def template_tokens(p: LicenseScan) -> list[tuple[int, str, list[str], int]]:
     """(number, label, distinct tokens, tokens a block must share) of each template that has tokens."""
     found = [(i, label, sorted({w for w in re.split(_OTHER, text.lower()) if w})) for i, (label, text) in enumerate(p.templates)]
-    return [(i, label, t, max(1, math.ceil(p.containment * len(t) - 1e-9))) for i, label, t in found if t]
+    share = lambda t: 1.0 if len(t) <= p.short else p.containment
+    return [(i, label, t, max(1, math.ceil(share(t) * len(t) - 1e-9))) for i, label, t in found if t]
 
 
 def _words(text: Column) -> Column:
@@ -106,7 +116,15 @@ def _phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(everywhere, begins)
 
 
-def _matches(scanned: DataFrame, templates: DataFrame) -> DataFrame:
+def _not_outdone(met: Column) -> Column:
+    """The templates of one block that no template of another label shares more with, their tokens and others."""
+    return F.filter(met, lambda a: ~F.exists(met, lambda b: (
+        (a["label"] != b["label"]) & (F.size(b["common"]) > F.size(a["common"]))
+        & (F.size(F.array_except(a["common"], b["common"])) == 0)
+    )))
+
+
+def _matches(scanned: DataFrame, templates: DataFrame, p: LicenseScan) -> DataFrame:
     """(row, label, score, line) of the blocks that hold enough of a template."""
     blocks = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("b")).select("row", "b.line", "b.tokens")
     index = templates.select(
@@ -116,6 +134,15 @@ def _matches(scanned: DataFrame, templates: DataFrame) -> DataFrame:
     shared = blocks.select("row", "line", "tokens", F.posexplode("tokens").alias("j", "token")).join(F.broadcast(index), "token")
     left = F.least(F.size("wanted") - F.col("i"), F.size("tokens") - F.col("j"))
     first = (F.size("tokens") >= F.col("least")) & (left >= F.col("least"))
+    if p.telling:
+        told = F.array_intersect("wanted", F.array(*map(F.lit, sorted(p.telling))))
+        common = F.array_intersect("wanted", "tokens")
+        met = shared.where(first).where(F.size(F.array_except(told, "tokens")) == 0).select(
+            "row", "line", "label", "least", common.alias("common"), (F.size(common) / F.size("wanted")).alias("score"),
+        ).where(F.size("common") >= F.col("least"))
+        blocks = met.groupBy("row", "line").agg(F.collect_set(F.struct("label", "common", "score")).alias("met"))
+        told_apart = blocks.select("row", "line", F.explode(_not_outdone(F.col("met"))).alias("m"))
+        return told_apart.select("row", "line", "m.label", "m.score").distinct()
     common = F.size(F.array_intersect("tokens", "wanted"))
     return shared.where(first).select(
         "row", "line", "template", "label", "least", common.alias("common"), F.size("wanted").alias("size"),
@@ -184,7 +211,7 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_
         templates = spark.createDataFrame(
             prefixes, "template int, label string, least int, tokens array<string>, prefix array<string>"
         )
-        met = _matches(scanned, templates).groupBy("row").agg(
+        met = _matches(scanned, templates, p).groupBy("row").agg(
             F.sort_array(F.collect_list(F.struct("line", "label", "score"))).alias("matches")
         )
         joined = rows.join(met, "row", "left").withColumn("matches", F.coalesce("matches", empty))

@@ -56,3 +56,21 @@ def test_other_templates_and_empty_table(spark, awkward, nothing):
 def test_native(awkward, capsys):
     L.scan_licenses(awkward).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+TOLD = [
+    ("Released under the MIT License", "mit"), ("Released under the BSD License", "bsd"), ("Licensed under CC BY 4.0", "cc-by"),
+    ("The song was released under the same license", ""), ("Licensed under CC BY-NC 4.0", "cc-by-nc"), ("Licensed under CC BY-SA 4.0", "cc-by-sa"),
+    ("This work is licensed under the GNU General Public License, version 3", "gpl"), ("No rights are held", ""),
+    ("This work is licensed under the GNU General Public License", "gpl"),
+    ("This work is licensed under the GNU Affero General Public License", "agpl"),
+    ("This library is licensed under the GNU Lesser General Public License", "lgpl"),
+    ("Released under the MIT License or the BSD License", "bsd,mit"), ("Licensed under the Apache License 2.0", "apache-2.0"),
+]
+
+
+def test_licenses_are_told_apart(spark):
+    docs = spark.createDataFrame(list(enumerate(t for t, _ in TOLD)), "doc_id long, text string")
+    p = L.LicenseScan(phrases={}, short=L.STRICT.short, telling=L.STRICT.telling)
+    got = {r["doc_id"]: r["labels"] for r in L.scan_licenses(docs, p).collect()}
+    assert [got[i] for i in range(len(TOLD))] == [wanted for _, wanted in TOLD]
