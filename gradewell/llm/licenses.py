@@ -3,7 +3,8 @@
 Tokens are ordered by how many documents hold them, rarest first. A block that holds the share of a template's
 tokens asked for must hold one of the template's rarest few (the prefix), enough tokens of templates at all (the
 length), and after the first match enough tokens must be left on both sides (the position). What passes
-these is counted. A block is a line. Beside it, fixed phrases are found word by word.
+these is counted. A block is a line, or, where a reach is given, any run of words, over line ends, that is not longer than so many times
+the template. Beside it, fixed phrases are found word by word.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ class LicenseScan:
     #: Words that tell licenses apart: a block must hold those of the template, and a template gives way to one of another
     #: label that shares all its tokens and more with the block. Without any, templates are judged each by itself.
     telling: frozenset[str] = frozenset()
+    #: Longest run of words that may hold a template, as a multiple of the template's words. None: a block is a line.
+    reach: float | None = None
 
 
 #: As the SQL states: one containment for all templates.
@@ -65,6 +68,8 @@ DEFAULT = LicenseScan()
 TELLING = frozenset({"affero", "apache", "attribution", "bsd", "cc0", "lesser", "mit", "mozilla", "nc", "nd", "sa"})
 #: Labels that do not rest on what licenses have in common.
 STRICT = LicenseScan(short=7, telling=TELLING)
+#: The same wherever the lines end.
+WHOLE = LicenseScan(short=7, telling=TELLING, reach=1.5)
 
 
 def template_tokens(p: LicenseScan) -> list[tuple[int, str, list[str], int]]:
@@ -116,6 +121,54 @@ def _phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(everywhere, begins)
 
 
+def _span(p: LicenseScan, number: int) -> int:
+    """Words of the longest run that may hold a template."""
+    return math.ceil((p.reach or 1.0) * len([w for w in re.split(_OTHER, p.templates[number][1]) if w]))
+
+
+def _spots(text: Column, order: Column) -> Column:
+    """Words of the vocabulary `order` in a text: place, line and word."""
+    words = F.flatten(F.transform(F.split(F.lower(text), "\n"), lambda line, i: F.transform(
+        _words(line), lambda w: F.struct(i.alias("line"), w.alias("word")),
+    )))
+    placed = F.transform(words, lambda w, i: F.struct(i.alias("at"), w["line"].alias("line"), w["word"].alias("word")))
+    return F.filter(placed, lambda s: F.array_contains(order, s["word"]))
+
+
+def _near_rare(spots: Column, rare: list[str], widest: int) -> Column:
+    """For each spot of a rare word: its place and word, and the spots so near that one run may hold both."""
+    every = F.when(F.size(spots) > 0, F.sequence(F.lit(0), F.size(spots) - 1)).otherwise(F.array().cast("array<int>"))
+    hits = F.filter(every, lambda i: F.array_contains(F.array(*map(F.lit, rare)), F.get(spots, i)["word"]))
+    return F.transform(hits, lambda i: F.struct(
+        F.get(spots, i)["at"].alias("at"), F.get(spots, i)["word"].alias("word"),
+        F.slice(spots, F.greatest(F.lit(1), i + 2 - widest), F.lit(2 * widest - 1)).alias("near"),
+    ))
+
+
+def _runs(scanned: DataFrame, templates: DataFrame, rare: list[str], order: Column, widest: int) -> DataFrame:
+    """Blocks in whole texts: for each spot of a template's prefix the shortest run with most of the template's tokens."""
+    hits = scanned.where(F.size("spots") > 0).select("row", F.explode(_near_rare(F.col("spots"), rare, widest)).alias("h"))
+    index = templates.select("least", "span", F.col("tokens").alias("wanted"), F.explode("prefix").alias("word"))
+    own = F.filter("near", lambda s: F.array_contains(F.col("wanted"), s["word"]) & (F.abs(s["at"] - F.col("at")) < F.col("span")))
+    met = hits.select("row", "h.at", "h.word", "h.near").join(F.broadcast(index), "word").withColumn("own", own)
+    met = met.where(F.size(F.array_distinct(F.col("own.word"))) >= F.col("least"))
+
+    def within(spots: Column, start: Column, end: Column) -> Column:
+        return F.array_distinct(F.transform(F.filter(spots, lambda s: s["at"].between(start, end)), lambda s: s["word"]))
+
+    starts, ends = F.filter("own", lambda s: s["at"] <= F.col("at")), F.filter("own", lambda s: s["at"] >= F.col("at"))
+    runs = F.flatten(F.transform(starts, lambda s: F.transform(
+        F.filter(ends, lambda e: e["at"] - s["at"] < F.col("span")), lambda e: F.struct(
+            F.size(within(F.col("own"), s["at"], e["at"])).alias("held"), (s["at"] - e["at"]).alias("shorter"),
+            s["at"].alias("start"), s["line"].alias("line"),
+        ),
+    )))
+    best = met.withColumn("best", F.array_max(runs)).where(F.col("best.held") >= F.col("least"))
+    start = F.col("best.start")
+    tokens = F.array_intersect(order, within(F.col("near"), start, start - F.col("best.shorter")))
+    return best.select("row", "best.line", start.alias("start"), tokens.alias("tokens")).distinct()
+
+
 def _not_outdone(met: Column) -> Column:
     """The templates of one block that no template of another label shares more with, their tokens and others."""
     return F.filter(met, lambda a: ~F.exists(met, lambda b: (
@@ -124,23 +177,22 @@ def _not_outdone(met: Column) -> Column:
     )))
 
 
-def _matches(scanned: DataFrame, templates: DataFrame, p: LicenseScan) -> DataFrame:
+def _matches(blocks: DataFrame, templates: DataFrame, p: LicenseScan) -> DataFrame:
     """(row, label, score, line) of the blocks that hold enough of a template."""
-    blocks = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("b")).select("row", "b.line", "b.tokens")
     index = templates.select(
         "template", "label", "least", F.col("tokens").alias("wanted"), F.posexplode("prefix").alias("i", "token")
     )
     # The templates are a parameter: a few rows for each, whatever the documents.
-    shared = blocks.select("row", "line", "tokens", F.posexplode("tokens").alias("j", "token")).join(F.broadcast(index), "token")
+    shared = blocks.select("row", "line", "start", "tokens", F.posexplode("tokens").alias("j", "token")).join(F.broadcast(index), "token")
     left = F.least(F.size("wanted") - F.col("i"), F.size("tokens") - F.col("j"))
     first = (F.size("tokens") >= F.col("least")) & (left >= F.col("least"))
     if p.telling:
         told = F.array_intersect("wanted", F.array(*map(F.lit, sorted(p.telling))))
         common = F.array_intersect("wanted", "tokens")
         met = shared.where(first).where(F.size(F.array_except(told, "tokens")) == 0).select(
-            "row", "line", "label", "least", common.alias("common"), (F.size(common) / F.size("wanted")).alias("score"),
+            "row", "line", "start", "tokens", "label", "least", common.alias("common"), (F.size(common) / F.size("wanted")).alias("score"),
         ).where(F.size("common") >= F.col("least"))
-        blocks = met.groupBy("row", "line").agg(F.collect_set(F.struct("label", "common", "score")).alias("met"))
+        blocks = met.groupBy("row", "line", "start", "tokens").agg(F.collect_set(F.struct("label", "common", "score")).alias("met"))
         told_apart = blocks.select("row", "line", F.explode(_not_outdone(F.col("met"))).alias("m"))
         return told_apart.select("row", "line", "m.label", "m.score").distinct()
     common = F.size(F.array_intersect("tokens", "wanted"))
@@ -151,7 +203,7 @@ def _matches(scanned: DataFrame, templates: DataFrame, p: LicenseScan) -> DataFr
 
 def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: the id, n_words, n_base, first_word, last_word, base_labels, labels, score and
-    matches (line, label and score of every block that meets a template).
+    matches (line, label and score of every block that meets a template; of a run of words, the line of its first).
 
     A null text is empty: no words, no labels, score 0. Rows with a null or repeated id are scanned each by itself. Other
     columns are not read. An empty table gives an empty one. Two passes over the texts, the first for the frequencies
@@ -168,7 +220,11 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_
     rare = sorted({t for *_, prefix in prefixes for t in prefix})
 
     no_blocks = F.array().cast("array<struct<line:int,tokens:array<string>>>")
-    if rare:
+    if rare and p.reach is not None:
+        spots = _spots(F.col("text"), F.array(*map(F.lit, ranked)))
+        no_spots = F.array().cast("array<struct<at:int,line:int,word:string>>")
+        blocks = F.when(F.lower("text").rlike(_any_of(rare)), spots).otherwise(no_spots)
+    elif rare:
         least = min(n for *_, n in known)
         order = F.array(*map(F.lit, ranked))
         lines = F.transform(
@@ -209,9 +265,17 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_
         joined = rows.withColumn("matches", empty)
     else:
         templates = spark.createDataFrame(
-            prefixes, "template int, label string, least int, tokens array<string>, prefix array<string>"
+            [(*t, _span(p, t[0])) for t in prefixes],
+            "template int, label string, least int, tokens array<string>, prefix array<string>, span int",
         )
-        met = _matches(scanned, templates, p).groupBy("row").agg(
+        if p.reach is not None:
+            widest = max(_span(p, i) for i, *_ in prefixes)
+            runs = _runs(scanned.withColumnRenamed("blocks", "spots"), templates, rare, F.array(*map(F.lit, ranked)), widest)
+        else:
+            runs = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("b")).select(
+                "row", "b.line", F.lit(0).alias("start"), "b.tokens"
+            )
+        met = _matches(runs, templates, p).groupBy("row").agg(
             F.sort_array(F.collect_list(F.struct("line", "label", "score"))).alias("matches")
         )
         joined = rows.join(met, "row", "left").withColumn("matches", F.coalesce("matches", empty))

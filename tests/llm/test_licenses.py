@@ -74,3 +74,25 @@ def test_licenses_are_told_apart(spark):
     p = L.LicenseScan(phrases={}, short=L.STRICT.short, telling=L.STRICT.telling)
     got = {r["doc_id"]: r["labels"] for r in L.scan_licenses(docs, p).collect()}
     assert [got[i] for i in range(len(TOLD))] == [wanted for _, wanted in TOLD]
+
+
+WRAPPED = [
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+    ("x\nNo part of this publication may be reproduced without the prior\n  written permission of the\npublisher.", "proprietary"),
+    ("Licensed under the Apache\r\n * License, Version 2.0", "apache-2.0"), ("Released under\nthe MIT\nLicense", "mit"),
+    ("released " + "lorem " * 50 + "under the " + "ipsum " * 50 + "mit license", ""), ("lorem the of " * 5_000 + "All rights\nreserved", "reserved"),
+    ("Licensed under CC BY 4.0 or Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+]
+
+
+def test_line_ends_do_not_matter(spark, awkward, nothing, capsys):
+    rows = TOLD + WRAPPED
+    docs = spark.createDataFrame(list(enumerate(t for t, _ in rows)), "doc_id long, text string")
+    p = L.LicenseScan(phrases={}, short=L.WHOLE.short, telling=L.WHOLE.telling, reach=L.WHOLE.reach)
+    made = L.scan_licenses(docs, p)
+    got = {r["doc_id"]: r["labels"] for r in made.collect()}
+    assert [got[i] for i in range(len(rows))] == [wanted for _, wanted in rows]
+    assert L.scan_licenses(awkward, L.WHOLE).count() == awkward.count() and L.scan_licenses(nothing, L.WHOLE).count() == 0
+    capsys.readouterr()
+    made.explain()
+    assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
