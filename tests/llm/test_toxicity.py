@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from gradewell.llm import toxicity as T
 from gradewell.llm.queries import op8_toxicity
@@ -70,6 +71,22 @@ def test_without_labels(spark, corpus):
     assert all(r["predicted"] == 0 for r in T.score_toxicity(docs.limit(5), ordinary).collect())
 
 
+def test_training_reads_whole_texts(spark, corpus):
+    docs, labels = corpus
+    long = docs.withColumn("text", F.concat(F.lit("the ta no ri elmo " * 1_200), "text"))
+    model = T.train(long, labels)
+    assert any(word[2:8].encode() in model.toxic[:-T.DEFAULT.common_bytes] for word in BAD)
+    rows = T.score_toxicity(long, model).join(labels, "doc_id").where(T.held_out(long["doc_id"])).collect()
+    assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.9 * len(rows)
+
+
+def test_pieces_of_long_texts():
+    text = b" " + b"abcdefgh" * (T.BLOCK // 8) + b"xyzw ende "
+    assert {int(g).to_bytes(5, "big") for g in T._grams(text, 5)} == {
+        text[i:i + 5] for i in range(len(text) - 4) if b" " not in text[i + 1:i + 5]
+    }
+
+
 def test_windows_cover_the_text():
     text = b" " + b"word and another " * 50 + b"x" * 500
     assert b"".join(T.windows(text, 96)) == text
