@@ -7,7 +7,9 @@ block the page.
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -48,12 +50,29 @@ SOFT: Mapping[str, float] = {
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms in lower case. Soft terms block from `distinct` different ones with weights of `weight` in all."""
+    """Terms in lower case. Soft terms block from `distinct` different ones with weights of `weight` in all, a single one from
+    a weight of `alone`. `forms` are other writings, each with the terms that it stands for.
+    """
 
     strict: tuple[str, ...] = STRICT
     soft: Mapping[str, float] = field(default_factory=lambda: dict(SOFT))
     distinct: int = 2
     weight: float = 1.0
+    alone: float = math.inf
+    forms: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+
+
+def _forms() -> dict[str, tuple[str, ...]]:
+    """Plurals (or the singular) of nouns, and any two different terms written as one word."""
+    plural = ("bet", "casino", "crack", "escort", "keygen", "loan", "nude", "torrent", "win")
+    nouns = {f"{t}s": t for t in plural} | {"bonuses": "bonus", "cam": "cams", "pill": "pills", "slot": "slots"}
+    one = {t: t for t in (*STRICT, *SOFT)} | nouns
+    two = {a + b: (one[a], one[b]) for a in one for b in one if one[a] != one[b]}
+    return {form: terms for form, terms in (two | {f: (t,) for f, t in nouns.items()}).items() if form not in {*STRICT, *SOFT}}
+
+
+#: Any two soft terms block, a single one if its weight is one; plurals and joined words are known.
+WIDE = Vocabulary(weight=0.0, alone=1.0, forms=_forms())
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -96,18 +115,23 @@ def terms_in(text: str, terms: tuple[str, ...]) -> dict[str, int]:
 
 
 def _judge(vocabulary: Vocabulary):
-    terms = tuple(sorted({*vocabulary.strict, *vocabulary.soft}))
+    stands = {**vocabulary.forms, **{t: (t,) for t in (*vocabulary.strict, *vocabulary.soft)}}
+    terms = tuple(sorted(stands))
     strict = frozenset(vocabulary.strict)
 
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             out = []
             for text in texts.to_pylist():
-                found = terms_in(text, terms) if text and terms else {}
+                found = Counter()
+                for form, n in (terms_in(text, terms) if text and terms else {}).items():
+                    for term in stands[form]:
+                        found[term] += n
                 hard = sorted(t for t in found if t in strict)
                 soft = sorted(t for t in found if t not in strict)
                 weight = sum(vocabulary.soft[t] for t in soft)
                 blocked = bool(hard) or len(soft) >= vocabulary.distinct and weight >= vocabulary.weight
+                blocked = blocked or any(vocabulary.soft[t] >= vocabulary.alone for t in soft)
                 out.append({
                     "n_strict": sum(found[t] for t in hard), "n_soft": sum(found[t] for t in soft),
                     "soft_weight": float(weight), "terms": [*hard, *soft], "blocked": blocked,

@@ -1,4 +1,4 @@
-from gradewell.llm.url_filter import Rule, Vocabulary, filter_urls, terms_in
+from gradewell.llm.url_filter import WIDE, Rule, Vocabulary, filter_urls, terms_in
 
 URLS = [
     (1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "HTTP://Www.Example.ORG/es/x"), (6, "https://a.example.org/en/17"),
@@ -46,3 +46,11 @@ def test_own_rules_and_empty_table(spark):
 
 def test_terms_overlap():
     assert terms_in("Sex/xxx-SEX", ("sex", "xxx", "ex")) == {"sex": 2, "xxx": 1}
+
+
+def test_wide_vocabulary(spark):
+    bad = ["free-bets.a.net", "adult-x.a.net", "casino-win.a.net", "hot-win.a.net", "cheap-bonus.a.net", "casinos.net", "freebets.a.net", "sexcams.io"]
+    clean = ["loan.a.net/loans", "free.a.net", "a.net/betting", "between.a.net", "winter-hotel.a.net", "sussex.a.net", "a.net/x/poker/poker", "a.net/win"]
+    rows = [(h, f"https://{h}") for h in bad + clean]
+    made = filter_urls(spark.createDataFrame(rows, "page_id string, url string"), vocabulary=WIDE)
+    assert {r["page_id"] for r in made.where("verdict = 'block'").collect()} == set(bad)
