@@ -1,7 +1,7 @@
 """URL filter: host and path rules, then a weighted vocabulary of strict and soft terms.
 
-One Aho-Corasick automaton walks host and path once. A term counts where it stands between characters that
-are no ASCII letters or digits. One strict term, or several distinct soft terms whose weights reach the limit,
+One Aho-Corasick automaton walks the whole url, and a percent-decoded copy where that differs. A term counts where it stands
+between characters that are no ASCII letters or digits. One strict term, or several distinct soft terms whose weights reach the limit,
 block the page.
 """
 
@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
+from urllib.parse import unquote
 
 import ahocorasick
 import pyarrow as pa
@@ -114,6 +115,15 @@ def terms_in(text: str, terms: tuple[str, ...]) -> dict[str, int]:
     return found
 
 
+def terms_in_url(url: str, terms: tuple[str, ...]) -> dict[str, int]:
+    """How often each term stands in a url, as it is or percent-decoded: the larger number of the two."""
+    found = terms_in(url, terms)
+    if "%" in url and (plain := unquote(url)) != url:
+        for term, n in terms_in(plain, terms).items():
+            found[term] = max(n, found.get(term, 0))
+    return found
+
+
 def _judge(vocabulary: Vocabulary):
     stands = {**vocabulary.forms, **{t: (t,) for t in (*vocabulary.strict, *vocabulary.soft)}}
     terms = tuple(sorted(stands))
@@ -124,7 +134,7 @@ def _judge(vocabulary: Vocabulary):
             out = []
             for text in texts.to_pylist():
                 found = Counter()
-                for form, n in (terms_in(text, terms) if text and terms else {}).items():
+                for form, n in (terms_in_url(text, terms) if text and terms else {}).items():
                     for term in stands[form]:
                         found[term] += n
                 hard = sorted(t for t in found if t in strict)
@@ -149,8 +159,8 @@ def filter_urls(
 ) -> DataFrame:
     """`pages` with host, path, rule, n_strict, n_soft, soft_weight, terms and verdict (allow or block).
 
-    The longest fitting rule decides; where none fits, the vocabulary does, over host and path. A null url, or one
-    without `://`, has an empty host and path, fits no rule, holds no term and is allowed. Every row is judged by itself,
+    The longest fitting rule decides; where none fits, the vocabulary does, over the whole url with query and fragment. A null
+    url, or one without `://`, has an empty host and path and fits no rule; a null or empty one is allowed. Every row is judged by itself,
     repeated ones alike. Input columns with the names of results are replaced. No shuffle.
     """
     row = f"_{uuid.uuid4().hex}"
@@ -160,7 +170,7 @@ def filter_urls(
         "struct<n_strict:bigint,n_soft:bigint,soft_weight:double,terms:array<string>,blocked:boolean>",
         F.ArrowUDFType.SCALAR_ITER,
     ).asNondeterministic()
-    parts = pages.select("*", F.struct(host.alias("host"), path.alias("path"), judge(F.concat(host, path)).alias("w")).alias(row))
+    parts = pages.select("*", F.struct(host.alias("host"), path.alias("path"), judge(F.col(url_col).cast("string")).alias("w")).alias(row))
     at = F.col(row)
     rule = matching_rule(at["host"], at["path"], rules)
     verdict = F.when(at["w"]["blocked"], "block").otherwise("allow")

@@ -54,3 +54,16 @@ def test_wide_vocabulary(spark):
     rows = [(h, f"https://{h}") for h in bad + clean]
     made = filter_urls(spark.createDataFrame(rows, "page_id string, url string"), vocabulary=WIDE)
     assert {r["page_id"] for r in made.where("verdict = 'block'").collect()} == set(bad)
+
+
+def test_whole_url_is_judged(spark):
+    bad = [
+        "http://a.example.net/search?q=porn", "http://a.example.net/go?to=casino.example", "www.porn.example/xxx", "http://a.net#xxx",
+        "http://a.net/%70orn", "http://a.net/?q=a%20casino%20b", "http://a.net/?q=porn%41", "http://a.net/?a=free&b=poker", "//a.net/?q=%C3%A9%2Fxxx",
+    ]
+    clean = ["http://a.net/?q=pornography", "http://a.net/%70ornA", "a.net/%", "http://a.net/?q=%ff%zz", "http://x.com/fr/?q=porn"]
+    made = filter_urls(spark.createDataFrame([(u,) for u in bad + clean], "url string"))
+    by = {r["url"]: r for r in made.collect()}
+    assert {u for u in by if by[u]["verdict"] == "block"} == set(bad)
+    assert (by[bad[0]]["host"], by[bad[0]]["path"], by[bad[0]]["n_strict"]) == ("a.example.net", "/search", 1)
+    assert (by[bad[2]]["host"], by[bad[2]]["path"], by[bad[2]]["terms"]) == ("", "", ["porn", "xxx"])
