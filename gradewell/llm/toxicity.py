@@ -66,8 +66,15 @@ def held_out(doc_id: Column, every: int = DEFAULT.fold_every) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % every == 0, F.lit(True))
 
 
+def _lower(text: bytes) -> bytes:
+    """Lower case by Unicode, for training and scoring alike; bytes that are no UTF-8 stay."""
+    if text.isascii():
+        return text.lower()
+    return text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+
+
 def _clean(text: bytes | None) -> bytes:
-    return b" " + b" ".join((text or b"").lower().split()) + b" "
+    return b" " + b" ".join(_lower(text or b"").split()) + b" "
 
 
 def windows(text: bytes, size: int) -> Iterator[bytes]:
@@ -323,7 +330,7 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training texts made ready: digest, half of the sample, smallest word hash and the cleaned text."""
     for batch in released(batches):
         for toxic, text in zip(batch.column("toxic"), batch.column("text")):
-            low = text.as_py().decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+            low = _lower(text.as_py())
             words = set(low.split())
             least = min(map(xxhash.xxh3_64_intdigest, words)) >> 1 if words else None
             yield pa.RecordBatch.from_pydict({

@@ -98,3 +98,17 @@ def test_query(spark):
     rows = made.collect()
     assert made.columns == ["doc_id", "held_out", "score", "predicted"] and len(rows) == 200
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_capitals_do_not_matter(spark, corpus):
+    words = dict(zip(BAD, ("грязьлицо", "éclatôté", "ärgerüber", "подлостью")))
+    spelt = F.col("text")
+    for word, other in words.items():
+        spelt = F.replace(spelt, F.lit(word), F.lit(other))
+    docs = corpus[0].withColumn("text", spelt)
+    model = T.train(docs, corpus[1])
+    both = docs.withColumn("capitals", F.upper("text"))
+    low = {r["doc_id"]: r["score"] for r in T.score_toxicity(both.select("doc_id", "text"), model).collect()}
+    high = {r["doc_id"]: r["score"] for r in T.score_toxicity(both.select("doc_id", "capitals"), model, "capitals").collect()}
+    assert low == high and len(set(low.values())) > 10
+    assert T._clean(b"\xffA \xc3\x84") == b" \xffa \xc3\xa4 "
