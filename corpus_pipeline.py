@@ -20,9 +20,14 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, once; documents without an id stay."""
+    """The document with the smallest id of each group of near copies, once; documents without an id stay.
+
+    Rows that share an id are one document, of which the text with the smallest hash stays."""
     kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    one_each = docs.join(staged(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.join(staged(kept, "kept"), "doc_id", "left_semi")
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
+    smallest = F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.xxhash64(*hashed)))
+    one_each = rows.groupBy("doc_id").agg(smallest.alias("row")).select("row.*")
     return one_each.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
 
 

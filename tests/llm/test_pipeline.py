@@ -94,3 +94,12 @@ def test_awkward_rows(spark, awkward, nothing):
     near = P.STAGES[1][1](spark, awkward, SF).collect()
     ids = [r["doc_id"] for r in near]
     assert ids.count(None) == 2 and ids.count(13) == 1 and ids.count(5) == 0 and ids.count(4) == 1
+
+
+def test_one_row_of_an_id_does_not_depend_on_the_order(spark):
+    texts = [f"text {i} of one id alpha beta gamma delta {i * 7} epsilon" for i in range(12)]
+    made = set()
+    for order in (texts, texts[::-1], texts[5:] + texts[:5]):
+        docs = spark.createDataFrame([(1, t) for t in order], "doc_id long, text string").coalesce(1)
+        made.add(tuple(r["text"] for r in P.STAGES[1][1](spark, docs, SF).collect()))
+    assert len(made) == 1 and len(made.pop()) == 1
