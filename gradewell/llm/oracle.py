@@ -130,7 +130,92 @@ FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOI
 """
 
 
+OP11 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, len(embedding) AS n FROM embeddings
+), usable AS (
+  SELECT * FROM vectors WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                          AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.n = b.n AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, seen) AS (
+  SELECT vec_id, vec_id FROM vectors UNION SELECT reach.vec_id, b FROM reach JOIN links ON a = seen
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a) USING (vec_id)
+"""
+
+#: The checksum's own table, made by its rule; a checksum is a fold of it over the bytes of a text.
+_CRC_TABLE = """
+SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, bit:
+         CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+"""
+
+OP12 = f"""
+WITH crc AS ({_CRC_TABLE}),
+docs AS (SELECT doc_id, {_plain_words("coalesce(text, '')")} AS w FROM documents),
+items AS (SELECT {_plain_words("coalesce(text, '')")} AS w FROM benchmark),
+own AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM docs),
+wanted AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM items),
+hashed AS (
+  SELECT f, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(0, strlen(f)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT f FROM own UNION SELECT f FROM wanted), crc
+),
+corpus AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM own) + 10000)
+                                      / ((s + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000)))) AS BIGINT) AS gain
+  FROM corpus LEFT JOIN target USING (bucket)
+),
+sums AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain) AS total
+  FROM own JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id
+),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         CAST(coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM docs LEFT JOIN sums USING (doc_id)
+),
+drawn AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score, n_words >= 20 AS able FROM scored
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place FROM drawn)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN able AND place <= 25 * (SELECT count(*) FROM drawn WHERE able) // 100 THEN place END AS rank
+FROM ranked
+"""
+
+OP13 = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || doc_id) AS h FROM documents
+), drawn AS (
+  SELECT *, len(w) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM cut
+), parts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), told AS (
+  SELECT *, array_to_string(w[1 : a], '') AS prefix, array_to_string(w[a + 1 : b], '') AS middle,
+         array_to_string(w[b + 1 : n], '') AS suffix FROM parts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM told
+"""
+
+
 ORACLE_SQL = {
     "op2_license_scan": _op2(),
     "op3_decontamination": OP3, "op4_url_filter": _op4(), "op5_superminhash": OP5, "op10_warc": OP10,
+    "op11_rotated_codes": OP11, "op12_resampling": OP12, "op13_fill_middle": OP13,
 }

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gradewell.llm import decontamination, licenses, near_dup, packing, quality, secret_scan, token_counts, toxicity, url_filter, warc
+from gradewell.llm import (
+    decontamination, fill_middle, licenses, near_dup, packing, quality, resampling, secret_scan, token_counts, toxicity,
+    url_filter, vector_dup, warc,
+)
 from gradewell.llm.common import table
 
 
@@ -75,9 +78,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
 
 
+def op11_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resampling.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_curve_packing, op2_license_scan, op3_decontamination, op4_url_filter, op5_superminhash, op6_secret_scan,
-        op7_token_counts, op8_toxicity, op9_quality_votes, op10_warc,
+        op7_token_counts, op8_toxicity, op9_quality_votes, op10_warc, op11_rotated_codes, op12_resampling, op13_fill_middle,
     )
 }
