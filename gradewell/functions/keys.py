@@ -22,5 +22,16 @@ def member_id(columns: Sequence[str] = KEY_COLUMNS) -> Column:
     return F.coalesce(F.sha2(F.concat_ws("||", *columns), 256), F.lit(""))
 
 
+def injective_text(columns: Sequence[str]) -> Column:
+    """A text that differs wherever the values do: each with its length before it, a NULL as a mark of its own."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
+def injective_key(columns: Sequence[str]) -> Column:
+    """SHA-256 of the values, NULLs included; beside member_id() it tells persons apart that share one."""
+    return F.sha2(injective_text(columns), 256)
+
+
 def with_member_id(applications: DataFrame) -> DataFrame:
     return applications.withColumn("member_id", member_id())

@@ -16,6 +16,11 @@ def months_to_years(text: Column) -> Column:
     return (months / F.lit(12)).cast("int")
 
 
+def year_of(text: Column) -> Column:
+    """The year that ends a date such as `Jan-2015`; NULL where none does."""
+    return F.regexp_extract(text, "([0-9]{4})$", 1).try_cast("int")
+
+
 def whole(number: Column) -> Column:
     """A count stored with decimals as an int, truncated."""
     return number.cast("int")

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from gradewell.functions.text import digits_as_int, months_to_years, whole
-from gradewell.schemas import MONEY
+from gradewell.schemas import DROPPED_ROWS, MONEY
 
 # The purposes kept; any other becomes "other".
 LOAN_PURPOSES = [
@@ -63,24 +63,43 @@ def _require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(" and ".join(f"{c} is not null" for c in columns))
 
 
+def _first_missing(entity: str) -> Column:
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[entity]])
+
+
+def _known(landed: DataFrame, entity: str, drops: Observation | None) -> DataFrame:
+    """Distinct rows without a NULL in a required column; `drops` counts the others while the result is written."""
+    distinct = dedupe(landed)
+    if drops is not None:
+        first = _first_missing(entity)
+        distinct = distinct.observe(drops, *[F.count_if(first == c).alias(c) for c in REQUIRED[entity]])
+    return _require(distinct, REQUIRED[entity])
+
+
+def observed_drops(spark: SparkSession, drops: dict[str, Observation]) -> DataFrame:
+    """What dropped_rows() tells, of tables that were written with their cleaner's `drops`: one number per required column.
+
+    The counts were taken in the tasks that wrote, after the shuffle that removes copies, so no row is counted again.
+    """
+    rows = [(entity, column, n) for entity, seen in drops.items() for column, n in seen.get.items() if n]
+    return spark.createDataFrame(rows, DROPPED_ROWS)
+
+
 def dropped_rows(landed: DataFrame, entity: str) -> DataFrame:
     """How many distinct landed rows the cleaner drops, by the first required column that is missing."""
-    first = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[entity]])
-    missing = dedupe(landed).select(first.alias("missing")).where("missing is not null")
+    missing = dedupe(landed).select(_first_missing(entity).alias("missing")).where("missing is not null")
     return missing.groupBy("missing").agg(F.count("*").alias("n_rows")).select(F.lit(entity).alias("entity"), "missing", "n_rows")
 
 
-def fill_with_mean(df: DataFrame, column: str) -> DataFrame:
-    """Fill NULLs of an int column with its mean, truncated, as a scalar subquery in the plan."""
-    mean = df.agg(F.avg(column).cast("int")).scalar()
+def fill_with_mean(df: DataFrame, column: str, of: DataFrame | None = None) -> DataFrame:
+    """Fill NULLs of an int column with its mean (in `of`, the same rows), truncated, as a scalar subquery in the plan."""
+    mean = (df if of is None else of).agg(F.avg(column).cast("int")).scalar()
     return df.withColumn(column, F.coalesce(F.col(column), mean))
 
 
-def clean_customers(landed: DataFrame) -> DataFrame:
-    known = (
-        dedupe(landed)
-        .where(F.col("annual_inc").isNotNull())
-        .withColumnsRenamed({
+def _customer_values(known: DataFrame) -> DataFrame:
+    return (
+        known.withColumnsRenamed({
             "annual_inc": "annual_income",
             "addr_state": "address_state",
             "zip_code": "address_zipcode",
@@ -93,7 +112,14 @@ def clean_customers(landed: DataFrame) -> DataFrame:
             "address_state": F.when(F.length("address_state") > 2, F.lit("NA")).otherwise(F.col("address_state")),
         })
     )
-    return fill_with_mean(known, "emp_length")
+
+
+def clean_customers(landed: DataFrame, drops: Observation | None = None) -> DataFrame:
+    plain = _customer_values(_known(landed, "customers", None))
+    if drops is None:
+        return fill_with_mean(plain, "emp_length")
+    # The mean is taken of unobserved rows, or they would be counted twice.
+    return fill_with_mean(_customer_values(_known(landed, "customers", drops)), "emp_length", plain)
 
 
 def _loan_values(loans: DataFrame) -> DataFrame:
@@ -103,13 +129,13 @@ def _loan_values(loans: DataFrame) -> DataFrame:
     }).withColumnRenamed("loan_term_months", "loan_term_years")
 
 
-def clean_loans(landed: DataFrame) -> DataFrame:
-    return _loan_values(_require(dedupe(landed), REQUIRED_LOAN_COLUMNS))
+def clean_loans(landed: DataFrame, drops: Observation | None = None) -> DataFrame:
+    return _loan_values(_known(landed, "loans", drops))
 
 
 def unique_loans(landed: DataFrame) -> DataFrame:
-    """The clean loans whose id stands on one of them, ready to be joined on it."""
-    return _loan_values(unique_rows(_require(landed, REQUIRED_LOAN_COLUMNS), "loan_id"))
+    """The clean loans whose id stands on one of them, ready to be joined on it. Clean values decide what is equal."""
+    return unique_rows(_loan_values(_require(landed, REQUIRED_LOAN_COLUMNS)), "loan_id")
 
 
 def _repayment_values(repayments: DataFrame) -> DataFrame:
@@ -122,13 +148,13 @@ def _repayment_values(repayments: DataFrame) -> DataFrame:
     })
 
 
-def clean_repayments(landed: DataFrame) -> DataFrame:
-    return _repayment_values(_require(dedupe(landed), REQUIRED_REPAYMENT_COLUMNS))
+def clean_repayments(landed: DataFrame, drops: Observation | None = None) -> DataFrame:
+    return _repayment_values(_known(landed, "loans_repayments", drops))
 
 
 def unique_repayments(landed: DataFrame) -> DataFrame:
     """The clean repayments whose loan id stands on one of them, ready to be joined on it."""
-    return _repayment_values(unique_rows(_require(landed, REQUIRED_REPAYMENT_COLUMNS), "loan_id"))
+    return unique_rows(_repayment_values(_require(landed, REQUIRED_REPAYMENT_COLUMNS)), "loan_id")
 
 
 def count_or_zero(column: str) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gradewell.functions.keys import injective_key
 from gradewell.operators.clean import DELINQUENCY_COUNTS, any_positive
-from gradewell.operators.skew import join_members
+from gradewell.operators.skew import SLICE_ROWS, hot_buckets, join_members
+from gradewell.schemas import KEY_COLUMNS
 
 
 def duplicate_members(table: DataFrame) -> DataFrame:
@@ -37,9 +39,12 @@ def bad_members(customers: DataFrame, defaulters: DataFrame) -> DataFrame:
 
 
 def repeated_loans(loans: DataFrame, repayments: DataFrame) -> DataFrame:
-    """Loan ids on several distinct loans or repayments, with how many of each. They join with nothing."""
-    ids = loans.select("loan_id", F.lit(1).alias("n_loans"), F.lit(0).alias("n_repayments")).unionAll(
-        repayments.select("loan_id", F.lit(0), F.lit(1)))
+    """Loan ids on several distinct clean loans or repayments, with how many of each.
+
+    Rows that only cleaning made equal are one, as they are for clean.unique_rows(): what it drops is what is listed here.
+    """
+    ids = loans.distinct().select("loan_id", F.lit(1).alias("n_loans"), F.lit(0).alias("n_repayments")).unionAll(
+        repayments.distinct().select("loan_id", F.lit(0), F.lit(1)))
     counted = ids.where("loan_id is not null").groupBy("loan_id").agg(
         F.sum("n_loans").alias("n_loans"), F.sum("n_repayments").alias("n_repayments"))
     return counted.where("n_loans > 1 or n_repayments > 1")
@@ -53,6 +58,29 @@ def union_of_members(*id_lists: DataFrame) -> DataFrame:
     return union.distinct()
 
 
+def exclude_listed(rows: DataFrame, listed: DataFrame, column: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Rows whose `column` is NOT IN the only column of `listed`, by the rules of SQL for NULL.
+
+    An empty list excludes nothing. A NULL in the list leaves every comparison unknown, so no row stays. Else rows whose own
+    value is NULL go too. Spark's plan for NOT IN broadcasts the whole list; here three facts about it, taken in one
+    aggregate, stand in the filter as scalars, and the list itself meets the rows in an anti join that can shuffle. Values that
+    very many rows share, NULL among them, are salted; rows should be distinct.
+    """
+    value = F.col(listed.columns[0])
+    facts = listed.agg(F.struct(F.count("*").alias("n"), F.count(value).alias("known")).alias("facts")).scalar()
+    empty, no_null = facts["n"] == 0, facts["n"] == facts["known"]
+    known = listed.select(value.alias(column)).where(F.col(column).isNotNull()).distinct()
+    unlisted = join_members(rows, known, hot_buckets(rows.select(column), column, slice_rows), "left_anti", column)
+    return unlisted.where(empty | (no_null & F.col(column).isNotNull())).select(*rows.columns)
+
+
+def shared_ids(keyed: DataFrame) -> DataFrame:
+    """Person ids that different persons share, with how many: the key skips NULLs, an injective key does not."""
+    persons = keyed.select("member_id", injective_key(KEY_COLUMNS).alias("person")).distinct()
+    counted = persons.groupBy("member_id").agg(F.count("*").alias("n_persons"))
+    return counted.where("n_persons > 1")
+
+
 def exclude(rows: DataFrame, bad: DataFrame, hot: DataFrame) -> DataFrame:
     """Rows of members that are not in `bad`.
 

@@ -18,6 +18,7 @@ from gradewell.params import GRADE_LEVELS, LITERAL, REPAIRED, TOTAL_PAYMENT_BAND
 from gradewell.schemas import PAIR_COUNT, SCORE, SUBSCORE
 
 DEFAULTS = ScoreParams()
+KEYS = ("member_id", "loan_id")
 
 PAYMENT_POINTS = ["last_payment_pts", "total_payment_received_pts"]
 HISTORY_POINTS = ["delinq_pts", "public_record_pts", "public_bankruptcies_pts", "enq_pts"]
@@ -87,10 +88,11 @@ def payment_base(repayments: DataFrame, loans: DataFrame) -> DataFrame:
     return repayments.join(loans, "loan_id")
 
 
-def payment_points(base: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED) -> DataFrame:
+def payment_points(base: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED,
+                   keep: tuple[str, ...] = KEYS) -> DataFrame:
     """The rules that need only the loan, and the amount that the credit limit is compared with later."""
     return base.select(
-        "member_id", "loan_id",
+        *keep,
         last_payment_points(params, rules).alias("last_payment_pts"),
         total_payment_points(params).alias("total_payment_received_pts"),
         loan_status_points(params, rules).alias("loan_status_pts"),
@@ -170,23 +172,24 @@ def score_history(base: DataFrame, customers: DataFrame, defaulters: DataFrame,
 
 def score_points(base: DataFrame, customers: DataFrame, defaulters: DataFrame, hot: DataFrame,
                  params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED,
-                 include_clean_members: bool = False) -> DataFrame:
+                 include_clean_members: bool = False, keep: tuple[str, ...] = KEYS) -> DataFrame:
     """All ten rules, one row per loan."""
     members = member_history(defaulters, params, rules, include_clean_members).join(
         member_profile(customers, params, rules), "member_id")
     return (
-        join_members(payment_points(base, params, rules), members, hot)
+        join_members(payment_points(base, params, rules, keep), members, hot)
         .withColumn("funded_amt_pts", funded_points(params, rules))
-        .select("member_id", "loan_id", *PAYMENT_POINTS, *HISTORY_POINTS, *HEALTH_POINTS)
+        .select(*keep, *PAYMENT_POINTS, *HISTORY_POINTS, *HEALTH_POINTS)
     )
 
 
-def score_wide(wide: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED) -> DataFrame:
+def score_wide(wide: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED,
+               keep: tuple[str, ...] = KEYS) -> DataFrame:
     """All ten rules on rows that already hold everything, such as the wide table without quarantined members."""
     history = zip(["delinq_2yrs", *RECORD_COUNTS], HISTORY_POINTS)
     home = home_points_of_loan(home_points(params, rules), F.col("loan_status").isNull(), params, rules)
     return wide.select(
-        "member_id", "loan_id",
+        *keep,
         last_payment_points(params, rules).alias("last_payment_pts"),
         total_payment_points(params).alias("total_payment_received_pts"),
         *[count_points(column, params, rules).alias(points) for column, points in history],
@@ -210,25 +213,28 @@ def total_score(scored: DataFrame) -> DataFrame:
 
 
 def grade(points: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = REPAIRED,
-          keep: tuple[str, ...] = ("member_id", "loan_id")) -> DataFrame:
+          keep: tuple[str, ...] = KEYS) -> DataFrame:
     """Sub-scores, total and letter grade with the keys of the loan."""
     totals = total_score(sub_scores(points, params))
     letter = letter_grade("loan_total_score", params, rules.half_open_grades)
     return totals.select(*keep, *SUBSCORES, "loan_total_score", letter.alias("loan_grade"))
 
 
-def grade_member_pairs(base: DataFrame, loans: DataFrame, customers: DataFrame, defaulters: DataFrame,
+def counted_payments(base: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = LITERAL) -> DataFrame:
+    """Payments of each member by their points, of repayments that are joined with their loans already."""
+    return payment_points(base, params, rules).groupBy("member_id", *PAYMENT_POINTS).agg(
+        F.count("*").cast(PAIR_COUNT).alias("n_payments"))
+
+
+def grade_member_pairs(payments: DataFrame, loans: DataFrame, customers: DataFrame, defaulters: DataFrame,
                        hot: DataFrame, params: ScoreParams = DEFAULTS, rules: RuleSet = LITERAL) -> DataFrame:
     """The grades when loans are joined a second time on the member instead of the loan.
 
     That join pairs every payment of a member with every loan of the member. Its output carries no loan,
     so equal rows are given once with `n_rows`, and the pairs are never made: payments and loans are
-    first counted per member and points, a bounded number of combinations, then multiplied.
+    first counted per member and points, a bounded number of combinations, then multiplied. `payments` holds those counts
+    as `n_payments`, from counted_payments() or, with loan ids on several rows, from pairs.payment_pairs().
     """
-    payments = (
-        payment_points(base, params, rules)
-        .groupBy("member_id", *PAYMENT_POINTS).agg(F.count("*").alias("_payments"))
-    )
     histories = payments.join(_history_of_kept_members(customers, defaulters, params, rules), "member_id")
     statuses = loans.select(
         "member_id", "loan_id", "funded_amount",
@@ -241,8 +247,9 @@ def grade_member_pairs(base: DataFrame, loans: DataFrame, customers: DataFrame,
         .withColumns({"home_pts": home, "funded_amt_pts": funded_points(params, rules)})
         .groupBy("member_id", *HEALTH_POINTS).agg(F.count("*").alias("_loans"))
     )
-    # Decimal, because the square of a large member's loans can pass the range of a long.
-    n_rows = F.expr("cast(_payments as decimal(19,0)) * cast(_loans as decimal(19,0))").cast(PAIR_COUNT)
+    # Decimal, because the square of a large member's loans can pass the range of a long. One row per member and points on
+    # both sides, a few dozen at most, so this join needs no salt.
+    n_rows = F.expr("n_payments * cast(_loans as decimal(19,0))").cast(PAIR_COUNT)
     pairs = histories.join(healths, "member_id").withColumn("n_rows", n_rows)
     graded = grade(pairs, params, rules, keep=("member_id", "n_rows"))
     return (

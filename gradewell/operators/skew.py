@@ -13,44 +13,51 @@ that many rows, so all repeats together stay below the rows divided by SLICE_ROW
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKETS = 65_536        # rows of two ints that are broadcast, at most and at any data size
 SLICE_ROWS = 1_000_000  # rows of one member that one task joins, at any data size
 
 
-def _bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def hot_buckets(rows: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def hot_buckets(rows: DataFrame, key: str | Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Buckets with a member of more rows than a slice, and the slices of its largest one: at most BUCKETS rows.
 
     `rows` need hold no more than the key. Rows are counted per member, combined on the map side.
     """
     slices = F.ceil(F.col("_rows") / F.lit(slice_rows)).cast("int")
     return (
-        rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > slice_rows)
-        .groupBy(_bucket(F.col(key)).alias("_bucket")).agg(F.max(slices).alias("_salts"))
+        rows.groupBy(*_names(key)).agg(F.count("*").alias("_rows")).where(F.col("_rows") > slice_rows)
+        .groupBy(_bucket(_names(key)).alias("_bucket")).agg(F.max(slices).alias("_salts"))
     )
 
 
-def _with_salt(df: DataFrame, key: str, hot: DataFrame, salt: Column) -> DataFrame:
+def _with_salt(df: DataFrame, key: list[str], hot: DataFrame, salt: Column) -> DataFrame:
     # Broadcast is safe: `hot` has at most BUCKETS rows of two ints.
-    marked = df.join(F.broadcast(hot), _bucket(F.col(key)) == F.col("_bucket"), "left")
+    marked = df.join(F.broadcast(hot), _bucket(key) == F.col("_bucket"), "left")
     return marked.select(*df.columns, salt.alias("_salt"))
 
 
 def join_members(rows: DataFrame, members: DataFrame, hot: DataFrame, how: str = "inner",
-                 key: str = "member_id") -> DataFrame:
-    """Join `rows` (many per member) with `members` on the member, salting hot members.
+                 key: str | Sequence[str] = "member_id") -> DataFrame:
+    """Join `rows` (many per member) with `members` on the member, or on other keys, salting hot ones.
 
     `how` is inner, left or left_anti. `members` should hold one row per member, since each is repeated per salt. The salt
     is a hash of the row's own columns, not a random number, so a recomputed task sends each row where it went
     before; rows should therefore be distinct.
     """
+    keys = _names(key)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     row_salt = F.pmod(F.xxhash64(*rows.columns), salts).cast("int")
     every_salt = F.explode(F.sequence(F.lit(0), salts - 1))
-    salted_members = _with_salt(members, key, hot, every_salt)
-    return _with_salt(rows, key, hot, row_salt).join(salted_members, [key, "_salt"], how).drop("_salt")
+    salted_members = _with_salt(members, keys, hot, every_salt)
+    return _with_salt(rows, keys, hot, row_salt).join(salted_members, [*keys, "_salt"], how).drop("_salt")

@@ -104,6 +104,9 @@ class RuleSet:
     otherwise_grade: str | None
     half_open_grades: bool
     loans_by_member: bool = False
+    #: Whether a loan id that stands on several loans or repayments joins them all, as it was first written. Else such ids are
+    #: quarantined: they join with nothing and are listed.
+    keep_repeated_loans: bool = False
 
 
 # Total received against the funded amount. These points had no definition to follow: the table is ours.
@@ -164,6 +167,7 @@ LITERAL = RuleSet(
     otherwise_grade=None,
     half_open_grades=False,
     loans_by_member=True,
+    keep_repeated_loans=True,
 )
 
 REPAIRED = RuleSet(

@@ -6,12 +6,15 @@ at most the stage it was working on and no step recomputes an earlier layer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from gradewell.functions.keys import with_member_id
-from gradewell.operators import clean, quality, score, skew, split, wide
+from gradewell.functions.text import year_of
+from gradewell.operators import clean, factored, pairs, quality, score, skew, split, wide
 from gradewell.params import REPAIRED, RuleSet, ScoreParams
-from gradewell.sources import files
+from gradewell.sources import files, generations
 from gradewell.sources.layout import Layout
 
 
@@ -33,10 +36,15 @@ DERIVED = {
 
 
 def build_silver(spark: SparkSession, layout: Layout, batch_time: str) -> None:
-    layout.write("silver", {
-        entity: clean.add_ingest_date(cleaner(layout.read(spark, "bronze", entity)), batch_time)
-        for entity, cleaner in clean.CLEANERS.items()
-    })
+    """Write the cleaned tables and what they are derived from; the rows they drop are counted as they are written."""
+    drops = {entity: Observation(f"dropped {entity}") for entity in clean.REQUIRED}
+    cleaned = {}
+    for entity, cleaner in clean.CLEANERS.items():
+        landed = layout.read(spark, "bronze", entity)
+        rows = cleaner(landed, drops[entity]) if entity in drops else cleaner(landed)
+        cleaned[entity] = clean.add_ingest_date(rows, batch_time)
+    layout.write("silver", cleaned)
+    layout.write("quarantine", {"dropped_rows": clean.observed_drops(spark, drops)})
     defaulters = layout.read(spark, "silver", "loans_defaulters")
     layout.write("silver", {entity: derive(defaulters) for entity, derive in DERIVED.items()})
 
@@ -72,9 +80,8 @@ def build_wide(spark: SparkSession, layout: Layout) -> None:
     customers = layout.read(spark, "gold", "customers").drop("ingest_date")
     loans, repayments = _loans_and_repayments(spark, layout)
     defaulters = layout.read(spark, "gold", "loans_defaulters")
-    layout.write("gold", {
-        "total_files": wide.join_kept(customers, loans, repayments, defaulters, _hot(spark, layout)),
-    })
+    kept = wide.join_kept(customers, loans, repayments, defaulters, _hot(spark, layout))
+    layout.write("gold", {"total_files": kept.withColumn("issue_year", year_of(F.col("issue_date")))})
 
 
 def build_counted_wide(spark: SparkSession, layout: Layout) -> None:
@@ -88,34 +95,72 @@ def build_counted_wide(spark: SparkSession, layout: Layout) -> None:
     })
 
 
-def count_dropped(spark: SparkSession, layout: Layout) -> None:
-    """How many landed rows of each entity the cleaners drop, and why."""
-    counts = [clean.dropped_rows(layout.read(spark, "bronze", entity), entity) for entity in clean.REQUIRED]
-    layout.write("quarantine", {"dropped_rows": counts[0].unionByName(counts[1]).unionByName(counts[2])})
+def build_factored_wide(spark: SparkSession, layout: Layout) -> None:
+    """The five-table join of all members as classes of equal rows and who holds them; expand_wide() makes its rows."""
+    silver = {e: layout.read(spark, "silver", e) for e in WIDE_SIDES}
+    parts = factored.factor(
+        silver["customers"].drop("ingest_date"), silver["loans"], silver["loans_repayments"],
+        silver["loans_defaulters_delinq"], silver["loans_defaulters_detail_records_enq"], _hot(spark, layout))
+    layout.write("silver", {
+        "wide_membership": parts.membership,
+        **{f"wide_{kind}_classes": parts.classes[kind] for kind in factored.KINDS},
+    })
+
+
+WIDE_SIDES = ["customers", "loans", "loans_repayments", "loans_defaulters_delinq", "loans_defaulters_detail_records_enq"]
+
+
+def expand_wide(spark: SparkSession, layout: Layout, members: DataFrame | None = None) -> DataFrame:
+    """The rows of the five-table join, all columns, with how often each occurs: of `members`, or of all."""
+    parts = factored.Factored(
+        {kind: layout.read(spark, "silver", f"wide_{kind}_classes") for kind in factored.KINDS},
+        layout.read(spark, "silver", "wide_membership"))
+    loans, repayments = layout.read(spark, "silver", "loans"), layout.read(spark, "silver", "loans_repayments")
+    return factored.expand(parts, loans, repayments.drop("ingest_date"), _hot(spark, layout), members)
+
+
+def list_faults(spark: SparkSession, layout: Layout) -> None:
+    """What the landed applications got wrong: cells that did not parse, and ids that different persons share."""
+    keyed = spark.read.parquet(layout.staged_applications)
+    if files.BAD_CELLS in keyed.columns:
+        cells = files.bad_cells(keyed, "id")
+    else:
+        cells = spark.createDataFrame([], layout.schema("quarantine", "bad_cells"))
+    layout.write("quarantine", {"bad_cells": cells, "shared_ids": quality.shared_ids(keyed)})
+
+
+SCORE_KEYS = (*score.KEYS, "issue_year")
 
 
 def score_loans(spark: SparkSession, layout: Layout, batch_time: str, params: ScoreParams = score.DEFAULTS,
-                rules: RuleSet = REPAIRED, include_clean_members: bool = False) -> None:
+                rules: RuleSet = REPAIRED, include_clean_members: bool = False, years: Sequence[int] | None = None) -> None:
     """Grades from the wide gold table, whose rows are the loans to score: no join is left to do.
 
-    Members without a delinquency are not in the wide table; including them takes the join again. Rules that join loans
+    `years` scores the loans issued then, reading and replacing nothing but those partitions. Members without a delinquency are not in the wide table; including them takes the join again. Rules that join loans
     a second time on the member also give the grades of those pairs, counted, as `member_scores`.
     """
     if include_clean_members:
         loans, repayments = _loans_and_repayments(spark, layout)
+        base = score.payment_base(repayments, loans).withColumn("issue_year", year_of(F.col("issue_date")))
         points = score.score_points(
-            score.payment_base(repayments, loans), layout.read(spark, "gold", "customers"),
-            layout.read(spark, "gold", "loans_defaulters"), _hot(spark, layout), params, rules, include_clean_members)
+            base if years is None else base.where(F.col("issue_year").isin(*years)), layout.read(spark, "gold", "customers"),
+            layout.read(spark, "gold", "loans_defaulters"), _hot(spark, layout), params, rules, include_clean_members, SCORE_KEYS)
     else:
-        points = score.score_wide(layout.read(spark, "gold", "total_files"), params, rules)
-    graded = clean.add_ingest_date(score.grade(points, params, rules), batch_time)
-    layout.write("gold", {"loan_scores": graded})
+        points = score.score_wide(issued(layout.read(spark, "gold", "total_files"), years), params, rules, SCORE_KEYS)
+    graded = clean.add_ingest_date(score.grade(points, params, rules, SCORE_KEYS), batch_time)
+    layout.write("gold", {"loan_scores": graded}, own_partitions_only=years is not None)
+    if years is not None:
+        return
     if rules.loans_by_member:
-        loans, repayments = _loans_and_repayments(spark, layout)
-        pairs = score.grade_member_pairs(
-            score.payment_base(repayments, loans), layout.read(spark, "silver", "loans"), layout.read(spark, "silver", "customers"),
-            layout.read(spark, "silver", "loans_defaulters"), _hot(spark, layout), params, rules)
-        layout.write("gold", {"member_scores": clean.add_ingest_date(pairs, batch_time)})
+        silver = {e: layout.read(spark, "silver", e) for e in clean.CLEANERS}
+        if rules.keep_repeated_loans:
+            payments = pairs.payment_pairs(silver["loans_repayments"], silver["loans"], params, rules)
+        else:
+            loans, repayments = _loans_and_repayments(spark, layout)
+            payments = score.counted_payments(score.payment_base(repayments, loans), params, rules)
+        graded = score.grade_member_pairs(
+            payments, silver["loans"], silver["customers"], silver["loans_defaulters"], _hot(spark, layout), params, rules)
+        layout.write("gold", {"member_scores": clean.add_ingest_date(graded, batch_time)})
 
 
 def run(spark: SparkSession, applications: DataFrame, layout: Layout | str, batch_time: str,
@@ -127,13 +172,51 @@ def run(spark: SparkSession, applications: DataFrame, layout: Layout | str, batc
     build_silver(spark, layout, batch_time)
     mark_hot_members(spark, layout)
     build_counted_wide(spark, layout)
+    build_factored_wide(spark, layout)
+    list_faults(spark, layout)
     quarantine(spark, layout)
-    count_dropped(spark, layout)
     build_wide(spark, layout)
     score_loans(spark, layout, batch_time, params, rules, include_clean_members)
     return layout
 
 
+def issued(table: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """Rows of a gold table of loans issued in `years`, or all; other years' partitions are not read."""
+    return table if years is None else table.where(F.col("issue_year").isin(*years))
+
+
+def run_published(spark: SparkSession, applications: DataFrame, root: str, batch_time: str, **options) -> Layout:
+    """A run under a generation of its own, published when all its layers are written.
+
+    A run that dies leaves the generation before it as it was, and current() gives that.
+    """
+    layout = run(spark, applications, Layout(generations.new_generation(root)), batch_time, **options)
+    generations.publish(spark, root, layout.root)
+    return layout
+
+
+def current(spark: SparkSession, root: str) -> Layout | None:
+    """The layers published last under `root`."""
+    path = generations.current(spark, root)
+    return None if path is None else Layout(path)
+
+
+def bucket_silver(spark: SparkSession, layout: Layout, database: str, buckets: int) -> dict[str, str]:
+    """Copies of the silver tables as catalog tables, bucketed on the key that scoring joins them by; their names.
+
+    Loans and repayments meet on the loan, customers and default histories on the member, without a shuffle.
+    """
+    spark.sql(f"create database if not exists `{database}`")
+    names = {}
+    for entity, key in BUCKET_KEYS.items():
+        names[entity] = f"{database}.silver_{entity}_by_{key}"
+        files.write_bucketed(layout.read(spark, "silver", entity), names[entity], f"{layout.root}/bucketed/{entity}", key, buckets)
+    return names
+
+
+BUCKET_KEYS = {"customers": "member_id", "loans": "loan_id", "loans_repayments": "loan_id", "loans_defaulters": "member_id"}
+
+
 def inventory(spark: SparkSession, layout: Layout) -> DataFrame:
     """Rows of every table written."""
     counts = None

@@ -91,14 +91,18 @@ bad as (
 good_customers as (select * from customers where member_id not in (select member_id from bad)),
 good_delinq as (select * from delinq where member_id not in (select member_id from bad)),
 good_detail as (select * from detail where member_id not in (select member_id from bad)),
+one_loans as (select distinct * from loans),
+one_repayments as (select distinct * from repayments),
 repeated as (
   select loan_id, coalesce(n, 0) n_loans, coalesce(m, 0) n_repayments
-  from (select loan_id, count(*) n from loans where loan_id is not null group by loan_id)
-  full join (select loan_id, count(*) m from repayments where loan_id is not null group by loan_id) using (loan_id)
+  from (select loan_id, count(*) n from one_loans where loan_id is not null group by loan_id)
+  full join (select loan_id, count(*) m from one_repayments where loan_id is not null group by loan_id) using (loan_id)
   where n > 1 or m > 1),
+single_loans as (select * from one_loans where loan_id not in (select loan_id from repeated)),
+single_repayments as (select * from one_repayments where loan_id not in (select loan_id from repeated)),
 base as (
-  select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id
-  where r.loan_id not in (select loan_id from repeated)),
+  select r.*, l.* exclude (loan_id) from single_repayments r join single_loans l on r.loan_id = l.loan_id),
+all_pairs as (select r.*, l.* exclude (loan_id) from repayments r join loans l on r.loan_id = l.loan_id),
 dropped as (
   select 'customers' entity, 'annual_inc' missing, count(*) n_rows
   from (select distinct * from landed_customers) where annual_inc is null having count(*) > 0
@@ -205,10 +209,13 @@ def _scoring(profile: str = "repaired", numbers: dict[str, int] = NUMBERS, clean
     delinq_join = "left join" if clean_members else "join"
     delinq = "coalesce(d.delinq_2yrs, 0)" if clean_members else "d.delinq_2yrs"
     loan_join = "loan_id" if profile == "repaired" else "member_id"
+    base = "base" if profile == "repaired" else "all_pairs"
     return f"""
+paid_all as (
+  select member_id, loan_id, {last_payment} last_payment_pts, {total_payment} total_payment_received_pts from {base}),
 payments as (
   select member_id, loan_id, {last_payment} last_payment_pts, {total_payment} total_payment_received_pts
-  from base where member_id not in (select member_id from bad)),
+  from {base} where member_id not in (select member_id from bad)),
 history as (
   select member_id, loan_id, last_payment_pts, total_payment_received_pts, {count('delinq')} delinq_pts,
          {count('pub_rec')} public_record_pts, {count('pub_rec_bankruptcies')} public_bankruptcies_pts,
@@ -251,6 +258,8 @@ CUSTOM_NUMBERS = {
     "unacceptable_grade": 700, "very_bad_grade": 950, "bad_grade": 1400, "good_grade": 1900, "very_good_grade": 2300,
 }
 
+_KEY = "emp_title, emp_length, home_ownership, annual_inc, zip_code, addr_state, grade, sub_grade, verification_status"
+
 _WIDE_COLUMNS = """
   c.*, l.* exclude (member_id), r.* exclude (loan_id), q.* exclude (member_id), t.* exclude (member_id)"""
 
@@ -265,6 +274,56 @@ _RESULT = ("member_id, loan_id, payment_history_pts, loan_default_history_pts, f
            "loan_total_score, loan_grade")
 
 
+_BY_YEAR = f"""select * from (
+  select {_RESULT}, cast(right(issue_date, 4) as int) issue_year
+  from grades join (select loan_id, issue_date from loans) using (loan_id))"""
+
+# Points that depend on the member alone, with the credit limit.
+_MEMBER_POINTS = f"""
+  select d.member_id, {_intervals(INTERVALS["count"], "d.delinq_2yrs", NUMBERS, last="else 0")} delinq_pts,
+         {_intervals(INTERVALS["count"], "t.pub_rec", NUMBERS, last="else 0")} public_record_pts,
+         {_intervals(INTERVALS["count"], "t.pub_rec_bankruptcies", NUMBERS, last="else 0")} public_bankruptcies_pts,
+         {_intervals(INTERVALS["count"], "t.inq_last_6mths", NUMBERS, last="else 0")} enq_pts,
+         {_patterns(PATTERNS["home"], "a.home_ownership", NUMBERS, "else 0")} home_pts,
+         {_lender_grade(NUMBERS, "else 0")} grade_pts, a.total_high_credit_limit
+  from good_customers a join good_delinq d on d.member_id = a.member_id join good_detail t on t.member_id = a.member_id"""
+
+
+def _class_id(table: str, columns: str) -> str:
+    texts = [f"coalesce(length(cast({table}.{c} as varchar)) || ':' || cast({table}.{c} as varchar), '-')" for c in columns.split()]
+    return f"md5({' || '.join(texts)})"
+
+
+# Values of a class, by kind.
+_CLASS_COLUMNS = {
+    "customers": "emp_title emp_length home_ownership annual_income address_state address_zipcode address_country grade "
+                 "sub_grade verification_status total_high_credit_limit application_type join_annual_income "
+                 "verification_status_joint",
+    "delinq": "delinq_2yrs delinq_amnt mths_since_last_delinq",
+    "detail": "pub_rec pub_rec_bankruptcies inq_last_6mths",
+}
+_FIVE = """customers c join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
+  join delinq q on q.member_id = c.member_id join detail t on t.member_id = c.member_id"""
+
+
+def _classes(kind: str, letter: str) -> str:
+    """Rows of the plain join and rows of the table, by the values of one of its tables."""
+    columns = _CLASS_COLUMNS[kind]
+    names = ", ".join(columns.split())
+    return f"""select x.class_id, {", ".join(f"x.{c}" for c in columns.split())}, n_members, n_copies, n_rows
+      from (select {_class_id(letter, columns)} class_id, {", ".join(f"{letter}.{c}" for c in columns.split())},
+                   cast(count(*) as decimal(38,0)) n_rows from {_FIVE} group by all) x
+      join (select {_class_id(kind, columns)} class_id, count(distinct member_id) n_members, count(*) n_copies from {kind}
+            where member_id in (select c.member_id from {_FIVE}) group by {names}) y on x.class_id = y.class_id"""
+
+
+def _membership() -> str:
+    return " union all ".join(
+        f"""select '{kind}' kind, member_id, {_class_id(kind, columns)} class_id, count(*) copies from {kind}
+            where member_id in (select c.member_id from {_FIVE}) group by member_id, class_id"""
+        for kind, columns in _CLASS_COLUMNS.items())
+
+
 _COUNTED_GRADES = """
   select member_id, payment_history_pts, loan_default_history_pts, financial_health_pts, loan_total_score,
          loan_grade, cast(count(*) as decimal(38,0)) n_rows
@@ -294,17 +353,46 @@ def _one_id(sql: str) -> str:
     return f"{before}, applications as ({one}),\n{sql[at:]}"
 
 
+def _many_ids(sql: str) -> str:
+    """The same over applications of which four share an id, and a fiftieth one."""
+    at = sql.index("keyed as (")
+    before = sql[:at].rstrip().removesuffix(",").replace("applications as (", "given as (", 1)
+    one = """select * replace (case when cast(id as bigint) % 50 = 0 then 'n/a'
+      else cast(cast(id as bigint) - cast(id as bigint) % 4 as varchar) end as id) from given"""
+    return f"{before}, applications as ({one}),\n{sql[at:]}"
+
+
 def _hostile(column: str, line_end: str = "") -> str:
     text = ', "quoted", ""twice"" \\ 007 ' + line_end + "end"
     return f"case when {column} like '%3' then '' else {column} || '{text}' end"
 
 
 def oracle_sql() -> dict[str, str]:
+    _expanded = f"select {_WIDE_COLUMNS}, cast(count(*) as decimal(38,0)) n_rows from {_FIVE} group by all"
     default_history = "cast((delinq_pts + public_record_pts + public_bankruptcies_pts + enq_pts) * 0.45 as decimal(13,2))"
     return {
         "csv_inferred_scan": _query(f"select * replace ({_hostile('title')} as title) from applications"),
         "csv_declared_scan": _query(
             f"select * replace ({_hostile('loan_title', chr(10))} as loan_title) from landed_loans"),
+        "csv_by_header_scan": _query(f"select * replace ({_hostile('loan_title')} as loan_title) from landed_loans"),
+        "csv_bad_cells": _query("""
+          select id loan_id, 'loan_amount' column_name, 'twelve' cell from applications where cast(id as bigint) % 10 = 3
+          union all select id, 'monthly_installment', 'n/a' from applications where term is null and cast(id as bigint) % 25 <> 8
+          union all select id, '_record', id || ',' ||
+              case when cast(id as bigint) % 10 = 3 then 'twelve' else cast(loan_amnt as varchar) end ||
+              case when cast(id as bigint) % 25 = 7
+                   then ',' || case when term is null then 'n/a' else cast(installment as varchar) end || ',left over' else '' end
+            from applications where cast(id as bigint) % 25 in (7, 8)"""),
+        "csv_good_cells": _query("""
+          select id loan_id, case when cast(id as bigint) % 10 <> 3 then loan_amnt end loan_amount,
+                 case when term is not null and cast(id as bigint) % 25 <> 8 then installment end monthly_installment
+          from applications"""),
+        "scores_of_years": _scored(_BY_YEAR + " where issue_year in (2010, 2011)"),
+        "scores_year_replaced": "select * from (" + _scored(_BY_YEAR + " where issue_year <> 2010") + ") union all select * from ("
+                                + _scored(_BY_YEAR + " where issue_year = 2010", numbers=CUSTOM_NUMBERS) + ")",
+        "payment_base_bucketed": _query("select * from base"),
+        "member_points_bucketed": _scored(_MEMBER_POINTS),
+        "published_generation": _query("select * from landed_customers"),
         "csv_permissive": _query(
             "select id loan_id, case when term is not null then installment end monthly_installment from applications"),
         "csv_sink_roundtrip": _query(f"select * replace ({_hostile('loan_title')} as loan_title) from loans"),
@@ -334,6 +422,12 @@ def oracle_sql() -> dict[str, str]:
             where l.member_id in (select member_id from customers) and l.member_id in (select member_id from delinq)
               and l.member_id in (select member_id from detail)
           union all select 'quarantine', 'dropped_rows', count(*) from dropped
+          union all select 'quarantine', 'bad_cells', 0
+          union all select 'quarantine', 'shared_ids', 0
+          union all select 'silver', 'wide_membership', count(*) from (""" + _membership() + f""")
+          union all select 'silver', 'wide_customers_classes', count(*) from ({_classes("customers", "c")})
+          union all select 'silver', 'wide_delinq_classes', count(*) from ({_classes("delinq", "q")})
+          union all select 'silver', 'wide_detail_classes', count(*) from ({_classes("detail", "t")})
           union all select 'quarantine', 'repeated_loans', count(*) from repeated
           union all select 'quarantine', 'bad_data', count(*) from bad"""),
         "catalog_scan": _query("select * from customers"),
@@ -367,14 +461,38 @@ def oracle_sql() -> dict[str, str]:
         "exclude_not_in": _query("select * from base where not member_id in (select member_id from bad)"),
         "join_wide": _query("""select j.*, x.n n_customers, y.n n_delinq, z.n n_detail from (
               select l.*, r.* exclude (loan_id), cast(count(*) as decimal(38,0)) n_rows from customers c
-              join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
+              join single_loans l on l.member_id = c.member_id join single_repayments r on r.loan_id = l.loan_id
               join delinq q on q.member_id = c.member_id join detail t on t.member_id = c.member_id group by all) j
             join (select member_id, count(*) n from customers group by member_id) x using (member_id)
             join (select member_id, count(*) n from delinq group by member_id) y using (member_id)
             join (select member_id, count(*) n from detail group by member_id) z using (member_id)"""),
         "join_wide_clean": _query(f"""select {_WIDE_COLUMNS} from good_customers c
-            join loans l on l.member_id = c.member_id join repayments r on r.loan_id = l.loan_id
+            join single_loans l on l.member_id = c.member_id join single_repayments r on r.loan_id = l.loan_id
             join good_delinq q on q.member_id = c.member_id join good_detail t on t.member_id = c.member_id"""),
+        "join_wide_expanded": _query(_expanded),
+        "join_wide_expanded_repeated": _many_ids(_query(_expanded)),
+        "wide_customers_classes": _query(_classes("customers", "c")),
+        "wide_delinq_classes": _query(_classes("delinq", "q")),
+        "wide_detail_classes": _query(_classes("detail", "t")),
+        "wide_membership": _query(_membership()),
+        "exclude_not_in_nulls": _query("""
+          select 'with_null' list, * from repayments where next_payment_date not in (
+            select next_payment_date from repayments where total_principal_received in (100, 200))
+          union all select 'known', * from repayments where next_payment_date not in (
+            select next_payment_date from repayments where total_principal_received = 200)
+          union all select 'empty', * from repayments where next_payment_date not in (
+            select next_payment_date from repayments where total_principal_received < 0)"""),
+        "shared_person_ids": _query(f"""
+          select member_id, count(distinct person) n_persons from (
+            select sha256(concat_ws('||', {_KEY})) member_id, ({_KEY}) person from (
+              select * replace (case when cast(id as bigint) % 5 = 0 and emp_title is null then emp_length else emp_title end as emp_title,
+                                case when not (cast(id as bigint) % 5 = 0 and emp_title is null) then emp_length end as emp_length)
+              from applications)) group by member_id having n_persons > 1"""),
+        "payment_base_repeated": _many_ids(_query("select *, cast(count(*) as decimal(38,0)) n_pairs from all_pairs group by all")),
+        "payment_pairs_repeated": _many_ids(_scored(f"""
+          select member_id, {PAYMENT}, cast(count(*) as decimal(38,0)) n_payments
+          from (select * from paid_all) group by all""", profile="literal")),
+        "loan_grade_literal_repeated": _many_ids(_scored(_COUNTED_GRADES, profile="literal")),
         "payment_base": _query("select * from base"),
         "score_last_payment": _scored(_PAYMENTS.format("last_payment_pts")),
         "score_total_payment": _scored(_PAYMENTS.format("total_payment_received_pts")),
@@ -403,6 +521,7 @@ def oracle_sql() -> dict[str, str]:
         "score_custom_params": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
         "score_from_conf": _scored(f"select {_RESULT} from grades", numbers=CUSTOM_NUMBERS),
         "dropped_rows": _query("select * from dropped"),
+        "dropped_rows_observed": _query("select * from dropped"),
         "payment_base_one_id": _one_id(_query("select * from base")),
         "repeated_loans": _one_id(_query("select * from repeated")),
         "loan_grade_skewed": _skewed(_scored(f"select {_RESULT} from grades")),

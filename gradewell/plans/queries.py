@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from gradewell import schemas
 from gradewell.functions.keys import with_member_id
-from gradewell.operators import clean, quality, score, wide
+from gradewell.functions.text import year_of
+from gradewell.operators import clean, factored, pairs, quality, score, wide
 from gradewell.operators.split import LOAN_SOURCES, REPAYMENT_SOURCES
 from gradewell.params import LITERAL, ScoreParams
 from gradewell.plans import medallion
 from gradewell.plans.tables import Tables
-from gradewell.sources import files
+from gradewell.sources import files, generations
+from gradewell.sources.layout import Layout
 from gradewell.sources.scratch import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,11 +57,115 @@ def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_declared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loans landed under their source names and read back, by position, under the declared ones."""
+    """Loans landed under their source names and read back, by position, under the declared ones; the headers are checked."""
     path = f"{scratch_root(spark)}/loans"
     loans = Tables.of(spark, sf_dir).keyed.select(*LOAN_SOURCES.values())
     files.write_table(_hostile(loans, "title", line_end=True), path, "csv", line_ends=True)
-    return files.read_csv(spark, path, schemas.LOANS, multi_line=True, null_mark=files.NULL_MARK)
+    return files.read_csv(spark, path, schemas.LOANS, multi_line=True, null_mark=files.NULL_MARK,
+                          source_names=list(LOAN_SOURCES.values()))
+
+
+def csv_by_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans landed in files of two column orders, of which one has a column more, each read by its own header."""
+    path = f"{scratch_root(spark)}/loans"
+    loans = _hostile(Tables.of(spark, sf_dir).keyed.select(*LOAN_SOURCES.values()), "title")
+    odd = F.col("id").cast("long") % 2 == 1
+    files.write_table(loans.where(odd), path, "csv")
+    other = loans.where(~odd).select(F.lit("x, \"y\"").alias("its, own"), *reversed(loans.columns))
+    files.write_table(other, path, "csv", mode="append")
+    texts = files.read_csv_by_header(spark, path, list(LOAN_SOURCES.values()), files.NULL_MARK)
+    named = texts.select(*[F.col(source).alias(name) for name, source in LOAN_SOURCES.items()])
+    return files.typed(named, schemas.LOANS).drop(files.BAD_CELLS)
+
+
+#: The declared columns of a file with cells and records that do not parse.
+DIRTY = T.StructType([schemas.LOANS[c] for c in ("loan_id", "loan_amount", "monthly_installment")])
+
+
+def _dirty_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans of a CSV file in which amounts are words, records have a cell too many or too few, written once as they were read."""
+    root, number = scratch_root(spark), F.col("id").cast("long")
+    amount = F.when(number % 10 == 3, F.lit("twelve")).otherwise(F.col("loan_amnt").cast("string"))
+    installment = F.when(F.col("term").isNull(), F.lit("n/a")).otherwise(F.col("installment").cast("string"))
+    line = F.concat_ws(",", "id", amount, F.when(number % 25 != 8, installment), F.when(number % 25 == 7, F.lit("left over")))
+    Tables.of(spark, sf_dir).applications.select(line).write.text(f"{root}/raw")
+    rows = files.read_csv_cells(spark, f"{root}/raw", DIRTY, header=False)
+    files.write_table(rows, f"{root}/read")
+    return spark.read.schema(rows.schema).parquet(f"{root}/read")
+
+
+def csv_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cell and record that does not parse, with its text, written to a quarantine."""
+    path = f"{scratch_root(spark)}/bad_cells"
+    files.write_table(files.bad_cells(_dirty_loans(spark, sf_dir), "loan_id"), path)
+    return spark.read.parquet(path)
+
+
+def csv_good_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the same file, with the cells that parse."""
+    return _dirty_loans(spark, sf_dir).drop(files.BAD_CELLS)
+
+
+def _written_by_year(spark: SparkSession, sf_dir: str) -> str:
+    path = f"{scratch_root(spark)}/loan_scores"
+    files.write_table(_graded_by_year(Tables.of(spark, sf_dir), score.DEFAULTS), path, partition_by=["issue_year"])
+    return path
+
+
+def _graded_by_year(t: Tables, params: ScoreParams) -> DataFrame:
+    base = payment_base(t).withColumn("issue_year", year_of(F.col("issue_date")))
+    points = score.score_points(base, t.customers, t.defaulters, t.hot, params, keep=medallion.SCORE_KEYS)
+    return score.grade(points, params, keep=medallion.SCORE_KEYS)
+
+
+def scores_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades of the loans of two years, from a table of which only those years are read."""
+    written = spark.read.parquet(_written_by_year(spark, sf_dir))
+    return medallion.issued(written, [2010, 2011])
+
+
+def scores_year_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All grades after those of one year were written anew with other parameters."""
+    path = _written_by_year(spark, sf_dir)
+    anew = medallion.issued(_graded_by_year(Tables.of(spark, sf_dir), CUSTOM), [2010])
+    files.write_table(anew, path, partition_by=["issue_year"], own_partitions_only=True)
+    return spark.read.parquet(path)
+
+
+def _bucketed(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]]) -> list[DataFrame]:
+    """Tables written in buckets of their keys and read by name; the names go once the plans know the files."""
+    root, read = scratch_root(spark), []
+    for entity, (df, key) in tables.items():
+        name = f"{entity}_{uuid4().hex}"
+        files.write_bucketed(df, name, f"{root}/{entity}", key, 8)
+        read.append(spark.table(name))
+        read[-1].schema
+        spark.sql(f"drop table {name}")
+    return read
+
+
+def payment_base_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repayments with their loans from tables bucketed on the loan: removing copies and the join need no shuffle."""
+    t = Tables.of(spark, sf_dir)
+    repayments, loans = _bucketed(spark, {"repayments": (t.repayments, "loan_id"), "loans": (t.loans, "loan_id")})
+    return score.payment_base(clean.unique_rows(repayments, "loan_id"), clean.unique_rows(loans, "loan_id"))
+
+
+def member_points_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of members from tables bucketed on the member: both aggregates and their join need no shuffle."""
+    t = Tables.of(spark, sf_dir)
+    customers, defaulters = _bucketed(spark, {"customers": (t.customers, "member_id"), "defaulters": (t.defaulters, "member_id")})
+    return score.member_history(defaulters).join(score.member_profile(customers), "member_id")
+
+
+def published_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the generation that was published, beside one that was begun and left."""
+    root, customers = scratch_root(spark), Tables.of(spark, sf_dir).landed("customers")
+    whole, begun = (Layout(generations.new_generation(root)) for _ in range(2))
+    whole.write("bronze", {"customers": customers})
+    generations.publish(spark, root, whole.root)
+    begun.write("bronze", {"customers": customers.where("grade = 'A'")})
+    return medallion.current(spark, root).read(spark, "bronze", "customers")
 
 
 def csv_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +240,29 @@ def bad_members_union(t: Tables) -> DataFrame:
     return quality.union_of_members(*[quality.duplicate_members(x) for x in (t.customers, t.delinquencies, t.details)])
 
 
+def exclude_not_in_nulls(t: Tables) -> DataFrame:
+    """Repayments whose next date is not in a list: a list with a NULL, one without, and an empty one."""
+    dates = t.repayments.select("next_payment_date", "total_principal_received")
+    lists = {"with_null": "total_principal_received in (100, 200)", "known": "total_principal_received = 200",
+             "empty": "total_principal_received < 0"}
+    kept = [
+        quality.exclude_listed(t.repayments, dates.where(test).select("next_payment_date"), "next_payment_date", t.slice_rows)
+        .select(F.lit(name).alias("list"), "*")
+        for name, test in lists.items()
+    ]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
+
+
+def shared_person_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that different persons share where some applications have their title and employment moved by one column."""
+    wide = Tables.of(spark, sf_dir).applications
+    moved = (F.col("id").cast("long") % 5 == 0) & F.col("emp_title").isNull()
+    return quality.shared_ids(with_member_id(wide.withColumns({
+        "emp_title": F.when(moved, F.col("emp_length")).otherwise(F.col("emp_title")),
+        "emp_length": F.when(~moved, F.col("emp_length")),
+    })))
+
+
 def _kept_defaulters(t: Tables) -> DataFrame:
     """Exclusion comes before the projections, while rows are still distinct."""
     return quality.exclude(t.defaulters, t.bad, t.hot)
@@ -150,6 +279,11 @@ def join_wide_clean(t: Tables) -> DataFrame:
     return wide.join_kept(customers, t.unique_loans, t.unique_repayments, _kept_defaulters(t), t.hot)
 
 
+def join_wide_expanded(t: Tables) -> DataFrame:
+    """The join's own columns for all members, made of its factors."""
+    return factored.expand(t.factored, t.loans, t.repayments, t.hot, slice_rows=t.slice_rows)
+
+
 def payment_base(t: Tables) -> DataFrame:
     return score.payment_base(t.unique_repayments, t.unique_loans)
 
@@ -176,8 +310,12 @@ def loan_grade(t: Tables) -> DataFrame:
     return score.grade(_points(t))
 
 
+def payment_pairs(t: Tables) -> DataFrame:
+    return pairs.payment_pairs(t.repayments, t.loans, rules=LITERAL, slice_rows=t.slice_rows)
+
+
 def loan_grade_literal(t: Tables) -> DataFrame:
-    return score.grade_member_pairs(payment_base(t), t.loans, t.customers, t.defaulters, t.hot, rules=LITERAL)
+    return score.grade_member_pairs(payment_pairs(t), t.loans, t.customers, t.defaulters, t.hot, rules=LITERAL)
 
 
 def score_custom_params(t: Tables) -> DataFrame:
@@ -199,6 +337,14 @@ def dropped_rows(t: Tables) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def dropped_rows_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts, taken while the cleaned tables are written."""
+    t, root = Tables.of(spark, sf_dir), scratch_root(spark)
+    drops = {entity: Observation(f"dropped {entity}") for entity in clean.REQUIRED}
+    files.write_tables({f"{root}/{e}": clean.CLEANERS[e](t.landed(e), drops[e]) for e in drops})
+    return clean.observed_drops(spark, drops)
+
+
 # A third of the applications belong to one person; members are cut into slices of so many rows.
 SKEWED_SLICE = 100
 
@@ -232,6 +378,19 @@ def repeated_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repeated_loans(t.loans, t.repayments)
 
 
+def _repeated_ids(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables in which an id stands on up to four loans and repayments, and one on a fiftieth of them; ids are salted."""
+    number = F.col("id").cast("long")
+    repeated = F.when(number % 50 == 0, F.lit("n/a")).otherwise((number - number % 4).cast("string"))
+    return Tables(Tables.of(spark, sf_dir).applications.withColumn("id", repeated), slice_rows=SKEWED_SLICE)
+
+
+def payment_base_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a repayment and a loan of one id, each different one once with how often it occurs."""
+    t = _repeated_ids(spark, sf_dir)
+    return pairs.expanded(t.repayments, t.loans, t.slice_rows)
+
+
 def loan_grade_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grades where one good member holds a third of the loans, in slices."""
     return loan_grade(Tables(skewed_applications(spark, sf_dir), slice_rows=SKEWED_SLICE))
@@ -240,10 +399,18 @@ def loan_grade_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_inferred_scan": csv_inferred_scan,
     "csv_declared_scan": csv_declared_scan,
+    "csv_by_header_scan": csv_by_header_scan,
     "csv_permissive": csv_permissive,
+    "csv_bad_cells": csv_bad_cells,
+    "csv_good_cells": csv_good_cells,
     "csv_sink_roundtrip": csv_sink_roundtrip,
     "medallion_layout": medallion_layout,
     "medallion_literal": medallion_literal,
+    "scores_of_years": scores_of_years,
+    "scores_year_replaced": scores_year_replaced,
+    "payment_base_bucketed": payment_base_bucketed,
+    "member_points_bucketed": member_points_bucketed,
+    "published_generation": published_generation,
     "catalog_scan": catalog_scan,
     "view_scan": view_scan,
     "preview_top10": preview_top10,
@@ -272,8 +439,15 @@ QUERIES: dict[str, Query] = {
     "exclude_delinq": _over(lambda t: clean.delinquencies(_kept_defaulters(t))),
     "exclude_detail": _over(lambda t: clean.detail_records(_kept_defaulters(t))),
     "exclude_not_in": _over(lambda t: quality.exclude(payment_base(t), t.bad, t.hot)),
+    "exclude_not_in_nulls": _over(exclude_not_in_nulls),
+    "shared_person_ids": shared_person_ids,
     "join_wide": _over(join_wide),
     "join_wide_clean": _over(join_wide_clean),
+    "join_wide_expanded": _over(join_wide_expanded),
+    "wide_customers_classes": _over(lambda t: t.factored.classes["customers"]),
+    "wide_delinq_classes": _over(lambda t: t.factored.classes["delinq"]),
+    "wide_detail_classes": _over(lambda t: t.factored.classes["detail"]),
+    "wide_membership": _over(lambda t: t.factored.membership),
     "payment_base": _over(payment_base),
     "score_last_payment": _one(_payments, "last_payment_pts"),
     "score_total_payment": _one(_payments, "total_payment_received_pts"),
@@ -299,7 +473,12 @@ QUERIES: dict[str, Query] = {
     "score_custom_params": _over(score_custom_params),
     "score_from_conf": score_from_conf,
     "dropped_rows": _over(dropped_rows),
+    "dropped_rows_observed": dropped_rows_observed,
     "loan_grade_skewed": loan_grade_skewed,
     "payment_base_one_id": payment_base_one_id,
     "repeated_loans": repeated_loans,
+    "payment_base_repeated": payment_base_repeated,
+    "payment_pairs_repeated": lambda spark, sf_dir: payment_pairs(_repeated_ids(spark, sf_dir)),
+    "loan_grade_literal_repeated": lambda spark, sf_dir: loan_grade_literal(_repeated_ids(spark, sf_dir)),
+    "join_wide_expanded_repeated": lambda spark, sf_dir: join_wide_expanded(_repeated_ids(spark, sf_dir)),
 }

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from gradewell.functions.keys import with_member_id
-from gradewell.operators import clean, quality, skew, split
+from gradewell.operators import clean, factored, quality, skew, split
 from gradewell.sources.applications import applications
 
 
@@ -69,3 +69,8 @@ class Tables:
     @cached_property
     def hot(self) -> DataFrame:
         return skew.hot_buckets(self.keyed, "member_id", self.slice_rows)
+
+    @cached_property
+    def factored(self) -> factored.Factored:
+        return factored.factor(self.customers, self.loans, self.repayments, self.delinquencies, self.details, self.hot,
+                               self.slice_rows)

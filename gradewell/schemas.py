@@ -63,6 +63,7 @@ DEFAULTERS = _struct(
 
 WHOLE = T.IntegerType()
 INGESTED = ("ingest_date", T.TimestampType())
+YEAR = ("issue_year", WHOLE)
 
 # The entity tables once cleaned.
 CLEAN_CUSTOMERS = _struct(
@@ -101,12 +102,27 @@ TOTAL_FILES = T.StructType([
     *_without(CLEAN_REPAYMENTS, "loan_id", "ingest_date"),
     *_without(DELINQUENCIES, "member_id"),
     *_without(DETAILS, "member_id"),
+    *_struct(YEAR),
 ])
 COUNTED_FILES = T.StructType([
     T.StructField("member_id", TEXT), *_without(CLEAN_LOANS, "member_id"),
     *_without(CLEAN_REPAYMENTS, "loan_id", "ingest_date"),
     *_struct(("n_customers", T.LongType()), ("n_delinq", T.LongType()), ("n_detail", T.LongType()), ("n_rows", PAIR_COUNT)),
 ])
+
+
+def _classes(values: T.StructType) -> T.StructType:
+    """Values shared by equal rows, with the counts that the factored join keeps of them."""
+    counts = _struct(("n_members", T.LongType()), ("n_copies", T.LongType()), ("n_rows", PAIR_COUNT))
+    return T.StructType([*_struct(("class_id", TEXT)), *_without(values, "member_id", "ingest_date"), *counts])
+
+
+CUSTOMER_CLASSES = _classes(CLEAN_CUSTOMERS)
+DELINQ_CLASSES = _classes(DELINQUENCIES)
+DETAIL_CLASSES = _classes(DETAILS)
+WIDE_MEMBERSHIP = _struct(("kind", TEXT), ("member_id", TEXT), ("class_id", TEXT), ("copies", T.LongType()))
+SHARED_IDS = _struct(("member_id", TEXT), ("n_persons", T.LongType()))
+BAD_CELLS = _struct(("id", TEXT), ("column_name", TEXT), ("cell", TEXT))
 REPEATED_LOANS = _struct(("loan_id", TEXT), ("n_loans", T.LongType()), ("n_repayments", T.LongType()))
 DROPPED_ROWS = _struct(("entity", TEXT), ("missing", TEXT), ("n_rows", T.LongType()))
 MEMBER_SCORES = _struct(
@@ -115,5 +131,5 @@ MEMBER_SCORES = _struct(
 )
 LOAN_SCORES = _struct(
     ("member_id", TEXT), ("loan_id", TEXT), ("payment_history_pts", SUBSCORE), ("loan_default_history_pts", SUBSCORE),
-    ("financial_health_pts", SUBSCORE), ("loan_total_score", SCORE), ("loan_grade", TEXT), INGESTED,
+    ("financial_health_pts", SUBSCORE), ("loan_total_score", SCORE), ("loan_grade", TEXT), INGESTED, YEAR,
 )

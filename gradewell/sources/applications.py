@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gradewell.schemas import WIDE
+from gradewell.sources import files
 
 APPLICATIONS_SQL = """
 with b as (select o_orderkey k, c_custkey u, c_mktsegment seg, c_nationkey n, cast(c_acctbal as decimal(12,2)) bal
@@ -63,17 +64,25 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Under which name the quarantine lists records of too many or too few cells.
+RECORD = "_record"
+
+
 def read_applications(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
-                      null_mark: str = "") -> DataFrame:
+                      null_mark: str = "", keep_bad_cells: bool = False) -> DataFrame:
     """Applications from wide files with any number of further columns, brought to the declared types by name.
 
-    CSV is read as text, so no pass infers types and the person key does not depend on what was inferred. Quoted texts may
-    hold commas and doubled quotes; for line ends set `multi_line`, which makes each file one task. A number that does
-    not parse becomes NULL and its row is kept.
+    CSV is read as text, so no pass infers types and the person key does not depend on what was inferred. Files may have
+    their columns in different orders: each is read by its own header, and one without a declared column is refused. Quoted
+    texts may hold commas and doubled quotes; for line ends set `multi_line`, which makes each file one task. A number that
+    does not parse becomes NULL and its row is kept; `keep_bad_cells` keeps its text beside the row, in files.BAD_CELLS, for
+    a run to write to its quarantine.
     """
     if fmt == "csv":
-        raw = spark.read.csv(path, header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line,
-                             nullValue=null_mark)
+        record = RECORD if keep_bad_cells else None
+        raw = files.read_csv_by_header(spark, path, WIDE.fieldNames(), null_mark, multi_line, record)
     else:
-        raw = spark.read.format(fmt).load(path)
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WIDE])
+        raw, record = spark.read.format(fmt).load(path), None
+    if not keep_bad_cells:
+        return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in WIDE])
+    return files.typed(raw, WIDE, record)

@@ -26,11 +26,17 @@ LAYERS = {
         "loans_defaulters_records_enq": schemas.CLEAN_DEFAULTERS,
         "loans_defaulters_detail_records_enq": schemas.DETAILS,
         "total_files_counted": schemas.COUNTED_FILES,
+        "wide_membership": schemas.WIDE_MEMBERSHIP,
+        "wide_customers_classes": schemas.CUSTOMER_CLASSES,
+        "wide_delinq_classes": schemas.DELINQ_CLASSES,
+        "wide_detail_classes": schemas.DETAIL_CLASSES,
     },
     "quarantine": {
         "bad_data": schemas.BAD_MEMBERS,
         "repeated_loans": schemas.REPEATED_LOANS,
         "dropped_rows": schemas.DROPPED_ROWS,
+        "shared_ids": schemas.SHARED_IDS,
+        "bad_cells": schemas.BAD_CELLS,
     },
     "gold": {
         "customers": schemas.CLEAN_CUSTOMERS,
@@ -41,6 +47,8 @@ LAYERS = {
         "loan_scores": schemas.LOAN_SCORES,
     },
 }
+# Tables laid out by the year of issue, so that a year is read and replaced alone. The column comes last.
+PARTITIONS = {("gold", "total_files"): ("issue_year",), ("gold", "loan_scores"): ("issue_year",)}
 # Written only by the profile that joins loans on the member.
 OPTIONAL = {("gold", "member_scores"): schemas.MEMBER_SCORES}
 
@@ -70,12 +78,13 @@ class Layout:
         """The columns are declared, so no job has to look for them."""
         return files.read_table(spark, self.path(layer, entity), self.format(layer), self.schema(layer, entity))
 
-    def write(self, layer: str, tables: dict[str, DataFrame]) -> None:
-        """Write tables of a layer that do not depend on each other."""
+    def write(self, layer: str, tables: dict[str, DataFrame], own_partitions_only: bool = False) -> None:
+        """Write tables of a layer that do not depend on each other; whole, or the partitions that they have rows of."""
         files.write_tables({
             self.path(layer, entity): df.select(*self.schema(layer, entity).fieldNames())
             for entity, df in tables.items()
-        }, self.format(layer))
+        }, self.format(layer), {self.path(layer, e): PARTITIONS[layer, e] for e in tables if (layer, e) in PARTITIONS},
+            own_partitions_only)
 
     @property
     def staged_applications(self) -> str:
