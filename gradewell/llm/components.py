@@ -1,7 +1,7 @@
 """Connected components of a graph of any size: union-find inside tasks, stars between them.
 
 Each pass first unites what one task's share of the edges connects, by union-find, whatever those edges are; so a node
-has at most one edge downwards per task. Then every edge is lifted to the smallest neighbour of its lower end,
+has at most one edge downwards per task. Tasks get a share worth their while, so few edges need few tasks and passes. Then every edge is lifted to the smallest neighbour of its lower end,
 and all lower neighbours of a node go to the smallest of them, until every node has one neighbour below it
 and that has none; the number of passes grows with the logarithm of the graph. A node with any number
 of neighbours is no group: its smallest neighbour is an aggregate, and its edges meet it in a join of two plain
@@ -19,6 +19,8 @@ from gradewell.llm.common import staged
 
 #: Edges that one task unites before it hands on what it has; bounds its memory.
 UNITED_AT_ONCE = 1_000_000
+#: Edges for which a task is worth its while; fewer tasks mean fewer passes.
+EDGES_A_TASK = 10_000
 
 
 def forest(edges: list[tuple[int, int]]) -> dict[int, int]:
@@ -57,14 +59,19 @@ def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(edges)
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One pass; `edges` (a, b) with a > b, read from a table. The same components, flatter."""
+def _united(edges: DataFrame, rows: int) -> DataFrame:
+    """`edges`, about so many, each task's share united; no more tasks than they are worth."""
+    return edges.coalesce(-(-rows // EDGES_A_TASK) or 1).mapInArrow(_unite, "a long, b long")
+
+
+def _stars(edges: DataFrame, rows: int) -> DataFrame:
+    """One pass; `edges` (a, b) with a > b, read from a table of so many rows. The same components, flatter."""
     least = staged(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "least")
     lifted = edges.join(least, edges["b"] == least["u"], "left").select("a", F.coalesce("m", "b").alias("b"))
     # As many rows for an `a` as there were tasks, at most.
-    lowest = lifted.mapInArrow(_unite, "a long, b long").withColumn("m", F.min("b").over(Window.partitionBy("a")))
+    lowest = _united(lifted, rows).withColumn("m", F.min("b").over(Window.partitionBy("a")))
     ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-    return lowest.select(F.explode(ends).alias("e")).select("e.*").where("a <> b").mapInArrow(_unite, "a long, b long")
+    return _united(lowest.select(F.explode(ends).alias("e")).select("e.*").where("a <> b"), rows)
 
 
 def _unsettled(edges: DataFrame) -> bool:
@@ -83,8 +90,11 @@ def components(edges: DataFrame) -> DataFrame:
     Loops, repeated and reversed edges and nulls are harmless; an empty table gives an empty one.
     """
     clean = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = staged(clean.mapInArrow(_unite, "a long, b long"), "edges")
-    while _unsettled(now):
-        now = staged(_stars(now), "edges")
+    given = staged(clean, "given")
+    rows = given.count()
+    now = staged(_united(given, rows), "edges")
+    while rows > EDGES_A_TASK and _unsettled(now):  # what one task united is settled
+        rows = now.count()
+        now = staged(_stars(now, rows), "edges")
     ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("root")), F.struct(F.col("b").alias("node"), F.col("b").alias("root")))
     return now.select(F.explode(ends).alias("e")).select("e.*").distinct()

@@ -6,11 +6,10 @@ one shingle are correlated, so that estimates vary less than MinHash's, and a do
 all slots hold values below the next rank. Slots are banded; documents that share a band are candidates.
 Candidates become links only when their full sets, made anew from the whole texts, are similar enough.
 
-Documents of one set form a class, and only classes are compared. In every bucket the sketches give the spanning
-trees of largest similarity, and their edges are verified on the full sets; groups of near copies become components
-by that, at about one verification a member. Then all pairs that share a bucket, are still in different components and
-may be similar are verified, so that no link between components is lost. Sketches are compared in blocks of bounded
-size. What passes the sketch must also pass a bound that never errs: sets are kept as parities of hashed bits, and as many
+Documents of one set form a class, and only classes are compared. First each class is verified against the smallest class of
+each of its buckets; groups of near copies become components by that, at about one verification a member. Then all
+pairs that share a bucket, are still in different components and may be similar are verified, so that no link between
+components is lost. Sketches are compared in blocks of bounded size, and only across components. What passes the sketch must also pass a bound that never errs: sets are kept as parities of hashed bits, and as many
 shingles differ, at least, as parities do.
 """
 
@@ -44,7 +43,7 @@ class NearDup:
     percent: int = 75
     rows: int = 4
     #: Share of the sketch's bytes, one of each slot, that must agree before sets are compared: five standard
-    #: deviations below the similarity asked for.
+    #: deviations below the similarity asked for. With 0 every pair that shares a band is decided by exact bound and full sets.
     least_agreeing: float = 0.56
     #: Members of a bucket in one block of comparisons.
     block: int = 512
@@ -234,79 +233,102 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
     return met.mapInArrow(_similar(p), "a long, b long")
 
 
-def _likely(p: NearDup, trees: bool):
-    """Pairs (a, b) of different components and similar sketches, of rows that come group by group.
+def _batches_of(pairs: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """The different pairs, as far as some thousands at a time tell."""
+    held: set[tuple[int, int]] = set()
+    for pair in pairs:
+        held.add(pair)
+        if len(held) >= 50_000:
+            yield _edges(list(held))
+            held.clear()
+    yield _edges(list(held))
 
-    `trees` gives the edges of the spanning trees of largest agreement in each group, else all pairs.
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in released(batches):
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _agreeing(p: NearDup):
+    """Of (a, sketch_a, b, sketch_b) the pairs whose sketches agree enough."""
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in released(batches):
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (1, 3))
+            like = pa.array((one == two).mean(axis=1) >= p.least_agreeing)
+            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(2)}).filter(like)
+
+    return agreeing
+
+
+def _with_representatives(shared: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs (a, b) of each class with the smallest one of each of its buckets, where sizes and sketches allow a link.
+
+    As many pairs as a class has different representatives, one for a group of near copies: linear in the classes.
     """
+    pairs = shared.where("node <> rep").select("node", "rep").distinct()
+    side = lambda c: sketches.select(*[F.col(x).alias(f"{x}_{c}") for x in ("node", "n_shingles", "sketch")])
+    met = pairs.join(side("a"), F.col("node") == F.col("node_a")).join(side("b"), F.col("rep") == F.col("node_b"))
+    close = met.where(100 * F.least("n_shingles_a", "n_shingles_b") >= p.percent * F.greatest("n_shingles_a", "n_shingles_b"))
+    return close.select("node_a", "sketch_a", "node_b", "sketch_b").mapInArrow(_agreeing(p), "a long, b long")
+
+
+def _open(p: NearDup):
+    """Pairs (a, b) of different components that may be linked, of groups of residents and visitors that come group by group."""
 
     def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        if len({r[1] for r in rows}) < 2:
-            return
-        node, comp, n, part = (np.array([r[i] for r in rows]) for i in range(4))
-        sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
-
-        def agreeing(i: int, which: np.ndarray) -> np.ndarray:
-            """Agreement of row i with others; -1 where they can't be linked or are so already."""
-            close = 100 * np.minimum(n[which], n[i]) >= p.percent * np.maximum(n[which], n[i])
-            share = (sketch[which] == sketch[i]).mean(axis=1)
-            return np.where(close & (comp[which] != comp[i]) & (share >= p.least_agreeing), share, -1.0)
-
-        if trees:
-            rest, best, of = np.arange(1, len(rows)), np.full(len(rows), -1.0), np.zeros(len(rows), int)
-            i = 0
-            while len(rest):
-                share = agreeing(i, rest)
-                better = rest[share > best[rest]]
-                best[better], of[better] = share[share > best[rest]], i
-                i = rest[best[rest].argmax()]
-                if best[i] > 0:
-                    yield int(max(node[i], node[of[i]])), int(min(node[i], node[of[i]]))
-                rest = rest[rest != i]
+        here = np.flatnonzero([not r[0] for r in rows])
+        visitors = np.flatnonzero([r[0] for r in rows])
+        if not len(here) or not len(visitors):
             return
-        mixed, kept = part.min() != part.max(), Parities([r[5] for r in rows])
-        for i in range(len(rows) - 1):
-            rest = np.arange(i + 1, len(rows))
-            if mixed:  # pairs inside one block belong to that block's own group
-                rest = rest[part[rest] != part[i]]
-            rest = rest[agreeing(i, rest) > 0]
+        node, comp, n, minor = (np.array([r[i] for r in rows]) for i in range(1, 5))
+        sketch = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
+        kept: Parities | None = None
+        for i in visitors:
+            # Two of the smaller components meet twice; once counts.
+            rest = here[(comp[here] != comp[i]) & (~minor[here] | (node[here] < node[i]))]
+            rest = rest[100 * np.minimum(n[rest], n[i]) >= p.percent * np.maximum(n[rest], n[i])]
+            rest = rest[(sketch[rest] == sketch[i]).mean(axis=1) >= p.least_agreeing]
+            if not len(rest):
+                continue
+            kept = kept or Parities([r[6] for r in rows])
             both = n[rest] + n[i]
             common = (both - kept.differing(i, rest)) // 2  # at most
             for j in rest[100 * common >= p.percent * (both - common)]:
                 yield int(max(node[i], node[j])), int(min(node[i], node[j]))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in released(batches):
-            yield from zip(*(c.to_pylist() for c in batch.columns))
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: set[tuple[int, int]] = set()
-        for _, group in groupby(rows(batches), key=lambda r: r[:3]):
-            for pair in pairs_of([r[3:] for r in group]):
-                pairs.add(pair)
-                if len(pairs) >= 50_000:
-                    yield _edges(list(pairs))
-                    pairs.clear()
-        yield _edges(list(pairs))
+    def open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = groupby(_rows(batches), key=lambda r: r[:3])
+        yield from _batches_of(pair for _, group in groups for pair in pairs_of([r[3:] for r in group]))
 
-    return likely
+    return open_pairs
 
 
-def _blocks(members: DataFrame, trees: bool, p: NearDup) -> DataFrame:
-    """Pairs (a, b) among members (key, blocks, node, comp, n_shingles, sketch, parities) of one bucket that may be similar.
+def _open_pairs(shared: DataFrame, labels: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs (a, b) that share a bucket, are in different components and pass sketch and bound.
 
-    A bucket of many members is cut into blocks by a hash; each two blocks meet in a group of their own.
+    In every bucket the largest component only receives: its members are residents of blocks, once each. Members of the others are
+    residents too and besides visit every block, themselves cut into blocks, so each two classes of different components meet
+    in one group of at most twice `p.block` rows. A bucket that is one component but for a few costs its size, not its square.
     """
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met = members.withColumn("mine", mine).select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "mine",
-        "node", "comp", "n_shingles", "sketch", "parities",
-    ).select(
-        "key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-        "node", "comp", "n_shingles", "mine", "sketch", "parities",
+    labelled = staged(shared.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp")), "labelled")
+    counted = labelled.groupBy("key", "comp").agg(F.count("*").alias("size"))
+    mixed = counted.groupBy("key").agg(
+        F.sum("size").alias("all"), F.max("size").alias("largest"), F.max_by("comp", F.struct("size", "comp")).alias("major"),
+    ).where(F.col("all") > F.col("largest")).select(
+        "key", "major", F.ceil(F.col("all") / p.block).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("largest")) / p.block).cast("int").alias("visits"),
     )
-    dealt = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return staged(dealt.mapInArrow(_likely(p, trees), "a long, b long").distinct(), "pairs")
+    members = labelled.join(staged(mixed, "mixed"), "key").join(sketches, "node")
+    minor, home = F.col("comp") != F.col("major"), F.xxhash64("node")
+    block, visit = F.pmod(home, "blocks").cast("int"), F.pmod(home, "visits").cast("int")
+    place = lambda b, v, visiting: F.struct(b.alias("block"), v.alias("visit"), F.lit(visiting).alias("visiting"))
+    resides = F.transform(F.sequence(F.lit(0), F.col("visits") - 1), lambda v: place(block, v, False))
+    visits = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: place(b, visit, True))
+    met = members.withColumn("at", F.explode(F.when(minor, F.concat(resides, visits)).otherwise(resides))).select(
+        "key", "at.block", "at.visit", "at.visiting", "node", "comp", "n_shingles", minor.alias("minor"), "sketch", "parities")
+    dealt = met.repartition("key", "block", "visit").sortWithinPartitions("key", "block", "visit")
+    return staged(dealt.mapInArrow(_open(p), "a long, b long").distinct(), "pairs")
 
 
 def near_duplicates(
@@ -328,26 +350,17 @@ def near_duplicates(
     )
     banded = classes.select("node", F.explode("bands").alias("key"))
     sizes = staged(
-        banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        .select("key", F.ceil(F.col("size") / p.block).cast("int").alias("blocks")), "sizes",
+        banded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("rep")).where("size > 1").select("key", "rep"), "sizes",
     )
     shared = staged(banded.join(sizes, "key"), "shared")
     sketches = classes.select("node", "n_shingles", "sketch", "parities")
     needed = shared.select("node").distinct()
     texts = staged(named.join(needed, F.col("id") == F.col("node")).select("node", "text"), "texts")
 
-    # The trees need no bound; the verification tells.
-    members = shared.join(sketches.withColumn("parities", F.lit(None).cast("binary")), "node").withColumn("comp", F.col("node"))
-    links = staged(_verified(_blocks(members, True, p), texts, p), "links")
+    first = staged(_with_representatives(shared, sketches, p), "pairs")
+    links = staged(_verified(first, texts, p), "links")  # one Python worker a task, not two
     labels = staged(components(links), "labels")
-    labelled = staged(
-        shared.join(labels, "node", "left").select("key", "blocks", "node", F.coalesce("root", "node").alias("comp")), "labelled",
-    )
-    mixed = staged(
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "mixed",
-    )
-    members = labelled.join(mixed, "key").join(sketches, "node")
-    more = staged(_verified(_blocks(members, False, p), texts, p), "more")  # one Python worker a task, not two
+    more = staged(_verified(_open_pairs(shared, labels, sketches, p), texts, p), "more")
 
     # Texts of one id are one document, so their classes are linked as well.
     several = usable.groupBy("id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("id")

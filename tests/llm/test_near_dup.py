@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from gradewell.llm import near_dup as N
 from gradewell.llm.components import components, forest
@@ -77,6 +78,30 @@ def test_near_copies_against_all_pairs(spark, block):
     assert found(N.near_duplicates(docs, N.NearDup(block=block))) == brute(rows)
 
 
+def test_every_band_mate_is_decided_without_the_sketch(spark):
+    rows = copies(5, 6, 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(N.near_duplicates(docs, N.NearDup(least_agreeing=0.0, block=16))) == brute(rows)
+
+
+def test_a_group_of_near_copies_costs_its_size(spark):
+    """Pairs that are verified grow with the members of a group, not with their square."""
+    random.seed(9)
+    verified = []
+    for size in (100, 400):
+        text = [f"w{i}" for i in range(200)]
+        rows = [(k, " ".join([f"x{k}" if i == k % 200 else w for i, w in enumerate(text)])) for k in range(size)]
+        named = spark.createDataFrame(rows, "id long, text string").select("id", F.col("text").cast("binary").alias("text"))
+        prints = named.select("id", N._fingerprints(N.DEFAULT)("text").alias("f")).select("id", "f.*")
+        classes = staged(prints.withColumnRenamed("id", "node"), "classes")
+        banded = classes.select("node", F.explode("bands").alias("key"))
+        shared = staged(banded.join(banded.groupBy("key").agg(F.min("node").alias("rep")), "key"), "shared")
+        first = staged(N._with_representatives(shared, classes, N.DEFAULT), "first")
+        labels = staged(components(first), "labels")
+        verified.append(first.count() + N._open_pairs(shared, labels, classes, N.DEFAULT).count())
+    assert verified[1] < 8 * verified[0] and verified[1] < 400 * 12
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     estimates = []
@@ -122,7 +147,10 @@ def test_forest(edges):
     assert trees == {x: r for x, r in reach.items() if x != r}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("share", [10_000, 20])
+def test_components(spark, monkeypatch, share):
+    """With few edges a task, passes of stars settle what tasks leave apart."""
+    monkeypatch.setattr("gradewell.llm.components.EDGES_A_TASK", share)
     random.seed(4)
     path = list(range(1_000, 1_400))
     order = random.sample(path, len(path))
