@@ -57,8 +57,7 @@ EDITED = r"[0-9]{6,}|[#*$%&]{3}"
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    edits = token_counts.masking(F.coalesce("text", F.lit("")), EDITED, "")
-    return token_counts.apply_edits(docs, edits, with_texts=False).drop("text")
+    return token_counts.apply_edits(docs, token_counts.Masking(EDITED), with_texts=False).drop("text")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A tokenizer cuts a text into pre-tokens by a pattern and encodes each by itself. A document's tree has a leaf for
 each pre-token with its characters and tokens, and sums above them. An edit finds its leaves from the
 sums, cuts the text anew from a leaf before the edit until a cut falls on an old one behind it, encodes only what is new
-there and updates the sums above. All else keeps its counts.
+there and updates the sums above. All else keeps its counts. Trees are kept as a column between batches of edits, so the next
+batch encodes nothing but its own regions.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ class Tree:
     """Sums of characters and tokens over the leaves; a leaf holds any number of pre-tokens after edits."""
 
     def __init__(self, lengths: np.ndarray, tokens: np.ndarray):
-        self.leaves: dict[int, list[int]] = {}  # lengths of pre-tokens, of the leaves that were edited
+        #: Lengths and tokens of the pre-tokens of leaves that were edited.
+        self.leaves: dict[int, tuple[list[int], list[int]]] = {}
         self.size = 1 << max(0, int(len(lengths) - 1).bit_length())
         self.sums = []
         for values in (lengths, tokens):
@@ -101,9 +103,9 @@ class Tree:
                 node += 1
         return node, begin
 
-    def put(self, leaf: int, lengths: list[int], tokens: int) -> None:
-        self.leaves[leaf] = lengths
-        for levels, value in zip(self.sums, (sum(lengths), tokens)):
+    def put(self, leaf: int, lengths: list[int], tokens: list[int]) -> None:
+        self.leaves[leaf] = lengths, tokens
+        for levels, value in zip(self.sums, (sum(lengths), sum(tokens))):
             more, node = value - int(levels[0][leaf]), leaf
             if more:
                 for level in levels:
@@ -111,7 +113,17 @@ class Tree:
                     node //= 2
 
     def cuts(self, leaf: int) -> list[int]:
-        return self.leaves.get(leaf) or ([n] if (n := int(self.sums[0][0][leaf])) else [])
+        if leaf in self.leaves:
+            return self.leaves[leaf][0]
+        return [n] if (n := int(self.sums[0][0][leaf])) else []
+
+    def pre_tokens(self) -> tuple[list[int], list[int]]:
+        """Lengths and tokens of all pre-tokens in order."""
+        lengths, tokens = (levels[0].tolist() for levels in self.sums)
+        for leaf in sorted(self.leaves, reverse=True):
+            lengths[leaf:leaf + 1], tokens[leaf:leaf + 1] = self.leaves[leaf]
+        held = [i for i, n in enumerate(lengths) if n]
+        return [lengths[i] for i in held], [tokens[i] for i in held]
 
 
 class Tail:
@@ -185,8 +197,8 @@ def _replace(text: str, tail: Tail, tree: Tree, counter: Counter, start: int, en
             behind.append(view[to:to + n])
             to += n
     for k in range(first + 1, leaf):
-        tree.put(k, [], 0)
-    tree.put(first, [len(p) for p in pieces + behind], sum(counter[p] for p in pieces + behind))
+        tree.put(k, [], [])
+    tree.put(first, [len(p) for p in pieces + behind], [counter[p] for p in pieces + behind])
     return len(pieces)
 
 
@@ -211,9 +223,10 @@ def _pack(lengths: list[int], tokens: list[int]) -> bytes:
     return bytes([width]) + np.array(lengths + tokens, f"<u{width}").tobytes()
 
 
-def _unpack(tree: bytes) -> Tree:
+def _numbers(tree: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and tokens of the pre-tokens of a packed tree."""
     both = np.frombuffer(tree, f"<u{tree[0]}", offset=1).astype(np.int64)
-    return Tree(both[:len(both) // 2], both[len(both) // 2:])
+    return both[:len(both) // 2], both[len(both) // 2:]
 
 
 #: Rows whose texts are Python objects at a time.
@@ -248,59 +261,86 @@ def with_trees(docs: DataFrame, encoding: Encoding | None = None, text_col: str
     return with_result(docs, made.asNondeterministic()(F.col(text_col).cast("string")), ["n_pre_tokens", "n_tokens", "tree"])
 
 
+@dataclass(frozen=True)
+class Masking:
+    """Edits that replace every match of a pattern, found in the task that makes them. The pattern is one of `regex`."""
+
+    pattern: str
+    new: str = ""
+
+    def of(self, text: str) -> list[tuple[int, int, str]]:
+        return [(m.start(), m.end(), self.new) for m in regex.finditer(self.pattern, text) if m.end() > m.start()]
+
+
+def _checked(text: str, edits: list[dict]) -> list[tuple[int, int, str]]:
+    """The edits of a document, if they lie inside the text, in order and apart."""
+    out, at = [], 0
+    for k, e in enumerate(edits):
+        start, end, new = e["start"], e["end"], e["new"] or ""
+        if start is None or end is None or not at <= start <= end <= len(text) or (k and start == at and start == out[-1][0]):
+            raise ValueError(f"edit {k} ({start}, {end}) of a text of {len(text)} characters is outside of it or not behind the one before")
+        out.append((start, end, new))
+        at = end
+    return out
+
+
+#: Kinds of the columns that apply_edits() can add.
+_FOLLOWED = {
+    "n_pre_tokens": "bigint", "n_tokens": "bigint", "n_edits": "bigint", "n_tokens_after": "bigint", "n_encoded": "bigint",
+    "text_after": "string", "tree_after": "binary",
+}
+
+
 def apply_edits(
-    docs: DataFrame, edits: Column, encoding: Encoding | None = None, text_col: str = "text", with_texts: bool = True,
+    docs: DataFrame, edits: Column | Masking, encoding: Encoding | None = None, text_col: str = "text", with_texts: bool = True,
+    with_trees_after: bool = False,
 ) -> DataFrame:
-    """`docs` with n_pre_tokens and n_tokens before the edits, n_edits, n_tokens_after, n_encoded and, if wanted, text_after.
+    """`docs` with n_pre_tokens and n_tokens before the edits, n_edits, n_tokens_after, n_encoded and, if wanted, text_after
+    and tree_after.
 
     `edits` is an array of structs (start, end, new) on the text as it was: code points, end exclusive, in order, apart
-    from each other. Null or empty edits leave a document as it is; a null text counts as empty. Edits are made from the
-    last one back. n_encoded is how many pre-tokens were encoded again. The column `tree` of with_trees() is used where
-    there is one; else the trees are built on the way.
+    from each other (two may touch, but not both insert at one place); others fail the job with their numbers. A null `new` is
+    empty. Null or empty edits leave a document as it is; a null text counts as empty. A Masking finds its edits itself, in the same
+    pass. Edits are made from the last one back. n_encoded is how many pre-tokens were encoded again. The column `tree` of
+    with_trees(), or tree_after of an earlier batch under that name, is used where there is one, so nothing else is cut or
+    encoded; else a text's pre-tokens are counted on the way, and a tree is built of those that are edited.
     """
     encoding = encoding or default()
-    kept = "tree" in docs.columns
-    names = ["n_pre_tokens", "n_tokens", "n_edits", "n_tokens_after", "n_encoded"] + ["text_after"] * with_texts
-    kind = pa.struct([(n, pa.string() if n == "text_after" else pa.int64()) for n in names])
-
-    def row(text: str | None, tree: bytes | None, wanted: list[dict] | None, counter: Counter) -> dict:
-        lengths, tokens = _built(text, counter) if tree is None else (None, None)
-        known = Tree(np.array(lengths, np.int64), np.array(tokens, np.int64)) if tree is None else _unpack(tree)
-        before, n, after, encoded = known.tokens, int((known.sums[0][0] > 0).sum()), text, 0
-        if wanted:
-            after, encoded = edit_all(text or "", known, counter, [(e["start"], e["end"], e["new"]) for e in wanted])
-        told = {"n_pre_tokens": n, "n_tokens": before, "n_edits": len(wanted or ()), "n_tokens_after": known.tokens}
-        return told | {"n_encoded": encoded, "text_after": after}
-
-    def follow(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    kept, given = "tree" in docs.columns, not isinstance(edits, Masking)
+    masking = None if given else edits
+    names = [n for n in _FOLLOWED if (n != "text_after" or with_texts) and (n != "tree_after" or with_trees_after)]
+    kind = pa.struct([(n, {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[_FOLLOWED[n]]) for n in names])
+
+    def row(text: str | None, tree: bytes | None, wanted: list[dict] | None, counter: Counter) -> tuple:
+        plain = text or ""
+        changes = _checked(plain, wanted or []) if given else masking.of(plain)
+        if tree is None and not changes and not with_trees_after:
+            pieces = counter.pieces(plain)
+            before = sum(map(counter.__getitem__, pieces))
+            return len(pieces), before, 0, before, 0, text, None
+        lengths, tokens = _numbers(tree) if tree is not None else _built(plain, counter)
+        n, before = len(lengths), int(sum(tokens))
+        if not changes:
+            return n, before, 0, before, 0, text, tree if tree is not None or not with_trees_after else _pack(lengths, tokens)
+        known = Tree(np.asarray(lengths, np.int64), np.asarray(tokens, np.int64))
+        after, encoded = edit_all(plain, known, counter, changes)
+        return n, before, len(changes), known.tokens, encoded, after, _pack(*known.pre_tokens()) if with_trees_after else None
+
+    def follow(batches: Iterator[pa.Array | tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         counter = _counter(encoding)
-        for texts, changes, *trees in released(batches):
+        for columns in released(batches):
+            texts, *more = (columns,) if isinstance(columns, pa.Array) else columns
+            changes, trees = more[0] if given else None, more[-1] if kept else None
             parts = []
             for at in range(0, max(1, len(texts)), _AT_ONCE):
-                some = [c.slice(at, _AT_ONCE).to_pylist() for c in (texts, changes, *trees)]
-                rows = [row(text, tree[0] if tree else None, wanted, counter) for text, wanted, *tree in zip(*some)]
-                parts.append(pa.array([{k: r[k] for k in names} for r in rows], kind))
+                some = texts.slice(at, _AT_ONCE).to_pylist()
+                wanted, known = (
+                    [None] * len(some) if c is None else c.slice(at, _AT_ONCE).to_pylist() for c in (changes, trees))
+                rows = [dict(zip(_FOLLOWED, row(*r, counter))) for r in zip(some, known, wanted)]
+                parts.append(pa.array([{n: r[n] for n in names} for r in rows], kind))
             yield pa.concat_arrays(parts)
 
-    shape = ",".join(f"{n}:{'string' if n == 'text_after' else 'bigint'}" for n in names)
+    shape = ",".join(f"{n}:{_FOLLOWED[n]}" for n in names)
     made = F.arrow_udf(follow, f"struct<{shape}>", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    columns = [F.col(text_col).cast("string"), edits] + [F.col("tree")] * kept
+    columns = [F.col(text_col).cast("string")] + [edits] * given + [F.col("tree")] * kept
     return with_result(docs, made(*columns), names)
-
-
-def masking(text: Column, pattern: str, new: str) -> Column:
-    """Edits that replace every match of the pattern."""
-    found = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
-    )
-    kind = "array<struct<start:bigint,end:bigint,new:string>>"
-    none = F.array().cast(kind)
-
-    def add(so_far: Column, x: Column) -> Column:
-        begin = so_far["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), F.lit(new).alias("new")))
-        return F.struct(end.alias("at"), F.when(x["hit"].isNull(), so_far["edits"]).otherwise(F.concat(so_far["edits"], one)).alias("edits"))
-
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("edits"))
-    return F.when(text.rlike(pattern), F.aggregate(found, first, add, lambda a: a["edits"])).otherwise(none)

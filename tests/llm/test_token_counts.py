@@ -64,7 +64,7 @@ def test_edits_of_one_text_together(counter, text, wanted):
 
 
 def test_awkward_rows(spark, awkward, nothing, counter):
-    edits = C.masking(F.coalesce("text", F.lit("")), "z|[0-9]+|[Ee]nd", "€")
+    edits = C.Masking("z|[0-9]+|[Ee]nd", "€")
     made = C.apply_edits(C.with_trees(awkward), edits)
     got = sorted(str((r["doc_id"], r["n_tokens"], r["n_edits"], r["n_tokens_after"], r["text_after"])) for r in made.collect())
     wanted = []
@@ -79,6 +79,39 @@ def test_awkward_rows(spark, awkward, nothing, counter):
     assert C.apply_edits(C.with_trees(nothing), edits).count() == 0
 
 
+def test_a_second_batch_uses_the_trees_of_the_first(spark, awkward, counter, tmp_path):
+    """Trees are written with the edited texts; the next batch counts right and encodes its own regions only."""
+    once = C.apply_edits(C.with_trees(awkward), C.Masking("[0-9]+|dolor", "×××"), with_trees_after=True)
+    once.select("doc_id", F.col("text_after").alias("text"), F.col("tree_after").alias("tree")).write.parquet(str(tmp_path / "once"))
+    kept = spark.read.parquet(str(tmp_path / "once"))
+    twice = C.apply_edits(kept, C.Masking("×+|a ", "0 1"), with_trees_after=True).collect()
+    wanted = []
+    for i, t in ROWS:
+        one = re.sub("[0-9]+|dolor", "×××", t or "")
+        two, n = re.subn("×+|a ", "0 1", one)
+        wanted.append(str((i, len(counter.pieces(one)), whole(counter, one), n, whole(counter, two), two)))
+    got = [str((r["doc_id"], r["n_pre_tokens"], r["n_tokens"], r["n_edits"], r["n_tokens_after"], r["text_after"] or "")) for r in twice]
+    assert sorted(got) == sorted(wanted)
+    for r in twice:
+        lengths, tokens = C._numbers(bytes(r["tree_after"]))
+        pieces = counter.pieces(r["text_after"] or "")
+        assert lengths.tolist() == list(map(len, pieces)) and tokens.tolist() == [counter[p] for p in pieces]
+
+
+@pytest.mark.parametrize("edits", [[(3, 2, "")], [(-1, 2, "")], [(0, 99, "")], [(4, 6, ""), (2, 3, "")], [(0, 3, ""), (2, 4, "")], [(1, 1, "a"), (1, 1, "b")]])
+def test_wrong_edits_are_refused(edits):
+    with pytest.raises(ValueError, match="edit"):
+        C._checked("some text", [{"start": a, "end": b, "new": c} for a, b, c in edits])
+
+
+def test_given_edits(spark, counter):
+    kind = "doc_id long, text string, e array<struct<start:bigint,end:bigint,new:string>>"
+    rows = [(1, "some text here", [(0, 4, "more"), (5, 5, "of "), (5, 9, None)]), (2, "x", None), (3, None, []), (4, "", [(0, 0, "new")])]
+    made = {r["doc_id"]: r for r in C.apply_edits(spark.createDataFrame(rows, kind), F.col("e")).collect()}
+    assert [made[i]["text_after"] for i in (1, 2, 3, 4)] == ["more of  here", "x", None, "new"]
+    assert all(made[i]["n_tokens_after"] == whole(counter, made[i]["text_after"]) for i in made)
+
+
 def test_query(spark, texts, counter):
     for r in op7_token_counts(spark, "/root/testdata/sf0.001").collect():
         text = texts[r["doc_id"]]
