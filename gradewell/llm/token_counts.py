@@ -277,7 +277,7 @@ def _checked(text: str, edits: list[dict]) -> list[tuple[int, int, str]]:
     out, at = [], 0
     for k, e in enumerate(edits):
         start, end, new = e["start"], e["end"], e["new"] or ""
-        if start is None or end is None or not at <= start <= end <= len(text) or (k and start == at and start == out[-1][0]):
+        if start is None or end is None or not at <= start <= end <= len(text):
             raise ValueError(f"edit {k} ({start}, {end}) of a text of {len(text)} characters is outside of it or not behind the one before")
         out.append((start, end, new))
         at = end
@@ -298,8 +298,8 @@ def apply_edits(
     """`docs` with n_pre_tokens and n_tokens before the edits, n_edits, n_tokens_after, n_encoded and, if wanted, text_after
     and tree_after.
 
-    `edits` is an array of structs (start, end, new) on the text as it was: code points, end exclusive, in order, apart
-    from each other (two may touch, but not both insert at one place); others fail the job with their numbers. A null `new` is
+    `edits` is an array of structs (start, end, new) on the text as it was: code points, end exclusive, in order, without
+    overlap (they may touch); others fail the job with their numbers. A null `new` is
     empty. Null or empty edits leave a document as it is; a null text counts as empty. A Masking finds its edits itself, in the same
     pass. Edits are made from the last one back. n_encoded is how many pre-tokens were encoded again. The column `tree` of
     with_trees(), or tree_after of an earlier batch under that name, is used where there is one, so nothing else is cut or
