@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gradewell.llm.licenses import DEFAULT as LICENSES, template_tokens
-from gradewell.llm.url_filter import RULES, Vocabulary
+from gradewell.llm.url_filter import DEFAULT as VOCABULARY, RULES
 
 #: Words of a text, lower-cased in A-Z.
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,12 +41,10 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def _op4() -> str:
-    vocabulary = Vocabulary()
-    inside = lambda t: f"regexp_matches(place, '(^|[^a-z0-9]){t}($|[^a-z0-9])')"
-    strict = " OR ".join(inside(t) for t in vocabulary.strict)
-    soft = " + ".join(f"CASE WHEN {inside(t)} THEN 1 ELSE 0 END" for t in vocabulary.soft)
-    weight = " + ".join(f"CASE WHEN {inside(t)} THEN {w}::DOUBLE ELSE 0 END" for t, w in vocabulary.soft.items())
+    """Terms are ASCII letters and digits alone, so they stand where a run of those is one of their writings."""
     rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
+    stands = ", ".join(f"('{form}', '{t}')" for form, terms in VOCABULARY.stands_for().items() for t in terms)
+    kinds = ", ".join([*(f"('{t}', true, 0.0)" for t in VOCABULARY.strict), *(f"('{t}', false, {w})" for t, w in VOCABULARY.soft.items())])
     return f"""
 WITH after AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -57,11 +55,18 @@ WITH after AS (
 best AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
-), terms AS (SELECT page_id, host, path, translate(host || path, '{_UP}', '{_LOW}') AS place FROM parts)
+), stands(form, term) AS (VALUES {stands}), kinds(term, strict, weight) AS (VALUES {kinds}),
+words AS (
+  SELECT page_id, unnest(regexp_extract_all(translate(url || ' ' || url_decode(url), '{_UP}', '{_LOW}'), '[0-9a-z]+')) AS form
+  FROM pages WHERE url IS NOT NULL
+), found AS (SELECT DISTINCT page_id, term, strict, weight FROM words JOIN stands USING (form) JOIN kinds USING (term)),
+bad AS (
+  SELECT page_id FROM found GROUP BY page_id
+  HAVING bool_or(strict) OR count(*) FILTER (NOT strict) >= {VOCABULARY.distinct} OR max(weight) >= {VOCABULARY.alone}
+)
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN {strict} OR ({soft}) >= {vocabulary.distinct} AND ({weight}) >= {vocabulary.weight}
-                              THEN 'block' ELSE 'allow' END) AS verdict
-FROM terms LEFT JOIN best USING (page_id)
+       coalesce(verdict, CASE WHEN page_id IN (SELECT page_id FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN best USING (page_id)
 """
 
 

@@ -1,13 +1,12 @@
 """URL filter: host and path rules, then a weighted vocabulary of strict and soft terms.
 
 One Aho-Corasick automaton walks the whole url, and a percent-decoded copy where that differs. A term counts where it stands
-between characters that are no ASCII letters or digits. One strict term, or several distinct soft terms whose weights reach the limit,
-block the page.
+between characters that are no ASCII letters or digits, as it is, in the plural, or written as one word with another. One strict
+term or several distinct soft ones block the page; weights decide single soft terms.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -51,17 +50,20 @@ SOFT: Mapping[str, float] = {
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms in lower case. Soft terms block from `distinct` different ones with weights of `weight` in all, a single one from
-    a weight of `alone`. `forms` are other writings, each with the terms that it stands for.
+    """Terms in lower case. Soft terms block from `distinct` different ones on, a single one from a weight of `alone`. `forms` are
+    other writings, each with the terms that it stands for.
     """
 
     strict: tuple[str, ...] = STRICT
     soft: Mapping[str, float] = field(default_factory=lambda: dict(SOFT))
     distinct: int = 2
-    weight: float = 1.0
-    alone: float = math.inf
+    alone: float = 1.0
     forms: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
+    def stands_for(self) -> dict[str, tuple[str, ...]]:
+        """Every writing with the terms that it stands for."""
+        return {**self.forms, **{t: (t,) for t in (*self.strict, *self.soft)}}
+
 
 def _forms() -> dict[str, tuple[str, ...]]:
     """Plurals (or the singular) of nouns, and any two different terms written as one word."""
@@ -72,8 +74,7 @@ def _forms() -> dict[str, tuple[str, ...]]:
     return {form: terms for form, terms in (two | {f: (t,) for f, t in nouns.items()}).items() if form not in {*STRICT, *SOFT}}
 
 
-#: Any two soft terms block, a single one if its weight is one; plurals and joined words are known.
-WIDE = Vocabulary(weight=0.0, alone=1.0, forms=_forms())
+DEFAULT = Vocabulary(forms=_forms())
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -125,7 +126,7 @@ def terms_in_url(url: str, terms: tuple[str, ...]) -> dict[str, int]:
 
 
 def _judge(vocabulary: Vocabulary):
-    stands = {**vocabulary.forms, **{t: (t,) for t in (*vocabulary.strict, *vocabulary.soft)}}
+    stands = vocabulary.stands_for()
     terms = tuple(sorted(stands))
     strict = frozenset(vocabulary.strict)
 
@@ -140,8 +141,7 @@ def _judge(vocabulary: Vocabulary):
                 hard = sorted(t for t in found if t in strict)
                 soft = sorted(t for t in found if t not in strict)
                 weight = sum(vocabulary.soft[t] for t in soft)
-                blocked = bool(hard) or len(soft) >= vocabulary.distinct and weight >= vocabulary.weight
-                blocked = blocked or any(vocabulary.soft[t] >= vocabulary.alone for t in soft)
+                blocked = bool(hard) or len(soft) >= vocabulary.distinct or any(vocabulary.soft[t] >= vocabulary.alone for t in soft)
                 out.append({
                     "n_strict": sum(found[t] for t in hard), "n_soft": sum(found[t] for t in soft),
                     "soft_weight": float(weight), "terms": [*hard, *soft], "blocked": blocked,
@@ -155,7 +155,7 @@ def _judge(vocabulary: Vocabulary):
 
 
 def filter_urls(
-    pages: DataFrame, rules: tuple[Rule, ...] = RULES, vocabulary: Vocabulary = Vocabulary(), url_col: str = "url",
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, vocabulary: Vocabulary = DEFAULT, url_col: str = "url",
 ) -> DataFrame:
     """`pages` with host, path, rule, n_strict, n_soft, soft_weight, terms and verdict (allow or block).
 

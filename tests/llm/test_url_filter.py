@@ -1,4 +1,7 @@
-from gradewell.llm.url_filter import WIDE, Rule, Vocabulary, filter_urls, terms_in
+import duckdb
+
+from gradewell.llm.oracle import ORACLE_SQL
+from gradewell.llm.url_filter import Rule, Vocabulary, filter_urls, terms_in
 
 URLS = [
     (1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "HTTP://Www.Example.ORG/es/x"), (6, "https://a.example.org/en/17"),
@@ -27,7 +30,7 @@ def test_rules_and_terms(spark):
     assert got[10] == ("x.com", "", None, "allow")
     assert got[11][2:] == ("com/de/", "block")
     assert got[12][2:] == (None, "block") and by[12]["n_strict"] == 1
-    assert got[13][3] == "allow"  # not a whole word
+    assert got[13][3] == "block" and by[13]["terms"] == ["casino"]
     assert got[14][3] == "block" and sorted(by[14]["terms"]) == ["free", "poker"]
     assert got[15][3] == "allow" and by[15]["n_soft"] == 2  # one term, twice
     assert got[16][3] == "block"
@@ -48,22 +51,39 @@ def test_terms_overlap():
     assert terms_in("Sex/xxx-SEX", ("sex", "xxx", "ex")) == {"sex": 2, "xxx": 1}
 
 
-def test_wide_vocabulary(spark):
+def test_vocabulary(spark):
     bad = ["free-bets.a.net", "adult-x.a.net", "casino-win.a.net", "hot-win.a.net", "cheap-bonus.a.net", "casinos.net", "freebets.a.net", "sexcams.io"]
     clean = ["loan.a.net/loans", "free.a.net", "a.net/betting", "between.a.net", "winter-hotel.a.net", "sussex.a.net", "a.net/x/poker/poker", "a.net/win"]
     rows = [(h, f"https://{h}") for h in bad + clean]
-    made = filter_urls(spark.createDataFrame(rows, "page_id string, url string"), vocabulary=WIDE)
+    made = filter_urls(spark.createDataFrame(rows, "page_id string, url string"))
     assert {r["page_id"] for r in made.where("verdict = 'block'").collect()} == set(bad)
 
 
-def test_whole_url_is_judged(spark):
-    bad = [
+BAD, CLEAN = (
+    [
         "http://a.example.net/search?q=porn", "http://a.example.net/go?to=casino.example", "www.porn.example/xxx", "http://a.net#xxx",
         "http://a.net/%70orn", "http://a.net/?q=a%20casino%20b", "http://a.net/?q=porn%41", "http://a.net/?a=free&b=poker", "//a.net/?q=%C3%A9%2Fxxx",
-    ]
-    clean = ["http://a.net/?q=pornography", "http://a.net/%70ornA", "a.net/%", "http://a.net/?q=%ff%zz", "http://x.com/fr/?q=porn"]
-    made = filter_urls(spark.createDataFrame([(u,) for u in bad + clean], "url string"))
+    ],
+    ["http://a.net/?q=pornography", "http://a.net/%70ornA", "a.net/%", "http://a.net/?q=%ff%zz", "http://x.com/fr/?q=porn"],
+)
+
+
+def test_whole_url_is_judged(spark):
+    made = filter_urls(spark.createDataFrame([(u,) for u in BAD + CLEAN], "url string"))
     by = {r["url"]: r for r in made.collect()}
-    assert {u for u in by if by[u]["verdict"] == "block"} == set(bad)
-    assert (by[bad[0]]["host"], by[bad[0]]["path"], by[bad[0]]["n_strict"]) == ("a.example.net", "/search", 1)
-    assert (by[bad[2]]["host"], by[bad[2]]["path"], by[bad[2]]["terms"]) == ("", "", ["porn", "xxx"])
+    assert {u for u in by if by[u]["verdict"] == "block"} == set(BAD)
+    assert (by[BAD[0]]["host"], by[BAD[0]]["path"], by[BAD[0]]["n_strict"]) == ("a.example.net", "/search", 1)
+    assert (by[BAD[2]]["host"], by[BAD[2]]["path"], by[BAD[2]]["terms"]) == ("", "", ["porn", "xxx"])
+
+
+def test_the_sql_states_the_same(spark):
+    """Terms in host, path, query and fragment, joined, in the plural, percent-encoded, and urls that rules decide."""
+    urls = [u for u in BAD + CLEAN if "%ff" not in u and not u.endswith("%")] + [u for _, u in URLS] + [
+        "https://free-bets.example.net", "https://blog.adult-x.example.net/a", "https://cheap-bonus.net", "https://a.net/hotwin", "https://a.net/FREE/win"]
+    rows = list(enumerate(urls))
+    connection = duckdb.connect()
+    connection.execute("create table pages(page_id bigint, url varchar)")
+    connection.executemany("insert into pages values (?, ?)", rows)
+    asked = connection.sql(ORACLE_SQL["op4_url_filter"])
+    made = filter_urls(spark.createDataFrame(rows, "page_id long, url string")).select(*asked.columns)
+    assert sorted(map(tuple, made.collect())) == sorted(asked.fetchall())
