@@ -1,10 +1,12 @@
 """License scan: an exact set-similarity join of text blocks with license templates, in DataFrame operations.
 
-Tokens are ordered by how many documents hold them, rarest first. A block that holds the share of a template's
-tokens asked for must hold one of the template's rarest few (the prefix), enough tokens of templates at all (the
-length), and after the first match enough tokens must be left on both sides (the position). What passes
-these is counted. A block is a line, or, where a reach is given, any run of words, over line ends, that is not longer than so many times
-the template. Beside it, fixed phrases are found word by word.
+A block is a run of words, over line ends, that begins with a word of the template and is half as long again as the template. It
+meets the template if it holds the asked share of the template's distinct tokens, and among them those that tell licenses
+apart. Tokens are ordered by how many documents hold them, rarest first. A block that meets a template holds one of the
+template's rarest few (the prefix), so blocks are made around those words only; near them there must be enough tokens of the
+template at all (the length) and, if the word is the block's rarest, enough that are not rarer than it (the position).
+What passes these is counted. A template gives way where one of another label shares all its tokens and more. Beside
+it, fixed phrases are found word by word.
 """
 
 from __future__ import annotations
@@ -55,21 +57,14 @@ class LicenseScan:
     #: Score of a text that holds phrases but meets no template.
     phrase_score: float = 0.5
     #: Templates of so many distinct tokens or fewer must be held whole.
-    short: int = 0
-    #: Words that tell licenses apart: a block must hold those of the template, and a template gives way to one of another
-    #: label that shares all its tokens and more with the block. Without any, templates are judged each by itself.
-    telling: frozenset[str] = frozenset()
-    #: Longest run of words that may hold a template, as a multiple of the template's words. None: a block is a line.
-    reach: float | None = None
+    short: int = 7
+    #: Words that tell licenses apart: a block must hold those of the template.
+    telling: frozenset[str] = frozenset({"affero", "apache", "attribution", "bsd", "cc0", "lesser", "mit", "mozilla", "nc", "nd", "sa"})
+    #: Words of a block, as a multiple of the template's words.
+    reach: float = 1.5
 
 
-#: As the SQL states: one containment for all templates.
 DEFAULT = LicenseScan()
-TELLING = frozenset({"affero", "apache", "attribution", "bsd", "cc0", "lesser", "mit", "mozilla", "nc", "nd", "sa"})
-#: Labels that do not rest on what licenses have in common.
-STRICT = LicenseScan(short=7, telling=TELLING)
-#: The same wherever the lines end.
-WHOLE = LicenseScan(short=7, telling=TELLING, reach=1.5)
 
 
 def template_tokens(p: LicenseScan) -> list[tuple[int, str, list[str], int]]:
@@ -121,9 +116,9 @@ def _phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(everywhere, begins)
 
 
-def _span(p: LicenseScan, number: int) -> int:
-    """Words of the longest run that may hold a template."""
-    return math.ceil((p.reach or 1.0) * len([w for w in re.split(_OTHER, p.templates[number][1]) if w]))
+def span(p: LicenseScan, number: int) -> int:
+    """Words of a block of a template."""
+    return math.ceil(p.reach * len([w for w in re.split(_OTHER, p.templates[number][1]) if w]))
 
 
 def _spots(text: Column, order: Column) -> Column:
@@ -145,65 +140,43 @@ def _near_rare(spots: Column, rare: list[str], widest: int) -> Column:
     ))
 
 
-def _runs(scanned: DataFrame, templates: DataFrame, rare: list[str], order: Column, widest: int) -> DataFrame:
-    """Blocks in whole texts: for each spot of a template's prefix the shortest run with most of the template's tokens."""
+def _matches(scanned: DataFrame, templates: DataFrame, rare: list[str], widest: int, p: LicenseScan) -> DataFrame:
+    """(row, label, score, line) of the blocks that meet a template and are not outdone."""
+    index = templates.select("label", "least", "span", F.col("tokens").alias("wanted"), F.posexplode("prefix").alias("i", "word"))
     hits = scanned.where(F.size("spots") > 0).select("row", F.explode(_near_rare(F.col("spots"), rare, widest)).alias("h"))
-    index = templates.select("least", "span", F.col("tokens").alias("wanted"), F.explode("prefix").alias("word"))
+    # The templates are a parameter: a few rows for each, whatever the documents.
     own = F.filter("near", lambda s: F.array_contains(F.col("wanted"), s["word"]) & (F.abs(s["at"] - F.col("at")) < F.col("span")))
     met = hits.select("row", "h.at", "h.word", "h.near").join(F.broadcast(index), "word").withColumn("own", own)
-    met = met.where(F.size(F.array_distinct(F.col("own.word"))) >= F.col("least"))
+    later = F.array_intersect(F.expr("slice(wanted, i + 1, size(wanted))"), F.col("own.word"))
+    met = met.where((F.size(F.array_distinct("own.word")) >= F.col("least")) & (F.size(later) >= F.col("least")))
 
-    def within(spots: Column, start: Column, end: Column) -> Column:
-        return F.array_distinct(F.transform(F.filter(spots, lambda s: s["at"].between(start, end)), lambda s: s["word"]))
+    def held(start: Column) -> Column:
+        inside = F.filter("own", lambda s: (s["at"] >= start) & (s["at"] < start + F.col("span")))
+        return F.array_intersect("wanted", F.transform(inside, lambda s: s["word"]))
 
-    starts, ends = F.filter("own", lambda s: s["at"] <= F.col("at")), F.filter("own", lambda s: s["at"] >= F.col("at"))
-    runs = F.flatten(F.transform(starts, lambda s: F.transform(
-        F.filter(ends, lambda e: e["at"] - s["at"] < F.col("span")), lambda e: F.struct(
-            F.size(within(F.col("own"), s["at"], e["at"])).alias("held"), (s["at"] - e["at"]).alias("shorter"),
-            s["at"].alias("start"), s["line"].alias("line"),
-        ),
-    )))
-    best = met.withColumn("best", F.array_max(runs)).where(F.col("best.held") >= F.col("least"))
-    start = F.col("best.start")
-    tokens = F.array_intersect(order, within(F.col("near"), start, start - F.col("best.shorter")))
-    return best.select("row", "best.line", start.alias("start"), tokens.alias("tokens")).distinct()
+    starts = F.filter("own", lambda s: (s["at"] <= F.col("at")) & (s["at"] > F.col("at") - F.col("span")))
+    blocks = met.select("row", "label", "least", "wanted", F.explode(F.transform(starts, lambda s: F.struct(
+        s["at"].alias("start"), s["line"].alias("line"), held(s["at"]).alias("common")))).alias("b"))
+    told = F.array_intersect("wanted", F.array(*map(F.lit, sorted(p.telling)), F.lit(None).cast("string")))
+    enough = blocks.where((F.size("b.common") >= F.col("least")) & (F.size(F.array_except(told, "b.common")) == 0))
+    score = (F.size("b.common") / F.size("wanted")).alias("score")
+    at_once = enough.groupBy("row", "b.start", "b.line").agg(
+        F.collect_set(F.struct("label", F.col("b.common").alias("common"), score)).alias("met"))
+    kept = at_once.select("row", "line", F.explode(_not_outdone(F.col("met"))).alias("m"))
+    return kept.select("row", "line", "m.label", "m.score").distinct()
 
 
 def _not_outdone(met: Column) -> Column:
-    """The templates of one block that no template of another label shares more with, their tokens and others."""
+    """Of templates met from one word on, those that no template of another label outdoes: by all their tokens, and more."""
     return F.filter(met, lambda a: ~F.exists(met, lambda b: (
         (a["label"] != b["label"]) & (F.size(b["common"]) > F.size(a["common"]))
         & (F.size(F.array_except(a["common"], b["common"])) == 0)
     )))
 
 
-def _matches(blocks: DataFrame, templates: DataFrame, p: LicenseScan) -> DataFrame:
-    """(row, label, score, line) of the blocks that hold enough of a template."""
-    index = templates.select(
-        "template", "label", "least", F.col("tokens").alias("wanted"), F.posexplode("prefix").alias("i", "token")
-    )
-    # The templates are a parameter: a few rows for each, whatever the documents.
-    shared = blocks.select("row", "line", "start", "tokens", F.posexplode("tokens").alias("j", "token")).join(F.broadcast(index), "token")
-    left = F.least(F.size("wanted") - F.col("i"), F.size("tokens") - F.col("j"))
-    first = (F.size("tokens") >= F.col("least")) & (left >= F.col("least"))
-    if p.telling:
-        told = F.array_intersect("wanted", F.array(*map(F.lit, sorted(p.telling))))
-        common = F.array_intersect("wanted", "tokens")
-        met = shared.where(first).where(F.size(F.array_except(told, "tokens")) == 0).select(
-            "row", "line", "start", "tokens", "label", "least", common.alias("common"), (F.size(common) / F.size("wanted")).alias("score"),
-        ).where(F.size("common") >= F.col("least"))
-        blocks = met.groupBy("row", "line", "start", "tokens").agg(F.collect_set(F.struct("label", "common", "score")).alias("met"))
-        told_apart = blocks.select("row", "line", F.explode(_not_outdone(F.col("met"))).alias("m"))
-        return told_apart.select("row", "line", "m.label", "m.score").distinct()
-    common = F.size(F.array_intersect("tokens", "wanted"))
-    return shared.where(first).select(
-        "row", "line", "template", "label", "least", common.alias("common"), F.size("wanted").alias("size"),
-    ).where("common >= least").select("row", "line", "label", (F.col("common") / F.col("size")).alias("score")).distinct()
-
-
 def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: the id, n_words, n_base, first_word, last_word, base_labels, labels, score and
-    matches (line, label and score of every block that meets a template; of a run of words, the line of its first).
+matches (line of the first word, label and score of every block that meets a template).
 
     A null text is empty: no words, no labels, score 0. Rows with a null or repeated id are scanned each by itself. Other
     columns are not read. An empty table gives an empty one. Two passes over the texts, the first for the frequencies
@@ -219,34 +192,23 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_
     prefixes = _prefixes(p, ranked)
     rare = sorted({t for *_, prefix in prefixes for t in prefix})
 
-    no_blocks = F.array().cast("array<struct<line:int,tokens:array<string>>>")
-    if rare and p.reach is not None:
+    no_spots = F.array().cast("array<struct<at:int,line:int,word:string>>")
+    if rare:
         spots = _spots(F.col("text"), F.array(*map(F.lit, ranked)))
-        no_spots = F.array().cast("array<struct<at:int,line:int,word:string>>")
         blocks = F.when(F.lower("text").rlike(_any_of(rare)), spots).otherwise(no_spots)
-    elif rare:
-        least = min(n for *_, n in known)
-        order = F.array(*map(F.lit, ranked))
-        lines = F.transform(
-            F.split(F.lower("text"), "\n"),
-            lambda line, i: F.struct(i.alias("line"), F.array_intersect(order, F.split(line, f"{_OTHER}+")).alias("tokens")),
-        )
-        blocks = F.when(
-            F.lower("text").rlike(_any_of(rare)), F.filter(lines, lambda b: F.size(b["tokens"]) >= least)
-        ).otherwise(no_blocks)
     else:
-        blocks = no_blocks
+        blocks = no_spots
     some_phrase = "|".join(f"{_OTHER}+".join(map(re.escape, f.split(" "))) for f in p.phrases) or r"\z\A."
     low = F.translate("text", _UPPER, _LOWER)
     prepared = texts.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", _n_words(F.col("text")).alias("n_words"), blocks.alias("blocks"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", _n_words(F.col("text")).alias("n_words"), blocks.alias("spots"),
         F.when(F.col("text").rlike(f"(?i){some_phrase}"), _words(low)).otherwise(F.array().cast("array<string>")).alias("words"),
     )
     places = {label: [] for label in p.phrases.values()}
     for phrase, label in p.phrases.items():
         places[label].append(_phrase_places(F.col("words"), phrase))
     found = prepared.select(
-        "row", "doc_id", "n_words", "blocks",
+        "row", "doc_id", "n_words", "spots",
         *(F.flatten(F.array(*places[label])).alias(f"at_{i}") for i, label in enumerate(places)),
     )
     at = [F.col(f"at_{i}") for i in range(len(places))]
@@ -255,27 +217,21 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_
     ))
     every = F.flatten(F.array(*at, F.array().cast("array<int>")))
     scanned = staged(found.select(
-        "row", "doc_id", "n_words", "blocks", F.size(every).cast("long").alias("n_base"),
+        "row", "doc_id", "n_words", "spots", F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
         F.sort_array(labels).alias("base"),
     ), "scanned")
-    rows = scanned.drop("blocks")
+    rows = scanned.drop("spots")
     empty = F.array().cast("array<struct<line:int,label:string,score:double>>")
     if not prefixes:
         joined = rows.withColumn("matches", empty)
     else:
         templates = spark.createDataFrame(
-            [(*t, _span(p, t[0])) for t in prefixes],
-            "template int, label string, least int, tokens array<string>, prefix array<string>, span int",
+            [(label, least, tokens, prefix, span(p, i)) for i, label, least, tokens, prefix in prefixes],
+            "label string, least int, tokens array<string>, prefix array<string>, span int",
         )
-        if p.reach is not None:
-            widest = max(_span(p, i) for i, *_ in prefixes)
-            runs = _runs(scanned.withColumnRenamed("blocks", "spots"), templates, rare, F.array(*map(F.lit, ranked)), widest)
-        else:
-            runs = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("b")).select(
-                "row", "b.line", F.lit(0).alias("start"), "b.tokens"
-            )
-        met = _matches(runs, templates, p).groupBy("row").agg(
+        widest = max(span(p, i) for i, *_ in prefixes)
+        met = _matches(scanned, templates, rare, widest, p).groupBy("row").agg(
             F.sort_array(F.collect_list(F.struct("line", "label", "score"))).alias("matches")
         )
         joined = rows.join(met, "row", "left").withColumn("matches", F.coalesce("matches", empty))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradewell.llm.licenses import DEFAULT as LICENSES, template_tokens
+from gradewell.llm.licenses import DEFAULT as LICENSES, span, template_tokens
 from gradewell.llm.url_filter import DEFAULT as VOCABULARY, RULES
 
 #: Words of a text, lower-cased in A-Z.
@@ -106,28 +106,37 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 
 def _op2() -> str:
     phrases = ", ".join(f"('{f}', '{label}', {f.count(' ') + 1})" for f, label in LICENSES.phrases.items())
-    templates = ", ".join(f"('{label}', {tokens}, {least})" for _, label, tokens, least in template_tokens(LICENSES))
-    split = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    templates = ", ".join(
+        f"('{label}', {tokens}, {least}, {span(LICENSES, i)}, {[t for t in tokens if t in LICENSES.telling]}::VARCHAR[])"
+        for i, label, tokens, least in template_tokens(LICENSES))
     return f"""
-WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_plain_words("coalesce(text, '')")} AS w FROM documents),
-phrases(phrase, label, n) AS (VALUES {phrases}),
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_plain_words("coalesce(text, '')")} AS w, {_plain_words("lower(coalesce(text, ''))")} AS low
+  FROM documents
+), phrases(phrase, label, n) AS (VALUES {phrases}),
 places AS (
   SELECT doc_id, label, i FROM (SELECT doc_id, w, label, phrase, n, unnest(range(0, len(w) - n + 1)) AS i
                                 FROM docs, phrases WHERE len(w) >= n)
   WHERE array_to_string(w[i + 1 : i + n], ' ') = phrase
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id
-), templates(label, tokens, least) AS (VALUES {templates}),
-blocks AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line FROM docs),
-met AS (
-  SELECT doc_id, label, len(list_intersect(tokens, string_split_regex(line, {split}))) AS common, len(tokens) AS size
-  FROM blocks, templates WHERE len(list_intersect(tokens, string_split_regex(line, {split}))) >= least
+), templates(label, tokens, least, span, told) AS (VALUES {templates}),
+blocks AS (
+  SELECT doc_id, label, tokens, least, told, i, list_intersect(low[i : i + span - 1], tokens) AS common
+  FROM (SELECT doc_id, low, unnest(range(1, len(low) + 1)) AS i FROM docs), templates WHERE list_contains(tokens, low[i])
+), met AS (
+  SELECT doc_id, label, i, common, len(common) / len(tokens) AS share FROM blocks
+  WHERE len(common) >= least AND list_has_all(common, told)
+), kept AS (
+  SELECT * FROM met a WHERE NOT EXISTS (
+    SELECT 1 FROM met b WHERE b.doc_id = a.doc_id AND b.i = a.i AND b.label <> a.label AND len(b.common) > len(a.common)
+                          AND list_has_all(b.common, a.common))
 ), named AS (
-  SELECT doc_id, label, true AS is_base FROM places UNION SELECT doc_id, label, false FROM met
+  SELECT doc_id, label, true AS is_base FROM places UNION SELECT doc_id, label, false FROM kept
 ), labels AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels,
          string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM named GROUP BY doc_id
-), scores AS (SELECT doc_id, max(common / size) AS best FROM met GROUP BY doc_id)
+), scores AS (SELECT doc_id, max(share) AS best FROM kept GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        greatest(coalesce(best, 0), CASE WHEN n_base > 0 THEN {LICENSES.phrase_score} ELSE 0 END)::DOUBLE AS score

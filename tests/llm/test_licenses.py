@@ -1,6 +1,8 @@
 import math
 import re
 
+from hypothesis import HealthCheck, given, settings, strategies as st
+
 from gradewell.llm import licenses as L
 
 from .awkward_rows import ROWS
@@ -22,15 +24,18 @@ def brute(text, p=L.DEFAULT):
         at = [i for i in range(len(words)) if words[i:i + len(parts)] == parts]
         places += at
         labels |= {label} if at else set()
-    best, all_labels = 0.0, set(labels)
-    for line in text.lower().split("\n"):
-        tokens = set(re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", line))
-        for label, template in p.templates:
-            wanted = {w for w in re.split(r"[^0-9a-z]+", template.lower()) if w}
-            common = len(wanted & tokens)
-            if common >= math.ceil(p.containment * len(wanted) - 1e-9):
-                all_labels.add(label)
-                best = max(best, common / len(wanted))
+    low = [w for w in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower()) if w]
+    met = []
+    for label, template in p.templates:
+        of = [w for w in re.split(r"[^0-9a-z]+", template.lower()) if w]
+        wanted = set(of)
+        least = len(wanted) if len(wanted) <= p.short else math.ceil(p.containment * len(wanted) - 1e-9)
+        for i in range(len(low)):
+            common = wanted & set(low[i:i + math.ceil(p.reach * len(of))])
+            if low[i] in wanted and len(common) >= least and wanted & p.telling <= common:
+                met.append((i, label, common, len(common) / len(wanted)))
+    kept = [m for m in met if not any(o[0] == m[0] and o[1] != m[1] and m[2] < o[2] for o in met)]
+    best, all_labels = max([m[3] for m in kept], default=0.0), labels | {m[1] for m in kept}
     score = max(best, p.phrase_score if places else 0.0)
     ends = (min(places), max(places)) if places else (None, None)
     return (len(words), len(places), *ends, ",".join(sorted(labels)), ",".join(sorted(all_labels)), round(score, 9))
@@ -50,7 +55,17 @@ def test_other_templates_and_empty_table(spark, awkward, nothing):
     bare = L.LicenseScan(phrases={}, templates=())
     assert {(r["n_base"], r["labels"], r["score"]) for r in L.scan_licenses(awkward, bare).collect()} == {(0, "", 0.0)}
     own = L.LicenseScan(phrases={}, templates=(("x", "dolor amet"), ("y", "")), containment=1.0)
-    assert L.scan_licenses(awkward, own).where("labels = 'x'").count() == 2
+    assert L.scan_licenses(awkward, own).where("labels = 'x'").count() == 2  # with the word between them
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(
+    "released under the mit bsd license licensed cc by nc sa 4 0 general public gnu lesser affero this work is version 3 x\ny".split(" ")
+), max_size=40), min_size=1, max_size=25))
+def test_mixed_words_against_brute_force(spark, texts):
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    made = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert made == {i: brute(t)[-2:] for i, t in rows}
 
 
 def test_native(awkward, capsys):
@@ -69,13 +84,6 @@ TOLD = [
 ]
 
 
-def test_licenses_are_told_apart(spark):
-    docs = spark.createDataFrame(list(enumerate(t for t, _ in TOLD)), "doc_id long, text string")
-    p = L.LicenseScan(phrases={}, short=L.STRICT.short, telling=L.STRICT.telling)
-    got = {r["doc_id"]: r["labels"] for r in L.scan_licenses(docs, p).collect()}
-    assert [got[i] for i in range(len(TOLD))] == [wanted for _, wanted in TOLD]
-
-
 WRAPPED = [
     ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
     ("x\nNo part of this publication may be reproduced without the prior\n  written permission of the\npublisher.", "proprietary"),
@@ -85,14 +93,12 @@ WRAPPED = [
 ]
 
 
-def test_line_ends_do_not_matter(spark, awkward, nothing, capsys):
+def test_licenses_are_told_apart_wherever_lines_end(spark, capsys):
     rows = TOLD + WRAPPED
     docs = spark.createDataFrame(list(enumerate(t for t, _ in rows)), "doc_id long, text string")
-    p = L.LicenseScan(phrases={}, short=L.WHOLE.short, telling=L.WHOLE.telling, reach=L.WHOLE.reach)
-    made = L.scan_licenses(docs, p)
+    made = L.scan_licenses(docs, L.LicenseScan(phrases={}))
     got = {r["doc_id"]: r["labels"] for r in made.collect()}
     assert [got[i] for i in range(len(rows))] == [wanted for _, wanted in rows]
-    assert L.scan_licenses(awkward, L.WHOLE).count() == awkward.count() and L.scan_licenses(nothing, L.WHOLE).count() == 0
     capsys.readouterr()
     made.explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
