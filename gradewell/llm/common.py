@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -52,5 +52,35 @@ def with_result(df: DataFrame, result: Column, fields: list[str]) -> DataFrame:
     return df.select("*", result.alias(own)).select(*kept, *(F.col(own)[f].alias(f) for f in fields))
 
 
+def prefixes(values: Column, zero: Column, combine: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """For every element of an array what `combine` makes of `zero` and the elements up to it.
+
+    Folded block by block, so that a list of n results costs n times the block and not the square of n to build. `combine`
+    must be associative, with `zero` as its neutral value.
+    """
+    empty = F.filter(F.array(zero), lambda _: F.lit(False))
+
+    def within(part: Column) -> Column:
+        first = F.struct(zero.alias("last"), empty.alias("all"))
+
+        def add(so_far: Column, x: Column) -> Column:
+            now = combine(so_far["last"], x)
+            return F.struct(now.alias("last"), F.concat(so_far["all"], F.array(now)).alias("all"))
+
+        return F.aggregate(part, first, add)
+
+    blocks = F.ceil(F.size(values) / block).cast("int")
+    starts = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+    parts = F.transform(starts, lambda j: within(F.slice(values, j * block + 1, block)))
+
+    def chain(so_far: Column, part: Column) -> Column:
+        shifted = F.transform(part["all"], lambda x: combine(so_far["last"], x))
+        return F.struct(
+            combine(so_far["last"], part["last"]).alias("last"), F.concat(so_far["all"], F.array(shifted)).alias("all"))
+
+    nothing = F.struct(zero.alias("last"), F.filter(F.array(empty), lambda _: F.lit(False)).alias("all"))
+    return F.flatten(F.aggregate(parts, nothing, chain)["all"])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

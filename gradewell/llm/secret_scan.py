@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gradewell.llm.common import prefixes
+
 #: Fixed values of the contract: kinds in order, pattern, what of the match is measured (0: all), least characters.
 KINDS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
@@ -48,8 +50,9 @@ class SecretScan:
     #: Share of false finds among the random spans of a class; bins of p-values.
     false_share: float = 0.05
     bins: int = 20
-    #: Classes with fewer candidates share the threshold of their encoding.
-    least: int = 50
+    #: Candidates that a length class borrows from its encoding's histogram: the fewer it has of its own, the more of its
+    #: threshold comes from there.
+    borrowed: float = 50.0
     mark: str = "[SECRET]"
 
 
@@ -63,16 +66,12 @@ def _spans(text: Column, pattern: str, some: str, group: int, least: int) -> Col
         F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
-
-    def add(so_far: Column, x: Column) -> Column:
-        begin = so_far["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")))
-        long_enough = F.length(x["value"]) >= least
-        return F.struct(end.alias("at"), F.when(long_enough, F.concat(so_far["spans"], one)).otherwise(so_far["spans"]).alias("spans"))
-
-    return F.when(text.rlike(some), F.aggregate(found, start, add, lambda x: x["spans"])).otherwise(F.array().cast(_SPAN))
+    lengths = F.transform(found, lambda x: (F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).cast("bigint"))
+    ends = prefixes(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    placed = F.zip_with(found, ends, lambda x, end: F.struct(
+        (end - F.length(x["hit"])).alias("start"), end.alias("end"), x["value"].alias("value")))
+    spans = F.filter(placed, lambda s: F.length(s["value"]) >= least).cast(_SPAN)
+    return F.when(text.rlike(some), spans).otherwise(F.array().cast(_SPAN))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -188,12 +187,17 @@ def thresholds(docs: DataFrame, p: SecretScan = DEFAULT, text_col: str = "text")
         for length in (r["length"], 0):  # 0: all lengths of the encoding
             by_class.setdefault((r["encoding"], length), [0] * p.bins)[r["bin"]] += r["n"]
     return {
-        (encoding, length): _threshold(bins if sum(bins) >= p.least else by_class[encoding, 0], p)
+        (encoding, length): _threshold(_shrunk(bins, by_class[encoding, 0], p), p)
         for (encoding, length), bins in by_class.items() if length
     }
 
 
-def _threshold(bins: list[int], p: SecretScan) -> float:
+def _shrunk(bins: list[int], whole: list[int], p: SecretScan) -> list[float]:
+    """A class' histogram with some candidates spread over it as its encoding's are."""
+    return [n + p.borrowed * m / sum(whole) for n, m in zip(bins, whole)]
+
+
+def _threshold(bins: list[float], p: SecretScan) -> float:
     """The smallest edge above which the bins hold at most the wanted share beyond what random tokens put there."""
     half = len(bins) // 2
     random_in_bin = sum(bins[half:]) / (len(bins) - half)
@@ -256,17 +260,15 @@ def redact(docs: DataFrame, p: SecretScan = DEFAULT, text_col: str = "text") ->
     """`docs` with every span in the texts replaced by the mark; overlapping spans by one. Null texts stay null."""
     columns = docs.columns
     scanned = find_secrets(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), p)
-    none = F.struct(F.lit(-1).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("end"))
-    first = F.struct(F.array().cast("array<struct<start:bigint,end:bigint>>").alias("done"), none.alias("open"))
-
-    def merge(so_far: Column, s: Column) -> Column:
-        inside = s["start"] < so_far["open"]["end"]
-        longer = F.struct(so_far["open"]["start"].alias("start"), F.greatest(so_far["open"]["end"], s["end"]).alias("end"))
-        done = F.when(inside, so_far["done"]).otherwise(F.concat(so_far["done"], F.array(so_far["open"])))
-        return F.struct(done.alias("done"), F.when(inside, longer).otherwise(F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("open"))
-
-    merged = F.aggregate("spans", first, merge, lambda a: F.filter(F.concat(a["done"], F.array(a["open"])), lambda s: s["start"] >= 0))
-    cut = scanned.select("row", "text", merged.alias("cuts"))
+    # Spans come by their starts: one that begins before the furthest end so far lies in the run before it.
+    reached = scanned.select("row", "text", "spans", prefixes(
+        F.transform("spans", lambda s: s["end"]), F.lit(-1).cast("bigint"), lambda a, b: F.greatest(a, b)).alias("reach"))
+    begins = F.filter(F.transform("spans", lambda s, i: F.when(
+        s["start"] >= F.coalesce(F.get("reach", i - 1), F.lit(0)), F.struct(s["start"].alias("start"), i.alias("i")))), lambda s: s.isNotNull())
+    opened = reached.select("row", "text", "reach", begins.alias("begins"))
+    cuts = F.transform("begins", lambda b, k: F.struct(
+        b["start"].alias("start"), F.get("reach", F.coalesce(F.get("begins", k + 1)["i"], F.size("reach")) - 1).alias("end")))
+    cut = opened.select("row", "text", cuts.alias("cuts"))
     parts = F.transform("cuts", lambda s, i: F.concat(
         F.substring("text", F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0)).cast("int") + 1,
                     (s["start"] - F.coalesce(F.get("cuts", i - 1)["end"], F.lit(0))).cast("int")),
