@@ -20,15 +20,21 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, once; documents without an id stay.
+    """The row with the smallest id of each group of near copies; rows without an id stay.
 
-    Rows that share an id are one document, of which the text with the smallest hash stays."""
-    kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    rows = docs.join(staged(kept, "kept"), "doc_id", "left_semi")
+    Rows are compared, not ids: of texts that share an id each stays that is no near copy of one that stays. Of a group's rows
+    with the smallest id the one with the smallest hash of the text stays, of equal texts that of the whole row.
+    """
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
-    smallest = F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.xxhash64(*hashed)))
-    one_each = rows.groupBy("doc_id").agg(smallest.alias("row")).select("row.*")
-    return one_each.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    order = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text"), F.xxhash64(*hashed).alias("whole"))
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    # Numbers are read back from a written table only, where they are fixed.
+    rows = staged(docs.select(number.alias("number"), F.struct("*").alias("row"), order.alias("order"), "text"), "numbered")
+    found = near_dup.near_duplicates(rows.select("number", "text"), id_col="number").select("number", "component_id")
+    ordered = found.where("number IS NOT NULL").join(rows.select("number", "order"), "number")
+    first = ordered.groupBy("component_id").agg(F.min_by("number", F.struct("order", "number")).alias("number"))
+    kept = rows.join(staged(first.select("number"), "kept"), "number", "left_semi")
+    return kept.unionByName(rows.where("number IS NULL")).select("row.*")
 
 
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +68,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences of all documents of `sf_dir` that the stages keep.
+
+    Null and empty texts pass every stage and are packed as their last token alone; rows without an id are judged by their
+    texts, never grouped, and packed. An empty table gives no piece. Columns beside those of documents ride along up to the packing.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
