@@ -7,37 +7,34 @@ whole words. Each text is walked once, and hits map back to code points of the t
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyarrow import fs, parquet
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import PLAIN_WORDS, released, staged, with_result
+from gradewell.llm.common import PLAIN_WORDS, released, shared_folder, staged, with_result
 
 WINDOW = 10
 #: Characters of patterns in one automaton, some 30 bytes of memory each. Larger benchmarks are dealt
-#: by a hash over several automata that the texts pass one after the other.
+#: by a hash over several automata, with a pass over the texts for each.
 PATTERN_CHARS = 4_000_000
 #: Rows whose texts are Python objects at a time.
 _AT_ONCE = 500
 
-_FOUND = "struct<n_words:bigint,hits:array<bigint>,items:array<string>>"
-_RESULT = (
-    "struct<n_words:bigint,n_hit:bigint,items:array<string>,contaminated:boolean,"
-    "spans:array<struct<start:bigint,end:bigint>>>"
-)
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_ARROW = {
-    False: pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))]),
-    True: pa.struct([
-        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-        ("contaminated", pa.bool_()), ("spans", _SPANS),
-    ]),
+_FOUND = pa.struct([("hits", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+_RESULT = pa.struct([
+    ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("contaminated", pa.bool_()), ("spans", _SPANS),
+])
+_DDL = {
+    _FOUND: "struct<hits:array<bigint>,items:array<string>>",
+    _RESULT: "struct<n_words:bigint,n_hit:bigint,items:array<string>,contaminated:boolean,spans:array<struct<start:bigint,end:bigint>>>",
 }
 
 
@@ -72,13 +69,17 @@ def patterns(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id"
 
 
 @lru_cache(maxsize=1)
-def _automaton(key: str, of: Broadcast) -> ahocorasick.Automaton:
-    """Built once in each Python worker; values are (length, words, items) of a pattern."""
+def _automaton(folder: str) -> ahocorasick.Automaton | None:
+    """Built once in each Python worker, from patterns in the shared folder; values are (length, words, items) of a pattern."""
+    where, top = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
     automaton = ahocorasick.Automaton()
-    for pattern, items in of.value.items():
-        automaton.add_word(pattern, (len(pattern), pattern.count(" ") - 1, items))
+    for found in where.get_file_info(fs.FileSelector(top)):
+        if found.base_name.endswith(".parquet"):
+            for batch in parquet.ParquetFile(where.open_input_file(found.path)).iter_batches(columns=["pattern", "items"]):
+                for pattern, items in zip(*(c.to_pylist() for c in batch.columns)):
+                    automaton.add_word(pattern, (len(pattern), pattern.count(" ") - 1, tuple(items)))
     automaton.make_automaton()
-    return automaton
+    return automaton if len(automaton) else None
 
 
 def _hits(line: str, automaton: ahocorasick.Automaton) -> tuple[set[int], set[str]]:
@@ -111,6 +112,51 @@ def _spans(text: bytes, hits: list[int]) -> list[dict[str, int]]:
     ]
 
 
+def _written_shards(known: DataFrame, shards: int) -> list[str]:
+    """Folders of (pattern, items), one for each automaton, dealt by a hash of the pattern."""
+    folders = []
+    for k in range(shards):
+        mine = known.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == k)
+        folders.append(shared_folder(known.sparkSession, "shard"))
+        mine.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items")).write.parquet(folders[-1])
+    return folders
+
+
+def _row(text: bytes | None, n: int, hits: Collection[int], items: Collection[str]) -> dict:
+    where = sorted(hits)
+    return {
+        "n_words": n, "n_hit": len(where), "items": sorted(items), "contaminated": bool(where), "spans": _spans(text or b"", where)}
+
+
+def _scanner(folder: str, whole: bool):
+    """Result of texts by one automaton, if that is the `whole` benchmark; else its hits alone."""
+
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        automaton = _automaton(folder)
+        for texts in released(batches):
+            parts = []
+            for at in range(0, max(1, len(texts)), _AT_ONCE):
+                out = []
+                for text in texts.slice(at, _AT_ONCE).to_pylist():
+                    line, n = _joined(text)
+                    hits, items = _hits(line, automaton) if automaton else ((), ())
+                    out.append(_row(text, n, hits, items) if whole else {"hits": sorted(hits), "items": sorted(items)})
+                parts.append(pa.array(out, _RESULT if whole else _FOUND))
+            yield pa.concat_arrays(parts)
+
+    return F.arrow_udf(scan, _DDL[_RESULT if whole else _FOUND], F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+
+
+def _told(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Result of (text, hits, items)."""
+    for columns in released(batches):
+        parts = []
+        for at in range(0, max(1, len(columns[0])), _AT_ONCE):
+            some = zip(*(c.slice(at, _AT_ONCE).to_pylist() for c in columns))
+            parts.append(pa.array([_row(t, _joined(t)[1], hits or (), items or ()) for t, hits, items in some], _RESULT))
+        yield pa.concat_arrays(parts)
+
+
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
     pattern_chars: int = PATTERN_CHARS,
@@ -119,47 +165,31 @@ def find_contamination(
 
     A null or empty text, or one without words, has no words and no hits. Repeated rows are judged alike;
     rows with a null id too. Items that share a window are all counted. An empty benchmark hits nothing.
-    Columns of `docs` with the names of results are replaced, all others stay. Nothing is shuffled but
-    the benchmark's patterns; what is broadcast has at most about `pattern_chars` characters per automaton.
+    Columns of `docs` with the names of results are replaced, all others stay. The patterns lie in the shared folder, from which
+    tasks build their automaton; neither they nor texts pass the driver. A benchmark of up to `pattern_chars` characters
+    of patterns is one automaton and one pass over the texts, without a shuffle. A larger one is a pass for each automaton, so
+    that a task never holds two; the hits of each are written, and meet the texts by a hash at the end.
     """
-    spark = docs.sparkSession
     known = staged(patterns(benchmark, window), "patterns")
     total = known.agg(F.sum(F.length("pattern"))).first()[0] or 0
-    shards = max(1, -(-total // pattern_chars))
-
-    def scanner(words_of: Broadcast, key: str, last: bool):
-        def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-            automaton = _automaton(key, words_of) if words_of.value else None
-            for texts, earlier in released(batches):
-                parts = []
-                for at in range(0, max(1, len(texts)), _AT_ONCE):
-                    out = []
-                    for text, found in zip(texts.slice(at, _AT_ONCE).to_pylist(), earlier.slice(at, _AT_ONCE).to_pylist()):
-                        line, n = _joined(text)
-                        hits, items = _hits(line, automaton) if automaton else ((), ())
-                        if found:
-                            hits, items = {*hits, *found["hits"]}, {*items, *found["items"]}
-                        row = {"n_words": n, "hits": sorted(hits), "items": sorted(items)}
-                        if last:
-                            row |= {"n_hit": len(hits), "contaminated": bool(hits), "spans": _spans(text, row["hits"])}
-                        out.append(row)
-                    parts.append(pa.array(out, _ARROW[last]))
-                yield pa.concat_arrays(parts)
-
-        return scan
-
+    folders = _written_shards(known, max(1, -(-total // pattern_chars)))
+    names = [f.name for f in _RESULT]
     text = F.col(text_col).cast("string").cast("binary")
-    found = F.lit(None).cast(_FOUND)
-    for k in range(shards):
-        mine = known.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == k)
-        rows = mine.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items")).collect()
-        shared = spark.sparkContext.broadcast({r["pattern"]: tuple(r["items"]) for r in rows})
-        last = k == shards - 1
-        scan = F.arrow_udf(
-            scanner(shared, uuid.uuid4().hex, last), _RESULT if last else _FOUND, F.ArrowUDFType.SCALAR_ITER
-        )
-        found = scan.asNondeterministic()(text, found)
-    return with_result(docs, found, ["n_words", "n_hit", "items", "contaminated", "spans"])
+    if len(folders) == 1:
+        return with_result(docs, _scanner(folders[0], True)(text), names)
+    digest = F.unhex(F.sha2(text, 256))
+    found = None
+    for folder in folders:
+        one = docs.where(F.col(text_col).isNotNull()).select(digest.alias("digest"), _scanner(folder, False)(text).alias("f"))
+        hit = staged(one.where(F.size("f.items") > 0).select("digest", "f.*"), "hits")
+        found = hit if found is None else found.unionAll(hit)
+    met = found.groupBy("digest").agg(
+        F.array_distinct(F.flatten(F.collect_set("hits"))).alias("hits"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), digest.alias("digest")).join(staged(met, "met"), "digest", "left")
+    told = F.arrow_udf(_told, _DDL[_RESULT], F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    own = f"_{uuid.uuid4().hex}"
+    made = rows.select("row", told("text", "hits", "items").alias(own)).select("row.*", own)
+    return with_result(made, F.col(own), names).drop(own)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
