@@ -43,6 +43,8 @@ class Toxicity:
     #: Each toxic text is covered by so many pieces; a piece must add cover in so many texts.
     cover: int = 3
     least_cover: int = 3
+    #: Pieces among which the cover is chosen: those that most toxic texts hold. Bounds what reaches the driver.
+    most_pieces: int = 5_000
     #: Weight that holds the logistic curve's coefficients down.
     ridge: float = 1.0
     fold_every: int = 5
@@ -202,30 +204,34 @@ def _contrasted(sample: DataFrame, teaching: tuple[dict, dict], sizes: list[tupl
         error = F.sqrt(mean * (1 - mean) * (1 / toxic + 1 / ordinary)) + 1e-12
         more = (count / toxic - against / ordinary) >= p.deviations * error
         tells.append((count > 0) & more & (count / toxic >= p.times * (against + 0.5) / ordinary))
-    told = total.select("n", "gram", *(t.alias(f"t{fit}") for fit, t in enumerate(tells))).where("t0 OR t1 OR t2").collect()
-    return [
-        sorted((int(r["gram"]) % 2**64).to_bytes(r["n"], "big") for r in told if r[f"t{fit}"]) for fit in range(FITS)
+    told = staged(total.select(
+        "n", "gram", *(t.alias(f"t{fit}") for fit, t in enumerate(tells)), *(f"c1{fit}" for fit in range(FITS)),
+    ).where("t0 OR t1 OR t2"), "pieces")
+    most = [
+        told.where(f"t{fit}").orderBy(F.desc(f"c1{fit}"), F.desc("n"), "gram").limit(p.most_pieces).collect() for fit in range(FITS)
     ]
+    return [sorted((int(r["gram"]) % 2**64).to_bytes(r["n"], "big") for r in rows) for rows in most]
 
 
 def _holding(sample: DataFrame, teaching: dict, pieces: list[list[bytes]]) -> list[np.ndarray]:
-    """For each fit a table of pieces by toxic texts that teach: does the text hold the piece?"""
+    """For each fit a table of pieces by toxic texts that teach: does the text hold the piece? A bit each reaches the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
             rows = []
             for digest, text in zip(batch.column("digest").to_pylist(), batch.column("text")):
                 for fit in teaching.get(digest, ()):
                     whole = text.as_py()
-                    rows.append({"digest": digest, "fit": fit, "held": [i for i, g in enumerate(pieces[fit]) if g in whole]})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("digest", pa.string()), ("fit", pa.int32()), ("held", pa.list_(pa.int32()))]))
+                    held = np.packbits(np.array([g in whole for g in pieces[fit]], bool))
+                    rows.append({"digest": digest, "fit": fit, "held": held.tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("digest", pa.string()), ("fit", pa.int32()), ("held", pa.binary())]))
 
-    found = sample.where("toxic = 1").select("digest", "text").mapInArrow(run, "digest string, fit int, held array<int>").collect()
+    found = sample.where("toxic = 1").select("digest", "text").mapInArrow(run, "digest string, fit int, held binary").collect()
     tables = []
     for fit in range(FITS):
         rows = sorted((r["digest"], r["held"]) for r in found if r["fit"] == fit)
         table = np.zeros((len(pieces[fit]), len(rows)), bool)
         for k, (_, held) in enumerate(rows):
-            table[held, k] = True
+            table[:, k] = np.unpackbits(np.frombuffer(held, np.uint8), count=len(pieces[fit])).astype(bool)
         tables.append(table)
     return tables
 

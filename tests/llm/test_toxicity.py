@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from gradewell.llm import toxicity as T
@@ -47,6 +49,50 @@ def test_ids_and_held_out_labels_are_no_inputs(spark, corpus, model):
     assert same.count() == 2 and len({r["score"] for r in T.score_toxicity(same, model).collect()}) == 1
 
 
+def plain_score(model, text):
+    """The score of a text by the model, with a compressor of its own for every window."""
+    low = " ".join((text or "").lower().encode("utf-8", "surrogateescape").decode("utf-8", "surrogateescape").split(None))
+    clean = b" " + b" ".join(low.encode("utf-8", "surrogateescape").split()) + b" "
+    gains, at = [], 0
+    while len(clean) > 2 and at < len(clean):
+        end = at + model.window
+        if end < len(clean):
+            spaces = [i for i in range(at + model.window // 2, end) if clean[i:i + 1] == b" "]
+            end = spaces[-1] if spaces else end
+        framed = model.toxic[-model.context:] + clean[at:end]
+        sizes = []
+        for content in (model.ordinary, model.toxic):
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(level=model.level, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+            packed = packer.compress(framed)
+            assert zstandard.ZstdDecompressor(dict_data=known).decompressobj().decompress(packed) == framed
+            sizes.append(len(packed))
+        gains.append(sizes[0] - sizes[1])
+        at = min(end, len(clean))
+    top = sorted(gains, reverse=True)[:3]
+    x = (top[0], sum(top) / 3, sum(gains) / len(gains), sum(g >= 2 for g in gains) / len(gains)) if gains else (0, 0, 0, 0)
+    return 1 / (1 + math.exp(-max(-30, min(30, sum(a * b for a, b in zip(x, model.weights)) + model.weights[-1]))))
+
+
+def test_scores_of_a_fixed_model_against_brute_force(spark, corpus, awkward):
+    """A model written down here, over made texts, and texts full of odd cases; and the trained one."""
+    content = b" " + b" ".join(w.encode() for w in BAD) * 3
+    base = b" the ta no ri el mo ka un der is ing ver and other words that all texts hold " * 4
+    fixed = T.Model(content + base, b" " * len(content) + base, (0.5, 0.25, 3.0, 2.0, -4.0), 96, 7, 64)
+    docs = corpus[0].limit(60).unionByName(awkward.where("doc_id IS NULL OR doc_id NOT IN (6, 7)").select("doc_id", "text"))
+    for model in (fixed, T.train(*corpus)):
+        rows = T.score_toxicity(docs, model).collect()
+        assert len({r["score"] for r in rows}) > 10
+        for r in rows:
+            assert r["score"] == pytest.approx(plain_score(model, r["text"]), abs=1e-9)
+
+
+def test_pieces_that_reach_the_driver_are_bounded(corpus):
+    few = T.train(*corpus, T.Toxicity(most_pieces=40))
+    rows = T.score_toxicity(corpus[0], few).join(corpus[1], "doc_id").where(T.held_out(corpus[0]["doc_id"])).collect()
+    assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.9 * len(rows)
+
+
 def test_end_of_a_long_text_counts(spark, model):
     long = "the ta no ri elmo " * 20_000
     rows = spark.createDataFrame([(1, long), (2, long + " ".join(BAD * 3))], "doc_id long, text string")
