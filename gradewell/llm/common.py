@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Text lower-cased in A-Z only, every other ASCII byte but letters and digits a space.
 PLAIN_WORDS = bytes(
@@ -17,11 +18,26 @@ PLAIN_WORDS = bytes(
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, else under the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    """A new folder that driver and executors share: under spark.checkpoint.dir, else under the warehouse.
+
+    On a cluster a warehouse on the driver's own disk is refused: executors would not see each other's files.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and re.match(r"file:|/", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{warehouse}/_shared"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def integers(df: DataFrame, column: str) -> Column:
+    """The ids of a column as longs; a column of another kind is refused before any work."""
+    if not isinstance(df.schema[column].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        raise ValueError(f"{column} must hold integers")
+    return F.col(f"`{column.replace('`', '``')}`").cast("long")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read back, which cuts its lineage."""
     path = shared_folder(df.sparkSession, name)

@@ -15,9 +15,9 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gradewell.llm.common import released, with_result
+from gradewell.llm.common import integers, released, with_result
 
 #: Marks of prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -194,9 +194,7 @@ def fill_middle(docs: DataFrame, p: FillMiddle = DEFAULT, id_col: str = "doc_id"
     are null (taken as empty), empty or hold a mark stay plain, and so does a row without an id; their output is the text and
     the counts of characters are null. Ids are integers, others raise ValueError. An empty table gives an empty one.
     """
-    if not isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        raise ValueError(f"{id_col} must hold integers")
-    return with_result(docs, _transformed(p)(_own(id_col).cast("long"), _own(text_col).cast("string").cast("binary")), FIELDS)
+    return with_result(docs, _transformed(p)(integers(docs, id_col), _own(text_col).cast("string").cast("binary")), FIELDS)
 
 
 def restored(output: Column, form: Column) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import released, staged
+from gradewell.llm.common import integers, released, staged
 from gradewell.llm.components import components
 
 SLOTS = 128
@@ -339,9 +339,10 @@ def near_duplicates(
     class_id is the smallest id with the same set, component_id the smallest id that links reach. Texts without
     words, null ones too, are linked with nothing: both are the own id. A row without an id takes part in no link;
     its component is null and it is kept. Rows that share an id are one document: what any of their texts is
-    linked with is one component. Other columns of `docs` are not read. An empty table gives an empty one.
+    linked with is one component. Ids are integers; others raise ValueError. Other columns of `docs` are not read. An empty
+    table gives an empty one.
     """
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    named = docs.select(integers(docs, id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     prints = staged(named.select("id", _fingerprints(p)("text").alias("f")).select("id", "f.*"), "fingerprints")
     usable = prints.where("id IS NOT NULL AND set_key IS NOT NULL")
     classes = staged(

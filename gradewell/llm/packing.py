@@ -43,12 +43,20 @@ def default() -> Packing:
 _WORD = r"^(?P<stem>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<marks>(?:[!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)?)$"
 
 
+#: Texts by which a tokenizer shows whether it goes word by word: cases, marks, white space of all kinds, digits, other scripts.
+_PROBE = (
+    "Words, WORDS and words; can't  won't\tI'll   see...", " leading and trailing \n\n", "a.b,c!d?(e) [f] {g} 12 3.14 x2 2x",
+    "École, ŒUVRE, İstanbul, ΣΟΦΟΣ, straße", "你好 мир\u00a0x\u3000y", "a\n b\r\nc", "don't-stop/now_then $5 #1 @me", "",
+)
+
+
 class WordTokens:
     """Token ids of texts by the tokenizer file, each different word tokenized once a batch.
 
     For tokenizers that never join what white space parts, nor letters and the marks after them, and that mark
     the token which ends a word: the ids of a text are those of its words in turn. Upper case in A-Z may be lost
-    beforehand if the tokenizer drops it anyway, but for special tokens.
+    beforehand if the tokenizer drops it anyway, but for special tokens. Whether a file is of that kind is tried when it is
+    loaded; texts of another are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -66,6 +74,9 @@ class WordTokens:
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
+        told = self._encoded(pa.array(_PROBE, pa.string()))
+        self.by_words = bool(self.ends.any()) and all(
+            np.array_equal(a, b) for a, b in zip(told, self._each(list(_PROBE)), strict=True))
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
@@ -93,7 +104,8 @@ class WordTokens:
         while at < len(texts):
             before = ends[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(ends, before + (1 << 22), "right")))
-            yield from self._encoded(texts.slice(at, stop - at))
+            some = texts.slice(at, stop - at)
+            yield from self._encoded(some) if self.by_words else self._each(some.to_pylist())
             at = stop
 
     def _encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:

@@ -21,11 +21,9 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gradewell.llm.common import PLAIN_WORDS, released, staged, with_result
-
-INTEGERS = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+from gradewell.llm.common import PLAIN_WORDS, integers, released, staged, with_result
 
 
 @dataclass(frozen=True)
@@ -132,10 +130,9 @@ def weigh(docs: DataFrame, target: DataFrame, p: Resampling = DEFAULT, id_col: s
     A null text has no words; without words there is no feature and the weight is 0. A row without an id has no score. Ids
     are integers, others raise ValueError. An empty target or corpus counts 0 everywhere. Whole texts are read, twice.
     """
-    if not isinstance(docs.schema[id_col].dataType, INTEGERS):
-        raise ValueError(f"{id_col} must hold integers")
+    name = integers(docs, id_col)
     gain = gains(bucket_counts(docs, p, text_col), bucket_counts(target, p, target_text))
-    made = _weighted(gain, p)(_own(id_col).cast("long"), _own(text_col).cast("string").cast("binary"))
+    made = _weighted(gain, p)(name, _own(text_col).cast("string").cast("binary"))
     return with_result(docs, made, ["n_words", "n_features", "weight", "score"])
 
 

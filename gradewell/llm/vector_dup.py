@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gradewell.llm.common import released, staged
+from gradewell.llm.common import integers, released, staged
 from gradewell.llm.components import components
 
 #: Directions of a table; codes are padded to a multiple of as many coordinates.
@@ -375,12 +375,10 @@ def near_vectors(
     part in no link: no links, a null component, kept. Ids are integers (others raise ValueError), vectors arrays of numbers.
     Other columns are not read. An empty table gives an empty one.
     """
-    if not isinstance(vectors.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        raise ValueError(f"{id_col} must hold integers")
     element = vectors.schema[vec_col].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
     named = vectors.select(
-        _own(id_col).cast("long").alias("id"),
+        integers(vectors, id_col).alias("id"),
         _own(vec_col).cast("array<float>" if kind == "<f4" else "array<double>").alias("vec"),
     )
     how = keys_for(named.count(), p)

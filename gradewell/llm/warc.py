@@ -18,7 +18,7 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from gradewell.llm.common import shared_folder, staged
+from gradewell.llm.common import integers, shared_folder, staged
 
 #: The skippable frame that holds a dictionary, and the least payload that is not repeated.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -117,12 +117,12 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
     A null html is an empty payload, a null url has no target line, a null page_id an empty name. Of records with equal
     payloads of at least 100 bytes those with the smallest page_id are responses, others revisits of it; if
-    none has an id, all are responses. Other columns are not read. An empty table writes no archive. Only
+    none has an id, all are responses. Ids that are no integers raise ValueError. Other columns are not read. An empty table writes no archive. Only
     ids and digests are grouped; a payload that a third of all pages share is one row there, and the join that brings
     its id back to the pages is one that Spark splits.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    records = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    records = pages.select(integers(pages, "page_id").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     records = records.withColumn("digest", F.sha2("payload", 256))
     first = staged(
         records.where(F.length("payload") >= LEAST_REVISITED).groupBy("digest")

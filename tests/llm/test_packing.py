@@ -27,6 +27,17 @@ def test_word_by_word_is_the_tokenizer(tokens, some):
     assert [x.tolist() for x in tokens.encode(pa.array(some, pa.string()))] == whole
 
 
+def test_other_tokenizers_encode_whole_texts(tokens):
+    import public_tokenizers
+
+    assert tokens.by_words
+    other = packing.WordTokens(public_tokenizers.path("byte_bpe_50k.json"))
+    some = ["Some text, with  blanks.", None, "", " École 12"]
+    assert not other.by_words
+    assert [x.tolist() for x in other.encode(pa.array(some, pa.string()))] == [
+        other.tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
 @pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2)])
 def test_the_curve_visits_neighbours(dims, bits):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
