@@ -49,14 +49,12 @@ def member_totals(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
     return member_counts(customers, delinquencies, details).join(n_pairs, "member_id")
 
 
-def factor(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinquencies: DataFrame, details: DataFrame,
-           hot: DataFrame, slice_rows: int = SLICE_ROWS) -> Factored:
-    """The join in factors; members without a row in each of the five tables are in none of them.
+def factor(customers: DataFrame, delinquencies: DataFrame, details: DataFrame, totals: DataFrame, hot: DataFrame) -> Factored:
+    """The join in factors, by member_totals(); members without a row in each of the five tables are in none of them.
 
     `n_members` of a class counts the members that hold it, `n_copies` their rows of it, `n_rows` the rows that the join
     makes with it. All is linear in the tables: no two rows of one member are ever paired.
     """
-    totals = member_totals(customers, loans, repayments, delinquencies, details, slice_rows)
     classes, held = {}, []
     for kind, table in zip(KINDS, (customers, delinquencies, details)):
         values = [c for c in table.columns if c != "member_id"]

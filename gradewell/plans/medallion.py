@@ -97,10 +97,10 @@ def build_counted_wide(spark: SparkSession, layout: Layout) -> None:
 
 def build_factored_wide(spark: SparkSession, layout: Layout) -> None:
     """The five-table join of all members as classes of equal rows and who holds them; expand_wide() makes its rows."""
-    silver = {e: layout.read(spark, "silver", e) for e in WIDE_SIDES}
-    parts = factored.factor(
-        silver["customers"].drop("ingest_date"), silver["loans"], silver["loans_repayments"],
-        silver["loans_defaulters_delinq"], silver["loans_defaulters_detail_records_enq"], _hot(spark, layout))
+    customers, loans, repayments, delinquencies, details = (layout.read(spark, "silver", e) for e in WIDE_SIDES)
+    layout.write("silver", {"wide_totals": factored.member_totals(customers, loans, repayments, delinquencies, details)})
+    totals = layout.read(spark, "silver", "wide_totals")
+    parts = factored.factor(customers.drop("ingest_date"), delinquencies, details, totals, _hot(spark, layout))
     layout.write("silver", {
         "wide_membership": parts.membership,
         **{f"wide_{kind}_classes": parts.classes[kind] for kind in factored.KINDS},

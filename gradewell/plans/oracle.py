@@ -306,6 +306,13 @@ _FIVE = """customers c join loans l on l.member_id = c.member_id join repayments
   join delinq q on q.member_id = c.member_id join detail t on t.member_id = c.member_id"""
 
 
+_TOTALS = """
+  select * from (select member_id, count(*) n_customers from customers group by member_id)
+  join (select member_id, count(*) n_delinq from delinq group by member_id) using (member_id)
+  join (select member_id, count(*) n_detail from detail group by member_id) using (member_id)
+  join (select member_id, cast(count(*) as decimal(38,0)) n_pairs from all_pairs group by member_id) using (member_id)"""
+
+
 def _classes(kind: str, letter: str) -> str:
     """Rows of the plain join and rows of the table, by the values of one of its tables."""
     columns = _CLASS_COLUMNS[kind]
@@ -424,6 +431,7 @@ def oracle_sql() -> dict[str, str]:
           union all select 'quarantine', 'dropped_rows', count(*) from dropped
           union all select 'quarantine', 'bad_cells', 0
           union all select 'quarantine', 'shared_ids', 0
+          union all select 'silver', 'wide_totals', count(*) from (""" + _TOTALS + """)
           union all select 'silver', 'wide_membership', count(*) from (""" + _membership() + f""")
           union all select 'silver', 'wide_customers_classes', count(*) from ({_classes("customers", "c")})
           union all select 'silver', 'wide_delinq_classes', count(*) from ({_classes("delinq", "q")})
@@ -475,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
         "wide_delinq_classes": _query(_classes("delinq", "q")),
         "wide_detail_classes": _query(_classes("detail", "t")),
         "wide_membership": _query(_membership()),
+        "wide_totals": _query(_TOTALS),
         "exclude_not_in_nulls": _query("""
           select 'with_null' list, * from repayments where next_payment_date not in (
             select next_payment_date from repayments where total_principal_received in (100, 200))

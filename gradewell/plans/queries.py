@@ -448,6 +448,8 @@ QUERIES: dict[str, Query] = {
     "wide_delinq_classes": _over(lambda t: t.factored.classes["delinq"]),
     "wide_detail_classes": _over(lambda t: t.factored.classes["detail"]),
     "wide_membership": _over(lambda t: t.factored.membership),
+    "wide_totals": _over(lambda t: factored.member_totals(
+        t.customers, t.loans, t.repayments, t.delinquencies, t.details, t.slice_rows)),
     "payment_base": _over(payment_base),
     "score_last_payment": _one(_payments, "last_payment_pts"),
     "score_total_payment": _one(_payments, "total_payment_received_pts"),

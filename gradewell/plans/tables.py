@@ -72,5 +72,6 @@ class Tables:
 
     @cached_property
     def factored(self) -> factored.Factored:
-        return factored.factor(self.customers, self.loans, self.repayments, self.delinquencies, self.details, self.hot,
-                               self.slice_rows)
+        totals = factored.member_totals(
+            self.customers, self.loans, self.repayments, self.delinquencies, self.details, self.slice_rows)
+        return factored.factor(self.customers, self.delinquencies, self.details, totals, self.hot)

@@ -121,6 +121,8 @@ CUSTOMER_CLASSES = _classes(CLEAN_CUSTOMERS)
 DELINQ_CLASSES = _classes(DELINQUENCIES)
 DETAIL_CLASSES = _classes(DETAILS)
 WIDE_MEMBERSHIP = _struct(("kind", TEXT), ("member_id", TEXT), ("class_id", TEXT), ("copies", T.LongType()))
+WIDE_TOTALS = _struct(
+    ("member_id", TEXT), ("n_customers", T.LongType()), ("n_delinq", T.LongType()), ("n_detail", T.LongType()), ("n_pairs", PAIR_COUNT))
 SHARED_IDS = _struct(("member_id", TEXT), ("n_persons", T.LongType()))
 BAD_CELLS = _struct(("id", TEXT), ("column_name", TEXT), ("cell", TEXT))
 REPEATED_LOANS = _struct(("loan_id", TEXT), ("n_loans", T.LongType()), ("n_repayments", T.LongType()))

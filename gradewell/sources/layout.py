@@ -26,6 +26,7 @@ LAYERS = {
         "loans_defaulters_records_enq": schemas.CLEAN_DEFAULTERS,
         "loans_defaulters_detail_records_enq": schemas.DETAILS,
         "total_files_counted": schemas.COUNTED_FILES,
+        "wide_totals": schemas.WIDE_TOTALS,
         "wide_membership": schemas.WIDE_MEMBERSHIP,
         "wide_customers_classes": schemas.CUSTOMER_CLASSES,
         "wide_delinq_classes": schemas.DELINQ_CLASSES,

@@ -43,6 +43,7 @@ def expected(small):
         "loans_defaulters_detail_records_enq": small.details,
         "total_files_counted": QUERIES["join_wide"](small.spark, SF_SMALL),
         "wide_membership": small.factored.membership,
+        "wide_totals": QUERIES["wide_totals"](small.spark, SF_SMALL),
         **{f"wide_{kind}_classes": classes for kind, classes in small.factored.classes.items()},
     }
     kept = quality.exclude(small.defaulters, small.bad, small.hot)
