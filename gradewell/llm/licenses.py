@@ -141,7 +141,10 @@ def _near_rare(spots: Column, rare: list[str], widest: int) -> Column:
 
 
 def _matches(scanned: DataFrame, templates: DataFrame, rare: list[str], widest: int, p: LicenseScan) -> DataFrame:
-    """(row, label, score, line) of the blocks that meet a template and are not outdone."""
+    """(row, label, score, line) of the blocks that meet a template and are not outdone, the best of a line and label.
+
+    Blocks of one notice begin at several of its words, and at words before it; their line is the one with most of their tokens.
+    """
     index = templates.select("label", "least", "span", F.col("tokens").alias("wanted"), F.posexplode("prefix").alias("i", "word"))
     hits = scanned.where(F.size("spots") > 0).select("row", F.explode(_near_rare(F.col("spots"), rare, widest)).alias("h"))
     # The templates are a parameter: a few rows for each, whatever the documents.
@@ -150,20 +153,22 @@ def _matches(scanned: DataFrame, templates: DataFrame, rare: list[str], widest:
     later = F.array_intersect(F.expr("slice(wanted, i + 1, size(wanted))"), F.col("own.word"))
     met = met.where((F.size(F.array_distinct("own.word")) >= F.col("least")) & (F.size(later) >= F.col("least")))
 
-    def held(start: Column) -> Column:
-        inside = F.filter("own", lambda s: (s["at"] >= start) & (s["at"] < start + F.col("span")))
-        return F.array_intersect("wanted", F.transform(inside, lambda s: s["word"]))
+    def block(s: Column) -> Column:
+        inside = F.filter("own", lambda x: (x["at"] >= s["at"]) & (x["at"] < s["at"] + F.col("span")))
+        return F.struct(s["at"].alias("start"), F.transform(inside, lambda x: x["line"]).alias("lines"),
+                        F.array_intersect("wanted", F.transform(inside, lambda x: x["word"])).alias("common"))
 
     starts = F.filter("own", lambda s: (s["at"] <= F.col("at")) & (s["at"] > F.col("at") - F.col("span")))
-    blocks = met.select("row", "label", "least", "wanted", F.explode(F.transform(starts, lambda s: F.struct(
-        s["at"].alias("start"), s["line"].alias("line"), held(s["at"]).alias("common")))).alias("b"))
+    blocks = met.select("row", "label", "least", "wanted", F.explode(F.transform(starts, block)).alias("b"))
     told = F.array_intersect("wanted", F.array(*map(F.lit, sorted(p.telling)), F.lit(None).cast("string")))
     enough = blocks.where((F.size("b.common") >= F.col("least")) & (F.size(F.array_except(told, "b.common")) == 0))
     score = (F.size("b.common") / F.size("wanted")).alias("score")
-    at_once = enough.groupBy("row", "b.start", "b.line").agg(
-        F.collect_set(F.struct("label", F.col("b.common").alias("common"), score)).alias("met"))
-    kept = at_once.select("row", "line", F.explode(_not_outdone(F.col("met"))).alias("m"))
-    return kept.select("row", "line", "m.label", "m.score").distinct()
+    most = F.array_max(F.transform(F.array_distinct("b.lines"), lambda line: F.struct(
+        F.size(F.filter("b.lines", lambda x: x == line)).alias("n"), (-line).alias("first"))))["first"]
+    at_once = enough.groupBy("row", "b.start").agg(
+        F.collect_set(F.struct("label", F.col("b.common").alias("common"), score, (-most).alias("line"))).alias("met"))
+    kept = at_once.select("row", F.explode(_not_outdone(F.col("met"))).alias("m"))
+    return kept.groupBy("row", "m.line", "m.label").agg(F.max("m.score").alias("score"))
 
 
 def _not_outdone(met: Column) -> Column:
@@ -176,7 +181,7 @@ def _not_outdone(met: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, p: LicenseScan = DEFAULT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: the id, n_words, n_base, first_word, last_word, base_labels, labels, score and
-matches (line of the first word, label and score of every block that meets a template).
+matches (line, label, and score of the best block there).
 
     A null text is empty: no words, no labels, score 0. Rows with a null or repeated id are scanned each by itself. Other
     columns are not read. An empty table gives an empty one. Two passes over the texts, the first for the frequencies

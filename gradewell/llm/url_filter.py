@@ -42,9 +42,9 @@ RULES = (
 )
 STRICT = ("porn", "xxx", "casino", "warez", "malware", "phishing")
 SOFT: Mapping[str, float] = {
-    "adult": 1.0, "bet": 0.6, "bonus": 0.5, "cams": 0.8, "cheap": 0.4, "crack": 0.8, "dating": 0.7, "escort": 1.0,
-    "free": 0.3, "gambling": 1.0, "hot": 0.4, "keygen": 1.0, "loan": 0.5, "nude": 1.0, "pills": 0.8, "poker": 0.8,
-    "sex": 1.0, "slots": 0.8, "torrent": 0.7, "viagra": 1.0, "win": 0.3,
+    "ads": 0.6, "adult": 1.0, "bet": 0.6, "bonus": 0.5, "cams": 0.8, "cheap": 0.4, "clickbait": 1.0, "crack": 0.8, "dating": 0.7,
+    "escort": 1.0, "farm": 0.2, "free": 0.3, "gambling": 1.0, "hot": 0.4, "keygen": 1.0, "loan": 0.5, "nude": 1.0, "pills": 0.8,
+    "poker": 0.8, "popup": 0.8, "sex": 1.0, "slots": 0.8, "spam": 1.0, "torrent": 0.7, "track": 0.3, "viagra": 1.0, "win": 0.3,
 }
 
 
@@ -67,8 +67,8 @@ class Vocabulary:
 
 def _forms() -> dict[str, tuple[str, ...]]:
     """Plurals (or the singular) of nouns, and any two different terms written as one word."""
-    plural = ("bet", "casino", "crack", "escort", "keygen", "loan", "nude", "torrent", "win")
-    nouns = {f"{t}s": t for t in plural} | {"bonuses": "bonus", "cam": "cams", "pill": "pills", "slot": "slots"}
+    plural = ("bet", "casino", "crack", "escort", "farm", "keygen", "loan", "nude", "popup", "torrent", "win")
+    nouns = {f"{t}s": t for t in plural} | {"bonuses": "bonus", "cam": "cams", "pill": "pills", "slot": "slots", "tracker": "track", "tracking": "track"}
     one = {t: t for t in (*STRICT, *SOFT)} | nouns
     two = {a + b: (one[a], one[b]) for a in one for b in one if one[a] != one[b]}
     return {form: terms for form, terms in (two | {f: (t,) for f, t in nouns.items()}).items() if form not in {*STRICT, *SOFT}}

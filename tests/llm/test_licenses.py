@@ -84,6 +84,16 @@ TOLD = [
 ]
 
 
+def test_a_notice_is_told_by_its_own_line(spark):
+    text = "the work of this is\nan other line under the\nThis work is licensed under the GNU General Public License, version 3\nend of the work"
+    rows = [(1, text), (2, "released\n\nReleased under the MIT License.\n" * 3), (3, "Licensed under CC BY 4.0\nand Licensed under CC BY-NC 4.0")]
+    made = {r["doc_id"]: [(m["label"], m["line"]) for m in r["matches"]] for r in
+            L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert made[1] == [("gpl", 2)]
+    assert {m for m in made[2] if m[0] == "mit"} == {("mit", 2), ("mit", 5), ("mit", 8)}
+    assert set(made[3]) >= {("cc-by", 0), ("cc-by-nc", 1)}  # notices so close share blocks
+
+
 WRAPPED = [
     ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
     ("x\nNo part of this publication may be reproduced without the prior\n  written permission of the\npublisher.", "proprietary"),

@@ -52,8 +52,8 @@ def test_terms_overlap():
 
 
 def test_vocabulary(spark):
-    bad = ["free-bets.a.net", "adult-x.a.net", "casino-win.a.net", "hot-win.a.net", "cheap-bonus.a.net", "casinos.net", "freebets.a.net", "sexcams.io"]
-    clean = ["loan.a.net/loans", "free.a.net", "a.net/betting", "between.a.net", "winter-hotel.a.net", "sussex.a.net", "a.net/x/poker/poker", "a.net/win"]
+    bad = ["spam-farm.a.net", "m.ads-track.a.net", "free-bets.a.net", "adult-x.a.net", "casino-win.a.net", "hot-win.a.net", "cheap-bonus.a.net", "casinos.net", "freebets.a.net", "sexcams.io"]
+    clean = ["track.a.net/tracks", "farm.a.net", "roads.a.net/racetrack", "loan.a.net/loans", "free.a.net", "a.net/betting", "between.a.net", "winter-hotel.a.net", "sussex.a.net", "a.net/x/poker/poker", "a.net/win"]
     rows = [(h, f"https://{h}") for h in bad + clean]
     made = filter_urls(spark.createDataFrame(rows, "page_id string, url string"))
     assert {r["page_id"] for r in made.where("verdict = 'block'").collect()} == set(bad)
