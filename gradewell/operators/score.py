@@ -235,7 +235,8 @@ def grade_member_pairs(payments: DataFrame, loans: DataFrame, customers: DataFra
     first counted per member and points, a bounded number of combinations, then multiplied. `payments` holds those counts
     as `n_payments`, from counted_payments() or, with loan ids on several rows, from pairs.payment_pairs().
     """
-    histories = payments.join(_history_of_kept_members(customers, defaulters, params, rules), "member_id")
+    # Members with several customer rows have no profile, so they fall out when both sides meet.
+    histories = payments.join(member_history(defaulters, params, rules), "member_id")
     statuses = loans.select(
         "member_id", "loan_id", "funded_amount",
         loan_status_points(params, rules).alias("loan_status_pts"),
