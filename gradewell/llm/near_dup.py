@@ -7,9 +7,10 @@ all slots hold values below the next rank. Slots are banded; documents that shar
 Candidates become links only when their full sets, made anew from the whole texts, are similar enough.
 
 Documents of one set form a class, and only classes are compared. First each class is verified against the smallest class of
-each of its buckets; groups of near copies become components by that, at about one verification a member. Then all
-pairs that share a bucket, are still in different components and may be similar are verified, so that no link between
-components is lost. Sketches are compared in blocks of bounded size, and only across components. What passes the sketch must also pass a bound that never errs: sets are kept as parities of hashed bits, and as many
+each of its buckets; then each that is still apart from others of a bucket against the one whose sketch agrees most. Groups of near
+copies become components by that, at a few verifications a member. Then all pairs that share a bucket, are still in different
+components and may be similar are verified, so that no link between components is lost. Sketches are compared in
+blocks of bounded size, and only across components. What passes the sketch must also pass a bound that never errs: sets are kept as parities of hashed bits, and as many
 shingles differ, at least, as parities do.
 """
 
@@ -273,8 +274,11 @@ def _with_representatives(shared: DataFrame, sketches: DataFrame, p: NearDup) ->
     return close.select("node_a", "sketch_a", "node_b", "sketch_b").mapInArrow(_agreeing(p), "a long, b long")
 
 
-def _open(p: NearDup):
-    """Pairs (a, b) of different components that may be linked, of groups of residents and visitors that come group by group."""
+def _open(p: NearDup, best: bool):
+    """Pairs (a, b) of different components that may be linked, of groups of residents and visitors that come group by group.
+
+    `best` gives for each visitor the resident only whose sketch agrees most.
+    """
 
     def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         here = np.flatnonzero([not r[0] for r in rows])
@@ -286,11 +290,14 @@ def _open(p: NearDup):
         kept: Parities | None = None
         for i in visitors:
             # Two of the smaller components meet twice; once counts.
-            rest = here[(comp[here] != comp[i]) & (~minor[here] | (node[here] < node[i]))]
+            rest = here[(comp[here] != comp[i]) & (~minor[here] | (node[here] < node[i]) | best)]
             rest = rest[100 * np.minimum(n[rest], n[i]) >= p.percent * np.maximum(n[rest], n[i])]
-            rest = rest[(sketch[rest] == sketch[i]).mean(axis=1) >= p.least_agreeing]
+            share = (sketch[rest] == sketch[i]).mean(axis=1)
+            rest, share = rest[share >= p.least_agreeing], share[share >= p.least_agreeing]
             if not len(rest):
                 continue
+            if best:
+                rest = rest[[share.argmax()]]
             kept = kept or Parities([r[6] for r in rows])
             both = n[rest] + n[i]
             common = (both - kept.differing(i, rest)) // 2  # at most
@@ -304,8 +311,8 @@ def _open(p: NearDup):
     return open_pairs
 
 
-def _open_pairs(shared: DataFrame, labels: DataFrame, sketches: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are in different components and pass sketch and bound.
+def _open_pairs(shared: DataFrame, labels: DataFrame, sketches: DataFrame, p: NearDup, best: bool = False) -> DataFrame:
+    """Pairs (a, b) that share a bucket, are in different components and pass sketch and bound; or the `best` of a class in each group.
 
     In every bucket the largest component only receives: its members are residents of blocks, once each. Members of the others are
     residents too and besides visit every block, themselves cut into blocks, so each two classes of different components meet
@@ -328,7 +335,12 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, sketches: DataFrame, p: Ne
     met = members.withColumn("at", F.explode(F.when(minor, F.concat(resides, visits)).otherwise(resides))).select(
         "key", "at.block", "at.visit", "at.visiting", "node", "comp", "n_shingles", minor.alias("minor"), "sketch", "parities")
     dealt = met.repartition("key", "block", "visit").sortWithinPartitions("key", "block", "visit")
-    return staged(dealt.mapInArrow(_open(p), "a long, b long").distinct(), "pairs")
+    return staged(dealt.mapInArrow(_open(p, best), "a long, b long").distinct(), "pairs")
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    """What labels tell as edges."""
+    return labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def near_duplicates(
@@ -361,13 +373,14 @@ def near_duplicates(
     first = staged(_with_representatives(shared, sketches, p), "pairs")
     links = staged(_verified(first, texts, p), "links")  # one Python worker a task, not two
     labels = staged(components(links), "labels")
+    nearest = staged(_verified(_open_pairs(shared, labels, sketches, p, best=True), texts, p), "nearest")
+    labels = staged(components(_known(labels).unionAll(nearest)), "labels")
     more = staged(_verified(_open_pairs(shared, labels, sketches, p), texts, p), "more")
 
     # Texts of one id are one document, so their classes are linked as well.
     several = usable.groupBy("id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("id")
     same = usable.join(staged(several, "several"), "id").join(classes.select("set_key", "node"), "set_key")
-    known = labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    labels = components(known.unionAll(more).unionAll(same.select(F.col("id").alias("a"), F.col("node").alias("b"))))
+    labels = components(_known(labels).unionAll(more).unionAll(same.select(F.col("id").alias("a"), F.col("node").alias("b"))))
     found = classes.select("node", "set_key").join(staged(labels, "labels"), "node", "left")
     found = staged(found.select("set_key", "node", F.coalesce("root", "node").alias("root")), "found")
     own = F.when(F.col("set_key").isNotNull(), F.col("root")).otherwise(F.col("id"))
