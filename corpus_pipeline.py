@@ -29,8 +29,8 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     order = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text"), F.xxhash64(*hashed).alias("whole"))
     number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
     # Numbers are read back from a written table only, where they are fixed.
-    rows = staged(docs.select(number.alias("number"), F.struct("*").alias("row"), order.alias("order"), "text"), "numbered")
-    found = near_dup.near_duplicates(rows.select("number", "text"), id_col="number").select("number", "component_id")
+    rows = staged(docs.select(number.alias("number"), F.struct("*").alias("row"), order.alias("order")), "numbered")
+    found = near_dup.near_duplicates(rows.select("number", "row.text"), id_col="number").select("number", "component_id")
     ordered = found.where("number IS NOT NULL").join(rows.select("number", "order"), "number")
     first = ordered.groupBy("component_id").agg(F.min_by("number", F.struct("order", "number")).alias("number"))
     kept = rows.join(staged(first.select("number"), "kept"), "number", "left_semi")
