@@ -83,3 +83,23 @@ def test_packed_ids_come_back_and_stay_apart(spark):
 def test_tables_are_written_with_zstd(spark, tmp_path):
     files.write_table(spark.range(3), str(tmp_path / "t"))
     assert list((tmp_path / "t").glob("*.zstd.parquet"))
+
+
+def test_members_beside_a_hot_one_are_not_repeated(spark):
+    """A hot member's salts repeat the few members that share its bucket, not a 65,536th of all."""
+    rows = spark.range(20_000).select(F.lit("hot").alias("member_id"), F.col("id").alias("loan"))
+    members = spark.range(400_000).select(F.concat(F.lit("m"), "id").alias("member_id")).unionAll(spark.sql("select 'hot'"))
+    hot = hot_buckets(rows, "member_id", slice_rows=100)
+    per_member = join_members(members, members, hot, "left")
+    assert per_member.count() == 400_001
+    beside = members.join(hot, F.expr("pmod(xxhash64(member_id), 65536) = _bucket % 65536")).count()
+    marked = members.join(hot, F.pmod(F.xxhash64("member_id"), F.lit(4_194_304)) == F.col("_bucket")).count()
+    assert beside > 3 and marked <= 3
+
+
+def test_applications_of_one_person_are_dealt_out(spark, monkeypatch):
+    plain = queries.skewed_applications(spark, SF_SMALL)
+    monkeypatch.setattr(queries, "WIDE_SLICE", 10)
+    sliced = queries.skewed_applications(spark, SF_SMALL)
+    assert re.search(r"SortMergeJoin \[_of#\d+, _salt#\d+\]", physical(sliced))
+    same(sliced, plain)
