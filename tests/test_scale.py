@@ -103,3 +103,17 @@ def test_applications_of_one_person_are_dealt_out(spark, monkeypatch):
     sliced = queries.skewed_applications(spark, SF_SMALL)
     assert re.search(r"SortMergeJoin \[_of#\d+, _salt#\d+\]", physical(sliced))
     same(sliced, plain)
+
+
+def test_pairs_do_not_move_after_they_are_made(spark):
+    """Repayments are joined last, so the many pairs of repeated ids are written where they are made."""
+    t = queries._repeated_ids(spark, SF_SMALL)
+    plan = physical(factored.expand(t.factored, t.loans, t.repayments, t.hot, slice_rows=t.slice_rows))
+    assert re.search(r"SortMergeJoin \[([a-z_]+)#", plan).group(1) == "loan_id"
+
+
+@pytest.mark.parametrize("name, scans", [("join_wide_expanded", 0), ("join_wide_expanded_repeated", 0)])
+def test_clean_tables_are_made_once(spark, name, scans):
+    """Steps read what was written; customers, of which one step reads few columns, are made as they are read."""
+    plan = physical(queries.QUERIES[name](spark, SF_SMALL))
+    assert len(re.findall(r"Scan parquet .*orders.parquet", plan)) == scans
