@@ -112,7 +112,8 @@ def test_pairs_do_not_move_after_they_are_made(spark):
     assert re.search(r"SortMergeJoin \[([a-z_]+)#", plan).group(1) == "loan_id"
 
 
-@pytest.mark.parametrize("name, scans", [("join_wide_expanded", 0), ("join_wide_expanded_repeated", 0)])
+@pytest.mark.parametrize("name, scans", [("join_wide_expanded", 0), ("join_wide_expanded_repeated", 0),
+                                         ("loan_grade_literal_repeated", 1)])
 def test_clean_tables_are_made_once(spark, name, scans):
     """Steps read what was written; customers, of which one step reads few columns, are made as they are read."""
     plan = physical(queries.QUERIES[name](spark, SF_SMALL))
