@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from gradewell.functions.keys import with_packed_members, with_unpacked_members
-from gradewell.operators import factored, pairs, quality, wide
+from gradewell.operators import factored, pairs, quality, skew, wide
 from gradewell.operators.skew import hot_buckets, join_members
 from gradewell.plans import queries
 from gradewell.plans.tables import Tables
@@ -69,6 +69,44 @@ def test_whole_rows_do_not_move_to_find_repeated_ids(spark):
     assert not any("loan_status" in keys for keys in exchanges(listed))
 
 
+def test_rows_of_ids_on_one_row_a_side_are_not_compared(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("loan_id"), F.lit("x").alias("status"))
+    loans = rows.unionAll(spark.sql("select '7', 'y'"))
+    assert [side.count() for side in quality._of_ids_on_several_rows(loans, rows)] == [2, 1]
+
+
+def test_whole_rows_do_not_move_to_the_member_to_be_counted(small):
+    sides = (small.customers, small.unique_loans, small.unique_repayments, small.delinquencies, small.details, small.hot)
+    by_loan = wide.join_wide_by_loan(*sides)
+    same(by_loan, wide.join_wide(*sides))
+    assert by_loan.columns == wide.join_wide(*sides).columns
+    assert re.search(r"SortMergeJoin \[([a-z_]+)#", physical(by_loan)).group(1) == "loan_id"
+
+
+def test_members_are_counted_one_by_one_in_large_groups_only(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") < 5_000, "hot").otherwise(F.col("id").cast("string")).alias("m"))
+    few = skew._of_large_groups(rows, ["m"], 1_000)
+    assert 5_000 <= few.count() < 6_000
+    assert few.where("m = 'hot'").count() == 5_000
+
+
+def test_hot_members_are_found_through_groups(spark, monkeypatch):
+    rows = spark.range(300).select(F.when(F.col("id") < 90, "hot").otherwise(F.col("id").cast("string")).alias("m"))
+    plain = hot_buckets(rows, "m", 40)
+    monkeypatch.setattr(skew, "SLICE_ROWS", 40)
+    same(hot_buckets(rows, "m", 40), plain)
+    assert plain.count() == 1 and plain.first()["_salts"] == 3
+
+
+def test_what_tells_the_salt_does_not_move(spark):
+    rows = spark.range(200).select(F.lit("hot").alias("m"), F.col("id").alias("loan"), F.lit("wide").alias("text"))
+    members = spark.sql("select 'hot' m, 1 n")
+    hot = hot_buckets(rows, "m", 10)
+    met = join_members(rows, members, hot, key="m", keep=["m", "loan"])
+    assert met.columns == ["m", "loan", "n"] and met.count() == 200
+    same(met, join_members(rows, members, hot, key="m").drop("text"))
+
+
 IDS = ["a" * 64, "A" * 64, "0" * 64, "0" * 31, "", None, "x", "a" * 64 + "\n", "é" * 31]
 
 
